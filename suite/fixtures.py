@@ -8,6 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -35,6 +36,21 @@ PLACES = PlaceRules(
     geo_alone={}, geo_with_country={}, geo_pairs=())
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def once(fn):
+    """Build a plan once per application: reading a footer and analysing a plan cost time, data is not kept."""
+    @wraps(fn)
+    def planned(spark: SparkSession, sf_dir: str, *args, **kw) -> DataFrame:
+        key = (fn.__name__, spark.sparkContext.applicationId, sf_dir, args, tuple(sorted(kw.items())))
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, sf_dir, *args, **kw)
+        return _PLANS[key]
+    return planned
+
+
+@once
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -53,6 +69,7 @@ def pick(values, index: Column) -> Column:
     return F.get(F.array(*map(F.lit, values)), index.cast("int"))
 
 
+@once
 def orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One order = one posting, with employer and place. Join sides are left to Catalyst to size."""
     orders = table(spark, sf_dir, "orders")
@@ -62,6 +79,7 @@ def orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("day", F.col("o_orderdate").cast("timestamp")))
 
 
+@once
 def order_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", F.lower("p_type").alias("t"), F.lower("p_brand").alias("b"))
@@ -70,6 +88,7 @@ def order_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("skill")).alias("skills"))
 
 
+@once
 def postings(spark: SparkSession, sf_dir: str, skills: bool = True) -> DataFrame:
     """Postings in the contract. `skills=False` leaves the line items unread."""
     o = orders_wide(spark, sf_dir)
@@ -107,13 +126,14 @@ RUN = "bronze_run_id"
 
 
 def facts(df: DataFrame) -> dict[str, DataFrame]:
-    """Facts of several runs: every half month is a run of its own."""
+    """Fact counts of several runs: every half month is a run of its own."""
     run = F.col(RUN)
-    return {"skill_demand_monthly": E.skill_demand(df, run), "role_demand_monthly": E.role_demand(df, run),
-            "location_demand_monthly": E.location_demand(df, run, None),
-            "company_hiring_monthly": E.company_hiring(df, run)}
+    return {"skill_demand_monthly": E.skill_counts(df, run), "role_demand_monthly": E.role_counts(df, run),
+            "location_demand_monthly": E.location_counts(df, run, None),
+            "company_hiring_monthly": E.company_counts(df, run)}
 
 
+@once
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload JSON per order: src_a speaks the board dialect, src_b the nested one; plus `created` seconds."""
     o = orders_wide(spark, sf_dir)

@@ -639,8 +639,8 @@ def e01_text(spark, d):
 SELECT source, posted_month, CASE WHEN count(DISTINCT time_axis) = 1 THEN max(time_axis) ELSE 'mixed' END AS time_axis
 FROM p GROUP BY ALL"""))
 def e02(spark, d):
-    return E.assign_month(fx.postings(spark, d, False)).groupBy("source", "posted_month").agg(
-        X.dominant_axis("time_axis").alias("time_axis"))
+    axes = E.assign_month(fx.postings(spark, d, False)).select("source", "posted_month", "time_axis").distinct()
+    return axes.groupBy("source", "posted_month").agg(X.dominant_axis("time_axis").alias("time_axis"))
 
 
 def _fact_sql(fact: str, dim: str) -> str:

@@ -226,8 +226,7 @@ def f10(spark, d):
 @query("f10_top_n_other_employers", sql(SQL_FACTS, _top_other_sql("f_emp", "company_name", 12, "source, run_id",
                                                                   "label", "Other")))
 def f10_employers(spark, d):
-    return M.top_n_other(_emp(spark, d), ["source", "run_id"], "company_name", 12,
-                         carry={"posted_month": F.max("posted_month")})
+    return V.run_top_other(_emp(spark, d), "company_name", 12, ["source", "run_id"])
 
 
 def _pareto_sql(src: str, keys: str, dim: str) -> str:

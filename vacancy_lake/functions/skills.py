@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .rules import Vocabulary
-from .text import let, literal_map, squash, text
+from .text import let, literal_map, lits, squash, text
 
 # Letters, digits and the marks that occur inside skill names.
 _TOKEN_GAP = r"[^\p{L}\p{N}_/+.#-]+"
@@ -17,18 +17,14 @@ _TOKEN_EDGE = ".#_/-"
 _STRINGS = "array<string>"
 
 
-def _lits(values) -> Column:
-    return F.array(*map(F.lit, values)) if values else F.array().cast(_STRINGS)
-
-
 def token_text(*cols: Column | str) -> Column:
     """Texts joined and reduced to tokens parted by single blanks."""
     return squash(F.regexp_replace(F.lower(F.concat_ws(" ", *[text(c) for c in cols])), _TOKEN_GAP, " "))
 
 
-def bare_tokens(blob: Column) -> Column:
+def bare_tokens(tokens: Column) -> Column:
     """Distinct tokens without edge marks, at least two characters long."""
-    return F.filter(F.array_distinct(F.transform(F.split(blob, " "), lambda t: F.btrim(t, F.lit(_TOKEN_EDGE)))),
+    return F.filter(F.array_distinct(F.transform(F.array_distinct(tokens), lambda t: F.btrim(t, F.lit(_TOKEN_EDGE)))),
                     lambda t: F.length(t) >= 2)
 
 
@@ -56,7 +52,7 @@ def _expand(keys: Column, vocab: Vocabulary) -> Column:
     if not usable:
         return F.array().cast(_STRINGS)
     table = literal_map(usable)
-    return F.flatten(F.transform(F.array_intersect(keys, _lits(usable)), lambda k: F.try_element_at(table, k)))
+    return F.flatten(F.transform(F.array_intersect(keys, lits(usable)), lambda k: F.try_element_at(table, k)))
 
 
 def match_terms(blob: Column, tags: Column, vocab: Vocabulary) -> Column:
@@ -70,18 +66,22 @@ def match_terms(blob: Column, tags: Column, vocab: Vocabulary) -> Column:
     token_terms = [t for t in single if t not in vocab.stop]
 
     def contained(padded: Column, options) -> Column:
-        return F.array_compact(F.array(*[F.when(padded.contains(f" {t} "), F.lit(t)) for t in options])) \
-            if options else F.array().cast(_STRINGS)
+        hits = F.filter(lits([f" {t} " for t in options]), lambda t: padded.contains(t))
+        return F.transform(hits, lambda t: F.btrim(t))
+
+    lower_tags = F.transform(tags, lambda t: F.lower(t))
+
+    def of_tokens(tokens: Column) -> Column:
+        return F.concat(F.array_intersect(tokens, lits(single)), let(bare_tokens(tokens), lambda bare: F.concat(
+            F.array_intersect(bare, lits(token_terms)), _expand(bare, vocab))))
 
     def combine(b: Column) -> Column:
         padded = F.concat(F.lit(" "), b, F.lit(" "))
-        bare = bare_tokens(b)
-        lower_tags = F.transform(tags, lambda t: F.lower(t))
-        found = F.concat(
-            F.array_intersect(F.split(b, " "), _lits(single)), contained(padded, phrases),
-            F.array_intersect(bare, _lits(token_terms)), _expand(bare, vocab), _expand(lower_tags, vocab),
-            _expand(contained(padded, phrase_aliases), vocab))
-        return F.array_sort(F.array_distinct(found))
+        found = [let(F.split(b, " "), of_tokens), let(padded, lambda p: contained(p, phrases)),
+                 _expand(lower_tags, vocab)]
+        if phrase_aliases:
+            found.append(_expand(let(padded, lambda p: contained(p, phrase_aliases)), vocab))
+        return F.array_sort(F.array_distinct(F.concat(*found)))
 
     return let(blob, combine)
 

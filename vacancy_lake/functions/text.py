@@ -42,17 +42,25 @@ def edge_trim(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)^[{_EDGE}]+|[{_EDGE}]+$", "")
 
 
-def literal_map(items: Mapping[str, object]) -> Column:
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def lits(values) -> Column:
+    """A constant array of strings, as one expression."""
+    return F.expr(f"CAST(array({', '.join(map(_quoted, values))}) AS array<string>)")
+
+
+def literal_map(items: Mapping[str, str | tuple[str, ...]]) -> Column:
     """A small dictionary as a constant column; sized by the rule object, not by data."""
     if not items:
-        return F.create_map().cast("map<string,string>")
-    flat = []
-    for k, v in items.items():
-        flat += [F.lit(k), F.array(*map(F.lit, v)) if isinstance(v, (tuple, list)) else F.lit(v)]
-    return F.create_map(*flat)
+        return F.expr("CAST(map() AS map<string,string>)")
+    return F.expr("map(" + ", ".join(
+        f"{_quoted(k)}, " + (_quoted(v) if isinstance(v, str) else f"array({', '.join(map(_quoted, v))})")
+        for k, v in items.items()) + ")")
 
 
-def lookup(items: Mapping[str, object], key: Column) -> Column:
+def lookup(items: Mapping[str, str], key: Column) -> Column:
     return F.try_element_at(literal_map(items), key)
 
 
@@ -98,7 +106,8 @@ def _drop_adjacent_repeats(parts: Column) -> Column:
 
 def canonical_place(location: Column, places: R.PlaceRules) -> Column:
     """"city, state", "state, country" or the country alone, for locations of the country of `places`."""
-    states, country = F.array(*map(F.lit, places.states)), F.lit(places.country)
+    cities, aliases = literal_map(places.cities), literal_map(places.aliases)
+    states, country = lits(places.states), F.lit(places.country)
 
     def is_state(s: Column) -> Column:
         return F.array_contains(states, s)
@@ -109,7 +118,7 @@ def canonical_place(location: Column, places: R.PlaceRules) -> Column:
     def with_parent(s: Column, otherwise: Column) -> Column:
         return F.coalesce(
             F.when(is_state(s), F.concat_ws(", ", s, country)),
-            F.concat(s, F.lit(", "), lookup(places.cities, s)),
+            F.concat(s, F.lit(", "), F.try_element_at(cities, s)),
             otherwise)
 
     def shape(p: Column) -> Column:
@@ -123,10 +132,10 @@ def canonical_place(location: Column, places: R.PlaceRules) -> Column:
             F.array_join(p, ", "))
 
     def known(s: Column) -> Column:
-        return s.isin(*places.context_forms) | is_state(s) | lookup(places.cities, s).isNotNull()
+        return s.isin(*places.context_forms) | is_state(s) | F.try_element_at(cities, s).isNotNull()
 
     def decide(p: Column) -> Column:
-        renamed = F.transform(p, lambda s: F.coalesce(lookup(places.aliases, s), s))
+        renamed = F.transform(p, lambda s: F.coalesce(F.try_element_at(aliases, s), s))
         return F.when(F.exists(p, known), let(_drop_adjacent_repeats(renamed), shape))
 
     return F.coalesce(let(_segments(location), decide), location)

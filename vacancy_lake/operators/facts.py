@@ -43,8 +43,11 @@ def _dated(df: DataFrame, run: str | Column) -> DataFrame:
 
 
 def month_profile(df: DataFrame, run: str | Column) -> DataFrame:
-    """Per month and run: representative ingest date and dominant time axis."""
-    return _dated(df, run).groupBy(*_GROUP).agg(
+    """Per month and run: representative ingest date and dominant time axis.
+
+    Both are maxima of text, which Spark aggregates by sorting; the distinct dates are hash aggregated first.
+    """
+    return _dated(df, run).select(*_GROUP, "bronze_ingest_date", "time_axis").distinct().groupBy(*_GROUP).agg(
         F.max("bronze_ingest_date").alias("bronze_ingest_date"), X.dominant_axis("time_axis").alias("time_axis"))
 
 
@@ -58,36 +61,49 @@ def _plain(column: str) -> Column:
     return T.squash(F.lower(T.text(column)))
 
 
-def skill_demand(df: DataFrame, run: str | Column) -> DataFrame:
-    """Distinct postings per skill and month."""
+def skill_counts(df: DataFrame, run: str | Column) -> DataFrame:
+    """Distinct postings per skill and month, without the month profile."""
     skills = F.col("skills") if dict(df.dtypes)["skills"] != "string" else skills_from_json("skills")
     each = _dated(df, run).select(*_GROUP, "job_id", F.explode(F.array_distinct(
         F.transform(skills, lambda s: F.btrim(s)))).alias("skill")).where("skill <> ''")
-    counts = each.groupBy(*_GROUP, "skill").agg(F.count_distinct("job_id").alias("job_count"))
-    return _stamp(counts, df, run, "skill_demand_monthly")
+    return each.groupBy(*_GROUP, "skill").agg(F.count_distinct("job_id").alias("job_count"))
 
 
-def _row_counts(df: DataFrame, run, table: str, value: Column) -> DataFrame:
-    dim = FACT_DIMENSION[table]
-    counts = (_dated(df, run).select(*_GROUP, value.alias(dim)).where(F.col(dim) != "")
-              .groupBy(*_GROUP, dim).agg(F.count(F.lit(1)).alias("job_count")))
-    return _stamp(counts, df, run, table)
+def value_counts(df: DataFrame, run: str | Column, value: Column, dim: str) -> DataFrame:
+    """Postings per value and month, blanks dropped."""
+    return (_dated(df, run).select(*_GROUP, value.alias(dim)).where(F.col(dim) != "")
+            .groupBy(*_GROUP, dim).agg(F.count(F.lit(1)).alias("job_count")))
 
 
-def role_demand(df: DataFrame, run: str | Column) -> DataFrame:
-    return _row_counts(df, run, "role_demand_monthly", _plain("title_norm"))
+def role_counts(df: DataFrame, run: str | Column) -> DataFrame:
+    return value_counts(df, run, _plain("title_norm"), "role")
 
 
-def location_demand(df: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules()) -> DataFrame:
-    """Counts per normalised location. Distinct raw spellings are counted first, then normalised."""
+def company_counts(df: DataFrame, run: str | Column) -> DataFrame:
+    return value_counts(df, run, _plain("company_norm"), "company_name")
+
+
+def location_counts(df: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules()) -> DataFrame:
+    """Postings per normalised location. Distinct raw spellings are counted first, then normalised."""
     raw = (_dated(df, run).groupBy(*_GROUP, "location_raw").agg(F.count(F.lit(1)).alias("_n"))
            .select(*_GROUP, "_n", T.normalize_location("location_raw", places).alias("location")))
-    counts = raw.where("location <> ''").groupBy(*_GROUP, "location").agg(F.sum("_n").alias("job_count"))
-    return _stamp(counts, df, run, "location_demand_monthly")
+    return raw.where("location <> ''").groupBy(*_GROUP, "location").agg(F.sum("_n").alias("job_count"))
+
+
+def skill_demand(df: DataFrame, run: str | Column) -> DataFrame:
+    return _stamp(skill_counts(df, run), df, run, "skill_demand_monthly")
+
+
+def role_demand(df: DataFrame, run: str | Column) -> DataFrame:
+    return _stamp(role_counts(df, run), df, run, "role_demand_monthly")
+
+
+def location_demand(df: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules()) -> DataFrame:
+    return _stamp(location_counts(df, run, places), df, run, "location_demand_monthly")
 
 
 def company_hiring(df: DataFrame, run: str | Column) -> DataFrame:
-    return _row_counts(df, run, "company_hiring_monthly", _plain("company_norm"))
+    return _stamp(company_counts(df, run), df, run, "company_hiring_monthly")
 
 
 def run_summary(facts: dict[str, DataFrame], profile: DataFrame, published: DataFrame | None = None) -> DataFrame:
@@ -112,15 +128,18 @@ def run_summary(facts: dict[str, DataFrame], profile: DataFrame, published: Data
 
 
 def resolve_run(df: DataFrame, source: str | None = None) -> DataFrame:
-    """Run id the facts are published under: newest in (date, run, ingested) order among rows with a month."""
+    """Run id the facts are published under: newest in (date, run, ingested) order among rows with a month.
+
+    The run id is settled by (date, run) alone, so the few distinct pairs are enough.
+    """
     missing = {"bronze_ingest_date", "bronze_run_id", "source"} - set(df.columns)
     if missing:
         raise ValueError(f"lineage columns missing: {sorted(missing)}")
     rows = assign_month(df).where(F.col("posted_month").rlike(X.MONTH_PATTERN))
-    order = F.struct(*[T.text(c) for c in LINEAGE_ORDER if c in df.columns])
     if source is not None:
         rows = rows.where(F.col("source") == source)
-    return rows.groupBy("source").agg(F.max_by("bronze_run_id", order).alias("run_id"))
+    pairs = rows.select("source", *[T.text(c).alias(c) for c in LINEAGE_ORDER[:2]]).distinct()
+    return pairs.groupBy("source").agg(F.max_by("bronze_run_id", F.struct(*LINEAGE_ORDER[:2])).alias("run_id"))
 
 
 def check_months(months: Sequence[str]) -> list[str]:

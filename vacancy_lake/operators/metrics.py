@@ -117,18 +117,18 @@ def bucket_top(df: DataFrame, keys, dim: str, k: int, other: str, weight: str, o
 
 
 def flow_edges(rows: DataFrame, keys, src: str, dst: str, k_src: int | None = None, k_dst: int | None = None,
-               other_src="Other", other_dst="Other", carry: dict[str, Column] | None = None) -> DataFrame:
+               other_src="Other", other_dst="Other", version: str | None = None) -> DataFrame:
     """Edge weights between two dimensions, each optionally reduced to its k heaviest values plus a remainder.
 
-    Rows are counted per (src, dst) pair first, so ranking and bucketing see pairs, not rows.
+    Rows are counted per (src, dst) pair first, so ranking and bucketing see pairs, not rows. `version` names a
+    column whose largest value is reported per edge; it joins the first, hash aggregated grouping.
     """
-    carry = carry or {}
-    edges = rows.groupBy(*keys, src, dst).agg(F.count(F.lit(1)).alias("_w"),
-                                              *[a.alias(c) for c, a in carry.items()])
+    more = [version] if version else []
+    edges = rows.groupBy(*keys, src, dst, *more).agg(F.count(F.lit(1)).alias("_w"))
     left, right = F.col(src), F.col(dst)
     if k_src:
         edges, left = bucket_top(edges, keys, src, k_src, other_src, "_w", "_src"), F.col("_src")
     if k_dst:
         edges, right = bucket_top(edges, keys, dst, k_dst, other_dst, "_w", "_dst"), F.col("_dst")
     return edges.groupBy(*keys, left.alias("source_bucket"), right.alias("target_bucket")).agg(
-        F.sum("_w").cast("long").alias("edge_weight"), *[F.max(c).alias(c) for c in carry])
+        F.sum("_w").cast("long").alias("edge_weight"), *[F.max(v).alias(f"latest_{v}") for v in more])

@@ -106,23 +106,18 @@ def tag_terms(df: DataFrame, vocab: DataFrame, key: str, body: str, term: str =
     AQE broadcasts a vocabulary it measured as small and splits hot terms of a large one. Only the key, not
     the text, passes through the closing shuffle.
     """
-    blob = S.token_text(body)
-
-    def grams(b: Column) -> Column:
-        tokens = F.split(b, " ")
-
-        def of_size(n: int) -> Column:
-            if n == 1:
-                return tokens
-            return F.filter(F.transform(tokens, lambda _, i: F.when(
-                i + n <= F.size(tokens), F.array_join(F.slice(tokens, i + 1, n), " "))), lambda g: g.isNotNull())
-
-        return F.array_distinct(F.concat(F.filter(S.bare_tokens(b), lambda t: t != ""),
-                                         *[of_size(n) for n in range(1, max_words + 1)]))
+    def grams(tokens: Column) -> Column:
+        sizes = [tokens]
+        for n in range(1, max_words):
+            # (n+1)-grams: every n-gram but the last, next to the token that follows it
+            sizes.append(F.zip_with(F.slice(sizes[-1], 1, F.greatest(F.size(tokens) - n, F.lit(0))),
+                                    F.slice(tokens, n + 1, F.greatest(F.size(tokens) - n, F.lit(0))),
+                                    lambda left, right: F.concat_ws(" ", left, right)))
+        return F.filter(F.array_distinct(F.concat(S.bare_tokens(tokens), *sizes)), lambda g: g != "")
 
     name = canonical or term
     words = vocab.select(F.col(term).alias("_g"), F.col(name).alias("_t")).distinct()
-    hits = (df.select(key, F.explode(T.let(blob, grams)).alias("_g")).join(words, "_g")
+    hits = (df.select(key, F.explode(T.let(F.split(S.token_text(body), " "), grams)).alias("_g")).join(words, "_g")
             .groupBy(key).agg(F.array_sort(F.collect_set("_t")).alias(out)))
     return (df.select(key).join(hits, key, "left")
             .withColumn(out, F.coalesce(out, F.array().cast(_STRINGS))))

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from ..functions import labels as L, rules as R
 from ..functions.skills import skills_from_json
-from ..functions.text import let, lookup, squash, text
+from ..functions.text import let, lits, lookup, squash, text
 from ..functions.times import window_months
 from ..operators import metrics as M
 from ..operators.facts import assign_month
@@ -35,7 +35,8 @@ def latest_runs(fact: DataFrame, as_of: date | None = None) -> DataFrame:
     """Newest run per source and month, inside the rolling two-month window when `as_of` is given."""
     if as_of is not None:
         fact = fact.where(F.col("posted_month").between(*window_months(as_of)))
-    return fact.groupBy("source", "posted_month").agg(F.max("run_id").alias("run_id"))
+    # Distinct first: hash aggregation to a handful of rows, then the text maximum (which sorts) on those.
+    return fact.select(*KEYS).distinct().groupBy("source", "posted_month").agg(F.max("run_id").alias("run_id"))
 
 
 def restrict(fact: DataFrame, runs: DataFrame, as_of: date | None = None) -> DataFrame:
@@ -160,16 +161,27 @@ def role_pareto(role: DataFrame) -> DataFrame:
 
 # --- employers and places ----------------------------------------------------------------------------------
 
+def run_top_other(fact: DataFrame, dim: str, n: int, keys: Sequence[str], label: str = "label",
+                  other: str = "Other") -> DataFrame:
+    """Top n and the rest, with the newest month of each label when months are summed.
+
+    The month travels as a date: a maximum of text can not be hash aggregated, one of dates can.
+    """
+    if "posted_month" in keys:
+        return M.top_n_other(fact, list(keys), dim, n, label=label, other=other)
+    first_day = F.max(F.to_date(F.concat("posted_month", F.lit("-01"))))
+    out = M.top_n_other(fact, list(keys), dim, n, label=label, other=other, carry={"posted_month": first_day})
+    return out.withColumn("posted_month", F.date_format("posted_month", "yyyy-MM"))
+
+
 def location_top_other(location: DataFrame, n: int = 15, keys: Sequence[str] = ("source", "run_id")) -> DataFrame:
-    carry = {} if "posted_month" in keys else {"posted_month": F.max("posted_month")}
-    return M.top_n_other(location, list(keys), "location", n, label="location_label", carry=carry)
+    return run_top_other(location, "location", n, keys, "location_label")
 
 
 def employers_top(company: DataFrame, n: int = 50, keys: Sequence[str] = KEYS) -> DataFrame:
     """Employers after name cleaning: the n largest and one long-tail row, per month or per run."""
-    carry = {} if "posted_month" in keys else {"posted_month": F.max("posted_month")}
     cleaned = company.withColumn("company_key", L.employer_key("company_name"))
-    return M.top_n_other(cleaned, list(keys), "company_key", n, label="company_label", other=R.LONG_TAIL, carry=carry)
+    return run_top_other(cleaned, "company_key", n, keys, "company_label", R.LONG_TAIL)
 
 
 def employer_labels(df: DataFrame, column: str = "company_label", overrides=R.EMPLOYER_OVERRIDES) -> DataFrame:
@@ -209,7 +221,7 @@ def geo_states(base: DataFrame, places: R.PlaceRules = R.PlaceRules()) -> DataFr
     Distinct spellings are few next to postings, yet the rules are plain expressions: no shuffle either way.
     """
     loc = F.lower(F.btrim(F.regexp_replace(squash(text("location_raw")), r",\s*", ",")))
-    states = F.array(*map(F.lit, places.states))
+    states = lits(places.states)
     common = {**places.cities, **places.geo_spellings}
 
     def state_of(p: Column, extra: dict[str, str], otherwise: str) -> Column:
@@ -229,10 +241,19 @@ def geo_states(base: DataFrame, places: R.PlaceRules = R.PlaceRules()) -> DataFr
     return base.withColumn("state_name", state)
 
 
+def per_run(rows: DataFrame, keys: Sequence[str], *measures: Column) -> GroupedData:
+    """Measures per key and landing run, grouped by key again.
+
+    The newest run id of a group is a text maximum, which makes Spark sort its input; counting per run first
+    is hash aggregation over the rows and leaves that sort a few rows per key.
+    """
+    return rows.groupBy(*keys, "bronze_run_id").agg(*measures).groupBy(*keys)
+
+
 def geo_state_monthly(geo: DataFrame, country: str = "India") -> DataFrame:
     """Postings per state and month with a display name; the map column is NULL for unmapped buckets."""
-    counts = geo.groupBy("source", "posted_month", "state_name").agg(
-        F.max("bronze_run_id").alias("latest_bronze_run_id"), F.count(F.lit(1)).alias("job_count"))
+    counts = per_run(geo, ["source", "posted_month", "state_name"], F.count(F.lit(1)).alias("job_count")).agg(
+        F.max("bronze_run_id").alias("latest_bronze_run_id"), F.sum("job_count").alias("job_count"))
     shown = F.initcap(F.replace("state_name", F.lit("_"), F.lit(" ")))
     return counts.withColumns({"state_name_display": shown, "country": F.lit(country),
                                "state_geo": F.when(~F.col("state_name").startswith("unmapped"), shown)})
@@ -248,21 +269,24 @@ def heatmap(geo: DataFrame, k: int = 15) -> DataFrame:
         "skill_token", F.lower("skill_token"))
     mass = rows.groupBy("source", "posted_month", "skill_token").agg(F.count(F.lit(1)).alias("_n"))
     best = M.top_k(mass, ["source", "posted_month"], "skill_token", k, "_n", "_rank").drop("_n")
-    cells = rows.join(best, ["source", "posted_month", "skill_token"], "left")
     bucket = F.when(F.col("_rank").isNotNull(), F.col("skill_token")).otherwise("Other")
-    return cells.groupBy("source", "posted_month", F.col("state_name").alias("dim_x"), bucket.alias("dim_y")).agg(
-        F.max("bronze_run_id").alias("latest_bronze_run_id"), F.count_distinct("job_id").alias("job_count"))
+    cells = rows.join(best, ["source", "posted_month", "skill_token"], "left").select(
+        "source", "posted_month", F.col("state_name").alias("dim_x"), bucket.alias("dim_y"), "job_id", "bronze_run_id")
+    keys = ["source", "posted_month", "dim_x", "dim_y"]
+    jobs = cells.groupBy(*keys).agg(F.count_distinct("job_id").alias("job_count"))
+    return jobs.join(newest_run(cells, keys), keys)
 
 
-def _carry() -> dict[str, Column]:
-    return {"latest_bronze_run_id": F.max("bronze_run_id")}
+def newest_run(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.select(*keys, "bronze_run_id").distinct().groupBy(*keys).agg(
+        F.max("bronze_run_id").alias("latest_bronze_run_id"))
 
 
 def flow_state_employer(geo: DataFrame, k: int = 10) -> DataFrame:
     """Mapped state to employer, the k largest employers of a month by name."""
     rows = (geo.withColumn("employer", F.lower(F.btrim(text("company_norm"))))
             .where((F.col("employer") != "") & ~F.col("state_name").startswith("unmapped")))
-    return M.flow_edges(rows, ["source", "posted_month"], "state_name", "employer", k_dst=k, carry=_carry())
+    return M.flow_edges(rows, ["source", "posted_month"], "state_name", "employer", k_dst=k, version="bronze_run_id")
 
 
 def flow_location_employer(base: DataFrame, k: int = 10) -> DataFrame:
@@ -272,7 +296,7 @@ def flow_location_employer(base: DataFrame, k: int = 10) -> DataFrame:
         "place": F.when(place == "", F.lit("(unknown location)")).otherwise(place),
         "employer": F.lower(F.btrim(text("company_norm")))}).where("employer <> ''")
     return M.flow_edges(rows, ["source", "posted_month"], "place", "employer", k, k, "Other (locations)",
-                        "Other (employers)", _carry())
+                        "Other (employers)", version="bronze_run_id")
 
 
 # --- comparisons -------------------------------------------------------------------------------------------
@@ -376,9 +400,9 @@ def _tests(base: DataFrame, country: str) -> tuple[Column, Column, Column]:
 def coverage_funnel(base: DataFrame, country: str = "india") -> DataFrame:
     """Four nested filters per source and month, long form, from one aggregate."""
     sub, skilled, known = _tests(base, country)
-    counts = base.groupBy("source", "posted_month").agg(
-        F.max("bronze_run_id").alias("bronze_run_id"), F.count(F.lit(1)).alias("n1"), F.count_if(sub).alias("n2"),
-        F.count_if(sub & skilled).alias("n3"), F.count_if(sub & skilled & known).alias("n4"))
+    counts = per_run(base, ["source", "posted_month"], F.count(F.lit(1)).alias("n1"), F.count_if(sub).alias("n2"),
+                     F.count_if(sub & skilled).alias("n3"), F.count_if(sub & skilled & known).alias("n4")).agg(
+        F.max("bronze_run_id").alias("bronze_run_id"), *[F.sum(f"n{i}").alias(f"n{i}") for i in range(1, 5)])
     stages = F.array(*[F.struct(
         F.lit("data_coverage").alias("funnel_kind"), F.lit(i).alias("stage_order"), F.lit(name).alias("stage_name"),
         F.lit(what).alias("stage_description"), F.col(f"n{i}").alias("job_count"))
@@ -391,13 +415,10 @@ def radar_profile(geo: DataFrame, profile: str, country: str = "india") -> DataF
     keys = ["source", "posted_month"]
     sub, skilled, known = _tests(geo, country)
 
-    def rate(c: Column) -> Column:
-        return F.avg(F.when(c, 1.0).otherwise(0.0))
-
-    rates = geo.groupBy(*keys).agg(
-        F.max("bronze_run_id").alias("bronze_run_id"), F.count(F.lit(1)).alias("_jobs"),
-        rate(known).alias("remote_classified_share"), rate(skilled).alias("skill_tagged_share"),
-        rate(sub).alias("location_subnational_share"))
+    tests = {"remote_classified_share": known, "skill_tagged_share": skilled, "location_subnational_share": sub}
+    rates = per_run(geo, keys, F.count(F.lit(1)).alias("_jobs"), *[F.count_if(t).alias(n) for n, t in tests.items()]).agg(
+        F.max("bronze_run_id").alias("bronze_run_id"), F.sum("_jobs").alias("_jobs"),
+        *[M.share(F.sum(n), F.sum("_jobs")).alias(n) for n in tests])
 
     def best(value: Column, k: int, name: str) -> DataFrame:
         mass = geo.groupBy(*keys, value.alias("_v")).agg(F.count(F.lit(1)).alias("_n")).where("_v <> ''")
