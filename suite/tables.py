@@ -654,6 +654,12 @@ def e03(spark, d):
     return E.skill_demand(fx.postings(spark, d), F.col(fx.RUN))
 
 
+@query("e03_skill_demand_snapshot", _fact_sql("f_skill", "skill"))
+def e03_snapshot(spark, d):
+    """The same on postings known to hold one row per job_id."""
+    return E.skill_demand(fx.postings(spark, d), F.col(fx.RUN), unique=True)
+
+
 @query("e04_role_demand", _fact_sql("f_role", "role"))
 def e04(spark, d):
     return E.role_demand(fx.postings(spark, d, False), F.col(fx.RUN))

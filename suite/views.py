@@ -373,18 +373,27 @@ def f20(spark, d):
     return V.geo_state_monthly(_geo(spark, d), "World")
 
 
-@query("f21_heatmap", sql(SQL_POSTINGS + ", " + GEO + """,
+HEATMAP = sql(SQL_POSTINGS + ", " + GEO + """,
 lng AS (SELECT source, posted_month, bronze_run_id, job_id, state_name, unnest(skills) AS s FROM geo
   WHERE state_name NOT LIKE 'unmapped%'),
 rk AS (SELECT source, posted_month, s, row_number() OVER (PARTITION BY source, posted_month ORDER BY count(*) DESC, s) AS rn
   FROM lng GROUP BY source, posted_month, s)""", """
 SELECT source, posted_month, state_name AS dim_x, CASE WHEN rn <= 15 THEN s ELSE 'Other' END AS dim_y,
   max(bronze_run_id) AS latest_bronze_run_id, count(DISTINCT job_id) AS job_count
-FROM lng JOIN rk USING (source, posted_month, s) GROUP BY ALL"""))
+FROM lng JOIN rk USING (source, posted_month, s) GROUP BY ALL""")
+
+
+@query("f21_heatmap", HEATMAP)
 def f21(spark, d):
     return V.heatmap(_geo(spark, d, True), 15)
 
 
+@query("f21_heatmap_snapshot", HEATMAP)
+def f21_snapshot(spark, d):
+    """The same on a base known to hold one row per posting."""
+    return V.heatmap(_geo(spark, d, True), 15, unique=True)
+
+
 def _edge_sql(rows: str, src: str, dst: str) -> str:
     return f"""
 SELECT source, posted_month, {src} AS source_bucket, {dst} AS target_bucket, count(*) AS edge_weight,

@@ -46,42 +46,40 @@ def tag_list(raw: Column | str) -> Column:
     return F.filter(F.transform(tags, lambda t: F.btrim(text(t))), lambda t: t != "")
 
 
-def _expand(keys: Column, vocab: Vocabulary) -> Column:
-    """Canonical terms behind those `keys` that are aliases and not stopped."""
-    usable = {k: [t for t in v if t in vocab.terms] for k, v in vocab.aliases.items() if k not in vocab.stop}
-    if not usable:
-        return F.array().cast(_STRINGS)
-    table = literal_map(usable)
-    return F.flatten(F.transform(F.array_intersect(keys, lits(usable)), lambda k: F.try_element_at(table, k)))
-
-
 def match_terms(blob: Column, tags: Column, vocab: Vocabulary) -> Column:
     """Sorted distinct vocabulary terms in a token text and its tags; may be empty.
 
-    Phrases match in the text whatever the stop list says; single tokens and tags obey it.
+    Phrases match in the text whatever the stop list says; single tokens and tags obey it. Tokens are tested by
+    set membership and phrases by substring search, so the cost is one pass over the text.
     """
     single = [t for t in vocab.terms if " " not in t]
     phrases = [t for t in vocab.terms if " " in t]
-    phrase_aliases = [k for k in vocab.aliases if " " in k and k not in vocab.stop] if vocab.alias_ngrams else []
-    token_terms = [t for t in single if t not in vocab.stop]
+    aliases = {k: tuple(t for t in v if t in vocab.terms) for k, v in vocab.aliases.items() if k not in vocab.stop}
+    table = literal_map(aliases or {"": ("",)})
+
+    def expand(keys: Column) -> Column:
+        return F.flatten(F.transform(F.filter(keys, lambda k: k.isin(*aliases)), lambda k: F.try_element_at(table, k)))
 
     def contained(padded: Column, options) -> Column:
         hits = F.filter(lits([f" {t} " for t in options]), lambda t: padded.contains(t))
         return F.transform(hits, lambda t: F.btrim(t))
 
-    lower_tags = F.transform(tags, lambda t: F.lower(t))
-
     def of_tokens(tokens: Column) -> Column:
-        return F.concat(F.array_intersect(tokens, lits(single)), let(bare_tokens(tokens), lambda bare: F.concat(
-            F.array_intersect(bare, lits(token_terms)), _expand(bare, vocab))))
+        whole = F.filter(tokens, lambda t: t.isin(*single))
+        usable = [*(t for t in single if t not in vocab.stop), *(k for k in aliases if " " not in k)]
+        bare = F.filter(F.transform(tokens, lambda t: F.btrim(t, F.lit(_TOKEN_EDGE))),
+                        lambda t: t.isin(*usable) & (F.length(t) >= 2))
+        return F.concat(whole, let(bare, lambda b: F.concat(F.filter(b, lambda t: t.isin(*single)), expand(b))))
+
+    def of_text(padded: Column) -> Column:
+        if not vocab.alias_ngrams:
+            return contained(padded, phrases)
+        return F.concat(contained(padded, phrases), expand(contained(padded, [k for k in aliases if " " in k])))
 
     def combine(b: Column) -> Column:
-        padded = F.concat(F.lit(" "), b, F.lit(" "))
-        found = [let(F.split(b, " "), of_tokens), let(padded, lambda p: contained(p, phrases)),
-                 _expand(lower_tags, vocab)]
-        if phrase_aliases:
-            found.append(_expand(let(padded, lambda p: contained(p, phrase_aliases)), vocab))
-        return F.array_sort(F.array_distinct(F.concat(*found)))
+        return F.array_sort(F.array_distinct(F.concat(
+            let(F.split(b, " "), of_tokens), let(F.concat(F.lit(" "), b, F.lit(" ")), of_text),
+            expand(F.transform(tags, lambda t: F.lower(t))))))
 
     return let(blob, combine)
 

@@ -61,12 +61,17 @@ def _plain(column: str) -> Column:
     return T.squash(F.lower(T.text(column)))
 
 
-def skill_counts(df: DataFrame, run: str | Column) -> DataFrame:
-    """Distinct postings per skill and month, without the month profile."""
+def skill_counts(df: DataFrame, run: str | Column, unique: bool = False) -> DataFrame:
+    """Distinct postings per skill and month, without the month profile.
+
+    `unique=True` says there is one row per job_id, as in a snapshot: rows are then counted, which combines on
+    each task before the shuffle, instead of shuffling every (skill, job_id).
+    """
     skills = F.col("skills") if dict(df.dtypes)["skills"] != "string" else skills_from_json("skills")
     each = _dated(df, run).select(*_GROUP, "job_id", F.explode(F.array_distinct(
         F.transform(skills, lambda s: F.btrim(s)))).alias("skill")).where("skill <> ''")
-    return each.groupBy(*_GROUP, "skill").agg(F.count_distinct("job_id").alias("job_count"))
+    jobs = F.count(F.lit(1)) if unique else F.count_distinct("job_id")
+    return each.groupBy(*_GROUP, "skill").agg(jobs.alias("job_count"))
 
 
 def value_counts(df: DataFrame, run: str | Column, value: Column, dim: str) -> DataFrame:
@@ -90,8 +95,8 @@ def location_counts(df: DataFrame, run: str | Column, places: PlaceRules | None
     return raw.where("location <> ''").groupBy(*_GROUP, "location").agg(F.sum("_n").alias("job_count"))
 
 
-def skill_demand(df: DataFrame, run: str | Column) -> DataFrame:
-    return _stamp(skill_counts(df, run), df, run, "skill_demand_monthly")
+def skill_demand(df: DataFrame, run: str | Column, unique: bool = False) -> DataFrame:
+    return _stamp(skill_counts(df, run, unique), df, run, "skill_demand_monthly")
 
 
 def role_demand(df: DataFrame, run: str | Column) -> DataFrame:
@@ -155,9 +160,11 @@ def live_months(as_of: date) -> list[str]:
 
 
 def build_facts(df: DataFrame, run: str | Column, months: Sequence[str] | None = None,
-                places: PlaceRules | None = PlaceRules()) -> dict[str, DataFrame]:
+                places: PlaceRules | None = PlaceRules(), unique: bool = False) -> dict[str, DataFrame]:
     """All four facts and the run summary, every month in the same grouped jobs.
 
+    `unique` as in `skill_counts`.
+
     With `months` only those are rebuilt, and each of them is published per source even if it has no row.
     """
     dated = _dated(df, run).drop("run_id")
@@ -165,7 +172,7 @@ def build_facts(df: DataFrame, run: str | Column, months: Sequence[str] | None =
     if months is not None:
         months = check_months(months)
         dated = dated.where(F.col("posted_month").isin(months))
-    facts = {"skill_demand_monthly": skill_demand(dated, run), "role_demand_monthly": role_demand(dated, run),
+    facts = {"skill_demand_monthly": skill_demand(dated, run, unique), "role_demand_monthly": role_demand(dated, run),
              "location_demand_monthly": location_demand(dated, run, places),
              "company_hiring_monthly": company_hiring(dated, run)}
     published = None

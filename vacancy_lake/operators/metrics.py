@@ -56,9 +56,14 @@ def top_n_other(df: DataFrame, keys, dim: str, n: int, measure="job_count", labe
     """
     carry = carry or {}
     totals = df.groupBy(*keys, dim).agg(F.sum(measure).alias(measure), *[a.alias(c) for c, a in carry.items()])
-    return (bucket_top(totals, keys, dim, n, other, measure, label)
-            .groupBy(*keys, label).agg(F.sum(measure).cast("long").alias(measure),
-                                       *[F.max(c).alias(c) for c in carry])
+    # Values are unique per group here, so the carried columns never decide a rank; naming them keeps both uses
+    # of the totals column for column alike, and Spark then runs the aggregation once and reuses its exchange.
+    order = [F.desc(measure), F.asc(dim), *map(F.asc, carry)]
+    best = first_k(totals, keys, order, n, "_rank").select(*keys, dim, "_rank")
+    labelled = totals.join(best, [*keys, dim], "left").withColumn(
+        label, F.when(F.col("_rank").isNotNull(), F.col(dim)).otherwise(F.lit(other)))
+    return (labelled.groupBy(*keys, label).agg(F.sum(measure).cast("long").alias(measure),
+                                               *[F.max(c).alias(c) for c in carry])
             .where(F.col(measure) > 0))
 
 

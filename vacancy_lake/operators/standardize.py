@@ -11,8 +11,12 @@ from ..schema import POSTING
 _STRINGS = "array<string>"
 
 
-def _j(path: str) -> Column:
-    return F.get_json_object("raw_payload", path)
+# Payload fields of both dialects. Nested values and tags of any shape are taken as JSON text.
+_PAYLOAD = ("slug string, url string, title string, company_name string, company string, location string, "
+            "description string, tags string, remote string, created_at string, created string, category string, "
+            "contract_time string, contract_type string")
+_NESTED = {"company": "display_name string", "location": "display_name string, area array<string>",
+           "category": "label string, tag string"}
 
 
 def _pick(is_aggregator: Column, aggregator: Column, board: Column) -> Column:
@@ -20,33 +24,34 @@ def _pick(is_aggregator: Column, aggregator: Column, board: Column) -> Column:
 
 
 def flatten_payload(df: DataFrame, aggregator_sources: tuple[str, ...] = ()) -> DataFrame:
-    """Two payload dialects to one flat set of columns.
+    """Two payload dialects to one flat set of columns; every payload is parsed once.
 
     Sources named in `aggregator_sources` nest company, location and category; all others are flat boards.
     """
     agg = F.col("source").isin(*aggregator_sources) if aggregator_sources else F.lit(False)
-    blank = F.lit("")
-    area = F.from_json(_j("$.location.area"), _STRINGS)
-    tag = F.lower(T.squash(T.text(_j("$.category.tag"))))
-    label = T.squash(T.text(_j("$.category.label")))
+    blank, c = F.lit(""), F.col
+    df = df.withColumns({"is_aggregator": agg, "_p": F.from_json("raw_payload", _PAYLOAD)})
+    df = df.withColumns({f"_{n}": F.from_json(F.when(c("is_aggregator"), c(f"_p.{n}")), schema)
+                         for n, schema in _NESTED.items()})
+    tag, label = F.lower(T.squash(T.text("_category.tag"))), T.squash(T.text("_category.label"))
     context = T.squash(F.concat_ws(
         " ", F.when(~tag.isin("", *GENERIC_CATEGORY_TAGS), F.replace(tag, F.lit("-"), F.lit(" "))),
         F.when(~F.lower(label).isin("", *GENERIC_CATEGORY_LABELS), label)))
-    slug = F.coalesce(F.nullif(T.text("source_slug"), blank), T.text(_j("$.slug")))
+    agg = c("is_aggregator")
     return df.withColumns({
-        "is_aggregator": agg,
-        "title": F.btrim(T.text(_j("$.title"))),
-        "company": F.btrim(T.text(_pick(agg, _j("$.company.display_name"), _j("$.company_name")))),
-        "location": F.btrim(_pick(agg, T.resolve_area(_j("$.location.display_name"), area),
-                                  T.text(_j("$.location")))),
-        "tags": _pick(agg, F.array().cast(_STRINGS), S.tag_list(_j("$.tags"))),
-        "slug": F.btrim(slug),
-        "description": F.btrim(T.text(_j("$.description"))),
-        "remote_flag": F.when(~agg, _j("$.remote").try_cast("boolean")),
+        "title": F.btrim(T.text("_p.title")),
+        "company": F.btrim(T.text(_pick(agg, c("_company.display_name"), c("_p.company_name")))),
+        "location": F.btrim(_pick(agg, T.resolve_area("_location.display_name", "_location.area"),
+                                  T.text("_p.location"))),
+        "tags": _pick(agg, F.array().cast(_STRINGS), S.tag_list("_p.tags")),
+        "slug": F.btrim(F.coalesce(F.nullif(T.text("source_slug"), blank), T.text("_p.slug"))),
+        "description": F.btrim(T.text("_p.description")),
+        "remote_flag": F.when(~agg, c("_p.remote").try_cast("boolean")),
         "category_tag": F.when(agg, tag), "category_label": F.when(agg, label),
         "category_context": F.when(agg, context).otherwise(blank),
-        "contract": F.when(agg, F.concat_ws("\n", _j("$.contract_time"), _j("$.contract_type"))),
-        "created_raw": _j("$.created_at"), "created_iso": _j("$.created")})
+        "contract": F.when(agg, F.concat_ws("\n", c("_p.contract_time"), c("_p.contract_type"))),
+        "created_raw": c("_p.created_at"), "created_iso": c("_p.created"),
+    }).drop("_p", *[f"_{n}" for n in _NESTED])
 
 
 def html_to_text(df: DataFrame, column: str, out: str, rare_entities: bool = True) -> DataFrame:

@@ -75,8 +75,12 @@ def rebuild(spark: SparkSession, lake: A.Lake, source: str, version: str, legacy
 
 
 def publish_facts(postings: DataFrame, lake: A.Lake, run: str | Column | None = None,
-                  months: Sequence[str] | None = None, places: PlaceRules | None = PlaceRules()) -> dict[str, int]:
-    """Build and write all facts of one source, its run summary and, last, its pointer."""
+                  months: Sequence[str] | None = None, places: PlaceRules | None = PlaceRules(),
+                  unique: bool = False) -> dict[str, int]:
+    """Build and write all facts of one source, its run summary and, last, its pointer.
+
+    Pass `unique=True` for a merged snapshot, which holds one row per job_id.
+    """
     spark = postings.sparkSession
     latest = E.resolve_run(postings).collect()
     if not latest:
@@ -85,7 +89,7 @@ def publish_facts(postings: DataFrame, lake: A.Lake, run: str | Column | None =
         raise ValueError("facts are published per source")
     source, newest = latest[0]["source"], latest[0]["run_id"]
     run = run or newest
-    tables = E.build_facts(postings, run, months, places)
+    tables = E.build_facts(postings, run, months, places, unique)
     A.write_fact(tables[RUN_SUMMARY], RUN_SUMMARY, lake)
     summary = A.read_fact(spark, RUN_SUMMARY, lake).where(F.col("run_id") == run).where(F.col("source") == source)
     counts = {"skill": "skill_demand_monthly", "role": "role_demand_monthly", "location": "location_demand_monthly",

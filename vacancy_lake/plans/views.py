@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
@@ -69,41 +70,42 @@ def skills_long(base: DataFrame) -> DataFrame:
 
 # --- KPI slice ---------------------------------------------------------------------------------------------
 
+_KINDS = {"role": "role", "loc": "location", "emp": "company_name", "skill": "skill"}
+
+
 def kpi_slice(role: DataFrame, location: DataFrame, company: DataFrame, skill: DataFrame,
               families: DataFrame | None = None, postings: DataFrame | None = None) -> DataFrame:
     """One row of indicators per source, month and run.
 
-    Each fact is reduced once to its row per month (sums, squares, maximum, count) and once to its few
-    largest values; only these rows are joined.
+    The four facts are tagged and put under each other: one aggregate gives sums, squares, maxima and counts of
+    all of them, one limited ranking the few largest values. Only rows per month are joined.
     """
-    keys = list(KEYS)
-    mass = F.sum("job_count").cast("long")
-
-    def core(df, prefix, *more):
-        return df.groupBy(*keys).agg(mass.alias(f"{prefix}_sum"), F.max("job_count").alias(f"{prefix}_max"),
-                                     F.count(F.lit(1)).alias(f"{prefix}_n"),
-                                     M.hhi_of("job_count").alias(f"{prefix}_hhi"), *more)
-
-    def best(df, dim, k, name):
-        return M.top_k(df, keys, dim, k).groupBy(*keys).agg(mass.alias(name))
-
-    out = core(role, "role")
-    runs = out.groupBy("source", "run_id").agg(F.count(F.lit(1)).alias("active_posted_months"))
-    for part in (core(location, "loc"), best(location, "location", 3, "loc_top3"), core(company, "emp"),
-                 core(skill, "skill"), best(skill, "skill", 5, "skill_top5")):
-        out = out.join(part, keys, "left")
+    keys, c = list(KEYS), F.col
+    tagged = reduce(DataFrame.unionByName, [
+        df.select(*keys, F.lit(kind).alias("kind"), c(dim).alias("value"), "job_count")
+        for df, (kind, dim) in zip((role, location, company, skill), _KINDS.items())])
+    stats = tagged.groupBy(*keys, "kind").agg(
+        F.sum("job_count").cast("long").alias("sum"), F.max("job_count").alias("max"), F.count(F.lit(1)).alias("n"),
+        M.hhi_of("job_count").alias("hhi"))
+    out = stats.groupBy(*keys).agg(*[F.max(F.when(c("kind") == k, c(m))).alias(f"{k}_{m}")
+                                     for k in _KINDS for m in ("sum", "max", "n", "hhi")]).where("role_sum IS NOT NULL")
+    # Months of a run: at most the months of the calendar, so a window is safe here.
+    out = out.withColumn("active_posted_months", F.count(F.lit(1)).over(M.W.partitionBy("source", "run_id")))
+    ranked = M.first_k(tagged.where(c("kind").isin("loc", "skill")), [*keys, "kind"], [F.desc("job_count"), F.asc("value")], 5)
+    best = ranked.groupBy(*keys).agg(
+        F.sum(F.when((c("kind") == "loc") & (c("rank") <= 3), c("job_count"))).alias("loc_top3"),
+        F.sum(F.when(c("kind") == "skill", c("job_count"))).alias("skill_top5"))
+    out = out.join(best, keys, "left")
     if families is not None:
         out = out.join(family_quality(families), keys, "left")
     else:
         out = out.withColumns({"distinct_role_groups": F.lit(None).cast("long"),
                                "unknown_role_group_share": F.lit(None).cast("double")})
     if postings is not None:
-        out = out.join(work_mode_share(postings, out.select("source", "posted_month").distinct()),
-                       ["source", "posted_month"], "left")
+        out = out.join(work_mode_rates(postings), ["source", "posted_month"], "left")
     else:
         out = out.withColumn("remote_classified_share", F.lit(None).cast("double"))
-    c = F.col
-    return out.join(runs, ["source", "run_id"]).select(
+    return out.select(
         *keys, "active_posted_months", c("role_sum").alias("total_postings"),
         F.coalesce("loc_sum", F.lit(0).cast("long")).alias("located_postings"),
         M.share(c("loc_top3"), c("loc_sum")).alias("top3_location_share"),
@@ -116,12 +118,16 @@ def kpi_slice(role: DataFrame, location: DataFrame, company: DataFrame, skill: D
         "unknown_role_group_share")
 
 
-def work_mode_share(postings: DataFrame, months: DataFrame) -> DataFrame:
-    """Share of postings whose work mode is known, for each wanted month; NULL when a month has none."""
+def work_mode_rates(postings: DataFrame) -> DataFrame:
+    """Share of postings whose work mode is known, per source and month of posting."""
     rows = postings if "posted_month" in postings.columns else assign_month(postings, fallback=False)
     known = F.avg(F.when(F.lower(F.btrim(text("remote_type"))) != "unknown", 1.0).otherwise(0.0))
-    rates = rows.groupBy("source", "posted_month").agg(known.alias("remote_classified_share"))
-    return months.join(rates, ["source", "posted_month"], "left")
+    return rows.groupBy("source", "posted_month").agg(known.alias("remote_classified_share"))
+
+
+def work_mode_share(postings: DataFrame, months: DataFrame) -> DataFrame:
+    """The rate for each wanted month; NULL when a month has no posting."""
+    return months.join(work_mode_rates(postings), ["source", "posted_month"], "left")
 
 
 # --- roles -------------------------------------------------------------------------------------------------
@@ -259,20 +265,25 @@ def geo_state_monthly(geo: DataFrame, country: str = "India") -> DataFrame:
                                "state_geo": F.when(~F.col("state_name").startswith("unmapped"), shown)})
 
 
-def heatmap(geo: DataFrame, k: int = 15) -> DataFrame:
+def heatmap(geo: DataFrame, k: int = 15, unique: bool = False) -> DataFrame:
     """State by skill, distinct postings: the k most mentioned skills of a month, the rest together.
 
-    Mentions are counted per month and skill; the k winners then label the rows in a join Spark can broadcast
-    after measuring it (k rows per month).
+    The winners of a month form one small array row that meets the postings; each posting then names its
+    buckets once, so nothing is joined per skill. `unique=True` says the base holds one row per job_id, as a
+    snapshot does: counting rows replaces the distinct count and its shuffle by job_id.
     """
-    rows = skills_long(geo.where(~F.col("state_name").startswith("unmapped"))).withColumn(
-        "skill_token", F.lower("skill_token"))
-    mass = rows.groupBy("source", "posted_month", "skill_token").agg(F.count(F.lit(1)).alias("_n"))
-    best = M.top_k(mass, ["source", "posted_month"], "skill_token", k, "_n", "_rank").drop("_n")
-    bucket = F.when(F.col("_rank").isNotNull(), F.col("skill_token")).otherwise("Other")
-    cells = rows.join(best, ["source", "posted_month", "skill_token"], "left").select(
-        "source", "posted_month", F.col("state_name").alias("dim_x"), bucket.alias("dim_y"), "job_id", "bronze_run_id")
-    keys = ["source", "posted_month", "dim_x", "dim_y"]
+    month = ["source", "posted_month"]
+    mapped = geo.where(~F.col("state_name").startswith("unmapped")).withColumn("_s", F.filter(F.transform(
+        skills_array(geo), lambda s: F.lower(F.btrim(s))), lambda s: s != ""))
+    mass = mapped.select(*month, F.explode("_s").alias("_t")).groupBy(*month, "_t").agg(F.count(F.lit(1)).alias("_n"))
+    best = M.top_k(mass, month, "_t", k, "_n").groupBy(*month).agg(F.collect_list("_t").alias("_best"))
+    buckets = F.array_distinct(F.transform("_s", lambda s: F.when(F.array_contains("_best", s), s).otherwise("Other")))
+    cells = mapped.join(best, month).select(
+        *month, F.col("state_name").alias("dim_x"), F.explode(buckets).alias("dim_y"), "job_id", "bronze_run_id")
+    keys = [*month, "dim_x", "dim_y"]
+    if unique:
+        return per_run(cells, keys, F.count(F.lit(1)).alias("_n")).agg(
+            F.max("bronze_run_id").alias("latest_bronze_run_id"), F.sum("_n").alias("job_count"))
     jobs = cells.groupBy(*keys).agg(F.count_distinct("job_id").alias("job_count"))
     return jobs.join(newest_run(cells, keys), keys)
 
