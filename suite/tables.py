@@ -274,10 +274,11 @@ SELECT 'job-' || k AS source_job_id, 'stream-' || lpad(CAST(b AS VARCHAR), 12, '
 FROM (SELECT k, b, created, max(top) OVER (ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm
   FROM (SELECT *, max(created) OVER (PARTITION BY b) AS top FROM (
     SELECT k, CAST(epoch(day) AS BIGINT) AS created,
-      least(year(day) + CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END, 2001) - 1995 AS b FROM p WHERE source = 'src_a')))
+      (least(year(day) + CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END, 2001) - 1995) // 2 AS b FROM p WHERE source = 'src_a')))
 WHERE wm IS NULL OR created > wm - {STREAM_LOOKBACK} * 3600"""))
 def b06(spark, d):
-    """A file per year, every fiftieth posting a year late; late rows older than the lookback are dropped."""
+    """A file per year, two files per micro-batch, every fiftieth posting a year late; what arrives in a later
+    batch and is older than the lookback is dropped."""
     lake = fx.work_lake(spark, "b06")
     rows = fx.payloads(spark, d).where("source = 'src_a'")
     year = F.least(F.year("day") + F.when(F.col("o_orderkey") % 50 == 0, 1).otherwise(0), F.lit(2001))
@@ -286,7 +287,7 @@ def b06(spark, d):
         (spread.where(F.col("y") == y).select("source", "raw_payload").coalesce(1)
          .write.mode("append").json(f"{lake.root}/incoming/y={y}"))
     STREAM.start_landing_stream(spark, f"{lake.root}/incoming/*", lake, f"{lake.root}/stream_state", "src_a", B.BOARD,
-                                STREAM_LOOKBACK, files_per_trigger=1, places=None).awaitTermination()
+                                STREAM_LOOKBACK, files_per_trigger=2, places=None).awaitTermination()
     return STREAM.current_postings(spark, lake, "src_a", None).select("source_job_id", "bronze_run_id")
 
 

@@ -30,7 +30,8 @@ def test_batch_flow_end_to_end(spark, lake):
     first = land(spark, lake, "20240102T000000Z-a", board("a"), board("b", created=1704200000), board("a", title="Second line"))
     assert first["filter_mode"] == "bootstrap" and first["landed"] == 3
     assert ST.read_state(spark, lake.root, "board")["fetch_watermark"] == 1704200000
-    assert P.build_postings(spark, lake, "board")["row_count"] == 2
+    built = P.build_postings(spark, lake, "board")
+    assert (built["row_count"], built["landed"], built["dedup_removed"]) == (2, 3, 1)
     # A later run: one row is older than the lookback, one changes its title, one is new.
     second = land(spark, lake, "20240103T000000Z-b", board("old", created=1), board("b", title="Changed", created=1704200001),
                   board("c", created=1704300000), day="2024-01-03")
@@ -50,7 +51,8 @@ def test_batch_flow_end_to_end(spark, lake):
     P.rebuild(spark, lake, "board", "20240104T0")
     again = {r["source_job_id"]: r["title_norm"] for r in A.read_snapshot(spark, lake, "board").collect()}
     assert again == {k: r["title_norm"] for k, r in snapshot.items()}
-    assert spark.read.parquet(f"{lake.root}/audit").count() == 2
+    stages = spark.read.parquet(f"{lake.root}/audit").groupBy("stage").count().collect()
+    assert {r["stage"]: r["count"] for r in stages} == {"landing": 2, "silver": 2, "gold": 1}
 
 
 def test_gate_blocks_every_write(spark, lake):
@@ -110,6 +112,15 @@ def test_empty_month_is_published_and_clears_old_rows(spark, lake):
     assert summary["2024-03"]["bronze_ingest_date"] == "2024-01-10"
 
 
+def test_month_rebuild_pushes_the_time_range_into_the_scan(spark, lake):
+    A.write_snapshot(_postings(spark, [("dev", "2024-01", "r1")]), lake, "s", "v1")
+    facts = E.build_facts(A.read_snapshot(spark, lake, "s"), "run", ["2023-12", "2024-01"])
+    plan = facts["role_demand_monthly"]._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PushedFilters" in line and "title_norm" in line)
+    assert "GreaterThanOrEqual(posted_at,2023-12-01" in scan and "LessThan(posted_at," in scan
+    assert "skills" not in scan.split("ReadSchema")[1] and facts["role_demand_monthly"].count() == 1
+
+
 def test_months_rebuilt_one_by_one_equal_a_full_build(spark):
     df = _postings(spark, [(t, m, "r1") for t in ("dev", "ops") for m in ("2024-01", "2024-02", "2024-03")] * 3)
     whole = E.build_facts(df, "run")

@@ -19,7 +19,7 @@ _STRINGS = "array<string>"
 
 def token_text(*cols: Column | str) -> Column:
     """Texts joined and reduced to tokens parted by single blanks."""
-    return squash(F.regexp_replace(F.lower(F.concat_ws(" ", *[text(c) for c in cols])), _TOKEN_GAP, " "))
+    return F.btrim(F.regexp_replace(F.lower(F.concat_ws(" ", *[text(c) for c in cols])), _TOKEN_GAP, " "))
 
 
 def bare_tokens(tokens: Column) -> Column:

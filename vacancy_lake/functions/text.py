@@ -75,7 +75,7 @@ def normalize_title(c: Column | str) -> Column:
     t = squash(text(c))
     t = F.regexp_replace(t, r"(?i) ?\( ?[mfwd] ?/ ?[mfwd] ?/ ?[mfwd] ?\)", " ")
     t = edge_trim(squash(t))
-    return F.lower(F.btrim(F.regexp_replace(t, " ?/ ", " ")))
+    return F.lower(squash(F.regexp_replace(t, " ?/ ", " ")))
 
 
 def enrich_title(title: Column | str, category_tag: Column | str) -> Column:

@@ -154,6 +154,16 @@ def check_months(months: Sequence[str]) -> list[str]:
     return sorted(set(months))
 
 
+def _near(df: DataFrame, months: Sequence[str]) -> DataFrame:
+    """Time range of the months on the stored column, so the scan skips row groups outside of it."""
+    if not months or not dict(df.dtypes).get("posted_at", "").startswith("timestamp"):
+        return df
+    y, m = int(months[-1][:4]), int(months[-1][5:])
+    end = f"{y + m // 12:04d}-{m % 12 + 1:02d}-01"
+    at = F.col("posted_at")
+    return df.where(at.isNull() | ((at >= F.lit(f"{months[0]}-01").cast("timestamp")) & (at < F.lit(end).cast("timestamp"))))
+
+
 def live_months(as_of: date) -> list[str]:
     """Months an incremental rebuild covers by default."""
     return list(X.window_months(as_of))
@@ -171,7 +181,7 @@ def build_facts(df: DataFrame, run: str | Column, months: Sequence[str] | None =
     overall = dated
     if months is not None:
         months = check_months(months)
-        dated = dated.where(F.col("posted_month").isin(months))
+        dated = _near(dated, months).where(F.col("posted_month").isin(months))
     facts = {"skill_demand_monthly": skill_demand(dated, run, unique), "role_demand_monthly": role_demand(dated, run),
              "location_demand_monthly": location_demand(dated, run, places),
              "company_hiring_monthly": company_hiring(dated, run)}

@@ -54,12 +54,14 @@ def created_seconds(dialect: Dialect, payload: str = "raw_payload") -> Column:
 
 
 def select_incremental(df: DataFrame, ts: Column, watermark: int | None, lookback_hours: int,
-                       cap: int | None = None, mode: str = "lookback") -> tuple[DataFrame, DataFrame]:
+                       cap: int | None = None, mode: str = "lookback",
+                       more: tuple[Column, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Rows to land and a one-row report.
 
     No watermark yet, or `mode="floor"` (the source already filtered): everything. Otherwise rows created
     strictly after watermark - lookback, or after `cap` if that is earlier. Literals, so the test reaches the
-    scan. The report comes from one aggregate over the full fetch, with the next watermark in `max_created`.
+    scan. The report comes from one aggregate over the full fetch, with the next watermark in `max_created`;
+    `more` adds aggregates to it.
     """
     if mode not in ("lookback", "floor"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -72,7 +74,8 @@ def select_incremental(df: DataFrame, ts: Column, watermark: int | None, lookbac
     report = df.agg(
         F.lit(name).alias("filter_mode"), F.count(F.lit(1)).alias("fetched"), F.count_if(keep).alias("landed"),
         F.count_if(~keep).alias("filtered_out"), F.lit(watermark).cast("long").alias("watermark_before"),
-        F.lit(cutoff).cast("long").alias("cutoff"), F.max(ts).alias("max_created"), F.min(ts).alias("min_created"))
+        F.lit(cutoff).cast("long").alias("cutoff"), F.max(ts).alias("max_created"), F.min(ts).alias("min_created"),
+        *more)
     return (df if cutoff is None else df.where(keep)), report
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.rules import PlaceRules, Vocabulary
 from ..operators import facts as E, incremental as B, merge as D, standardize as C
-from ..schema import RUN_SUMMARY
+from ..schema import RUN_SUMMARY, use_shared_checkpoints
 from ..sources import lake as A, state as ST
 
 
@@ -49,18 +49,31 @@ def standard_batch(landed: DataFrame, aggregator_sources: tuple[str, ...] = (),
 def build_postings(spark: SparkSession, lake: A.Lake, source: str, path: str | None = None,
                    aggregator_sources: tuple[str, ...] = (), vocab: Vocabulary = Vocabulary(),
                    places: PlaceRules | None = PlaceRules(), legacy_source: bool = False) -> dict:
-    """Newest landing batch to a standard batch and a new snapshot version; a failing batch writes nothing."""
+    """Newest landing batch to a standard batch and a new snapshot version; a failing batch writes nothing.
+
+    The batch feeds the gate, the batch table and the upsert, so it is put in the shared checkpoint folder:
+    the text work runs once, and a lost executor does not repeat it.
+    """
+    use_shared_checkpoints(spark)
     landed = A.require_rows(A.read_landing(spark, lake, source, path))
-    batch = standard_batch(landed, aggregator_sources, vocab, places)
-    report = D.quality_gate(batch, landed.count())
+    rows_in = landed.count()
+    batch = standard_batch(landed, aggregator_sources, vocab, places).checkpoint()
+    report = D.quality_gate(batch, rows_in)
     history = A.read_history(spark, lake, source, legacy_source, places)
-    A.write_batch(batch, lake)
     union = None if history is None else D.keep_last(history, [*D.LINEAGE_ORDER, "bronze_data_file"])
-    merged = A.read_snapshot(spark, lake, source, places)
+    merged = A.read_snapshot(spark, lake, source)
     old = D.pick_snapshot(merged, union) if merged is not None or union is not None else batch.limit(0)
-    version = batch.agg(F.max("bronze_run_id")).first()[0]
-    A.write_snapshot(D.upsert_history(old, batch), lake, source, version)
-    return {**report, "version": version}
+    run = batch.agg(F.max("bronze_run_id")).first()[0]
+    A.write_batch(batch, lake)
+    A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, source, run)
+    out = {**report, "version": run, "landed": rows_in, "dedup_removed": rows_in - report["row_count"]}
+    quality = spark.createDataFrame([(source, run, report["status"], *[int(report[c]) for c in _QUALITY])],
+                                    "source string, run_id string, status string, " + ", ".join(f"{c} long" for c in _QUALITY))
+    A.append_audit(A.audit_rows(quality, "silver", run), lake)
+    return out
+
+
+_QUALITY = ("row_count", "missing_title", "missing_company", "duplicate_job_id", "duplicate_source_key")
 
 
 def rebuild(spark: SparkSession, lake: A.Lake, source: str, version: str, legacy_source: bool = False,
@@ -101,4 +114,5 @@ def publish_facts(postings: DataFrame, lake: A.Lake, run: str | Column | None =
                  if r[f"{name}_row_count"] == 0 and (months is None or r["posted_month"] in months)]
         A.write_fact(tables[table], table, lake, empty)
     A.publish_latest(spark.createDataFrame([(source, run)], "source string, run_id string"), lake)
+    A.append_audit(A.audit_rows(summary, "gold", newest), lake)
     return {r["posted_month"]: r["role_row_count"] for r in rows}

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.rules import PlaceRules
-from ..operators.standardize import align_legacy, text_contract
-from ..schema import (FACT_DIMENSION, FACT_PARTITIONS, LANDING, LATEST_RUN, RUN_SUMMARY, fact_schema,
-                      summary_schema)
+from ..operators.standardize import align_legacy, project_contract
+from ..schema import (FACT_DIMENSION, FACT_PARTITIONS, LANDING, LATEST_RUN, POSTING, RUN_SUMMARY,
+                      fact_schema, summary_schema)
 
 
 @dataclass(frozen=True)
@@ -118,8 +118,12 @@ def require_rows(df: DataFrame, what: str = "landing input") -> DataFrame:
 # --- batches and snapshots ---------------------------------------------------------------------------------
 
 def write_batch(df: DataFrame, lake: Lake) -> None:
-    """Standard postings of one or more runs under source / [slice] / ingest_date / run_id, text contract."""
-    out = text_contract(df).withColumns({"ingest_date": F.col("bronze_ingest_date"), "run_id": F.col("bronze_run_id")})
+    """Standard postings of one or more runs under source / [slice] / ingest_date / run_id.
+
+    Stored typed (skills as array, posted_at as timestamp), so readers parse nothing and time ranges reach the
+    scan. `operators.standardize.text_contract` gives the all-text form for export.
+    """
+    out = project_contract(df).withColumns({"ingest_date": F.col("bronze_ingest_date"), "run_id": F.col("bronze_run_id")})
     if lake.slice:
         out = out.withColumn("slice", F.lit(lake.slice))
     _replace_partitions(out, _partitions(lake)).parquet(lake.jobs)
@@ -129,22 +133,29 @@ def read_history(spark: SparkSession, lake: Lake, source: str, legacy_source: bo
                  places: PlaceRules | None = PlaceRules()) -> DataFrame | None:
     """Every batch of a source in the contract: current layout, slice and, on request, the flat earlier layout.
 
-    The merged snapshot is never matched. Each layout is read with merged schemas and aligned on its own.
+    The merged snapshot is never matched. Current layouts are read with the contract as schema, so no footer is
+    read to plan; earlier files may differ in columns and types, so those merge schemas and are aligned.
     """
-    layouts = [(lake.batch_glob(lake.jobs, source), lake.jobs)]
-    if lake.slice:
-        layouts.append((lake.batch_glob(lake.jobs, source, True), lake.jobs))
-    if legacy_source:
-        layouts.append((f"{lake.legacy_jobs}/ingest_date=*/run_id=*", lake.legacy_jobs))
+    current = StructType(POSTING.fields + [StructField(p, StringType()) for p in ("ingest_date", "run_id")])
     parts = []
-    for glob, base in layouts:
+    for sliced in ([False, True] if lake.slice else [False]):
+        schema = StructType(current.fields + ([StructField("slice", StringType())] if sliced else []))
         try:
-            rows = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(glob)
+            rows = (spark.read.schema(schema).option("basePath", lake.jobs)
+                    .parquet(lake.batch_glob(lake.jobs, source, sliced)))
         except AnalysisException:
             continue  # layout not in use
-        rows = rows.withColumn("bronze_data_file", F.coalesce(
-            *(["bronze_data_file"] if "bronze_data_file" in rows.columns else []), F.col("_metadata.file_path")))
-        parts.append(align_legacy(rows, places))
+        parts.append(project_contract(rows.withColumn("bronze_data_file", F.coalesce(
+            "bronze_data_file", F.col("_metadata.file_path")))))
+    if legacy_source:
+        try:
+            rows = (spark.read.option("basePath", lake.legacy_jobs).option("mergeSchema", "true")
+                    .parquet(f"{lake.legacy_jobs}/ingest_date=*/run_id=*"))
+            known = ["bronze_data_file"] if "bronze_data_file" in rows.columns else []
+            parts.append(align_legacy(rows.withColumn("bronze_data_file", F.coalesce(
+                *known, F.col("_metadata.file_path"))), places))
+        except AnalysisException:
+            pass
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
@@ -153,11 +164,10 @@ def write_snapshot(df: DataFrame, lake: Lake, source: str, version: str) -> None
 
     Versions are run ids and sort by time. A failed write leaves the previous version in force.
     """
-    text_contract(df).drop("source").write.mode("overwrite").parquet(f"{lake.merged(source)}/version={version}")
+    project_contract(df).drop("source").write.mode("overwrite").parquet(f"{lake.merged(source)}/version={version}")
 
 
-def read_snapshot(spark: SparkSession, lake: Lake, source: str,
-                  places: PlaceRules | None = PlaceRules()) -> DataFrame | None:
+def read_snapshot(spark: SparkSession, lake: Lake, source: str) -> DataFrame | None:
     """Newest version of the merged snapshot, found by file listing; None when there is none."""
     base = lake.merged(source)
     try:
@@ -167,8 +177,8 @@ def read_snapshot(spark: SparkSession, lake: Lake, source: str,
     version = files.agg(F.max(F.regexp_extract("path", "/version=([^/]+)/", 1))).first()[0]
     if version is None:
         return None
-    rows = spark.read.parquet(f"{base}/version={version}")
-    return align_legacy(rows.withColumn("source", F.lit(source)), places)
+    rows = spark.read.schema(POSTING).parquet(f"{base}/version={version}")
+    return rows.withColumn("source", F.lit(source)).select(*POSTING.fieldNames())
 
 
 # --- facts -------------------------------------------------------------------------------------------------
