@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..schema import RUN_SUMMARY
+from .metrics import per_group
 
 
 def reconcile(facts: dict[str, DataFrame], kpi: DataFrame, location_other: DataFrame, employer_other: DataFrame,
@@ -59,7 +60,7 @@ def verify_publication(tables: dict[str, DataFrame], latest: DataFrame) -> DataF
     """
     tagged = reduce(DataFrame.unionByName, [
         t.select("source", "run_id").withColumn("table", F.lit(n)) for n, t in tables.items()])
-    hits = tagged.join(latest.select("source", "run_id"), ["source", "run_id"], "left_semi")
+    hits = tagged.join(per_group(latest.select("source", "run_id")), ["source", "run_id"], "left_semi")
     counts = hits.groupBy("source", "run_id").agg(
         *[F.count_if(F.col("table") == n).alias(f"{n}_rows") for n in tables])
     done = latest.select("source", "run_id").join(counts, ["source", "run_id"], "left")

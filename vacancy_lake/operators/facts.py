@@ -11,6 +11,7 @@ from ..functions import text as T, times as X
 from ..functions.rules import PlaceRules
 from ..functions.skills import skills_from_json
 from ..schema import FACT_DIMENSION, LINEAGE_ORDER, RUN_SUMMARY, fact_schema, summary_schema
+from .metrics import per_group
 
 _GROUP = ("source", "posted_month", "run_id")
 
@@ -52,8 +53,8 @@ def month_profile(df: DataFrame, run: str | Column) -> DataFrame:
 
 
 def _stamp(counts: DataFrame, df: DataFrame, run, table: str) -> DataFrame:
-    """Facts carry the profile of their month; both sides are aggregates, so the join is small."""
-    joined = counts.join(month_profile(df, run), list(_GROUP)).withColumn("bronze_run_id", F.col("run_id"))
+    """Facts carry the profile of their month: one row per published slice, broadcast to the counts."""
+    joined = counts.join(per_group(month_profile(df, run)), list(_GROUP)).withColumn("bronze_run_id", F.col("run_id"))
     return joined.select(*fact_schema(table).fieldNames())
 
 

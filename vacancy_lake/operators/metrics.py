@@ -3,6 +3,11 @@
 Each takes the grouping keys, the dimension and the measure by name. Group totals come from partial
 aggregation, rankings keep only the first k rows per group on every task before the shuffle, and no operator
 gathers an unbounded group in one task.
+
+`small_groups=True` (the default) says the groups are published slices such as (source, month, run): there are
+as many as there are folders, so tables with a few rows per group have a known bound and are broadcast. The rows
+themselves are then never shuffled by group, however many of them one month holds. With keys that have no such
+bound pass False, and Spark chooses the join by measured size.
 """
 
 from __future__ import annotations
@@ -14,6 +19,10 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 from ..schema import use_shared_checkpoints
 
 
+def per_group(df: DataFrame, small_groups: bool = True) -> DataFrame:
+    return F.broadcast(df) if small_groups else df
+
+
 def share(part: Column, whole: Column) -> Column:
     """part / whole as double; NULL when the universe is empty."""
     return F.try_divide(part.cast("double"), F.nullif(whole.cast("double"), F.lit(0.0)))
@@ -49,7 +58,7 @@ def topk_share(df: DataFrame, keys, dim: str, k: int, measure="job_count", name=
 
 
 def top_n_other(df: DataFrame, keys, dim: str, n: int, measure="job_count", label="label", other="Other",
-                carry: dict[str, Column] | None = None) -> DataFrame:
+                carry: dict[str, Column] | None = None, small_groups: bool = True) -> DataFrame:
     """Totals per value: the n largest by name, the rest as one remainder row.
 
     `carry` holds further max-like aggregates, e.g. `{"posted_month": F.max("posted_month")}`.
@@ -60,7 +69,7 @@ def top_n_other(df: DataFrame, keys, dim: str, n: int, measure="job_count", labe
     # of the totals column for column alike, and Spark then runs the aggregation once and reuses its exchange.
     order = [F.desc(measure), F.asc(dim), *map(F.asc, carry)]
     best = first_k(totals, keys, order, n, "_rank").select(*keys, dim, "_rank")
-    labelled = totals.join(best, [*keys, dim], "left").withColumn(
+    labelled = totals.join(per_group(best, small_groups), [*keys, dim], "left").withColumn(
         label, F.when(F.col("_rank").isNotNull(), F.col(dim)).otherwise(F.lit(other)))
     return (labelled.groupBy(*keys, label).agg(F.sum(measure).cast("long").alias(measure),
                                                *[F.max(c).alias(c) for c in carry])
@@ -93,36 +102,41 @@ def running_total(df: DataFrame, keys, order: Sequence[Column], measure: str, ra
             .drop("_slice", "_n0", "_m0"))
 
 
-def with_total(df: DataFrame, keys, measure: str, name: str) -> DataFrame:
+def with_total(df: DataFrame, keys, measure: str, name: str, small_groups: bool = True) -> DataFrame:
     """Add the group total by joining the aggregated totals back (no window over a whole group)."""
-    return df.join(df.groupBy(*keys).agg(F.sum(measure).alias(name)), list(keys))
+    totals = df.groupBy(*keys).agg(F.sum(measure).alias(name))
+    return df.join(per_group(totals, small_groups), list(keys))
 
 
-def with_share(df: DataFrame, keys, measure: str = "job_count", name: str = "share") -> DataFrame:
+def with_share(df: DataFrame, keys, measure: str = "job_count", name: str = "share",
+               small_groups: bool = True) -> DataFrame:
     """Share of each row in the total of its group."""
-    return (with_total(df, keys, measure, "_total")
+    return (with_total(df, keys, measure, "_total", small_groups)
             .withColumn(name, share(F.col(measure), F.col("_total"))).drop("_total"))
 
 
-def pareto(df: DataFrame, keys, dim: str, measure="job_count", bounded: bool = False) -> DataFrame:
+def pareto(df: DataFrame, keys, dim: str, measure="job_count", bounded: bool = False,
+           small_groups: bool = True) -> DataFrame:
     """Rank, share and cumulative percent of every value, largest first."""
     ranked = running_total(df, keys, [F.desc(measure), F.asc(dim)], measure, "pareto_rank", "_run", bounded)
     totals = df.groupBy(*keys).agg(F.sum(measure).alias("_total"))
-    return ranked.join(totals, list(keys)).select(
+    return ranked.join(per_group(totals, small_groups), list(keys)).select(
         *df.columns, "pareto_rank", share(F.col(measure), F.col("_total")).alias("share_of_total"),
         (F.lit(100.0) * share(F.col("_run"), F.col("_total"))).alias("cumulative_job_pct"))
 
 
-def bucket_top(df: DataFrame, keys, dim: str, k: int, other: str, weight: str, out: str) -> DataFrame:
+def bucket_top(df: DataFrame, keys, dim: str, k: int, other: str, weight: str, out: str,
+               small_groups: bool = True) -> DataFrame:
     """Replace a dimension by itself where it is one of the k heaviest of its group, else by `other`."""
     mass = df.groupBy(*keys, dim).agg(F.sum(weight).alias("_mass"))
     best = top_k(mass, keys, dim, k, "_mass", "_rank").select(*keys, dim, "_rank")
-    return (df.join(best, [*keys, dim], "left")
+    return (df.join(per_group(best, small_groups), [*keys, dim], "left")
             .withColumn(out, F.when(F.col("_rank").isNotNull(), F.col(dim)).otherwise(F.lit(other))).drop("_rank"))
 
 
 def flow_edges(rows: DataFrame, keys, src: str, dst: str, k_src: int | None = None, k_dst: int | None = None,
-               other_src="Other", other_dst="Other", version: str | None = None) -> DataFrame:
+               other_src="Other", other_dst="Other", version: str | None = None,
+               small_groups: bool = True) -> DataFrame:
     """Edge weights between two dimensions, each optionally reduced to its k heaviest values plus a remainder.
 
     Rows are counted per (src, dst) pair first, so ranking and bucketing see pairs, not rows. `version` names a
@@ -132,8 +146,8 @@ def flow_edges(rows: DataFrame, keys, src: str, dst: str, k_src: int | None = No
     edges = rows.groupBy(*keys, src, dst, *more).agg(F.count(F.lit(1)).alias("_w"))
     left, right = F.col(src), F.col(dst)
     if k_src:
-        edges, left = bucket_top(edges, keys, src, k_src, other_src, "_w", "_src"), F.col("_src")
+        edges, left = bucket_top(edges, keys, src, k_src, other_src, "_w", "_src", small_groups), F.col("_src")
     if k_dst:
-        edges, right = bucket_top(edges, keys, dst, k_dst, other_dst, "_w", "_dst"), F.col("_dst")
+        edges, right = bucket_top(edges, keys, dst, k_dst, other_dst, "_w", "_dst", small_groups), F.col("_dst")
     return edges.groupBy(*keys, left.alias("source_bucket"), right.alias("target_bucket")).agg(
         F.sum("_w").cast("long").alias("edge_weight"), *[F.max(v).alias(f"latest_{v}") for v in more])

@@ -1,7 +1,7 @@
 """Market views: every named question as a lazy function of facts, postings and a pointer.
 
 Facts arrive restricted to the runs that count (`latest_only` or `latest_per_month`), so each view works for
-any source and both run policies.
+any source and both run policies. Tables of one row per source, month or run are broadcast (see `metrics`).
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def latest_only(fact: DataFrame, latest: DataFrame, months: tuple[str, str] | No
     """Rows of the pointed-to run of each source; the one-row side prunes run folders at run time."""
     if months:
         fact = fact.where(F.col("posted_month").between(*months))
-    return fact.join(latest.select("source", "run_id"), ["source", "run_id"]).select(fact.columns)
+    return fact.join(M.per_group(latest.select("source", "run_id")), ["source", "run_id"], "left_semi")
 
 
 def latest_runs(fact: DataFrame, as_of: date | None = None) -> DataFrame:
@@ -44,7 +44,7 @@ def restrict(fact: DataFrame, runs: DataFrame, as_of: date | None = None) -> Dat
     """Fact rows of the chosen (source, month, run); the window is repeated as a literal so it prunes."""
     if as_of is not None:
         fact = fact.where(F.col("posted_month").between(*window_months(as_of)))
-    return fact.join(runs, list(KEYS), "left_semi")
+    return fact.join(M.per_group(runs.select(*KEYS)), list(KEYS), "left_semi")
 
 
 def latest_per_month(fact: DataFrame, as_of: date | None = None) -> DataFrame:
@@ -54,7 +54,7 @@ def latest_per_month(fact: DataFrame, as_of: date | None = None) -> DataFrame:
 def silver_base(postings: DataFrame, months: DataFrame, fallback: bool = True) -> DataFrame:
     """Postings with their month, limited to the published months of their source."""
     return assign_month(postings, fallback).join(
-        months.select("source", "posted_month").distinct(), ["source", "posted_month"], "left_semi")
+        M.per_group(months.select("source", "posted_month").distinct()), ["source", "posted_month"], "left_semi")
 
 
 def skills_array(df: DataFrame) -> Column:
@@ -278,7 +278,7 @@ def heatmap(geo: DataFrame, k: int = 15, unique: bool = False) -> DataFrame:
     mass = mapped.select(*month, F.explode("_s").alias("_t")).groupBy(*month, "_t").agg(F.count(F.lit(1)).alias("_n"))
     best = M.top_k(mass, month, "_t", k, "_n").groupBy(*month).agg(F.collect_list("_t").alias("_best"))
     buckets = F.array_distinct(F.transform("_s", lambda s: F.when(F.array_contains("_best", s), s).otherwise("Other")))
-    cells = mapped.join(best, month).select(
+    cells = mapped.join(M.per_group(best), month).select(
         *month, F.col("state_name").alias("dim_x"), F.explode(buckets).alias("dim_y"), "job_id", "bronze_run_id")
     keys = [*month, "dim_x", "dim_y"]
     if unique:
@@ -363,7 +363,7 @@ def skill_mix_aligned(skill: DataFrame, runs: DataFrame, sources, k: int = 20,
         *KEYS, "skill", F.col("job_count").alias("skill_tag_count"))
     best = (rows.groupBy("skill").agg(F.sum("skill_tag_count").alias("_m"))
             .orderBy(F.desc("_m"), "skill").limit(k).select("skill"))
-    return M.with_share(rows.join(best, "skill", "left_semi"), ["source"], "skill_tag_count",
+    return M.with_share(rows.join(F.broadcast(best), "skill", "left_semi"), ["source"], "skill_tag_count",
                         "share_within_source_skill_tags").withColumn(
         "alignment_kind", F.lit("strict_intersection_latest_month"))
 
