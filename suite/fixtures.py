@@ -126,9 +126,9 @@ RUN = "bronze_run_id"
 
 
 def facts(df: DataFrame) -> dict[str, DataFrame]:
-    """Fact counts of several runs: every half month is a run of its own."""
+    """Fact counts of several runs: every half month is a run of its own. One row per posting, so rows are counted."""
     run = F.col(RUN)
-    return {"skill_demand_monthly": E.skill_counts(df, run), "role_demand_monthly": E.role_counts(df, run),
+    return {"skill_demand_monthly": E.skill_counts(df, run, unique=True), "role_demand_monthly": E.role_counts(df, run),
             "location_demand_monthly": E.location_counts(df, run, None),
             "company_hiring_monthly": E.company_counts(df, run)}
 

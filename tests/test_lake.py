@@ -177,9 +177,9 @@ def _drop(spark, lake, name, *payloads):
     fetched(spark, *payloads).coalesce(1).write.json(f"{lake.root}/incoming/{name}")
 
 
-def _run(spark, lake, checkpoint="c1"):
+def _run(spark, lake, checkpoint="c1", **kw):
     STREAM.start_landing_stream(spark, f"{lake.root}/incoming/*", lake, f"{lake.root}/{checkpoint}", "board", B.BOARD, 1,
-                                files_per_trigger=1).awaitTermination()
+                                files_per_trigger=1, **kw).awaitTermination()
     return {r["source_job_id"]: r["title_norm"] for r in STREAM.current_postings(spark, lake, "board").collect()}
 
 
@@ -201,3 +201,19 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, lake, tmp_path):
         land(spark, other, f"2024010{i + 1}T0", *payloads, lookback_hours=1, day=f"2024-01-0{i + 1}")
         P.build_postings(spark, other, "board")
     assert {r["source_job_id"]: r["title_norm"] for r in A.read_snapshot(spark, other, "board").collect()} == expected
+
+
+def test_stream_first_version_wins_on_request(spark, lake):
+    _drop(spark, lake, "f0", board("a", created=10_000))
+    _drop(spark, lake, "f1", board("a", title="Newer", created=10_600), board("b", created=10_700))
+    assert _run(spark, lake, first_wins=True) == {"a": "python developer", "b": "python developer"}
+
+
+def test_heal_takes_the_broader_base(spark, lake):
+    """A snapshot from elsewhere lost a posting; the union of batches brings it back."""
+    land(spark, lake, "20240102T0-a", board("a"), board("b"))
+    P.build_postings(spark, lake, "board")
+    A.write_snapshot(A.read_snapshot(spark, lake, "board").where("source_job_id = 'a'"), lake, "board", "20240102T1-cut")
+    land(spark, lake, "20240103T0-b", board("c"), day="2024-01-03")
+    P.build_postings(spark, lake, "board", heal=True)
+    assert {r["source_job_id"] for r in A.read_snapshot(spark, lake, "board").collect()} == {"a", "b", "c"}

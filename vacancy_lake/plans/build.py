@@ -48,9 +48,13 @@ def standard_batch(landed: DataFrame, aggregator_sources: tuple[str, ...] = (),
 
 def build_postings(spark: SparkSession, lake: A.Lake, source: str, path: str | None = None,
                    aggregator_sources: tuple[str, ...] = (), vocab: Vocabulary = Vocabulary(),
-                   places: PlaceRules | None = PlaceRules(), legacy_source: bool = False) -> dict:
+                   places: PlaceRules | None = PlaceRules(), legacy_source: bool = False, heal: bool = False) -> dict:
     """Newest landing batch to a standard batch and a new snapshot version; a failing batch writes nothing.
 
+    The snapshot before it is the base; without one, the union of all batches. `heal=True` takes the broader of
+    both (more months, then more rows), which reads the whole history: for snapshots written elsewhere, since a
+    failed write here leaves the version before it in force.
+
     The batch feeds the gate, the batch table and the upsert, so it is put in the shared checkpoint folder:
     the text work runs once, and a lost executor does not repeat it.
     """
@@ -59,10 +63,13 @@ def build_postings(spark: SparkSession, lake: A.Lake, source: str, path: str | N
     rows_in = landed.count()
     batch = standard_batch(landed, aggregator_sources, vocab, places).checkpoint()
     report = D.quality_gate(batch, rows_in)
-    history = A.read_history(spark, lake, source, legacy_source, places)
-    union = None if history is None else D.keep_last(history, [*D.LINEAGE_ORDER, "bronze_data_file"])
     merged = A.read_snapshot(spark, lake, source)
-    old = D.pick_snapshot(merged, union) if merged is not None or union is not None else batch.limit(0)
+    history = A.read_history(spark, lake, source, legacy_source, places) if heal or merged is None else None
+    union = None if history is None else D.keep_last(history, [*D.LINEAGE_ORDER, "bronze_data_file"])
+    if heal and (merged is not None or union is not None):
+        old = D.pick_snapshot(merged, union)
+    else:
+        old = merged if merged is not None else union if union is not None else batch.limit(0)
     run = batch.agg(F.max("bronze_run_id")).first()[0]
     A.write_batch(batch, lake)
     A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, source, run)

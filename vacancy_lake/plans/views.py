@@ -239,7 +239,7 @@ def geo_states(base: DataFrame, places: R.PlaceRules = R.PlaceRules()) -> DataFr
                  for city, part, state in places.geo_pairs]
         return F.coalesce(
             F.when(p2 == "", state_of(p1, places.geo_alone, "unmapped_single")),
-            F.when(p2.isin(*places.country_forms), state_of(p1, places.geo_with_country, "unmapped_state_india")),
+            F.when(p2.isin(*places.country_forms), state_of(p1, places.geo_with_country, f"unmapped_state_{places.country}")),
             *pairs, F.when(F.array_contains(states, p2), p2), F.lit("unmapped_pair"))
 
     state = (F.when(loc == "", F.lit("unmapped")).when(loc == places.country, F.lit("unmapped_country"))
