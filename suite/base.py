@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
-from .fixtures import ENDINGS, TITLES
+from .fixtures import ENDINGS, TITLES, ensure_shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,7 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ensure_shared_folder(spark)
             return rounded(fn(spark, sf_dir))
         QUERIES[name] = run
         if sql is not None:

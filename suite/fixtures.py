@@ -55,14 +55,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_lake(spark: SparkSession, name: str) -> Lake:
-    """A fresh folder under the shared folder of the session; a temporary one only where none is set (tests)."""
+def ensure_shared_folder(spark: SparkSession) -> str:
+    """The shared folder of the session; a temporary one only where none is set (local tests)."""
     try:
-        base = shared_folder(spark)
+        return shared_folder(spark)
     except ValueError:
-        base = tempfile.mkdtemp(prefix="vacancy-lake-")
-        spark.sparkContext.setCheckpointDir(base)
-    return Lake(f"{base}/{name}-{uuid.uuid4().hex[:12]}")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vacancy-lake-"))
+        return shared_folder(spark)
+
+
+def work_lake(spark: SparkSession, name: str) -> Lake:
+    """A fresh folder under the shared folder of the session."""
+    return Lake(f"{ensure_shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def pick(values, index: Column) -> Column:
