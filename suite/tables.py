@@ -200,8 +200,8 @@ def b01(spark, d):
 
 
 @query("b01_landing_report", f"""
-SELECT 'lookback' AS filter_mode, count(*) AS fetched, count_if(c > {WATERMARK - 86400 * 5}) AS landed,
-  count_if(c <= {WATERMARK - 86400 * 5}) AS filtered_out, CAST({WATERMARK} AS BIGINT) AS watermark_before,
+SELECT 'lookback' AS filter_mode, count(*) AS fetched, CAST(count_if(c > {WATERMARK - 86400 * 5}) AS BIGINT) AS landed,
+  CAST(count_if(c <= {WATERMARK - 86400 * 5}) AS BIGINT) AS filtered_out, CAST({WATERMARK} AS BIGINT) AS watermark_before,
   CAST({WATERMARK - 86400 * 5} AS BIGINT) AS cutoff, max(c) AS max_created, min(c) AS min_created
 FROM (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS c FROM events)""")
 def b01_report(spark, d):
@@ -578,7 +578,8 @@ def d02(spark, d):
 @query("d03_quality_report", """
 WITH l AS (SELECT l_orderkey || '-' || l_linenumber AS job_id, CAST(l_partkey AS VARCHAR) AS sid, p_name, p_brand FROM lineitem
   JOIN part ON l_partkey = p_partkey),
-c AS (SELECT count(*) AS row_count, count_if(p_name LIKE 'small%') AS missing_title, count_if(p_brand = 'Brand#2') AS missing_company,
+c AS (SELECT count(*) AS row_count, CAST(count_if(p_name LIKE 'small%') AS BIGINT) AS missing_title,
+  CAST(count_if(p_brand = 'Brand#2') AS BIGINT) AS missing_company,
   count(*) - count(DISTINCT job_id) AS duplicate_job_id,
   count(*) - count(DISTINCT CASE WHEN p_brand = 'Brand#3' THEN job_id ELSE sid END) AS duplicate_source_key FROM l)
 SELECT *, CAST(1 AS BIGINT) AS sources, 4 AS checks_failed, 2 AS checks_passed, 'FAIL' AS status FROM c""")

@@ -13,6 +13,7 @@ TITLES = [
     ("- Lead | Backend -", "lead | backend"),
     ("Dev / Ops", "dev ops"),
     ("Dev /Ops", "dev /ops"),
+    ("Dev / / Ops", "dev ops"),
     ("Küchenchef (d/m/w) München", "küchenchef münchen"),
     ("ÄRZTIN", "ärztin"),
     (" .,;: ", ""),
