@@ -13,6 +13,7 @@ bound pass False, and Spark chooses the join by measured size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
@@ -68,8 +69,11 @@ def top_n_other(df: DataFrame, keys, dim: str, n: int, measure="job_count", labe
     # Values are unique per group here, so the carried columns never decide a rank; naming them keeps both uses
     # of the totals column for column alike, and Spark then runs the aggregation once and reuses its exchange.
     order = [F.desc(measure), F.asc(dim), *map(F.asc, carry)]
-    best = first_k(totals, keys, order, n, "_rank").select(*keys, dim, "_rank")
-    labelled = totals.join(per_group(best, small_groups), [*keys, dim], "left").withColumn(
+    # Null-safe equality: plain equality would add not-null filters below one side only and defeat that reuse.
+    names = [*keys, dim]
+    best = first_k(totals, keys, order, n, "_rank").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(names)], "_rank")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(names)])
+    labelled = totals.join(per_group(best, small_groups), same, "left").withColumn(
         label, F.when(F.col("_rank").isNotNull(), F.col(dim)).otherwise(F.lit(other)))
     return (labelled.groupBy(*keys, label).agg(F.sum(measure).cast("long").alias(measure),
                                                *[F.max(c).alias(c) for c in carry])
