@@ -58,6 +58,17 @@ def topk_share(df: DataFrame, keys, dim: str, k: int, measure="job_count", name=
         *keys, share(F.coalesce(F.col("_best"), F.lit(0)), F.col("_all")).alias(name))
 
 
+def _with_rank(df: DataFrame, best: DataFrame, names: Sequence[str], small_groups: bool) -> DataFrame:
+    """Add `_rank` where a row is among the best, NULL elsewhere.
+
+    Null-safe equality: plain equality would add not-null filters below one side only, and Spark could no longer
+    reuse the exchange both sides share.
+    """
+    marks = best.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(names)], "_rank")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(names)])
+    return df.join(per_group(marks, small_groups), same, "left").drop(*[f"_k{i}" for i in range(len(names))])
+
+
 def top_n_other(df: DataFrame, keys, dim: str, n: int, measure="job_count", label="label", other="Other",
                 carry: dict[str, Column] | None = None, small_groups: bool = True) -> DataFrame:
     """Totals per value: the n largest by name, the rest as one remainder row.
@@ -69,11 +80,8 @@ def top_n_other(df: DataFrame, keys, dim: str, n: int, measure="job_count", labe
     # Values are unique per group here, so the carried columns never decide a rank; naming them keeps both uses
     # of the totals column for column alike, and Spark then runs the aggregation once and reuses its exchange.
     order = [F.desc(measure), F.asc(dim), *map(F.asc, carry)]
-    # Null-safe equality: plain equality would add not-null filters below one side only and defeat that reuse.
-    names = [*keys, dim]
-    best = first_k(totals, keys, order, n, "_rank").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(names)], "_rank")
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(names)])
-    labelled = totals.join(per_group(best, small_groups), same, "left").withColumn(
+    best = first_k(totals, keys, order, n, "_rank")
+    labelled = _with_rank(totals, best, [*keys, dim], small_groups).withColumn(
         label, F.when(F.col("_rank").isNotNull(), F.col(dim)).otherwise(F.lit(other)))
     return (labelled.groupBy(*keys, label).agg(F.sum(measure).cast("long").alias(measure),
                                                *[F.max(c).alias(c) for c in carry])
@@ -133,8 +141,8 @@ def bucket_top(df: DataFrame, keys, dim: str, k: int, other: str, weight: str, o
                small_groups: bool = True) -> DataFrame:
     """Replace a dimension by itself where it is one of the k heaviest of its group, else by `other`."""
     mass = df.groupBy(*keys, dim).agg(F.sum(weight).alias("_mass"))
-    best = top_k(mass, keys, dim, k, "_mass", "_rank").select(*keys, dim, "_rank")
-    return (df.join(per_group(best, small_groups), [*keys, dim], "left")
+    best = top_k(mass, keys, dim, k, "_mass", "_rank")
+    return (_with_rank(df, best, [*keys, dim], small_groups)
             .withColumn(out, F.when(F.col("_rank").isNotNull(), F.col(dim)).otherwise(F.lit(other))).drop("_rank"))
 
 
