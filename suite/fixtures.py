@@ -5,7 +5,6 @@ Only used by the registered queries, the bench and the tests; the library does n
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import date
 from functools import wraps
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacancy_lake.functions.rules import PlaceRules
 from vacancy_lake.operators import facts as E
-from vacancy_lake.schema import shared_folder
+from vacancy_lake.schema import ensure_shared_folder
 from vacancy_lake.sources.lake import Lake
 
 AS_OF = date(2001, 8, 1)
@@ -55,15 +54,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_shared_folder(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one only where none is set (local tests)."""
-    try:
-        return shared_folder(spark)
-    except ValueError:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vacancy-lake-"))
-        return shared_folder(spark)
-
-
 def work_lake(spark: SparkSession, name: str) -> Lake:
     """A fresh folder under the shared folder of the session."""
     return Lake(f"{ensure_shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}")

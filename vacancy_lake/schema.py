@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 import uuid
 from datetime import datetime, timezone
 
@@ -62,6 +65,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def ensure_shared_folder(spark: SparkSession) -> str:
+    """The shared folder of the session. A session in one process may go without: it gets a temporary folder, since
+    driver and tasks see the same disk. Any other session without a shared folder is refused."""
+    try:
+        return shared_folder(spark)
+    except ValueError:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vacancy-lake-"))
+        return shared_folder(spark)
+
+
 def use_shared_checkpoints(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
