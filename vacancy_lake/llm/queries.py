@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing
+from . import bpe, exact_dedup, mixing
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -57,3 +58,8 @@ SELECT doc_id, size, CAST(total AS BIGINT) AS source_size, target,
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc.doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
