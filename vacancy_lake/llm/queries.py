@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, exact_dedup, mixing, toxicity
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -63,3 +63,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def fold(doc_id: str = "doc_id"):
+    """Remainder of crc32 of the id as text, the split into training and held-out rows."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels, fold() != 0)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(True)).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
