@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import staged
@@ -194,8 +194,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "score
     local: dict[str, Model] = {}
 
     @F.pandas_udf("double")
-    def scored(batches: Iterator["pd.Series"]) -> Iterator["pd.Series"]:  # noqa: F821
-        import pandas as pd
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = local.setdefault("model", Model(*shared.value))
         for texts in batches:
             yield pd.Series(m.scores(texts.tolist()), dtype="float64")
