@@ -42,3 +42,24 @@ def count_words(text: Column) -> Column:
 def tasks_for(rows: int, per_task: int, least: int = 1) -> int:
     """Number of partitions so that each holds about `per_task` rows; grows with the data."""
     return max(least, -(-rows // per_task))
+
+
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def keep_rows(df: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `df`, with all their columns, whose `marks` (doc_id, digest, kept) say so.
+
+    Rows that go are named by id and digest of the text, so texts are not shuffled when those names are few. Where
+    one of several rows with the same id and text stays, these rows alone are thinned with their texts.
+    """
+    keys = marks.groupBy("doc_id", "digest").agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    keys = staged(keys.where(~F.col("stays") | (F.col("n") > 1)), "marks")
+    key = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
+    lost, again = keys.where(~F.col("stays")).select(*key), keys.where("stays").select(*key)
+    rows = df.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_i"), text_digest(F.col(text_col)).alias("_d"))
+    same = F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("_digest"))
+    rows = rows.join(lost, same, "left_anti")
+    repeated = rows.join(again, same, "left_semi").dropDuplicates(["_i", "_d"])
+    return rows.join(again, same, "left_anti").unionByName(repeated).select("_doc.*")

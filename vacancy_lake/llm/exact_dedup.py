@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import staged
+from .common import keep_rows, staged, text_digest
 
 COUNTERS = 1024
 
@@ -38,8 +38,8 @@ class MisraGries:
 def frequent(df: DataFrame, column: str, counters: int = COUNTERS) -> DataFrame:
     """Candidates for values with more than rows / counters copies: at most `counters` rows, none of those missed.
 
-    Per task one summary travels, at most `counters` rows. Their counts are added per value and the largest
-    `counters` values stay, less the next one: the merge of Agarwal et al., which keeps the bound.
+    Per task one summary travels, at most `counters` rows. Their counts are added per value, and the `counters`
+    largest stay: summaries can be merged this way without losing a value above the bound.
     """
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = MisraGries(counters)
@@ -57,8 +57,7 @@ def frequent(df: DataFrame, column: str, counters: int = COUNTERS) -> DataFrame:
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, digest): 32 bytes of SHA-256 for each row, computed in the scan."""
-    return df.select(F.col(id_col).alias("doc_id"),
-                     F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest"))
+    return df.select(F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("digest"))
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
@@ -78,19 +77,5 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """The rows of `df` that stay, with all their columns.
-
-    Rows that go are named by (id, digest); rows repeated under the winning id are thinned to one at the end, and
-    only groups that have such rows are shuffled with their texts for it.
-    """
-    groups = staged(exact_groups(df, id_col, text_col, counters), "groups")
-    key = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
-    lost = groups.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(*key).distinct()
-    again = groups.where(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(*key).distinct()
-    rows = df.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_i"),
-                     F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("_d"))
-    same = F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("_digest"))
-    rows = rows.join(lost, same, "left_anti")
-    single = rows.join(again, same, "left_anti")
-    repeated = rows.join(again, same, "left_semi").dropDuplicates(["_i", "_d"])
-    return single.unionByName(repeated).select("_doc.*")
+    """The rows of `df` that stay, with all their columns."""
+    return keep_rows(df, exact_groups(df, id_col, text_col, counters), id_col, text_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, mixing, toxicity
+from . import bpe, exact_dedup, minhash, mixing, toxicity
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -78,3 +78,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(True)).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query("op1_minhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = minhash.near_groups(documents(spark, sf_dir), width=2, percent=80)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
