@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, minhash, mixing, toxicity
+from . import bpe, exact_dedup, licenses, minhash, mixing, toxicity
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -84,3 +84,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = minhash.near_groups(documents(spark, sf_dir), width=2, percent=80)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir)).drop("matches")
