@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, licenses, minhash, mixing, toxicity
+from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, toxicity
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -89,3 +89,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_scan")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir)).drop("matches")
+
+
+@query("op2_nearest_neighbours")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0, k=10)
