@@ -174,8 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, id_col: str = "doc
     marks = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & train_on)
              .groupBy("doc_id").agg(F.max("label").alias("label")))
-    rows = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-                  .join(marks, "doc_id").select("label", F.xxhash64("text").alias("h"), "doc_id"), "labelled")
+    hashes = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"))  # no text in the shuffle
+    rows = staged(hashes.join(marks, "doc_id"), "labelled")
     shares = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(shares) < 2:
         return Model(np.zeros(BUCKETS, np.float32), -40.0)
