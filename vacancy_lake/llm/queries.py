@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, toxicity
+from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, token_files, toxicity
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -94,3 +94,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_nearest_neighbours")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0, k=10)
+
+
+@query("op9_token_files")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = token_files.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.listing(blocks)
