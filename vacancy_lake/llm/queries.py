@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, token_files, toxicity
+from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, substring, token_files, toxicity
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -100,3 +100,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = token_files.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.listing(blocks)
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removal_digests(documents(spark, sf_dir))
