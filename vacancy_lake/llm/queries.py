@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, substring, token_files, toxicity
+from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, ngrams, substring, token_files, toxicity
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -105,3 +105,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_substring_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(documents(spark, sf_dir))
+
+
+@query("op4_ngram_scores")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.scores(documents(spark, sf_dir), held=fold() == 1)
