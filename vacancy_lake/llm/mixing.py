@@ -98,3 +98,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     copies = F.col("full") + F.when(F.col("picked"), 1).otherwise(0)
     return inside.unionByName(outside).select(
         "doc", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def taken_rows(mixed: DataFrame) -> DataFrame:
+    """The mix itself: every document of `mix` as often as it is taken, with its own columns."""
+    copies = F.array_repeat(F.lit(0), F.col("copies").cast("int"))
+    return mixed.withColumn("copy", F.explode(copies)).select("doc.*")

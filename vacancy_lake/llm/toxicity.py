@@ -200,3 +200,9 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "score
             yield pd.Series(m.scores(texts.tolist()), dtype="float64")
 
     return df.withColumn(out, scored(F.col(text_col)))
+
+
+def keep_clean(df: DataFrame, model: Model, limit: float = 0.5, text_col: str = "text") -> DataFrame:
+    """Rows that score below `limit`, with their own columns."""
+    rows = df.select(F.struct("*").alias("_doc"), F.col(text_col).alias("_text"))
+    return score(rows, model, "_text", "_score").where(F.col("_score") < limit).select("_doc.*")
