@@ -6,10 +6,12 @@
 2. Texts with equal sets form a class, whose first row stands for it. Bands of ROWS bins are bucket keys; at a
    similarity of 0.8 two sets miss all 32 bands with a probability below 1e-7.
 3. In every bucket one member, the first in an order drawn anew each round, is the centre; the others are compared
-   with it alone, so a bucket of n gives n - 1 pairs at most. Pairs already linked through others, or compared
-   before, are left out. Each pair is confirmed on the full sets. Rounds go on until one brings no new link; members
-   that were not similar to one centre meet others in the later rounds and in their other buckets.
-4. Components of the confirmed links, spread over the classes.
+   with it alone, so a bucket of n gives n - 1 pairs at most. Each pair is confirmed on the full sets. Later rounds
+   look only at buckets whose members are not in one component yet, with CENTRES centres each, and leave out pairs
+   within a component or compared before. Rounds go on until one brings no new link; members that were not similar to
+   one centre meet others in the later rounds and in their other buckets.
+4. Components of the confirmed links, spread over the classes. Each round joins components, not nodes, so its graph is
+   only as large as what the round has found.
 
 All of it is joins and groupings; hot buckets and classes combine before the shuffle or are split as skewed joins.
 
@@ -27,13 +29,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import keep_rows, lower_words, staged
 from .components import components
 
 BINS = 128
 ROWS = 4
+CENTRES = 8
+#: Sets from this size on are compared by their samples first, of which so many must agree.
+LARGE = 400
+AGREE = 72
 CACHED = 500_000
 #: Candidate lists up to this length travel to every executor (16 bytes a row); longer ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -104,31 +110,38 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def sample_bytes(sig: np.ndarray) -> np.ndarray:
+    """Eight bits of every sample, packed into 64-bit numbers."""
+    return mixed(sig).astype(np.uint8).view(np.int64)
+
+
 def _kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
 def sketches(df: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, digest of the text, n, set_key, bands) of every row."""
+    """(doc_id, digest of the text, n, set_key, bands, samples) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                digests, sizes, keys, bands = [], [], [], []
+                digests, sizes, keys, bands, samples = [], [], [], [], []
                 for text in part.column(1):
                     text = text.as_py()
                     found = shingles(text, width)
                     digests.append(hashlib.sha256((text or "").encode()).digest())
                     sizes.append(len(found))
                     keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                    bands.append(band_keys(signature(found)) if len(found) else None)
+                    sig = signature(found) if len(found) else None
+                    bands.append(None if sig is None else band_keys(sig))
+                    samples.append(None if sig is None else sample_bytes(sig))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-                     pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "digest", "n", "set_key", "bands"])
+                     pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(samples, pa.list_(pa.int64()))],
+                    ["doc_id", "digest", "n", "set_key", "bands", "samples"])
 
     return df.select(id_col, text_col).mapInArrow(
-        run, f"doc_id {_kind(df, id_col)}, digest binary, n long, set_key binary, bands array<long>")
+        run, f"doc_id {_kind(df, id_col)}, digest binary, n long, set_key binary, bands array<long>, samples array<long>")
 
 
 def full_sets(df: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -150,17 +163,40 @@ def full_sets(df: DataFrame, wanted: DataFrame, width: int, id_col: str, text_co
         wanted = F.broadcast(wanted)
     texts = df.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
     rows = texts.join(wanted, F.col("_i").eqNullSafe(F.col("doc_id"))).select("node", "set_key", "_t")
-    return rows.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node long, shingles array<long>")
+
+
+def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) without those whose sizes, or whose samples, rule out the similarity.
+
+    Of samples of large sets, independent but for a few, those of a true pair agree in at least AGREE of 128 places, six
+    and more standard deviations below the mean at a similarity of 0.8; smaller sets go on to the full comparison.
+    """
+    for side in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"),
+                                        F.col("samples").alias(f"s{side}")), side)
+    differ = F.transform(F.arrays_zip("sa", "sb"), lambda z: z["sa"].bitwiseXOR(z["sb"]))
+
+    def folded(x: Column, *shifts: int) -> Column:
+        """Any bit of a byte moved to its lowest."""
+        return folded(x.bitwiseOR(F.shiftrightunsigned(x, shifts[0])), *shifts[1:]) if shifts else x
+
+    ones = F.aggregate(differ, F.lit(0), lambda n, x: n + F.bit_count(
+        folded(x, 4, 2, 1).bitwiseAND(F.lit(0x0101010101010101))).cast("int"))
+    small = F.least("na", "nb") < LARGE
+    sized = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return sized.where(small | (F.lit(percent) < 80) | (BINS - ones >= AGREE)).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) of `pairs` whose sets share `percent` of their union."""
+    """Those (a, b) of `pairs` whose full sets share `percent` of their union."""
+    used = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
+    sets = sets.join(F.broadcast(used) if used.count() <= BROADCAST_ROWS else used, "node", "left_semi")
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
     n, m = F.size("sa"), F.size("sb")
-    able = 100 * F.least(n, m) >= percent * F.greatest(n, m)
     shared = F.size(F.array_intersect("sa", "sb"))
-    return pairs.where(able).where(100 * shared >= percent * (n + m - shared)).select("a", "b")
+    return pairs.where(100 * shared >= percent * (n + m - shared)).select("a", "b")
 
 
 def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
@@ -168,38 +204,49 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     """One row per row of `df`: doc_id, digest, n_shingles, component_id, kept."""
     rows = staged(sketches(df, width, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sketches")
     classes = staged(rows.where("n > 0").groupBy("set_key").agg(F.min("row").alias("node")), "classes")
-    first = rows.select("row", "doc_id", "set_key", "bands").join(
-        classes.select(F.col("node").alias("row")), "row", "left_semi")
-    members = staged(first.select(F.col("row").alias("node"), "doc_id", "set_key", F.explode("bands").alias("bucket")),
-                     "members")
+    first = rows.withColumnRenamed("row", "node").join(classes.select("node"), "node", "left_semi")
+    members = staged(first.select("node", F.explode("bands").alias("bucket")), "members")
     shared = (members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
               .where("lo <> hi").select("bucket"))
     buckets = staged(members.select("bucket", "node").join(shared, "bucket", "left_semi"), "buckets")
-    nodes = staged(buckets.select("node").distinct(), "nodes")
-    wanted = first.select(F.col("row").alias("node"), "doc_id", "set_key").join(nodes, "node", "left_semi")
-    sets = staged(full_sets(df, staged(wanted, "wanted"), width, id_col, text_col), "sets")
+    nodes = staged(first.select("node", "doc_id", "set_key", "n", "samples").join(
+        buckets.select("node").distinct(), "node", "left_semi"), "nodes")
+    wanted = nodes.select("node", "doc_id", "set_key")
+    sets = full_sets(df, wanted, width, id_col, text_col)
+    same = rows.select("doc_id", "set_key").join(
+        wanted.select(F.col("doc_id").alias("_i"), F.col("set_key").alias("_k")),
+        F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("set_key") == F.col("_k")))
+    if same.count() > wanted.count():  # rows repeated under one id
+        sets = sets.dropDuplicates(["node"])
+    sets = staged(sets, "sets")
 
     labels = nodes.select("node", F.col("node").alias("label"))
-    links, tested, turn = None, None, 0
+    tested, turn = None, 0
     while True:
         current = buckets.join(labels, "node")
-        centre = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "label")).alias("c")
-        stars = (current.groupBy("bucket").agg(centre, F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .where("lo <> hi").select("bucket", F.col("c.node").alias("c"), F.col("c.label").alias("cl")))
+        orders = range(CENTRES * turn, CENTRES * turn + (CENTRES if turn else 1))
+        centres = F.array_distinct(F.array(*[
+            F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("order"), F.col("node").alias("c"), F.col("label").alias("cl")))
+            for i in orders]))
+        stars = (current.groupBy("bucket").agg(centres.alias("centres"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+                 .where("lo <> hi").select("bucket", F.explode("centres").alias("centre")).select("bucket", "centre.c", "centre.cl"))
         pairs = (current.join(stars, "bucket").where("label <> cl")
                  .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        found = staged(confirmed(pairs, sets, percent), "links")
+        links = staged(confirmed(staged(plausible(pairs, nodes, percent), "plausible"), sets, percent), "links")
         turn += 1
-        if found.isEmpty() and turn > 1:
-            break
+        if links.isEmpty():
+            if turn > 1:
+                break
+            continue
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        known = components(links).withColumnRenamed("label", "found")
-        labels = staged(nodes.join(known, "node", "left").select("node", F.coalesce("found", "node").alias("label")),
-                        "labels")
+        for side in "ab":  # links between components
+            links = links.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}")), side)
+        merged = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        merged = merged.select(F.col("node").alias("label"), F.col("label").alias("joined"))
+        labels = staged(labels.join(merged, "label", "left").select("node", F.coalesce("joined", "label").alias("label")), "labels")
 
     of_class = rows.select("row", "doc_id", "digest", "n", "set_key").join(classes, "set_key", "left")
     of_class = of_class.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node", "row"))
