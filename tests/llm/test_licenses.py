@@ -66,6 +66,6 @@ def test_licence_texts(frame):
 
 def test_index_uses_the_rarest_words():
     t = licenses.default_templates()
-    index = licenses.Index(t, {b"license": 90, b"mit": 2, b"cc": 50, b"by": 99, b"general": 80, b"gnu": 5}, 100)
+    index = licenses.Index(t, {b"license": 90, b"mit": 2, b"cc": 50, b"by": 99, b"general": 80, b"public": 70, b"gnu": 5}, 100)
     assert {k for k, _ in index.postings[b"mit"]} and b"by" not in index.rare
     assert [index.postings[b"gnu"][0][1]] == [0]

@@ -51,9 +51,9 @@ def test_weights_of_words_are_the_mean_of_their_buckets(model):
 
 
 def test_query_on_given_table(spark):
-    out = queries.QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.01").toPandas()
-    assert len(out) == 1000 and out.score.between(0, 1).all() and ((out.score >= 0.5) == (out.predicted == 1)).all()
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").toPandas()
+    out = queries.QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1").toPandas()
+    assert len(out) == 10_000 and out.score.between(0, 1).all() and ((out.score >= 0.5) == (out.predicted == 1)).all()
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas()
     m = out[out.held_out].merge(labels, on="doc_id")
     assert (m.predicted == m.toxic).mean() > (m.toxic == 0).mean()
 

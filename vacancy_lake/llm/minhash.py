@@ -7,9 +7,9 @@
    similarity of 0.8 two sets miss all 32 bands with a probability below 1e-7.
 3. In every bucket one member, the first in an order drawn anew each round, is the centre; the others are compared
    with it alone, so a bucket of n gives n - 1 pairs at most. Each pair is confirmed on the full sets. Later rounds
-   look only at buckets whose members are not in one component yet, with CENTRES centres each, and leave out pairs
-   within a component or compared before. Rounds go on until one brings no new link; members that were not similar to
-   one centre meet others in the later rounds and in their other buckets.
+   look only at buckets whose members are not in one component yet. CENTRES of the members outside the bucket's largest
+   component become centres there, so a member left over meets all others of its buckets; pairs within a component or
+   compared before are left out. Rounds go on until one brings no new link.
 4. Components of the confirmed links, spread over the classes. Each round joins components, not nodes, so its graph is
    only as large as what the round has found.
 
@@ -223,13 +223,18 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     labels = nodes.select("node", F.col("node").alias("label"))
     tested, turn = None, 0
     while True:
-        current = buckets.join(labels, "node")
+        sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+        current = buckets.join(labels.join(sizes, "label"), "node")
+        open_ = (current.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                               F.max(F.struct("size", "label")).alias("main"))
+                 .where("lo <> hi").select("bucket", F.col("main.label").alias("main")))
+        current = staged(current.join(open_, "bucket").select("bucket", "node", "label", "main"), "open")
         orders = range(CENTRES * turn, CENTRES * turn + (CENTRES if turn else 1))
         centres = F.array_distinct(F.array(*[
             F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("order"), F.col("node").alias("c"), F.col("label").alias("cl")))
             for i in orders]))
-        stars = (current.groupBy("bucket").agg(centres.alias("centres"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .where("lo <> hi").select("bucket", F.explode("centres").alias("centre")).select("bucket", "centre.c", "centre.cl"))
+        stars = (current.where("label <> main").groupBy("bucket").agg(centres.alias("centres"))
+                 .select("bucket", F.explode("centres").alias("centre")).select("bucket", "centre.c", "centre.cl"))
         pairs = (current.join(stars, "bucket").where("label <> cl")
                  .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
         if tested is not None:

@@ -192,7 +192,8 @@ def search(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
                 v += [r.v] * len(hit)
                 far += [reach] * len(hit)
                 cell += hit.tolist()
-            yield pd.DataFrame({"q": q, "v": v, "bound": far, "cell": cell})
+            if q:
+                yield pd.DataFrame({"q": q, "v": v, "bound": far, "cell": cell})
 
     def answer(points: pd.DataFrame, visits: pd.DataFrame) -> pd.DataFrame:
         out = []

@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .bpe import CHUNK
+from .bpe import CHUNK, byte_letters
 from .common import staged, tasks_for
 
 END = 2
@@ -35,15 +36,24 @@ BLOCK = 1 << 20
 ROWS_PER_SHARD = 4096
 #: Shards up to which cuts are quantiles held in the plan; above, Spark's range exchange draws them.
 MOST_CUTS = 512
+#: A word of letters whose class no version of Unicode disputes, and punctuation.
+STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*%&$#|]*)")
 CACHED = 1_000_000
+#: Blocks up to this number have their starts broadcast (16 bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 TURNS = 10
 PAIRS_PER_TURN = 4096
 LEAST_COUNT = 6
-TABLE_BITS = 20
+TABLE_BITS = 18
 
 
 class LibraryIds:
-    """Ids of texts from the tokenizers library, chunk by chunk."""
+    """Ids of texts from the tokenizers library, piece by piece.
+
+    Pieces are cut where the library's pattern always breaks. Where blanks and line breaks stand alone these are the
+    parts between them, looked up with (`spaced`) or without (`plain`) their leading blank; texts with other runs of
+    white space are cut by CHUNK. None marks a part that only CHUNK can cut.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,44 +61,93 @@ class LibraryIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
-            special = [t["content"] for t in json.load(f)["added_tokens"]]
-        self.special = {t: self._ids(t) for t in special}
+            spec = json.load(f)
+        special = [t["content"] for t in spec["added_tokens"]]
+        byte_level = spec["normalizer"] is None and spec["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.model = self.tokenizer.model if byte_level else None
+        self.letters = {b: letter for letter, b in byte_letters().items()}
+        self.special = {t: self.ids(t) for t in special}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")").split \
             if special else lambda text: [text]
-        self.line = self._ids("\n")
-        self.known: dict[str, bytes] = {}
+        self.line = self.ids("\n")
+        self.clear()
+
+    def clear(self) -> None:
+        self.plain, self.spaced, self.marks = {"": b""}, {"": None}, {"": b""}
 
-    def _ids(self, text: str) -> bytes:
+    def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
-        """New chunks in one call, a line break between them: it is an id of its own before anything but white space."""
-        if len(self.known) > CACHED:
-            self.known.clear()
-        joined = [c for c in chunks if not c.isspace() and len(c) < 1000]
-        for c in chunks.difference(joined):
-            self.known[c] = self._ids(c)
-        for at in range(0, len(joined), 5000):
-            part = joined[at:at + 5000]
-            ids = np.frombuffer(self._ids("\n".join(part)), "<u4")
-            cuts = np.flatnonzero(ids == np.frombuffer(self.line, "<u4")[0])
-            if len(cuts) != len(part) - 1:
-                self.known.update((c, self._ids(c)) for c in part)
-                continue
-            raw = ids.tobytes()
-            for c, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                self.known[c] = raw[4 * a:4 * b]
+    def each(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without white space but a leading blank, a line break between them in one call."""
+        out = []
+        for at in range(0, len(pieces), 2000):
+            part = pieces[at:at + 2000]
+            raw = self.ids("\n".join(part))
+            cuts = np.flatnonzero(np.frombuffer(raw, "<u4") == np.frombuffer(self.line, "<u4")[0]).tolist()
+            if len(self.line) != 4 or len(cuts) != len(part) - 1:
+                out.extend(map(self.ids, part))
+            else:
+                out.extend(raw[4 * a:4 * b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(raw) // 4]))
+        return out
+
+    def runs(self, pieces: list[str]) -> list[bytes]:
+        """Ids of single pieces of the pattern: by the library's model alone, which skips the search for pieces."""
+        if self.model is None:
+            return self.each(pieces)
+        tokens = self.model.tokenize
+        return [array("I", [t.id for t in tokens(p.encode().decode("latin-1").translate(self.letters))]).tobytes() for p in pieces]
+
+    def learn(self, table: dict, pieces: set[str], blank: str) -> None:
+        """Words with punctuation behind them are put together from both, as the pattern breaks there as well."""
+        bad = {p for p in pieces if p[0].isspace() or p[-1].isspace()}
+        table.update(dict.fromkeys(bad))
+        pieces = pieces - bad
+        stems = {p: m.groups() for p in pieces if (m := STEM.fullmatch(p))}
+        words = list({w for w, _ in stems.values()} - table.keys())
+        table.update(zip(words, self.runs([blank + w for w in words])))
+        marks = list({m for _, m in stems.values()} - self.marks.keys())
+        self.marks.update(zip(marks, self.runs(marks)))
+        table.update((p, table[w] + self.marks[m]) for p, (w, m) in stems.items() if m)
+        others = list(pieces - stems.keys())
+        table.update(zip(others, self.each([blank + p for p in others])))
+
+    def learn_texts(self, texts: list[str]) -> None:
+        if len(self.spaced) > CACHED:
+            self.clear()
+        first, rest = set(), set()
+        for text in texts:
+            for part in self.split(text):
+                for line in part.split("\n"):
+                    head, *tail = line.split(" ")
+                    first.add(head)
+                    rest.update(tail)
+        self.learn(self.plain, first - self.plain.keys(), "")
+        self.learn(self.spaced, rest - self.spaced.keys(), " ")
+
+    def part(self, part: str) -> bytes:
+        if "\n\n" not in part:
+            try:
+                get, lines = self.spaced.__getitem__, []
+                for line in part.split("\n"):
+                    head, *tail = line.split(" ")
+                    lines.append(self.plain[head] + b"".join(map(get, tail)))
+                return self.line.join(lines)
+            except TypeError:
+                pass
+        return b"".join(map(self.ids, CHUNK.findall(part)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [[p if p in self.special else CHUNK.findall(p) for p in self.split(t or "")] for t in texts]
-        new = {c for doc in parts for p in doc if isinstance(p, list) for c in p if c not in self.known}
-        if new:
-            self._learn(new)
-            new = {c for doc in parts for p in doc if isinstance(p, list) for c in p if c not in self.known}
-            if new:  # the table was cleared in between
-                self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(self.special[p] if isinstance(p, str) else b"".join(map(get, p)) for p in doc) for doc in parts]
+        out, texts = [], [t or "" for t in texts]
+        for i, text in enumerate(texts):
+            for _ in range(2):
+                try:
+                    out.append(b"".join(self.special[p] if p in self.special else self.part(p) for p in self.split(text)))
+                    break
+                except KeyError:
+                    self.learn_texts(texts[i:i + 128])
+        return out
 
 
 @lru_cache(2)
@@ -102,37 +161,44 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     Pairs are counted in a table of hashed pairs. Of pairs that share an entry the table names the one met last, and only
     that one is replaced, so a collision costs a little compression and nothing else.
     """
-    symbols, closed = ids.astype(np.int64), np.zeros(len(ids), bool)
+    symbols, closed = ids.astype(np.uint32), np.zeros(len(ids), bool)
     closed[ends] = True
-    rules = []
-    size, shift = 1 << TABLE_BITS, np.uint64(64 - TABLE_BITS)
-    rank = np.full(size, PAIRS_PER_TURN, np.int32)
-    named = np.zeros(size, np.int64)
+    rules, none = [], np.int16(PAIRS_PER_TURN)
+    rank, named = np.full(1 << TABLE_BITS, none, np.int16), np.zeros(1 << TABLE_BITS, np.uint64)
     for _ in range(TURNS):
         if len(symbols) < 2:
             break
-        pair = symbols[:-1] << 20 | symbols[1:]
-        pair[closed[:-1]] = -1
-        entry = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int64)
-        counts = np.bincount(entry, minlength=size)
-        counts[entry[closed[:-1]]] = 0  # the entry of pairs over an end
+        left, right = symbols[:-1], symbols[1:]
+        entry = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - TABLE_BITS)
+        counts = np.bincount(entry[~closed[:-1]], minlength=1 << TABLE_BITS)
         top = np.flatnonzero(counts >= LEAST_COUNT)
         top = top[np.argsort(-counts[top], kind="stable")][:PAIRS_PER_TURN]
-        if not len(top) or counts[top].sum() < len(symbols) // 100:
+        if counts[top].sum() < len(symbols) // 50:
             break
         rank[top] = np.arange(len(top))
-        named[entry] = pair
         mine = rank[entry]
-        mine[named[entry] != pair] = PAIRS_PER_TURN
-        rank[top] = PAIRS_PER_TURN
-        before, after = np.append(PAIRS_PER_TURN, mine[:-1]), np.append(mine[1:], PAIRS_PER_TURN)
-        at = np.flatnonzero((mine < before) & (mine <= after) & (mine < PAIRS_PER_TURN))
-        used, number = np.unique(mine[at], return_inverse=True)
-        chosen = named[top[used]]
-        rules.append(np.stack([chosen >> 20, chosen & 0xFFFFF], 1))
-        symbols[at] = base + number
+        mine[closed[:-1]] = none
+        at = np.flatnonzero(mine < none)
+        pair, slot = left[at].astype(np.uint64) << np.uint64(32) | right[at], mine[at]
+        named[slot] = pair
+        mine[at[named[slot] != pair]] = none
+        rank[top] = none
+        # Chosen: no neighbour ranks before it; in a row of equal pairs every other one.
+        before, after = np.append(none, mine[:-1]), np.append(mine[1:], none)
+        good = (mine <= before) & (mine <= after) & (mine < none)
+        at = np.flatnonzero(good)
+        same = np.flatnonzero(good & (mine == before))
+        if len(same):
+            first = np.flatnonzero(mine != before)
+            odd = (same - first[np.searchsorted(first, same, "right") - 1]) & 1
+            good[same[odd == 1]] = False
+            at = np.flatnonzero(good)
+        hit = np.bincount(mine[at], minlength=len(top)) > 0
+        number = np.cumsum(hit) - 1
+        rules.append(np.stack([named[:len(top)][hit] >> np.uint64(32), named[:len(top)][hit] & np.uint64(0xFFFFFFFF)], 1).astype(np.int64))
+        symbols[at] = base + number[mine[at]]
         closed[at] = closed[at + 1]
-        base += len(used)
+        base += int(hit.sum())
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols, closed = symbols[keep], closed[keep]
@@ -153,9 +219,15 @@ def from_planes(raw: bytes) -> np.ndarray:
     return out.view("<u4")[:, 0]
 
 
+@lru_cache(2)
+def _single(base: int) -> list[bytes]:
+    raw = np.arange(base, dtype="<u4").tobytes()
+    return [raw[i:i + 4] for i in range(0, len(raw), 4)]
+
+
 def expansions(rules: np.ndarray, base: int) -> list[bytes]:
     """Ids of every symbol as bytes: of the ids themselves, then of the rules, each from two earlier symbols."""
-    table = [np.uint32(i).tobytes() for i in range(base)]
+    table = list(_single(base))
     for a, b in rules.tolist():
         table.append(table[a] + table[b])
     return table
@@ -271,5 +343,7 @@ def starts(blocks: DataFrame, group: int = 4096) -> DataFrame:
 
 def listing(blocks: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
-    return (read(blocks).join(starts(blocks), ["shard", "block"])
+    at = staged(starts(blocks), "starts")
+    at = F.broadcast(at) if at.count() <= BROADCAST_ROWS else at
+    return (read(blocks).join(at, ["shard", "block"])
             .select("doc_id", (F.col("start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"))

@@ -31,6 +31,8 @@ PER_CLASS = 1500
 BUCKETS = 1 << 18
 DIM = 8
 EPOCHS = 15
+#: Small samples are passed over more often, up to this number of updates.
+UPDATES = 600
 BATCH = 64
 DECAY = 1e-7
 LEAST = 0.006
@@ -144,7 +146,7 @@ def train(texts: list[str], labels: np.ndarray, prior: float, buckets: int = BUC
     cuts = np.searchsorted(row, np.arange(0, len(texts) + batch, batch))
     parts = [(*np.unique(col[a:b], return_inverse=True), row[a:b] - at * batch, value[a:b])
              for at, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-UPDATES // len(parts)))):
         for at in rng.permutation(len(parts)):
             hit, inverse, doc, weight = parts[at]
             truth = y[at * batch:(at + 1) * batch]
