@@ -7,9 +7,10 @@
    similarity of 0.8 two sets miss all 32 bands with a probability below 1e-7.
 3. In every bucket one member, the first in an order drawn anew each round, is the centre; the others are compared
    with it alone, so a bucket of n gives n - 1 pairs at most. Each pair is confirmed on the full sets. Later rounds
-   look only at buckets whose members are not in one component yet. CENTRES of the members outside the bucket's largest
-   component become centres there, so a member left over meets all others of its buckets; pairs within a component or
-   compared before are left out. Rounds go on until one brings no new link.
+   look only at buckets whose members are not in one component yet, and leave out pairs within a component or compared
+   before. In the second one, members outside the bucket's largest component meet CENTRES of its best-linked members:
+   in a group of copies of one text these are nearest to it. From then on CENTRES of the few members still outside
+   become centres themselves, so each of them meets all others of its buckets, until a round brings no new link.
 4. Components of the confirmed links, spread over the classes. Each round joins components, not nodes, so its graph is
    only as large as what the round has found.
 
@@ -29,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import keep_rows, lower_words, staged
 from .components import components
@@ -38,7 +39,7 @@ BINS = 128
 ROWS = 4
 CENTRES = 8
 #: Sets from this size on are compared by their samples first, of which so many must agree.
-LARGE = 400
+LARGE = 100
 AGREE = 72
 CACHED = 500_000
 #: Candidate lists up to this length travel to every executor (16 bytes a row); longer ones are joined by a shuffle.
@@ -169,7 +170,7 @@ def full_sets(df: DataFrame, wanted: DataFrame, width: int, id_col: str, text_co
 def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(a, b) without those whose sizes, or whose samples, rule out the similarity.
 
-    Of samples of large sets, independent but for a few, those of a true pair agree in at least AGREE of 128 places, six
+    Of samples of large sets, independent but for a few, those of a true pair agree in at least AGREE of 128 places, five
     and more standard deviations below the mean at a similarity of 0.8; smaller sets go on to the full comparison.
     """
     for side in "ab":
@@ -221,7 +222,7 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     sets = staged(sets, "sets")
 
     labels = nodes.select("node", F.col("node").alias("label"))
-    tested, turn = None, 0
+    tested, degrees, turn = None, None, 0
     while True:
         sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
         current = buckets.join(labels.join(sizes, "label"), "node")
@@ -229,24 +230,35 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
                                                F.max(F.struct("size", "label")).alias("main"))
                  .where("lo <> hi").select("bucket", F.col("main.label").alias("main")))
         current = staged(current.join(open_, "bucket").select("bucket", "node", "label", "main"), "open")
-        orders = range(CENTRES * turn, CENTRES * turn + (CENTRES if turn else 1))
-        centres = F.array_distinct(F.array(*[
-            F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("order"), F.col("node").alias("c"), F.col("label").alias("cl")))
-            for i in orders]))
-        stars = (current.where("label <> main").groupBy("bucket").agg(centres.alias("centres"))
-                 .select("bucket", F.explode("centres").alias("centre")).select("bucket", "centre.c", "centre.cl"))
-        pairs = (current.join(stars, "bucket").where("label <> cl")
+        if turn == 1:  # members outside the largest component meet its best-linked members
+            hub = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
+            stars = (current.where("label = main").join(degrees, "node").withColumn("place", F.row_number().over(hub))
+                     .where(F.col("place") <= CENTRES).select("bucket", F.col("node").alias("c"), F.col("label").alias("cl")))
+            spokes = current.where("label <> main")
+        else:  # a centre outside the largest component meets all others
+            orders = range(CENTRES * turn, CENTRES * turn + (CENTRES if turn else 1))
+            centres = F.array_distinct(F.array(*[
+                F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("order"), F.col("node").alias("c"), F.col("label").alias("cl")))
+                for i in orders]))
+            stars = (current.where("label <> main").groupBy("bucket").agg(centres.alias("centres"))
+                     .select("bucket", F.explode("centres").alias("centre")).select("bucket", "centre.c", "centre.cl"))
+            spokes = current
+        pairs = (spokes.join(stars, "bucket").where("label <> cl")
                  .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         links = staged(confirmed(staged(plausible(pairs, nodes, percent), "plausible"), sets, percent), "links")
         turn += 1
+        tested = pairs if tested is None else tested.unionByName(pairs)
         if links.isEmpty():
-            if turn > 1:
+            if turn > 2:
                 break
+            turn = 2
             continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        if turn == 1:
+            degrees = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(
+                F.count("*").alias("degree")).withColumnRenamed("a", "node")
         for side in "ab":  # links between components
             links = links.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}")), side)
         merged = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
