@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import lower_words, staged
 
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 WORDS_PER_SHARD = 2_000_000
 PAIRS_PER_SHARD = 3_000_000
 HOT_SHARE = 1e-3
@@ -265,22 +265,31 @@ def word_counts(blocks: DataFrame, shards: int) -> DataFrame:
     return asked.groupBy("shard").applyInPandas(answer, "kind int, block long, a long, counts binary, x long, n long")
 
 
+def destinations(b: Block, context: np.ndarray, word: np.ndarray, shards: int, hot: np.ndarray) -> np.ndarray:
+    """Shard of each bigram: of its context, and for a hot context of the range of its successor as well."""
+    hashes = b.words[context]
+    to = shard_of(hashes, shards)
+    split = np.isin(hashes, hot)
+    ranges = prints_of(b.words[word[split]]) >> np.uint64(PRINT_BITS - SPLIT_BITS)
+    to[split] = (to[split] + 1 + ranges.astype(np.int64)) % shards
+    return to.astype(np.uint16) if shards < 1 << 16 else to  # short numbers sort faster
+
+
 def bigram_codes(blocks: DataFrame, shards: int, hot: np.ndarray, hot_counts: np.ndarray) -> DataFrame:
-    """kind 0: codes of a block's bigrams from place `a` on; kind 1: per class of contexts, tokens seen once and all."""
+    """kind 0: codes of a block's bigrams from place `a` on in the order of their shards; kind 1: per class of contexts, tokens seen once and all."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 b = Block(r["vocabulary"], r["tokens"], r["sizes"], r["held"])
                 context, word, counts, _ = b.bigrams()
-                hashes, prints = b.words[context], prints_of(b.words[word])
-                to = shard_of(hashes, shards)
-                split = np.isin(hashes, hot)
-                to[split] = (to[split] + 1 + (prints[split] >> np.uint64(PRINT_BITS - SPLIT_BITS)).astype(np.int64)) % shards
-                rows = []
+                to = destinations(b, context, word, shards, hot)
+                order = np.argsort(to, kind="stable")
+                to, context, word, counts, rows = to[order], context[order], word[order], counts[order], []
                 for a, z in _runs(to):
                     first = np.flatnonzero(np.append(True, context[a + 1:z] != context[a:z - 1]))
-                    low = prints[a:z].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                    rows.append({"shard": int(to[a]), "block": r["block"], "a": a, "contexts": hashes[a:z][first].tobytes(),
+                    low = prints_of(b.words[word[a:z]]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+                    rows.append({"shard": int(to[a]), "block": r["block"], "a": a,
+                                 "contexts": b.words[context[a:z][first]].tobytes(),
                                  "sizes": np.diff(np.append(first, z - a)).astype("<u4").tobytes(),
                                  "prints": low.tobytes(), "counts": counts[a:z].astype("<u4").tobytes()})
                 yield pa.RecordBatch.from_pylist(rows, sent)
@@ -310,10 +319,12 @@ def bigram_codes(blocks: DataFrame, shards: int, hot: np.ndarray, hot_counts: np
         # Bigrams of held-out texts alone get the code 0, so every question finds its place.
         codes = np.zeros(len(keys), np.uint8)
         codes[seen] = quantise(np.log10(counts[seen] / whole[of[seen]]))
-        trie = Trie.build(known, np.bincount(of, minlength=len(known)), keys & np.uint64((1 << PRINT_BITS) - 1), codes)
-        with trie.mapped() as opened:
-            for block, a, (c, s, p, _) in zip(pdf["block"], pdf["a"], parts):
-                rows.append((0, block, a, opened.lookup(c, s, p).tobytes(), 0, 0))
+        sizes, prints = np.bincount(of, minlength=len(known)), keys & np.uint64((1 << PRINT_BITS) - 1)
+        with Trie.build(known, sizes, prints, codes).mapped() as trie:
+            found = trie.lookup(known, sizes, prints)[place]  # a bigram that many blocks ask for is looked up once
+        ends = np.cumsum([len(p[2]) for p in parts])
+        for block, a, (_, _, p, _), end in zip(pdf["block"], pdf["a"], parts, ends.tolist()):
+            rows.append((0, block, a, found[end - len(p):end].tobytes(), 0, 0))
         return pd.DataFrame(rows, columns=["kind", "block", "a", "codes", "once", "n"])
 
     sent = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("a", pa.int64()), ("contexts", pa.binary()),
@@ -341,7 +352,8 @@ def scores(df: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     hot = np.array([r["x"] for r in common], np.int64).view(np.uint64)
     turn = np.argsort(hot)
     hot, hot_counts = hot[turn], np.array([r["n"] for r in common], np.int64)[turn]
-    of_pairs = staged(bigram_codes(blocks, shards(size["tokens"], PAIRS_PER_SHARD), hot, hot_counts), "bigrams")
+    pair_shards = shards(size["tokens"], PAIRS_PER_SHARD)
+    of_pairs = staged(bigram_codes(blocks, pair_shards, hot, hot_counts), "bigrams")
     mu = np.ones(80)
     for r in of_pairs.where("kind = 1").groupBy("a").agg(F.sum("once").alias("once"), F.sum("n").alias("n")).collect():
         mu[r["a"]] = (r["once"] + 1.0) / (r["n"] + 2.0)
@@ -352,10 +364,14 @@ def scores(df: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
         for r in asked.itertuples(index=False):
             b = Block(r.vocabulary, r.tokens, r.sizes, r.held)
             context, word, _, place = b.bigrams()
+            order = np.argsort(destinations(b, context, word, pair_shards, hot), kind="stable")
             counts, codes = np.zeros(len(b.words), np.int64), np.zeros(len(context), np.uint8)
             for a, raw in zip(replies["a"], replies["reply"]):
-                into, found = (codes, np.frombuffer(raw, np.uint8)) if a & 1 else (counts, np.frombuffer(raw, "<u8"))
-                into[a >> 1:(a >> 1) + len(found)] = found
+                found = np.frombuffer(raw, np.uint8 if a & 1 else "<u8")
+                if a & 1:
+                    codes[order[a >> 1:(a >> 1) + len(found)]] = found
+                else:
+                    counts[a >> 1:(a >> 1) + len(found)] = found
             unigram = (counts + 0.5) / (n_all + 0.5 * (n_distinct + 1))
             share = mu[class_of(counts)]
             p = np.log10((1 - share[context]) * restore(codes) + share[context] * unigram[word])
