@@ -8,7 +8,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -43,7 +42,6 @@ def main() -> None:
     ORDERED()
     spark = (SparkSession.builder.master(f"local[{cores}]").appName("bench").config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "16g").config("spark.sql.shuffle.partitions", cores)
-             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     folders = [sf_dir]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vacancy_lake.functions.rules import PlaceRules
 from vacancy_lake.operators import facts as E
 from vacancy_lake.schema import ensure_shared_folder
+from vacancy_lake.sources import lake as A
 from vacancy_lake.sources.lake import Lake
 
 AS_OF = date(2001, 8, 1)
@@ -127,6 +128,17 @@ def facts(df: DataFrame) -> dict[str, DataFrame]:
             "company_hiring_monthly": E.company_counts(df, run)}
 
 
+@once
+def published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The facts of all runs, written once per application to the shared folder and read from there, folder by folder."""
+    lake = work_lake(spark, "facts")
+    out = {}
+    for name, df in facts(postings(spark, sf_dir)).items():
+        A.write_fact(df, name, lake)
+        out[name] = A.read_fact(spark, name, lake).select(*df.columns)
+    return out
+
+
 @once
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload JSON per order: src_a speaks the board dialect, src_b the nested one; plus `created` seconds."""

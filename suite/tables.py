@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from vacancy_lake.functions import rules as R, skills as S, text as T, times as X
 from vacancy_lake.operators import facts as E, incremental as B, merge as D, standardize as C
+from vacancy_lake.plans import build as P
 from vacancy_lake.plans.build import standard_batch
-from vacancy_lake.schema import POSTING
+from vacancy_lake.schema import FACT_DIMENSION, POSTING, RUN_SUMMARY
 from vacancy_lake.sources import lake as A, state as ST
 from vacancy_lake.streaming import landing_stream as STREAM
 
@@ -54,16 +55,17 @@ def a01(spark, d):
 
 
 @query("a01_newest_batch", sql(SQL_LANDING, """
-SELECT run_id, count(*) AS n FROM ln WHERE source = 'src_a' AND run_id = (SELECT max(run_id) FROM ln WHERE source = 'src_a')
+SELECT source, run_id, count(*) AS n FROM ln WHERE (source, run_id) IN (SELECT (source, max(run_id)) FROM ln GROUP BY source)
 GROUP BY ALL"""))
 def a01_newest(spark, d):
     """Batches land one after the other; the newest of a source is the default input."""
     lake = fx.work_lake(spark, "a01n")
-    rows = _landing(spark, d).where("source = 'src_a'")
+    rows = _landing(spark, d)
     last = rows.agg(F.max("run_id")).first()[0]
     A.write_landing(rows.where(F.col("run_id") != last), lake)
     A.write_landing(rows.where(F.col("run_id") == last), lake)
-    return A.read_landing(spark, lake, "src_a").groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+    return reduce(DataFrame.unionByName, [A.read_landing(spark, lake, s) for s, _ in DIALECTS]).groupBy(
+        "source", "run_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("a02_write_landing_slice", sql(SQL_LANDING, """
@@ -102,36 +104,33 @@ YEARLY = "substr(bronze_ingest_date, 1, 4) || '1231T0'"
 
 @query("a04_read_history", sql(SQL_POSTINGS, f"""
 SELECT job_id, source, title_norm, company_norm, location_raw, remote_type, list_aggregate(skills, 'string_agg', '|') AS skills,
-  {YEARLY} AS bronze_run_id, strftime(CASE WHEN k % 97 <> 0 THEN day END, '%Y-%m-%d') AS posted_on FROM p
-WHERE source = 'src_a'"""))
+  {YEARLY} AS bronze_run_id, strftime(CASE WHEN k % 97 <> 0 THEN day END, '%Y-%m-%d') AS posted_on FROM p"""))
 def a04(spark, d):
     """Current and earlier flat layout together; the merged snapshot beside them stays unread."""
     lake = fx.work_lake(spark, "a04")
     df = _yearly(fx.postings(spark, d))
     late = F.col("bronze_run_id") >= "1998"
     A.write_batch(df.where(late), lake)
-    A.write_snapshot(df, lake, "src_a", "20011231T0")
-    earlier = C.text_contract(df.where(~late & (F.col("source") == "src_a"))).withColumns(
+    A.write_snapshot(df.where("source = 'src_a'"), lake, "src_a", "20011231T0")
+    earlier = C.text_contract(df.where(~late)).withColumns(
         {"ingest_date": F.col("bronze_ingest_date"), "run_id": F.col("bronze_run_id")})
     (earlier.withColumnsRenamed({"title_norm": "title_raw", "company_norm": "company_raw", "location_raw": "location"})
      .write.partitionBy("ingest_date", "run_id").parquet(lake.legacy_jobs))
-    out = A.read_history(spark, lake, "src_a", legacy_source=True)
+    out = A.read_history(spark, lake, "src_a", legacy_source=True).unionByName(A.read_history(spark, lake, "src_b"))
     return out.select("job_id", "source", "title_norm", "company_norm", "location_raw", "remote_type",
                       F.nullif(F.array_join("skills", "|"), F.lit("")).alias("skills"), "bronze_run_id",
                       F.date_format("posted_at", "yyyy-MM-dd").alias("posted_on"))
 
 
 @query("a05_write_fact", sql(SQL_POSTINGS, """
-SELECT source, posted_month, '20010901T0' AS run_id, company_norm AS company_name, count(*) AS job_count FROM p
-WHERE posted_month BETWEEN '2000-01' AND '2001-08' GROUP BY ALL"""))
+SELECT source, posted_month, '20010901T0' AS run_id, company_norm AS company_name, count(*) AS job_count FROM p GROUP BY ALL"""))
 def a05(spark, d):
-    """Write all months, write one of them again, read back a month range that prunes folders."""
+    """Write all months, write one of them again, read all back."""
     lake = fx.work_lake(spark, "a05")
     fact = E.company_hiring(fx.postings(spark, d, False), "20010901T0")
     A.write_fact(fact, "company_hiring_monthly", lake)
     A.write_fact(fact.where("posted_month = '2001-07'"), "company_hiring_monthly", lake)
-    back = A.read_fact(spark, "company_hiring_monthly", lake).where("posted_month BETWEEN '2000-01' AND '2001-08'")
-    return back.select("source", "posted_month", "run_id", "company_name", "job_count")
+    return A.read_fact(spark, "company_hiring_monthly", lake).select("source", "posted_month", "run_id", "company_name", "job_count")
 
 
 @query("a06_latest_run", sql(SQL_POSTINGS, """
@@ -169,17 +168,24 @@ def a08(spark, d):
 
 
 @query("a09_register_tables", sql(SQL_POSTINGS, """
-SELECT source, CAST(count(*) AS BIGINT) AS total_postings FROM p WHERE posted_month >= '2001-01' GROUP BY source"""))
+SELECT source, CAST(count(*) AS BIGINT) AS total_postings, count(DISTINCT company_norm) AS employers FROM p GROUP BY source"""))
 def a09(spark, d):
     lake = fx.work_lake(spark, "a09")
     df = fx.postings(spark, d)
     for name, fact in E.build_facts(df, "r1", places=None).items():
         A.write_fact(fact, name, lake)
     A.publish_latest(E.resolve_run(df).withColumn("run_id", F.lit("r1")), lake)
+    for source, _ in DIALECTS:
+        A.write_snapshot(df.where(F.col("source") == source), lake, source, "r1")
     database = "vacancy_" + lake.root.rsplit("-", 1)[-1]
-    A.register_tables(spark, lake, database)
-    return spark.sql(f"""SELECT source, sum(job_count) AS total_postings FROM {database}.role_demand_monthly
-      JOIN {database}.latest_run_metadata USING (source, run_id) WHERE posted_month >= '2001-01' GROUP BY source""")
+    A.register_tables(spark, lake, database, [s for s, _ in DIALECTS])
+    return spark.sql(f"""SELECT source, total_postings, employers FROM (
+        SELECT source, sum(job_count) AS total_postings FROM {database}.role_demand_monthly
+        JOIN {database}.latest_run_metadata USING (source, run_id) GROUP BY source) JOIN (
+        SELECT source, count(DISTINCT company_norm) AS employers FROM (
+          SELECT source, company_norm FROM {database}.postings_src_a UNION ALL
+          SELECT source, company_norm FROM {database}.postings_src_b)
+        JOIN {database}.latest_run_metadata USING (source) GROUP BY source) USING (source)""")
 
 
 # --- incremental landing -----------------------------------------------------------------------------------
@@ -269,26 +275,61 @@ def b05(spark, d):
 STREAM_LOOKBACK = 24 * 31
 
 
-@query("b06_landing_stream", sql(SQL_POSTINGS, f"""
-SELECT 'job-' || k AS source_job_id, 'stream-' || lpad(CAST(b AS VARCHAR), 12, '0') AS bronze_run_id
-FROM (SELECT k, b, created, max(top) OVER (ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm
-  FROM (SELECT *, max(created) OVER (PARTITION BY b) AS top FROM (
-    SELECT k, CAST(epoch(day) AS BIGINT) AS created,
-      (least(year(day) + CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END, 2001) - 1995) // 2 AS b FROM p WHERE source = 'src_a')))
-WHERE wm IS NULL OR created > wm - {STREAM_LOOKBACK} * 3600"""))
-def b06(spark, d):
-    """A file per year, two files per micro-batch, every fiftieth posting a year late; what arrives in a later
-    batch and is older than the lookback is dropped."""
-    lake = fx.work_lake(spark, "b06")
-    rows = fx.payloads(spark, d).where("source = 'src_a'")
+STREAM_SQL = f"""
+SELECT source, CASE WHEN source = 'src_a' THEN 'job-' || k ELSE CAST(k AS VARCHAR) END AS source_job_id, CAST(b AS BIGINT) AS batch
+FROM (SELECT source, k, b, created, max(top) OVER (PARTITION BY source ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm
+  FROM (SELECT *, max(created) OVER (PARTITION BY source, b) AS top FROM (
+    SELECT source, k, CAST(epoch(day) AS BIGINT) AS created,
+      (least(year(day) + CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END, 2001) - 1995) // 2 AS b FROM p)))
+WHERE wm IS NULL OR created > wm - {STREAM_LOOKBACK} * 3600"""
+
+
+def _incoming(spark, d, lake, source: str, copies: int = 0) -> str:
+    """A file per year, in the order of years; every fiftieth posting comes a year late. `copies` repeats postings in
+    the file of the next year."""
+    rows = fx.payloads(spark, d).where(F.col("source") == source)
     year = F.least(F.year("day") + F.when(F.col("o_orderkey") % 50 == 0, 1).otherwise(0), F.lit(2001))
     spread = rows.withColumn("y", year)
-    for y in range(1995, 2002):  # files arrive in this order
+    if copies:
+        again = spread.where(F.col("o_orderkey") % copies == 0).withColumn("y", F.least(F.col("y") + 1, F.lit(2001)))
+        spread = spread.unionByName(again)
+    for y in range(1995, 2002):
         (spread.where(F.col("y") == y).select("source", "raw_payload").coalesce(1)
-         .write.mode("append").json(f"{lake.root}/incoming/y={y}"))
-    STREAM.start_landing_stream(spark, f"{lake.root}/incoming/*", lake, f"{lake.root}/stream_state", "src_a", B.BOARD,
-                                STREAM_LOOKBACK, files_per_trigger=2, places=None).awaitTermination()
-    return STREAM.current_postings(spark, lake, "src_a", None).select("source_job_id", "bronze_run_id")
+         .write.mode("append").json(f"{lake.root}/incoming/{source}/y={y}"))
+    return f"{lake.root}/incoming/{source}/*"
+
+
+def _stream(spark, lake, src, source, dialect, checkpoint="stream", lookback=STREAM_LOOKBACK, files=2):
+    STREAM.start_landing_stream(spark, src, lake, f"{lake.root}/{checkpoint}/{source}", source, dialect, lookback,
+                                files_per_trigger=files, aggregator_sources=("src_b",), places=None).awaitTermination()
+
+
+@query("b06_landing_stream", sql(SQL_POSTINGS, STREAM_SQL))
+def b06(spark, d):
+    """Both dialects, two files per micro-batch; what arrives in a later batch and is older than the lookback is dropped."""
+    lake = fx.work_lake(spark, "b06")
+    for source, dialect in DIALECTS:
+        _stream(spark, lake, _incoming(spark, d, lake, source), source, dialect)
+    out = reduce(DataFrame.unionByName, [STREAM.current_postings(spark, lake, s, None) for s, _ in DIALECTS])
+    return out.select("source", "source_job_id", F.element_at(F.split("bronze_run_id", "-"), -1).cast("long").alias("batch"))
+
+
+@query("b06_restart", sql(SQL_POSTINGS, """
+SELECT source, CASE WHEN source = 'src_a' THEN 'job-' || k ELSE CAST(k AS VARCHAR) END AS source_job_id,
+  CAST(epoch(max(day) OVER (PARTITION BY source)) AS BIGINT) AS fetch_watermark FROM p"""))
+def b06_restart(spark, d):
+    """Postings repeat across the files of a batch; the first half of the years runs under one checkpoint, then all
+    files under a new one, whose batch 0 must not replace the folders of the old. Nothing is older than the lookback."""
+    lake, parts = fx.work_lake(spark, "b06r"), []
+    for source, dialect in DIALECTS:
+        src = _incoming(spark, d, lake, source, copies=7)
+        early = src.replace("/*", "/y={1995,1996,1997,1998}")
+        _stream(spark, lake, early, source, dialect, "first", 24 * 366 * 20)
+        _stream(spark, lake, src, source, dialect, "second", 24 * 366 * 20, 3)
+        top = ST.read_state(spark, lake.root, source, before_batch=0, query="any")["fetch_watermark"]
+        parts.append(STREAM.current_postings(spark, lake, source, None).select(
+            "source", "source_job_id", F.lit(top).cast("long").alias("fetch_watermark")))
+    return parts[0].unionByName(parts[1])
 
 
 # --- standardisation ---------------------------------------------------------------------------------------
@@ -458,6 +499,21 @@ def c11(spark, d):
     return out.select("doc_id", F.size("skills").cast("long").alias("n_terms"), F.md5(F.array_join("skills", "|")).alias("terms"))
 
 
+@query("c11_tag_terms_long", f"""
+WITH b AS (SELECT string_split({_blob_sql('text')}, ' ') AS w FROM benchmark),
+v AS (SELECT DISTINCT unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM b),
+dw AS (SELECT doc_id, string_split({_blob_sql('text')}, ' ') AS w FROM documents),
+dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM dw),
+h AS (SELECT doc_id, count(*) AS n_terms, md5(string_agg(g, '|' ORDER BY g)) AS terms FROM dg JOIN v USING (g) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_terms, 0) AS n_terms, coalesce(terms, md5('')) AS terms FROM documents LEFT JOIN h USING (doc_id)""")
+def c11_long(spark, d):
+    """Terms of three words, all triples of the benchmark."""
+    words = fx.table(spark, d, "benchmark").select(F.split(S.token_text("text"), " ").alias("w")).where(F.size("w") > 2)
+    triples = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.array_join(F.slice("w", i, 3), " "))
+    out = C.tag_terms(fx.table(spark, d, "documents"), words.select(F.explode(triples).alias("term")).distinct(), "doc_id", "text")
+    return out.select("doc_id", F.size("skills").cast("long").alias("n_terms"), F.md5(F.array_join("skills", "|")).alias("terms"))
+
+
 _TERMS = ", ".join(f"('{t}')" for t in R.SKILL_TERMS)
 _ALIASES = ", ".join(f"('{k}', '{t}')" for k, v in R.SKILL_ALIASES.items() if " " not in k for t in v)
 SQL_TAGGED = SQL_LANDING + f""", v(term) AS (VALUES {_TERMS}), al(alias, term) AS (VALUES {_ALIASES}),
@@ -575,6 +631,26 @@ def d02(spark, d):
     return out.select("job_id", "event_id", "value")
 
 
+@query("d02_upsert_snapshot", sql(SQL_POSTINGS, """
+SELECT source, job_id, CASE WHEN k % 10 = 0 THEN 'newer' ELSE title_norm END AS title_norm,
+  strftime(CASE WHEN k % 97 <> 0 THEN day END, '%Y-%m') AS month FROM p"""))
+def d02_snapshot(spark, d):
+    """The stored snapshot: a batch touches its buckets alone; newer lineage wins, older loses, new keys come in."""
+    lake, df, parts = fx.work_lake(spark, "d02"), fx.postings(spark, d, False), []
+    k = F.col("source_job_id").cast("long")
+    for source, _ in DIALECTS:
+        mine = df.where(F.col("source") == source)
+        A.write_snapshot(mine.where(k % 10 != 3), lake, source, "v1")
+        newer = mine.where(k % 10 == 0).withColumns({"title_norm": F.lit("newer"), "bronze_ingest_date": F.lit("2030-01-01")})
+        older = mine.where(k % 10 == 5).withColumns({"title_norm": F.lit("older"), "bronze_ingest_date": F.lit("1990-01-01")})
+        batch = newer.unionByName(older).unionByName(mine.where(k % 10 == 3)).select(*POSTING.fieldNames())
+        touched = A.touched_buckets(batch)
+        old = A.read_snapshot(spark, lake, source, touched)
+        A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, source, "v2", touched)
+        parts.append(A.read_snapshot(spark, lake, source))
+    return parts[0].unionByName(parts[1]).select("source", "job_id", "title_norm", F.date_format("posted_at", "yyyy-MM").alias("month"))
+
+
 @query("d03_quality_report", """
 WITH l AS (SELECT l_orderkey || '-' || l_linenumber AS job_id, CAST(l_partkey AS VARCHAR) AS sid, p_name, p_brand FROM lineitem
   JOIN part ON l_partkey = p_partkey),
@@ -698,21 +774,44 @@ def e07(spark, d):
 SELECT source, m AS posted_month, 'r9' AS run_id, count(DISTINCT CASE WHEN posted_month = m THEN title_norm END) AS role_row_count,
   count(DISTINCT CASE WHEN posted_month = m THEN company_norm END) AS company_row_count,
   count(DISTINCT CASE WHEN posted_month = m THEN location_raw END) AS location_row_count, 'PASS' AS status,
+  (SELECT count(DISTINCT s) FROM (SELECT unnest(skills) AS s FROM p q WHERE q.source = p.source AND q.posted_month = m)) AS skill_row_count,
+  coalesce(CASE WHEN count(DISTINCT CASE WHEN posted_month = m THEN time_axis END) > 1 THEN 'mixed'
+    ELSE max(CASE WHEN posted_month = m THEN time_axis END) END, 'posted') AS time_axis,
   coalesce(max(CASE WHEN posted_month = m THEN bronze_ingest_date END), max(bronze_ingest_date)) AS bronze_ingest_date
 FROM p CROSS JOIN (SELECT unnest(['2001-07', '2001-08', '2030-01']) AS m) GROUP BY source, m"""))
 def e08(spark, d):
     """Three months asked for, one of them without any posting: it is published with zero rows."""
     out = E.build_facts(fx.postings(spark, d), "r9", ["2001-08", "2001-07", "2030-01"], None)
     return out["pipeline_run_summary"].select("source", "posted_month", "run_id", "role_row_count", "company_row_count",
-                                              "location_row_count", "status", "bronze_ingest_date")
-
-
-@query("e08_build_facts_all", sql(SQL_POSTINGS, """
-SELECT source, posted_month, role, CAST(count(*) AS BIGINT) AS job_count FROM (
-  SELECT source, posted_month, title_norm AS role FROM p) GROUP BY ALL"""))
+                                              "location_row_count", "status", "bronze_ingest_date", "skill_row_count", "time_axis")
+
+
+@query("e08_build_facts_all", sql(SQL_POSTINGS + """,
+pr AS (SELECT source, posted_month, max(bronze_ingest_date) AS day,
+  CASE WHEN count(DISTINCT time_axis) = 1 THEN max(time_axis) ELSE 'mixed' END AS axis FROM p GROUP BY ALL),
+f AS (SELECT 'skill' AS fact, source, posted_month, unnest(skills) AS value FROM p
+  UNION ALL SELECT 'role', source, posted_month, title_norm FROM p
+  UNION ALL SELECT 'location', source, posted_month, location_raw FROM p
+  UNION ALL SELECT 'company', source, posted_month, company_norm FROM p),
+c AS (SELECT fact, source, posted_month, value, count(*) AS n FROM f GROUP BY ALL),
+s AS (SELECT source, posted_month, fact, count(*) AS n FROM c GROUP BY ALL)""", """
+SELECT fact, source, posted_month, 'r9' AS run_id, value, n AS job_count, day AS bronze_ingest_date, 'r9' AS bronze_run_id,
+  axis AS time_axis FROM c JOIN pr USING (source, posted_month)
+UNION ALL SELECT 'summary ' || fact, source, posted_month, 'r9', 'PASS', n, day, 'r9', axis FROM s JOIN pr USING (source, posted_month)"""))
 def e08_all(spark, d):
-    return E.build_facts(fx.postings(spark, d), "r9", places=None)["role_demand_monthly"].select(
-        "source", "posted_month", "role", "job_count")
+    """All five tables with every column, as written by a publication of each source and read back."""
+    lake, df = fx.work_lake(spark, "e08"), fx.postings(spark, d)
+    for source, _ in DIALECTS:
+        P.publish_facts(df.where(F.col("source") == source), lake, "r9", None, None, True, source)
+    rest = ("source", "posted_month", "run_id")
+    lineage = ("bronze_ingest_date", "bronze_run_id", "time_axis")
+    parts = [A.read_fact(spark, t, lake).select(F.lit(dim.split("_")[0]).alias("fact"), *rest, F.col(dim).alias("value"), "job_count", *lineage)
+             for t, dim in FACT_DIMENSION.items()]
+    summary = A.read_fact(spark, RUN_SUMMARY, lake)
+    counts = F.explode(F.array(*[F.struct(F.lit(f"summary {n}").alias("fact"), F.col(f"{n}_row_count").alias("job_count"))
+                                 for n in ("skill", "role", "location", "company")]))
+    parts.append(summary.withColumn("c", counts).select("c.fact", *rest, F.col("status").alias("value"), "c.job_count", *lineage))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("e09_resolve_run", sql(SQL_POSTINGS, """

@@ -16,7 +16,7 @@ KEYS = list(V.KEYS)
 
 
 def _facts(spark, d, skills=False):
-    return fx.facts(fx.postings(spark, d, skills))
+    return fx.published(spark, d)
 
 
 def _role(spark, d):
@@ -62,7 +62,7 @@ FROM p WHERE posted_month IN (SELECT posted_month FROM win)
   AND (source, posted_month) IN (SELECT (source, posted_month) FROM win)"""))
 def f03(spark, d):
     df = fx.postings(spark, d, False)
-    months = V.latest_runs(fx.facts(df)["role_demand_monthly"], fx.AS_OF)
+    months = V.latest_runs(_role(spark, d), fx.AS_OF)
     return V.silver_base(df, months).select("source", "job_id", "posted_month", "title_norm", "company_norm",
                                             "location_raw", "remote_type", "bronze_run_id", "time_axis")
 
@@ -72,7 +72,7 @@ SELECT source, job_id, strict_month AS posted_month, title_norm FROM p
 WHERE (source, strict_month) IN (SELECT (source, posted_month) FROM newest)"""))
 def f03_strict(spark, d):
     df = fx.postings(spark, d, False)
-    months = V.latest_runs(fx.facts(df)["role_demand_monthly"])
+    months = V.latest_runs(_role(spark, d))
     return V.silver_base(df, months, fallback=False).select("source", "job_id", "posted_month", "title_norm")
 
 
@@ -116,8 +116,7 @@ LEFT JOIN m1 USING (source, posted_month)"""
 
 
 def _kpi(spark, d, pick):
-    df = fx.postings(spark, d)
-    f = {t: pick(x) for t, x in fx.facts(df).items()}
+    f = {t: pick(x) for t, x in fx.published(spark, d).items()}
     return V.kpi_slice(f["role_demand_monthly"], f["location_demand_monthly"], f["company_hiring_monthly"],
                        f["skill_demand_monthly"], V.classify_roles(f["role_demand_monthly"]),
                        fx.postings(spark, d, False))
@@ -168,7 +167,7 @@ FROM (SELECT DISTINCT source, posted_month FROM newest) n
 LEFT JOIN p ON p.source = n.source AND p.strict_month = n.posted_month GROUP BY ALL"""))
 def f08(spark, d):
     df = fx.postings(spark, d, False)
-    months = fx.facts(df)["role_demand_monthly"].select("source", "posted_month").distinct()
+    months = _role(spark, d).select("source", "posted_month").distinct()
     return V.work_mode_share(df, months)
 
 
@@ -554,6 +553,23 @@ def f33(spark, d):
         M.top_n_other(f["company_hiring_monthly"], KEYS, "company_name", 12), V.role_pareto(f["role_demand_monthly"]))
 
 
+@query("f33_reconcile_broken", sql(SQL_FACTS + """,
+g AS (SELECT n.source, n.posted_month, n.run_id, CAST(sum(job_count) AS DOUBLE) AS t FROM newest n JOIN f_role USING (source, posted_month, run_id)
+  GROUP BY ALL)""", """
+SELECT source, posted_month, run_id, 'total_postings' AS "check", t AS expected, t + 1 AS actual, false AS ok FROM g
+UNION ALL SELECT source, posted_month, run_id, 'employers_with_other', t, NULL, false FROM g"""))
+def f33_broken(spark, d):
+    """A KPI that counts one posting too many, and a view that lost its rows: both are reported."""
+    runs = V.latest_runs(_role(spark, d))
+    f = {t: V.restrict(x, runs) for t, x in _facts(spark, d, True).items()}
+    kpi = V.kpi_slice(f["role_demand_monthly"], f["location_demand_monthly"], f["company_hiring_monthly"],
+                      f["skill_demand_monthly"]).withColumn("total_postings", F.col("total_postings") + 1)
+    out = AU.reconcile(
+        f, kpi, V.location_top_other(f["location_demand_monthly"], 15, KEYS),
+        M.top_n_other(f["company_hiring_monthly"], KEYS, "company_name", 12).where("false"), V.role_pareto(f["role_demand_monthly"]))
+    return out.where(F.col("check").isin("total_postings", "employers_with_other"))
+
+
 @query("f34_verify_publication", sql(SQL_FACTS + ", " + POINTER + """,
 c AS (SELECT source, run_id, (SELECT count(*) FROM f_skill s WHERE s.source = ptr.source AND s.run_id = ptr.run_id) AS a,
     (SELECT count(*) FROM f_role s WHERE s.source = ptr.source AND s.run_id = ptr.run_id) AS b,
@@ -562,7 +578,7 @@ SELECT source, run_id, a AS skill_demand_monthly_rows, b AS role_demand_monthly_
   (c >= 1 AND (a >= 1 OR b >= 1)) AS published FROM c"""))
 def f34(spark, d):
     df = fx.postings(spark, d)
-    f = fx.facts(df)
+    f = fx.published(spark, d)
     tables = {t: f[t] for t in ("skill_demand_monthly", "role_demand_monthly")}
     tables["pipeline_run_summary"] = run_summary(f, month_profile(df, F.col(fx.RUN)))
     return AU.verify_publication(tables, _pointer(spark, d))

@@ -193,8 +193,11 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, lake, tmp_path):
     assert _run(spark, lake) == expected
     assert ST.read_state(spark, lake.root, "board")["fetch_watermark"] == 10_600
     before = A.read_history(spark, lake, "board").count()
-    assert _run(spark, lake, "c2") == expected  # all batches once more, from scratch: same folders, same state rows
-    assert A.read_history(spark, lake, "board").count() == before
+    assert _run(spark, lake) == expected and A.read_history(spark, lake, "board").count() == before  # nothing new
+    assert A.read_landing(spark, lake).count() == 5  # what passed the lookback, as it came
+    # All files once more under another checkpoint: folders of its own, the watermark is carried over.
+    assert _run(spark, lake, "c2") == expected
+    assert ST.read_state(spark, lake.root, "board", before_batch=0, query="new")["fetch_watermark"] == 10_600
     # The batch form over the same files.
     other = A.Lake(str(tmp_path / "batch"))
     for i, payloads in enumerate(files):
@@ -209,6 +212,120 @@ def test_stream_first_version_wins_on_request(spark, lake):
     assert _run(spark, lake, first_wins=True) == {"a": "python developer", "b": "python developer"}
 
 
+def test_stream_takes_the_first_row_of_a_batch(spark, lake):
+    """Of one key in two files of a batch the row of the earlier file counts, however large the later one is."""
+    _drop(spark, lake, "f0", board("a", title="Early", created=10_000))
+    _drop(spark, lake, "f1", board("a", title="Late", created=10_000), *[board(f"x{i}", created=10_000) for i in range(50)])
+    STREAM.start_landing_stream(spark, f"{lake.root}/incoming/*", lake, f"{lake.root}/c", "board", B.BOARD, 1).awaitTermination()
+    got = {r["source_job_id"]: r["title_norm"] for r in STREAM.current_postings(spark, lake, "board").collect()}
+    assert got["a"] == "early" and len(got) == 51
+
+
+def test_new_checkpoint_keeps_what_the_old_one_landed(spark, lake):
+    _drop(spark, lake, "f0", board("a", created=10_000))
+    assert _run(spark, lake, "c1") == {"a": "python developer"}
+    fetched(spark, board("b", created=10_100)).coalesce(1).write.json(f"{lake.root}/more/f0")
+    STREAM.start_landing_stream(spark, f"{lake.root}/more/*", lake, f"{lake.root}/c2", "board", B.BOARD, 1).awaitTermination()
+    assert {r["source_job_id"] for r in STREAM.current_postings(spark, lake, "board").collect()} == {"a", "b"}
+
+
+@pytest.mark.parametrize("bad", [json.dumps({"source": "other", "raw_payload": "{}"}), "no json at all"])
+def test_stream_refuses_or_counts_foreign_rows(spark, lake, bad):
+    lines = [json.dumps({"source": "board", "raw_payload": board("a", created=10_000)}), bad]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{lake.root}/incoming/f0")
+    with pytest.raises(Exception, match="not of source board"):
+        _run(spark, lake, "c1")
+    assert A.read_history(spark, lake, "board") is None
+    assert _run(spark, lake, "c2", foreign="count") == {"a": "python developer"}
+    row = spark.read.parquet(f"{lake.root}/audit").where("stage = 'stream'").first()
+    assert json.loads(row["details"])["foreign_rows"] == 1
+
+
+def test_stream_gate_keeps_the_raw_rows(spark, lake):
+    _drop(spark, lake, "f0", board("a", title=" ", company="", created=10_000))
+    with pytest.raises(Exception, match="missing_title"):
+        _run(spark, lake)
+    assert A.read_history(spark, lake, "board") is None and A.read_landing(spark, lake).count() == 1
+
+
+def test_stream_run_ids_sort_with_batch_run_ids(spark, lake):
+    _drop(spark, lake, "f0", board("a", created=10_000))
+    _run(spark, lake)
+    run = A.read_history(spark, lake, "board").first()["bronze_run_id"]
+    assert "20200101T0" < run < "20990101T0" and run.endswith("-000000")
+
+
+def test_legacy_layout_of_another_type_is_an_error(spark, lake):
+    df = _postings(spark, [("dev", "2024-01", "r1")]).withColumns({
+        "ingest_date": F.col("bronze_ingest_date"), "run_id": F.col("bronze_run_id"), "skills": F.create_map(F.lit("a"), F.lit("b"))})
+    df.write.partitionBy("ingest_date", "run_id").parquet(lake.legacy_jobs)
+    with pytest.raises(Exception):
+        A.read_history(spark, lake, "s", legacy_source=True).collect()
+    assert A.read_history(spark, lake, "s") is None
+
+
+def test_path_is_checked_even_when_the_row_knows_its_run(spark):
+    df = spark.createDataFrame([("r", "2024-01-01", "/x/run_id=a/ingest_date=2024-01-02/f"), ], "run_id string, bronze_ingest_date string, f string")
+    assert A.with_path_lineage(df, F.col("f")).select("run_id", "bronze_ingest_date").first() == ("r", "2024-01-01")
+    with pytest.raises(SparkRuntimeException, match="run_id"):
+        A.with_path_lineage(df.withColumn("f", F.lit("/x/f")), F.col("f")).collect()
+
+
+def test_no_pass_row_before_the_facts(spark, lake, monkeypatch):
+    write, calls = A.write_fact, []
+
+    def breaks(df, table, *more):
+        calls.append(table)
+        if len(calls) == 2:
+            raise OSError("disk")
+        write(df, table, *more)
+
+    monkeypatch.setattr(A, "write_fact", breaks)
+    with pytest.raises(OSError):
+        P.publish_facts(_postings(spark, [("dev", "2024-01", "r1")]), lake, "run")
+    assert "pipeline_run_summary" not in calls
+    with pytest.raises(Exception):
+        A.latest_run(spark, lake).count()
+
+
+def test_publication_of_another_source_is_refused(spark, lake):
+    with pytest.raises(ValueError, match="expected source t"):
+        P.publish_facts(_postings(spark, [("dev", "2024-01", "r1")]), lake, "run", source="t")
+    with pytest.raises(SparkRuntimeException, match="expected source t"):
+        E.resolve_run(_postings(spark, [("dev", "2024-01", "r1")]), "t").collect()
+
+
+def test_publication_reads_the_snapshot_five_times(spark, lake):
+    A.write_snapshot(_postings(spark, [("dev", "2024-01", "r1"), ("ops", "2024-02", "r1")]), lake, "s", "v1")
+    df, store = A.read_snapshot(spark, lake, "s"), spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    P.publish_facts(df, lake, "run", ["2024-01", "2024-02"])
+    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(before, store.executionsCount())]
+    scans = sum(p.split("(1)")[0].count("Scan parquet") + 0 for p in plans if "/merged/bucket=" in p)
+    assert 0 < scans <= 5
+
+
+def test_untouched_buckets_stay_and_months_prune(spark, lake):
+    df = _postings(spark, [("dev", "2024-01", "r1")] * 200).withColumn(
+        "posted_at", F.when(F.col("job_id").cast("int") % 3 != 0, F.timestamp_seconds(F.lit(1_704_100_000) + F.col("job_id").cast("int") * 86_400)))
+    A.write_snapshot(df, lake, "s", "v1")
+    batch = df.where("job_id = '7'").withColumns({"title_norm": F.lit("changed"), "bronze_ingest_date": F.lit("2025-01-01")})
+    touched = A.touched_buckets(batch)
+    old = A.read_snapshot(spark, lake, "s", touched)
+    assert 0 < old.count() < 200
+    A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, "s", "v2", touched)
+    back = A.read_snapshot(spark, lake, "s")
+    assert back.count() == 200 and back.where("title_norm = 'changed'").count() == 1
+    folders = {f.split("/version=")[1].split("/")[0] + f.split("bucket=")[1].split("/")[0] for f in back.inputFiles()}
+    assert {f for f in folders if f.startswith("v2")} == {f"v2{b}" for b in touched} and len(folders) > len(touched)
+    month = A.read_snapshot(spark, lake, "s", months=["2024-02"])
+    plan = month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [month" in plan
+    assert {str(r["posted_at"])[:7] for r in month.collect()} == {"2024-02", "None"}
+    assert A.retire_snapshots(spark, lake, "s", 1) == ["v1"] and A.read_snapshot(spark, lake, "s").count() == 200
+    assert A.write_snapshot(df, lake, "s", "v2") == "v2~"
+
+
 def test_heal_takes_the_broader_base(spark, lake):
     """A snapshot from elsewhere lost a posting; the union of batches brings it back."""
     land(spark, lake, "20240102T0-a", board("a"), board("b"))

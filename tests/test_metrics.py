@@ -144,4 +144,5 @@ def test_profile_json_kinds(spark):
     from vacancy_lake.operators.audit import profile_json
     df = spark.createDataFrame([('{"a": 1, "b": "x", "c": null, "d": {"e": 1}}',), ('{"a": 1.5, "b": " ", "d": [1]}',), ("bad",), (None,)], "j string")
     got = {r["key"]: (r["present"], r["null"], r["empty_str"], r["kinds"]) for r in profile_json(df, "j").collect()}
-    assert got == {"a": (2, 0, 0, ["float", "int"]), "b": (1, 0, 1, ["str"]), "c": (0, 1, 0, ["null"]), "d": (2, 0, 0, ["array", "object"])}
+    assert got == {"a": (2, 0, 0, ["float", "int"]), "b": (1, 0, 1, ["str"]), "c": (0, 1, 0, ["null"]), "d": (2, 0, 0, ["array", "object"]),
+                   "(unparsed)": (1, 0, 0, ["unparsed"])}

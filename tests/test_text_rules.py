@@ -45,6 +45,7 @@ COMPANIES = [
     ("Control One | AI", "control one ai"), ("The Sleep Company", "sleep company"), ("The Ab", "the ab"),
     ("The Abcd", "the abcd"), ("The Abcde", "abcde"), (" ,ACME GmbH. ", "acme gmbh"), ("|The Long Name", "the long name"),
     ("Müller  AG", "müller ag"), ("", ""), (None, ""), ("...", ""),
+    ("The " + "x" * 100_500, "x" * 100_500),
 ]
 
 

@@ -44,7 +44,7 @@ def title_case(c: Column) -> Column:
     """Every run of letters starts with a capital, as in "O'Brien" and "3D"."""
     runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
     return F.array_join(F.transform(
-        runs, lambda r: F.concat(F.upper(F.left(r, F.lit(1))), F.lower(F.substring(r, 2, 100_000)))), "")
+        runs, lambda r: F.concat(F.upper(F.left(r, F.lit(1))), F.lower(F.right(r, F.length(r) - 1)))), "")
 
 
 def shorten_at_word(c: Column, limit: int) -> Column:

@@ -91,7 +91,7 @@ def enrich_title(title: Column | str, category_tag: Column | str) -> Column:
 def normalize_company(c: Column | str) -> Column:
     """Lower-case employer: bars to blanks, leading article dropped from longer names, edges trimmed."""
     n = F.lower(squeeze(F.replace(squash(text(c)), F.lit("|"), F.lit(" "))))
-    n = F.when(n.startswith("the ") & (F.length(n) > 8), F.btrim(F.substring(n, 5, 100_000))).otherwise(n)
+    n = F.when(n.startswith("the ") & (F.length(n) > 8), F.btrim(F.regexp_replace(n, "^the ", ""))).otherwise(n)
     return F.btrim(edge_trim(n))
 
 

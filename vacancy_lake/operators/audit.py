@@ -15,7 +15,8 @@ def reconcile(facts: dict[str, DataFrame], kpi: DataFrame, location_other: DataF
     """Facts against the views made from them, per month and run.
 
     Totals equal the fact sums, located <= total, remainder rows keep the mass, the Pareto curve ends at 100
-    with as many ranks as roles, shares add up to 1, and KPI ratios equal their definition on the facts.
+    with as many ranks as roles, shares add up to 1, and KPI ratios equal their definition on the facts. A side that is
+    missing is ok only when the other is missing too.
     """
     keys = list(keys)
 
@@ -49,7 +50,8 @@ def reconcile(facts: dict[str, DataFrame], kpi: DataFrame, location_other: DataF
         ("top1_role_share", F.try_divide("role_max", "role_sum"), c("top1_role_share"), 0.0001)]
     packed = F.array(*[F.struct(
         F.lit(n).alias("check"), e.cast("double").alias("expected"), a.cast("double").alias("actual"),
-        (F.abs(F.coalesce(e.cast("double") - a.cast("double"), F.lit(0.0))) <= tol).alias("ok")) for n, e, a, tol in lines])
+        F.coalesce(F.abs(e.cast("double") - a.cast("double")) <= tol, e.isNull() & a.isNull()).alias("ok"))
+        for n, e, a, tol in lines])
     return base.select(*keys, F.inline(packed))
 
 
@@ -75,13 +77,17 @@ def verify_publication(tables: dict[str, DataFrame], latest: DataFrame) -> DataF
 def profile_json(df: DataFrame, column: str) -> DataFrame:
     """Per top-level key of a JSON column: present, null and blank counts, and the kinds of value seen.
 
+    Texts that are no JSON object are counted under the key `(unparsed)`, of kind `unparsed`.
+
     Rows become (key, value) pairs and are counted per key with partial aggregation; a key found in every row
     is reduced on each task before the shuffle.
     """
-    pairs = df.select(F.explode(F.from_json(F.col(column), "map<string,variant>")).alias("key", "value"))
+    parsed = F.from_json(F.col(column), "map<string,variant>")
+    broken = F.when(F.col(column).isNotNull(), F.create_map(F.lit("(unparsed)"), F.lit(None).cast("variant")))
+    pairs = df.select(F.explode(F.coalesce(parsed, broken)).alias("key", "value"))
     shape = F.schema_of_variant("value")
-    blank = (shape == "STRING") & (F.btrim(F.col("value").cast("string")) == "")
-    kind = (F.when(shape == "VOID", F.lit("null")).when(shape == "STRING", F.lit("str"))
+    blank = F.coalesce((shape == "STRING") & (F.btrim(F.col("value").cast("string")) == ""), F.lit(False))
+    kind = (F.when(F.col("value").isNull(), F.lit("unparsed")).when(shape == "VOID", F.lit("null")).when(shape == "STRING", F.lit("str"))
             .when(shape == "BOOLEAN", F.lit("bool")).when(shape == "BIGINT", F.lit("int"))
             .when(shape.startswith("ARRAY"), F.lit("array")).when(shape.startswith("OBJECT"), F.lit("object"))
             .otherwise(F.lit("float")))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -52,9 +51,25 @@ def month_profile(df: DataFrame, run: str | Column) -> DataFrame:
         F.max("bronze_ingest_date").alias("bronze_ingest_date"), X.dominant_axis("time_axis").alias("time_axis"))
 
 
-def _stamp(counts: DataFrame, df: DataFrame, run, table: str) -> DataFrame:
+def lineage(df: DataFrame) -> DataFrame:
+    """Distinct (source, posted_month, bronze_ingest_date, bronze_run_id, time_axis) of rows with a valid month.
+
+    A few rows per month and run: enough to settle the run id, the profile of each month, and its fallback date.
+    """
+    rows = _dated(df, F.col("bronze_run_id"))
+    return rows.select("source", "posted_month", *[T.text(c).alias(c) for c in LINEAGE_ORDER[:2]], "time_axis").distinct()
+
+
+def profile_of(lines: DataFrame, run: str) -> DataFrame:
+    """The month profile from `lineage` rows."""
+    return lines.withColumn("run_id", F.lit(run)).groupBy(*_GROUP).agg(
+        F.max("bronze_ingest_date").alias("bronze_ingest_date"), X.dominant_axis("time_axis").alias("time_axis"))
+
+
+def _stamp(counts: DataFrame, df: DataFrame, run, table: str, profile: DataFrame | None = None) -> DataFrame:
     """Facts carry the profile of their month: one row per published slice, broadcast to the counts."""
-    joined = counts.join(per_group(month_profile(df, run)), list(_GROUP)).withColumn("bronze_run_id", F.col("run_id"))
+    profile = month_profile(df, run) if profile is None else profile
+    joined = counts.join(per_group(profile), list(_GROUP)).withColumn("bronze_run_id", F.col("run_id"))
     return joined.select(*fact_schema(table).fieldNames())
 
 
@@ -96,20 +111,21 @@ def location_counts(df: DataFrame, run: str | Column, places: PlaceRules | None
     return raw.where("location <> ''").groupBy(*_GROUP, "location").agg(F.sum("_n").alias("job_count"))
 
 
-def skill_demand(df: DataFrame, run: str | Column, unique: bool = False) -> DataFrame:
-    return _stamp(skill_counts(df, run, unique), df, run, "skill_demand_monthly")
+def skill_demand(df: DataFrame, run: str | Column, unique: bool = False, profile: DataFrame | None = None) -> DataFrame:
+    return _stamp(skill_counts(df, run, unique), df, run, "skill_demand_monthly", profile)
 
 
-def role_demand(df: DataFrame, run: str | Column) -> DataFrame:
-    return _stamp(role_counts(df, run), df, run, "role_demand_monthly")
+def role_demand(df: DataFrame, run: str | Column, profile: DataFrame | None = None) -> DataFrame:
+    return _stamp(role_counts(df, run), df, run, "role_demand_monthly", profile)
 
 
-def location_demand(df: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules()) -> DataFrame:
-    return _stamp(location_counts(df, run, places), df, run, "location_demand_monthly")
+def location_demand(df: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules(),
+                    profile: DataFrame | None = None) -> DataFrame:
+    return _stamp(location_counts(df, run, places), df, run, "location_demand_monthly", profile)
 
 
-def company_hiring(df: DataFrame, run: str | Column) -> DataFrame:
-    return _stamp(company_counts(df, run), df, run, "company_hiring_monthly")
+def company_hiring(df: DataFrame, run: str | Column, profile: DataFrame | None = None) -> DataFrame:
+    return _stamp(company_counts(df, run), df, run, "company_hiring_monthly", profile)
 
 
 def run_summary(facts: dict[str, DataFrame], profile: DataFrame, published: DataFrame | None = None) -> DataFrame:
@@ -142,8 +158,9 @@ def resolve_run(df: DataFrame, source: str | None = None) -> DataFrame:
     if missing:
         raise ValueError(f"lineage columns missing: {sorted(missing)}")
     rows = assign_month(df).where(F.col("posted_month").rlike(X.MONTH_PATTERN))
-    if source is not None:
-        rows = rows.where(F.col("source") == source)
+    if source is not None:  # rows of another source fail the query
+        rows = rows.withColumn("source", F.when(F.col("source") == source, F.col("source")).otherwise(F.raise_error(
+            F.concat(F.lit(f"expected source {source}, found "), F.coalesce("source", F.lit("none")))).cast("string")))
     pairs = rows.select("source", *[T.text(c).alias(c) for c in LINEAGE_ORDER[:2]]).distinct()
     return pairs.groupBy("source").agg(F.max_by("bronze_run_id", F.struct(*LINEAGE_ORDER[:2])).alias("run_id"))
 
@@ -165,9 +182,19 @@ def _near(df: DataFrame, months: Sequence[str]) -> DataFrame:
     return df.where(at.isNull() | ((at >= F.lit(f"{months[0]}-01").cast("timestamp")) & (at < F.lit(end).cast("timestamp"))))
 
 
-def live_months(as_of: date) -> list[str]:
-    """Months an incremental rebuild covers by default."""
-    return list(X.window_months(as_of))
+def on_months(df: DataFrame, months: Sequence[str] | None) -> DataFrame:
+    """Rows with a valid month, of the given months if any; a time range reaches the scan."""
+    dated = _dated(df, F.lit(None).cast("string")).drop("run_id")
+    return dated if months is None else _near(dated, months).where(F.col("posted_month").isin(months))
+
+
+def fact_tables(dated: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules(), unique: bool = False,
+                profile: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four facts of rows that have their month; each reads the rows once when the profile is given."""
+    return {"skill_demand_monthly": skill_demand(dated, run, unique, profile),
+            "role_demand_monthly": role_demand(dated, run, profile),
+            "location_demand_monthly": location_demand(dated, run, places, profile),
+            "company_hiring_monthly": company_hiring(dated, run, profile)}
 
 
 def build_facts(df: DataFrame, run: str | Column, months: Sequence[str] | None = None,
@@ -178,14 +205,9 @@ def build_facts(df: DataFrame, run: str | Column, months: Sequence[str] | None =
 
     With `months` only those are rebuilt, and each of them is published per source even if it has no row.
     """
-    dated = _dated(df, run).drop("run_id")
-    overall = dated
-    if months is not None:
-        months = check_months(months)
-        dated = _near(dated, months).where(F.col("posted_month").isin(months))
-    facts = {"skill_demand_monthly": skill_demand(dated, run, unique), "role_demand_monthly": role_demand(dated, run),
-             "location_demand_monthly": location_demand(dated, run, places),
-             "company_hiring_monthly": company_hiring(dated, run)}
+    months = check_months(months) if months is not None else None
+    overall, dated = on_months(df, None), on_months(df, months)
+    facts = fact_tables(dated, run, places, unique)
     published = None
     if months is not None:
         wanted = F.explode(F.array(*map(F.lit, months))).alias("posted_month")

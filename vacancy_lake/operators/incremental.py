@@ -122,8 +122,8 @@ def with_job_key(df: DataFrame, dialect: Dialect, payload: str = "raw_payload",
 
 def to_landing(df: DataFrame, dialect: Dialect, run_id: str | Column, ingest_date: str | Column,
                batch_created_at: str | Column, ingested_at: str | Column | None = None,
-               payload: str = "raw_payload") -> DataFrame:
-    """Wrap payload rows (source, raw_payload) in the landing envelope of one run."""
+               payload: str = "raw_payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Wrap payload rows (source, raw_payload) in the landing envelope of one run; `keep` carries more columns along."""
     def as_col(v):
         return v if isinstance(v, Column) else F.lit(v)
 
@@ -137,7 +137,7 @@ def to_landing(df: DataFrame, dialect: Dialect, run_id: str | Column, ingest_dat
         "ingested_at": as_col(ingested_at if ingested_at is not None else batch_created_at),
         "run_id": as_col(run_id), "bronze_ingest_date": as_col(ingest_date),
         "batch_created_at": as_col(batch_created_at), "raw_payload": body})
-    return stamped.select(*LANDING.fieldNames())
+    return stamped.select(*LANDING.fieldNames(), *keep)
 
 
 def payload_json(df: DataFrame, source: Column | str) -> DataFrame:

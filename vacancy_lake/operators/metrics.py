@@ -4,10 +4,10 @@ Each takes the grouping keys, the dimension and the measure by name. Group total
 aggregation, rankings keep only the first k rows per group on every task before the shuffle, and no operator
 gathers an unbounded group in one task.
 
-`small_groups=True` (the default) says the groups are published slices such as (source, month, run): there are
-as many as there are folders, so tables with a few rows per group have a known bound and are broadcast. The rows
-themselves are then never shuffled by group, however many of them one month holds. With keys that have no such
-bound pass False, and Spark chooses the join by measured size.
+`small_groups=True` says the groups are published slices such as (source, month, run): there are as many as there are
+folders, so tables with a few rows per group have a known bound and are broadcast. The rows themselves are then never
+shuffled by group, however many of them one month holds. The views, whose keys are fixed, say so; by default nothing
+is hinted, and Spark chooses the join by measured size.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def _with_rank(df: DataFrame, best: DataFrame, names: Sequence[str], small_group
 
 
 def top_n_other(df: DataFrame, keys, dim: str, n: int, measure="job_count", label="label", other="Other",
-                carry: dict[str, Column] | None = None, small_groups: bool = True) -> DataFrame:
+                carry: dict[str, Column] | None = None, small_groups: bool = False) -> DataFrame:
     """Totals per value: the n largest by name, the rest as one remainder row.
 
     `carry` holds further max-like aggregates, e.g. `{"posted_month": F.max("posted_month")}`.
@@ -114,21 +114,21 @@ def running_total(df: DataFrame, keys, order: Sequence[Column], measure: str, ra
             .drop("_slice", "_n0", "_m0"))
 
 
-def with_total(df: DataFrame, keys, measure: str, name: str, small_groups: bool = True) -> DataFrame:
+def with_total(df: DataFrame, keys, measure: str, name: str, small_groups: bool = False) -> DataFrame:
     """Add the group total by joining the aggregated totals back (no window over a whole group)."""
     totals = df.groupBy(*keys).agg(F.sum(measure).alias(name))
     return df.join(per_group(totals, small_groups), list(keys))
 
 
 def with_share(df: DataFrame, keys, measure: str = "job_count", name: str = "share",
-               small_groups: bool = True) -> DataFrame:
+               small_groups: bool = False) -> DataFrame:
     """Share of each row in the total of its group."""
     return (with_total(df, keys, measure, "_total", small_groups)
             .withColumn(name, share(F.col(measure), F.col("_total"))).drop("_total"))
 
 
 def pareto(df: DataFrame, keys, dim: str, measure="job_count", bounded: bool = False,
-           small_groups: bool = True) -> DataFrame:
+           small_groups: bool = False) -> DataFrame:
     """Rank, share and cumulative percent of every value, largest first."""
     ranked = running_total(df, keys, [F.desc(measure), F.asc(dim)], measure, "pareto_rank", "_run", bounded)
     totals = df.groupBy(*keys).agg(F.sum(measure).alias("_total"))
@@ -138,7 +138,7 @@ def pareto(df: DataFrame, keys, dim: str, measure="job_count", bounded: bool = F
 
 
 def bucket_top(df: DataFrame, keys, dim: str, k: int, other: str, weight: str, out: str,
-               small_groups: bool = True) -> DataFrame:
+               small_groups: bool = False) -> DataFrame:
     """Replace a dimension by itself where it is one of the k heaviest of its group, else by `other`."""
     mass = df.groupBy(*keys, dim).agg(F.sum(weight).alias("_mass"))
     best = top_k(mass, keys, dim, k, "_mass", "_rank")
@@ -148,7 +148,7 @@ def bucket_top(df: DataFrame, keys, dim: str, k: int, other: str, weight: str, o
 
 def flow_edges(rows: DataFrame, keys, src: str, dst: str, k_src: int | None = None, k_dst: int | None = None,
                other_src="Other", other_dst="Other", version: str | None = None,
-               small_groups: bool = True) -> DataFrame:
+               small_groups: bool = False) -> DataFrame:
     """Edge weights between two dimensions, each optionally reduced to its k heaviest values plus a remainder.
 
     Rows are counted per (src, dst) pair first, so ranking and bucketing see pairs, not rows. `version` names a

@@ -104,13 +104,24 @@ def tag_skills(df: DataFrame, title: str, body: str, tags: str, context: str | N
 
 
 def tag_terms(df: DataFrame, vocab: DataFrame, key: str, body: str, term: str = "term", canonical: str | None = None,
-              max_words: int = 2, out: str = "skills") -> DataFrame:
+              max_words: int | None = None, out: str = "skills") -> DataFrame:
     """Tagging with a vocabulary that is a table of any size: (key, sorted distinct terms), empty when none.
 
     Distinct n-grams per text meet the vocabulary in one equi-join on the term. Nothing is broadcast by hand:
     AQE broadcasts a vocabulary it measured as small and splits hot terms of a large one. Only the key, not
-    the text, passes through the closing shuffle.
+    the text, passes through the closing grouping, which also brings back the texts without a hit.
+
+    n-grams go up to the longest term, found by one aggregate over the vocabulary while the plan is built; with
+    `max_words` that job is saved, and a longer term fails the query.
     """
+    term_words = F.size(F.split(F.col(term), " "))
+    if max_words is None:
+        max_words = vocab.agg(F.max(term_words)).first()[0] or 1
+        checked = F.col(term)
+    else:
+        checked = F.when(term_words <= max_words, F.col(term)).otherwise(F.raise_error(F.concat(
+            F.lit(f"vocabulary term of more than {max_words} words: "), F.col(term))).cast("string"))
+
     def grams(tokens: Column) -> Column:
         sizes = [tokens]
         for n in range(1, max_words):
@@ -121,11 +132,11 @@ def tag_terms(df: DataFrame, vocab: DataFrame, key: str, body: str, term: str =
         return F.filter(F.array_distinct(F.concat(S.bare_tokens(tokens), *sizes)), lambda g: g != "")
 
     name = canonical or term
-    words = vocab.select(F.col(term).alias("_g"), F.col(name).alias("_t")).distinct()
+    words = vocab.where(F.col(term).isNotNull()).select(checked.alias("_g"), F.col(name).alias("_t")).distinct()
     hits = (df.select(key, F.explode(T.let(F.split(S.token_text(body), " "), grams)).alias("_g")).join(words, "_g")
-            .groupBy(key).agg(F.array_sort(F.collect_set("_t")).alias(out)))
-    return (df.select(key).join(hits, key, "left")
-            .withColumn(out, F.coalesce(out, F.array().cast(_STRINGS))))
+            .select(key, "_t"))
+    every = df.select(key, F.lit(None).cast("string").alias("_t"))
+    return hits.unionByName(every).groupBy(key).agg(F.array_sort(F.collect_set("_t")).alias(out))
 
 
 def project_contract(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.rules import PlaceRules, Vocabulary
 from ..operators import facts as E, incremental as B, merge as D, standardize as C
@@ -30,8 +31,9 @@ def land(fetched: DataFrame, lake: A.Lake, dialect: B.Dialect, source: str, run_
         **state, "last_run_id": run_id, "last_run_at": batch_created_at, "fetch_watermark": stats["max_created"],
         "lookback_hours": lookback_hours, "status": "ok", "strategy": mode,
         "batch_id": state["batch_id"] + 1 if batch_id is None else batch_id})
-    A.append_audit(A.audit_rows(report.withColumns({"source": F.lit(source), "run_id": F.lit(run_id)}),
-                                "landing", batch_created_at), lake)
+    known = spark.createDataFrame([(source, run_id, *(stats[f.name] for f in report.schema))],
+                                  StructType([*_RUN_KEY, *report.schema.fields]))
+    A.append_audit(A.audit_rows(known, "landing", batch_created_at), lake)
     return stats
 
 
@@ -63,7 +65,9 @@ def build_postings(spark: SparkSession, lake: A.Lake, source: str, path: str | N
     rows_in = landed.count()
     batch = standard_batch(landed, aggregator_sources, vocab, places).checkpoint()
     report = D.quality_gate(batch, rows_in)
-    merged = A.read_snapshot(spark, lake, source)
+    touched = A.touched_buckets(batch)
+    # The upsert reads and writes the buckets of the batch alone; healing compares whole snapshots.
+    merged = A.read_snapshot(spark, lake, source, None if heal else touched)
     history = A.read_history(spark, lake, source, legacy_source, places) if heal or merged is None else None
     union = None if history is None else D.keep_last(history, [*D.LINEAGE_ORDER, "bronze_data_file"])
     if heal and (merged is not None or union is not None):
@@ -72,15 +76,18 @@ def build_postings(spark: SparkSession, lake: A.Lake, source: str, path: str | N
         old = merged if merged is not None else union if union is not None else batch.limit(0)
     run = batch.agg(F.max("bronze_run_id")).first()[0]
     A.write_batch(batch, lake)
-    A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, source, run)
-    out = {**report, "version": run, "landed": rows_in, "dedup_removed": rows_in - report["row_count"]}
-    quality = spark.createDataFrame([(source, run, report["status"], *[int(report[c]) for c in _QUALITY])],
+    version = A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, source, run,
+                               touched if merged is not None and not heal else None)
+    out = {**report, "version": version, "landed": rows_in, "dedup_removed": rows_in - report["row_count"],
+           "merged_rows": A.read_snapshot(spark, lake, source).count()}
+    quality = spark.createDataFrame([(source, run, report["status"], *[int(out[c]) for c in _QUALITY])],
                                     "source string, run_id string, status string, " + ", ".join(f"{c} long" for c in _QUALITY))
     A.append_audit(A.audit_rows(quality, "silver", run), lake)
     return out
 
 
-_QUALITY = ("row_count", "missing_title", "missing_company", "duplicate_job_id", "duplicate_source_key")
+_RUN_KEY = [StructField("source", StringType()), StructField("run_id", StringType())]
+_QUALITY = ("landed", "row_count", "dedup_removed", "merged_rows", "missing_title", "missing_company", "duplicate_job_id", "duplicate_source_key")
 
 
 def rebuild(spark: SparkSession, lake: A.Lake, source: str, version: str, legacy_source: bool = False,
@@ -94,32 +101,51 @@ def rebuild(spark: SparkSession, lake: A.Lake, source: str, version: str, legacy
     return audit
 
 
-def publish_facts(postings: DataFrame, lake: A.Lake, run: str | Column | None = None,
+def publish_facts(postings: DataFrame, lake: A.Lake, run: str | None = None,
                   months: Sequence[str] | None = None, places: PlaceRules | None = PlaceRules(),
-                  unique: bool = False) -> dict[str, int]:
-    """Build and write all facts of one source, its run summary and, last, its pointer.
+                  unique: bool = False, source: str | None = None) -> dict[str, int]:
+    """Build and write the facts of one source, then the summary counted from what was written, then the pointer.
 
-    Pass `unique=True` for a merged snapshot, which holds one row per job_id.
+    A crash on the way leaves no PASS row for facts that are not there. `postings` is read five times: once for the
+    few lines of its lineage, which settle run, profile and fallback date, and once per fact; of the given months only,
+    unless the newest run is asked for or a month is empty. Rows of another source than `source` are refused. Pass
+    `unique=True` for a merged snapshot, which holds one row per job_id.
     """
     spark = postings.sparkSession
-    latest = E.resolve_run(postings).collect()
-    if not latest:
+    use_shared_checkpoints(spark)
+    months = E.check_months(months) if months is not None else None
+    lines = E.lineage(postings if run is None or months is None else E.on_months(postings, months)).checkpoint()
+    there = {r["posted_month"] for r in lines.select("posted_month").distinct().collect()}
+    blank = [m for m in months or () if m not in there]
+    whole = E.lineage(postings).checkpoint() if blank and run is not None else lines
+    found = whole.groupBy("source").agg(F.max_by("bronze_run_id", F.struct("bronze_ingest_date", "bronze_run_id")).alias("run_id"),
+                                        F.max("bronze_ingest_date").alias("day")).limit(2).collect()
+    if not found:
         raise ValueError("no posting with a valid month")
-    if len(latest) > 1:
+    if len(found) > 1:
         raise ValueError("facts are published per source")
-    source, newest = latest[0]["source"], latest[0]["run_id"]
+    if source is not None and found[0]["source"] != source:
+        raise ValueError(f"expected source {source}, found {found[0]['source']}")
+    source, newest = found[0]["source"], found[0]["run_id"]
     run = run or newest
-    tables = E.build_facts(postings, run, months, places, unique)
-    A.write_fact(tables[RUN_SUMMARY], RUN_SUMMARY, lake)
-    summary = A.read_fact(spark, RUN_SUMMARY, lake).where(F.col("run_id") == run).where(F.col("source") == source)
-    counts = {"skill": "skill_demand_monthly", "role": "role_demand_monthly", "location": "location_demand_monthly",
-              "company": "company_hiring_monthly"}
-    # One row per published month: bounded by the month list.
-    rows = summary.select("posted_month", *[f"{n}_row_count" for n in counts]).collect()
-    for name, table in counts.items():
-        empty = [(source, r["posted_month"], run) for r in rows
-                 if r[f"{name}_row_count"] == 0 and (months is None or r["posted_month"] in months)]
-        A.write_fact(tables[table], table, lake, empty)
+    if months is not None:
+        lines = lines.where(F.col("posted_month").isin(months))
+    profile = E.profile_of(lines, run).checkpoint()
+    wanted = sorted(r["posted_month"] for r in profile.select("posted_month").collect())  # one row per month
+    tables = E.fact_tables(E.on_months(postings, months), run, places, unique, profile)
+    for table, fact in tables.items():
+        seen = Observation()
+        fact = fact.observe(seen, F.count(F.lit(1)).alias("rows"),
+                            *[F.count_if(F.col("posted_month") == m).alias(m) for m in wanted])
+        A.write_fact(fact, table, lake)
+        A.clear_months(fact, table, lake, [(source, m, run) for m in [*blank, *(m for m in wanted if not seen.get[m])]])
+    stored = {t: A.read_fact(spark, t, lake).where((F.col("source") == source) & (F.col("run_id") == run)
+                                                   & F.col("posted_month").isin([*wanted, *blank])) for t in tables}
+    asked = spark.createDataFrame([(source, m, run, found[0]["day"]) for m in [*wanted, *blank]],
+                                  "source string, posted_month string, run_id string, bronze_ingest_date string")
+    A.write_fact(E.run_summary(stored, profile, asked), RUN_SUMMARY, lake)
     A.publish_latest(spark.createDataFrame([(source, run)], "source string, run_id string"), lake)
+    summary = A.read_fact(spark, RUN_SUMMARY, lake).where(
+        (F.col("source") == source) & (F.col("run_id") == run) & F.col("posted_month").isin([*wanted, *blank]))
     A.append_audit(A.audit_rows(summary, "gold", newest), lake)
-    return {r["posted_month"]: r["role_row_count"] for r in rows}
+    return {r["posted_month"]: r["role_row_count"] for r in summary.select("posted_month", "role_row_count").collect()}

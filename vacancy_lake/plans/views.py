@@ -20,7 +20,6 @@ from ..operators import metrics as M
 from ..operators.facts import assign_month
 
 KEYS = ("source", "posted_month", "run_id")
-WIDE_RANGE = ("2018-01", "2035-12")
 
 
 # --- which rows count --------------------------------------------------------------------------------------
@@ -102,7 +101,7 @@ def kpi_slice(role: DataFrame, location: DataFrame, company: DataFrame, skill: D
         out = out.withColumns({"distinct_role_groups": F.lit(None).cast("long"),
                                "unknown_role_group_share": F.lit(None).cast("double")})
     if postings is not None:
-        out = out.join(work_mode_rates(postings), ["source", "posted_month"], "left")
+        out = out.join(work_mode_rates(postings, role), ["source", "posted_month"], "left")
     else:
         out = out.withColumn("remote_classified_share", F.lit(None).cast("double"))
     return out.select(
@@ -118,16 +117,18 @@ def kpi_slice(role: DataFrame, location: DataFrame, company: DataFrame, skill: D
         "unknown_role_group_share")
 
 
-def work_mode_rates(postings: DataFrame) -> DataFrame:
-    """Share of postings whose work mode is known, per source and month of posting."""
+def work_mode_rates(postings: DataFrame, months: DataFrame | None = None) -> DataFrame:
+    """Share of postings whose work mode is known, per source and month of posting; of the given months only."""
     rows = postings if "posted_month" in postings.columns else assign_month(postings, fallback=False)
+    if months is not None:  # one row per published slice
+        rows = rows.join(M.per_group(months.select("source", "posted_month").distinct()), ["source", "posted_month"], "left_semi")
     known = F.avg(F.when(F.lower(F.btrim(text("remote_type"))) != "unknown", 1.0).otherwise(0.0))
     return rows.groupBy("source", "posted_month").agg(known.alias("remote_classified_share"))
 
 
 def work_mode_share(postings: DataFrame, months: DataFrame) -> DataFrame:
     """The rate for each wanted month; NULL when a month has no posting."""
-    return months.join(work_mode_rates(postings), ["source", "posted_month"], "left")
+    return months.join(work_mode_rates(postings, months), ["source", "posted_month"], "left")
 
 
 # --- roles -------------------------------------------------------------------------------------------------
@@ -158,11 +159,11 @@ def family_pareto(classified: DataFrame) -> DataFrame:
     """Pareto over families, months of a run summed. The domain is the rule list, so one window is fine."""
     totals = family_demand(classified).groupBy("source", "run_id", "role_group").agg(
         F.sum("job_count").cast("long").alias("job_count"), F.max("posted_month").alias("posted_month"))
-    return M.pareto(totals, ["source", "run_id"], "role_group", bounded=True)
+    return M.pareto(totals, ["source", "run_id"], "role_group", bounded=True, small_groups=True)
 
 
 def role_pareto(role: DataFrame) -> DataFrame:
-    return M.pareto(role.select(*KEYS, "role", "job_count"), list(KEYS), "role")
+    return M.pareto(role.select(*KEYS, "role", "job_count"), list(KEYS), "role", small_groups=True)
 
 
 # --- employers and places ----------------------------------------------------------------------------------
@@ -174,9 +175,10 @@ def run_top_other(fact: DataFrame, dim: str, n: int, keys: Sequence[str], label:
     The month travels as a date: a maximum of text can not be hash aggregated, one of dates can.
     """
     if "posted_month" in keys:
-        return M.top_n_other(fact, list(keys), dim, n, label=label, other=other)
+        return M.top_n_other(fact, list(keys), dim, n, label=label, other=other, small_groups=True)
     first_day = F.max(F.to_date(F.concat("posted_month", F.lit("-01"))))
-    out = M.top_n_other(fact, list(keys), dim, n, label=label, other=other, carry={"posted_month": first_day})
+    out = M.top_n_other(fact, list(keys), dim, n, label=label, other=other, carry={"posted_month": first_day},
+                        small_groups=True)
     return out.withColumn("posted_month", F.date_format("posted_month", "yyyy-MM"))
 
 
@@ -216,7 +218,7 @@ def location_month(location: DataFrame, pivot_months: Sequence[str] | None = Non
 
 def location_share(location: DataFrame) -> DataFrame:
     """Volume of a location and its share of the month."""
-    return M.with_share(location, list(KEYS), name="location_share").select(
+    return M.with_share(location, list(KEYS), name="location_share", small_groups=True).select(
         *KEYS, F.col("location").alias("location_label"), F.col("job_count").alias("location_job_count"),
         F.col("location_share").alias("location_share_of_monthly_total"))
 
@@ -297,7 +299,8 @@ def flow_state_employer(geo: DataFrame, k: int = 10) -> DataFrame:
     """Mapped state to employer, the k largest employers of a month by name."""
     rows = (geo.withColumn("employer", F.lower(F.btrim(text("company_norm"))))
             .where((F.col("employer") != "") & ~F.col("state_name").startswith("unmapped")))
-    return M.flow_edges(rows, ["source", "posted_month"], "state_name", "employer", k_dst=k, version="bronze_run_id")
+    return M.flow_edges(rows, ["source", "posted_month"], "state_name", "employer", k_dst=k, version="bronze_run_id",
+                        small_groups=True)
 
 
 def flow_location_employer(base: DataFrame, k: int = 10) -> DataFrame:
@@ -307,7 +310,7 @@ def flow_location_employer(base: DataFrame, k: int = 10) -> DataFrame:
         "place": F.when(place == "", F.lit("(unknown location)")).otherwise(place),
         "employer": F.lower(F.btrim(text("company_norm")))}).where("employer <> ''")
     return M.flow_edges(rows, ["source", "posted_month"], "place", "employer", k, k, "Other (locations)",
-                        "Other (employers)", version="bronze_run_id")
+                        "Other (employers)", version="bronze_run_id", small_groups=True)
 
 
 # --- comparisons -------------------------------------------------------------------------------------------
@@ -326,7 +329,7 @@ def source_month_totals(role: DataFrame, regions: dict[str, str] | None = None)
 def skill_mix(skill: DataFrame, regions: dict[str, str] | None = None) -> DataFrame:
     """Share of every skill in the tag mass of its source and month."""
     mixed = M.with_share(skill.select(*KEYS, "skill", F.col("job_count").alias("skill_tag_count")), list(KEYS),
-                         "skill_tag_count", "share_within_region_skill_tags")
+                         "skill_tag_count", "share_within_region_skill_tags", small_groups=True)
     return region_labels(mixed, regions)
 
 
@@ -364,7 +367,7 @@ def skill_mix_aligned(skill: DataFrame, runs: DataFrame, sources, k: int = 20,
     best = (rows.groupBy("skill").agg(F.sum("skill_tag_count").alias("_m"))
             .orderBy(F.desc("_m"), "skill").limit(k).select("skill"))
     return M.with_share(rows.join(F.broadcast(best), "skill", "left_semi"), ["source"], "skill_tag_count",
-                        "share_within_source_skill_tags").withColumn(
+                        "share_within_source_skill_tags", small_groups=True).withColumn(
         "alignment_kind", F.lit("strict_intersection_latest_month"))
 
 

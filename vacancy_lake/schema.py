@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
-
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, StructType, TimestampType)
 
@@ -52,6 +52,11 @@ def summary_schema() -> StructType:
                       + [StructField(p, _S) for p in FACT_PARTITIONS])
 
 
+def path_is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed since nothing is there yet; every other failure is one."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def new_run_id(now: datetime | None = None) -> str:
     """Run ids sort by time: UTC stamp plus a random tail."""
     return f"{now or datetime.now(timezone.utc):%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:8]}"

@@ -8,12 +8,12 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.rules import PlaceRules
 from ..operators.standardize import align_legacy, project_contract
 from ..schema import (FACT_DIMENSION, FACT_PARTITIONS, LANDING, LATEST_RUN, POSTING, RUN_SUMMARY,
-                      fact_schema, summary_schema)
+                      fact_schema, path_is_missing, summary_schema)
 
 
 @dataclass(frozen=True)
@@ -74,6 +74,8 @@ def newest_batch(spark: SparkSession, lake: Lake, source: str) -> str:
     try:
         files = spark.read.format("binaryFile").load(glob).select("path", "modificationTime")
     except AnalysisException as e:
+        if not path_is_missing(e):
+            raise
         raise FileNotFoundError(f"no landing files for source {source}") from e
     row = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()
     if row is None or row["path"] is None:
@@ -99,14 +101,16 @@ def with_path_lineage(df: DataFrame, file: Column | None = None) -> DataFrame:
     file = file if file is not None else F.col("_metadata.file_path")
 
     def part(name: str) -> Column:
-        value = F.regexp_extract(file, rf"(?:^|/){name}=([^/]+)(?:/|$)", 1)
-        return F.when(value != "", value).otherwise(
+        folder = F.try_element_at(F.filter(F.split(file, "/"), lambda s: s.startswith(f"{name}=")), F.lit(-1))
+        return F.nullif(F.right(folder, F.length(folder) - len(name) - 1), F.lit(""))
+
+    def stamped(column: str, name: str) -> Column:
+        own = F.col(column) if column in df.columns else F.lit(None).cast("string")
+        return F.when(part(name).isNotNull(), F.coalesce(own, part(name))).otherwise(
             F.raise_error(F.concat(F.lit(f"no {name} in path "), file)).cast("string"))
 
-    out = df.withColumns({"_run": part("run_id"), "_date": part("ingest_date"), "bronze_data_file": file})
-    body = {"run_id": "_run", "bronze_ingest_date": "_date"}
-    return out.withColumns({c: F.coalesce(F.col(c), F.col(p)) if c in df.columns else F.col(p)
-                            for c, p in body.items()}).drop("_run", "_date")
+    return df.withColumns({"run_id": stamped("run_id", "run_id"),
+                           "bronze_ingest_date": stamped("bronze_ingest_date", "ingest_date"), "bronze_data_file": file})
 
 
 def require_rows(df: DataFrame, what: str = "landing input") -> DataFrame:
@@ -143,7 +147,9 @@ def read_history(spark: SparkSession, lake: Lake, source: str, legacy_source: bo
         try:
             rows = (spark.read.schema(schema).option("basePath", lake.jobs)
                     .parquet(lake.batch_glob(lake.jobs, source, sliced)))
-        except AnalysisException:
+        except AnalysisException as e:
+            if not path_is_missing(e):
+                raise
             continue  # layout not in use
         parts.append(project_contract(rows.withColumn("bronze_data_file", F.coalesce(
             "bronze_data_file", F.col("_metadata.file_path")))))
@@ -154,33 +160,117 @@ def read_history(spark: SparkSession, lake: Lake, source: str, legacy_source: bo
             known = ["bronze_data_file"] if "bronze_data_file" in rows.columns else []
             parts.append(align_legacy(rows.withColumn("bronze_data_file", F.coalesce(
                 *known, F.col("_metadata.file_path"))), places))
-        except AnalysisException:
-            pass
+        except AnalysisException as e:
+            if not path_is_missing(e):
+                raise
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-def write_snapshot(df: DataFrame, lake: Lake, source: str, version: str) -> None:
-    """Write the merged snapshot as a new version, so `df` may read the version before it.
+BUCKETS = 64
+_SNAPSHOT = StructType(POSTING.fields + [StructField("bucket", IntegerType()), StructField("version", StringType()),
+                                         StructField("month", StringType())])
+_NO_MONTH = "none"
 
-    Versions are run ids and sort by time. A failed write leaves the previous version in force.
-    """
-    project_contract(df).drop("source").write.mode("overwrite").parquet(f"{lake.merged(source)}/version={version}")
+
+def bucket_of(key: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def read_snapshot(spark: SparkSession, lake: Lake, source: str) -> DataFrame | None:
-    """Newest version of the merged snapshot, found by file listing; None when there is none."""
-    base = lake.merged(source)
+def _versions(spark: SparkSession, lake: Lake, source: str) -> list[str]:
+    """Manifests there are, oldest first, from file listing alone."""
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{base}/version=*")
-    except AnalysisException:
-        return None
-    version = files.agg(F.max(F.regexp_extract("path", "/version=([^/]+)/", 1))).first()[0]
-    if version is None:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .load(f"{lake.merged(source)}/manifest/version=*").select("path"))
+    except AnalysisException as e:
+        if not path_is_missing(e):
+            raise
+        return []
+    found = files.select(F.regexp_extract("path", "/version=([^/]+)/", 1).alias("v")).distinct().collect()
+    return sorted(r["v"] for r in found)
+
+
+def _manifest(spark: SparkSession, lake: Lake, source: str, version: str) -> dict[int, str]:
+    """Bucket to the version that holds it: one row per bucket, so at most BUCKETS."""
+    rows = spark.read.schema("bucket int, holder string").parquet(f"{lake.merged(source)}/manifest/version={version}")
+    return {r["bucket"]: r["holder"] for r in rows.collect()}
+
+
+def touched_buckets(batch: DataFrame) -> list[int]:
+    """Buckets that the keys of a batch fall into: at most BUCKETS."""
+    return [r["b"] for r in batch.select(bucket_of(F.col("job_id")).alias("b")).distinct().collect()]
+
+
+def write_snapshot(df: DataFrame, lake: Lake, source: str, version: str, replace: Sequence[int] | None = None) -> str:
+    """Write a new version of the merged snapshot and return its name.
+
+    Rows lie under bucket (of the key) / version / month (of posted_at). With `replace`, `df` holds those buckets only
+    and all others stay where they are: the manifest of the new version names, for every bucket, the version that
+    holds it. It is written last, so a failed write leaves the version before it in force. Versions are run ids and
+    sort by time; a name that is taken gets a tail, so `df` may always read the version before it.
+    """
+    spark, base = df.sparkSession, lake.merged(source)
+    before = _versions(spark, lake, source)
+    while version in before:
+        version += "~"
+    rows = project_contract(df).drop("source").withColumns({
+        "bucket": bucket_of(F.col("job_id")), "version": F.lit(version),
+        "month": F.coalesce(F.date_format("posted_at", "yyyy-MM"), F.lit(_NO_MONTH))})
+    if replace is not None:
+        rows = rows.where(F.col("bucket").isin(*replace)) if replace else rows.limit(0)
+    _replace_partitions(rows.hint("rebalance", "bucket", "month"), ["bucket", "version", "month"]).parquet(base)
+    holders = {b: v for b, v in (_manifest(spark, lake, source, before[-1]) if before and replace is not None else {}).items()
+               if b not in set(replace or ())}
+    changed = range(BUCKETS) if replace is None else replace
+    manifest = spark.createDataFrame(sorted({**holders, **dict.fromkeys(changed, version)}.items()), "bucket int, holder string")
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{base}/manifest/version={version}")
+    return version
+
+
+def read_snapshot(spark: SparkSession, lake: Lake, source: str, buckets: Sequence[int] | None = None,
+                  months: Sequence[str] | None = None) -> DataFrame | None:
+    """Newest version of the merged snapshot; None when there is none.
+
+    `buckets` reads those alone. `months` reads the folders of those months of posting, and of postings without one.
+    """
+    versions = _versions(spark, lake, source)
+    if not versions:
         return None
-    rows = spark.read.schema(POSTING).parquet(f"{base}/version={version}")
+    base, holders = lake.merged(source), _manifest(spark, lake, source, versions[-1])
+    paths = [f"{base}/bucket={b}/version={v}" for b, v in holders.items() if buckets is None or b in set(buckets)]
+    there = _existing(spark, paths)
+    rows = (spark.read.schema(_SNAPSHOT).option("basePath", base).parquet(*there) if there
+            else spark.createDataFrame([], _SNAPSHOT))
+    if months is not None:
+        rows = rows.where(F.col("month").isin(*months, _NO_MONTH))
     return rows.withColumn("source", F.lit(source)).select(*POSTING.fieldNames())
 
 
+def _existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the paths that exist: an empty bucket has no folder."""
+    if not paths:
+        return []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(paths[0]).getFileSystem(conf)
+    return [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
+
+
+def retire_snapshots(spark: SparkSession, lake: Lake, source: str, keep: int) -> list[str]:
+    """Delete all versions of a snapshot but the newest `keep`, and the bucket folders only they name."""
+    if keep < 1:
+        raise ValueError("at least the newest version stays")
+    versions, base = _versions(spark, lake, source), lake.merged(source)
+    kept = {(b, v) for name in versions[-keep:] for b, v in _manifest(spark, lake, source, name).items()}
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(conf)
+    gone = versions[:-keep]
+    for name in gone:
+        for b, v in _manifest(spark, lake, source, name).items():
+            if (b, v) not in kept:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/bucket={b}/version={v}"), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/manifest/version={name}"), True)
+    return gone
+
+
 # --- facts -------------------------------------------------------------------------------------------------
 
 def write_fact(df: DataFrame, table: str, lake: Lake, empty_for: Sequence[tuple[str, str, str]] = ()) -> None:
@@ -192,7 +282,12 @@ def write_fact(df: DataFrame, table: str, lake: Lake, empty_for: Sequence[tuple[
     """
     out = df.hint("rebalance", "source", "posted_month")
     _replace_partitions(out, FACT_PARTITIONS).parquet(f"{lake.gold}/{table}")
-    blank = df.drop(*FACT_PARTITIONS).limit(0)
+    clear_months(df, table, lake, empty_for)
+
+
+def clear_months(df: DataFrame, table: str, lake: Lake, empty_for: Sequence[tuple[str, str, str]]) -> None:
+    """An empty file for each (source, month, run), in place of what was there."""
+    blank = df.sparkSession.createDataFrame([], StructType([f for f in df.schema.fields if f.name not in FACT_PARTITIONS]))
     for source, month, run in empty_for:
         blank.write.mode("overwrite").parquet(
             f"{lake.gold}/{table}/source={source}/posted_month={month}/run_id={run}")
@@ -231,8 +326,12 @@ def append_audit(rows: DataFrame, lake: Lake) -> None:
     rows.write.mode("append").partitionBy("stage").parquet(f"{lake.root}/audit")
 
 
-def register_tables(spark: SparkSession, lake: Lake, database: str) -> list[str]:
-    """Declare facts, run summary and pointer of a lake as partitioned external tables."""
+def register_tables(spark: SparkSession, lake: Lake, database: str, snapshots: Sequence[str] = ()) -> list[str]:
+    """Declare facts, run summary and pointer of a lake as partitioned external tables.
+
+    For every source in `snapshots` the view `postings_<source>` shows the newest version of its merged snapshot.
+    A view names folders of one version, so it is declared again after each one.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     tables = {**{t: fact_schema(t) for t in FACT_DIMENSION}, RUN_SUMMARY: summary_schema(),
               LATEST_RUN: StructType([StructField("run_id", StringType()), StructField("source", StringType())])}
@@ -242,4 +341,13 @@ def register_tables(spark: SparkSession, lake: Lake, database: str) -> list[str]
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet "
                   f"PARTITIONED BY ({parts}) LOCATION '{lake.gold}/{name}'")
         spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
-    return sorted(tables)
+    columns = ", ".join(c for c in POSTING.fieldNames() if c != "source")
+    for source in snapshots:
+        versions, base = _versions(spark, lake, source), lake.merged(source)
+        if not versions:
+            raise ValueError(f"no snapshot of source {source}")
+        holders = _manifest(spark, lake, source, versions[-1])
+        folders = _existing(spark, [f"{base}/bucket={b}/version={v}" for b, v in holders.items()])
+        rows = " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{p}`" for p in folders)
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.postings_{source} AS SELECT *, '{source}' AS source FROM ({rows})")
+    return sorted([*tables, *(f"postings_{s}" for s in snapshots)])
