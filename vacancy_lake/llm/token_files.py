@@ -38,7 +38,7 @@ ROWS_PER_SHARD = 4096
 MOST_CUTS = 512
 #: A word of letters whose class no version of Unicode disputes, and punctuation.
 STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*%&$#|]*)")
-CACHED = 1_000_000
+CACHED = 1_400_000
 #: Blocks up to this number have their starts broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 TURNS = 10
@@ -97,20 +97,31 @@ class LibraryIds:
         if self.model is None:
             return self.each(pieces)
         tokens = self.model.tokenize
-        return [array("I", [t.id for t in tokens(p.encode().decode("latin-1").translate(self.letters))]).tobytes() for p in pieces]
+        space = self.letters[32]
+        return [array("I", [t.id for t in tokens(p.replace(" ", space) if p.isascii() else
+                                                 p.encode().decode("latin-1").translate(self.letters))]).tobytes() for p in pieces]
 
     def learn(self, table: dict, pieces: set[str], blank: str) -> None:
         """Words with punctuation behind them are put together from both, as the pattern breaks there as well."""
-        bad = {p for p in pieces if p[0].isspace() or p[-1].isspace()}
-        table.update(dict.fromkeys(bad))
-        pieces = pieces - bad
-        stems = {p: m.groups() for p in pieces if (m := STEM.fullmatch(p))}
-        words = list({w for w, _ in stems.values()} - table.keys())
+        stems, others, words, marks = [], [], set(), set()
+        for p in pieces:
+            found = STEM.fullmatch(p)
+            if found:
+                word, mark = found.groups()
+                if word not in table:
+                    words.add(word)
+                if mark:
+                    stems.append((p, word, mark))
+                    if mark not in self.marks:
+                        marks.add(mark)
+            elif p[0].isspace() or p[-1].isspace():
+                table[p] = None
+            else:
+                others.append(p)
         table.update(zip(words, self.runs([blank + w for w in words])))
-        marks = list({m for _, m in stems.values()} - self.marks.keys())
-        self.marks.update(zip(marks, self.runs(marks)))
-        table.update((p, table[w] + self.marks[m]) for p, (w, m) in stems.items() if m)
-        others = list(pieces - stems.keys())
+        self.marks.update(zip(marks, self.runs(list(marks))))
+        for p, word, mark in stems:
+            table[p] = table[word] + self.marks[mark]
         table.update(zip(others, self.each([blank + p for p in others])))
 
     def learn_texts(self, texts: list[str]) -> None:
@@ -123,8 +134,8 @@ class LibraryIds:
                     head, *tail = line.split(" ")
                     first.add(head)
                     rest.update(tail)
-        self.learn(self.plain, first - self.plain.keys(), "")
-        self.learn(self.spaced, rest - self.spaced.keys(), " ")
+        self.learn(self.plain, {p for p in first if p not in self.plain}, "")
+        self.learn(self.spaced, {p for p in rest if p not in self.spaced}, " ")
 
     def part(self, part: str) -> bytes:
         if "\n\n" not in part:
@@ -170,7 +181,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
             break
         left, right = symbols[:-1], symbols[1:]
         entry = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - TABLE_BITS)
-        counts = np.bincount(entry[~closed[:-1]], minlength=1 << TABLE_BITS)
+        counts = np.bincount(entry, minlength=1 << TABLE_BITS)
+        counts -= np.bincount(entry[closed[:-1]], minlength=1 << TABLE_BITS)
         top = np.flatnonzero(counts >= LEAST_COUNT)
         top = top[np.argsort(-counts[top], kind="stable")][:PAIRS_PER_TURN]
         if counts[top].sum() < len(symbols) // 50:
