@@ -182,12 +182,20 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, id_col: str = "doc
     if len(shares) < 2:
         return Model(np.zeros(BUCKETS, np.float32), -40.0)
     chosen = [rows.where(F.col("label") == k).orderBy("h", "doc_id").limit(per_class) for k in (0, 1)]
-    sample = chosen[0].unionByName(chosen[1]).select("doc_id", "label", "h")
+    sample = staged(chosen[0].unionByName(chosen[1]).select("doc_id", "label", "h"), "sample")
     texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-             .join(F.broadcast(sample), "doc_id").where(F.xxhash64("text") == F.col("h"))
-             .select("text", "label", "h", "doc_id").collect())
-    texts.sort(key=lambda r: (r["h"], r["doc_id"]))
-    return train([r["text"] for r in texts], [r["label"] for r in texts], shares[1] / (shares[0] + shares[1]))
+             .join(F.broadcast(sample), "doc_id").where(F.xxhash64("text") == F.col("h")).select("text", "label", "h", "doc_id"))
+    prior = shares[1] / (shares[0] + shares[1])
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = pd.concat(list(batches)).sort_values(["h", "doc_id"])
+        if len(part):
+            m = train(part["text"].tolist(), part["label"].to_numpy(), prior)
+            yield pd.DataFrame({"weights": [m.weights.tobytes()], "bias": [m.bias]})
+
+    # At most 2 * per_class texts, so one task trains; the driver sees the finished numbers only.
+    row = texts.repartition(1).mapInPandas(fitted, "weights binary, bias double").first()
+    return Model(np.frombuffer(row["weights"], np.float32), row["bias"])
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
