@@ -11,6 +11,9 @@ from ..schema import ensure_shared_folder
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Lists of names of rows (id and digest, 40 bytes) are broadcast up to this length.
+BROADCAST_ROWS = 200_000
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back: cuts the lineage, survives lost executors, and makes
@@ -51,13 +54,15 @@ def text_digest(text: Column) -> Column:
 def keep_rows(df: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `df`, with all their columns, whose `marks` (doc_id, digest, kept) say so.
 
-    Rows that go are named by id and digest of the text, so texts are not shuffled when those names are few. Where
-    one of several rows with the same id and text stays, these rows alone are thinned with their texts.
+    Rows that go are named by id and digest of the text. Up to BROADCAST_ROWS names are broadcast, so no text is
+    shuffled; more are met by a shuffle. Where one of several rows with the same id and text stays, these rows alone
+    are thinned with their texts.
     """
     keys = marks.groupBy("doc_id", "digest").agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
     keys = staged(keys.where(~F.col("stays") | (F.col("n") > 1)), "marks")
     key = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
-    lost, again = keys.where(~F.col("stays")).select(*key), keys.where("stays").select(*key)
+    hinted = F.broadcast if keys.count() <= BROADCAST_ROWS else lambda names: names
+    lost, again = hinted(keys.where(~F.col("stays")).select(*key)), hinted(keys.where("stays").select(*key))
     rows = df.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_i"), text_digest(F.col(text_col)).alias("_d"))
     same = F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("_digest"))
     rows = rows.join(lost, same, "left_anti")
