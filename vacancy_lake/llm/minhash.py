@@ -41,7 +41,7 @@ CENTRES = 8
 #: Sets from this size on are compared by their samples first, of which so many must agree.
 LARGE = 100
 AGREE = 72
-CACHED = 500_000
+CACHED = 150_000
 #: Candidate lists up to this length travel to every executor (16 bytes a row); longer ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 

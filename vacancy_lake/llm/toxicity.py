@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import staged
 
-PER_CLASS = 1500
+PER_CLASS = 1000
 BUCKETS = 1 << 18
 DIM = 8
 EPOCHS = 15
@@ -36,7 +36,7 @@ UPDATES = 600
 BATCH = 64
 DECAY = 1e-7
 LEAST = 0.006
-CACHED = 500_000
+CACHED = 200_000
 #: Words without weight added to every text, so that a single odd word does not decide a short one.
 QUIET = 4
 #: Bytes of a word that count; longer runs without a break are not words.
