@@ -346,6 +346,26 @@ def c01(spark, d):
                        "description", "category_context")
 
 
+@query("c01_json_types", sql(SQL_POSTINGS, """
+SELECT k, CASE k % 5 WHEN 0 THEN true WHEN 1 THEN false END AS remote_flag,
+  CASE k % 5 WHEN 0 THEN strftime(day, '%Y-%m-%d') WHEN 1 THEN strftime(day, '%Y-%m-%d') WHEN 4 THEN '2023-11-14' END AS posted_on FROM p"""))
+def c01_types(spark, d):
+    """Booleans and numbers as such; text that looks like them is neither."""
+    o = fx.orders_wide(spark, d)
+    k, sec = F.col("o_orderkey"), F.unix_timestamp("day")
+    remote = pick_sql(k, "true", "false", '"yes"', "1", '"true"')
+    created = (F.when(k % 5 == 0, sec.cast("string")).when(k % 5 == 1, F.concat(F.lit('"'), sec, F.lit('"')))
+               .when(k % 5 == 2, F.lit('"-5"')).when(k % 5 == 3, F.lit('"1.7e9"')).otherwise(F.lit("1.7e9")))
+    body = F.concat(F.lit('{"slug": "s", "remote": '), remote, F.lit(', "created_at": '), created, F.lit("}"))
+    rows = o.select(k.alias("k"), F.lit("src_a").alias("source"), F.lit("s").alias("source_slug"), body.alias("raw_payload"))
+    return C.flatten_payload(rows).select(
+        "k", "remote_flag", F.date_format(X.posted_at("created_raw", "created_iso"), "yyyy-MM-dd").alias("posted_on"))
+
+
+def pick_sql(key, *values):
+    return fx.pick(values, key % len(values))
+
+
 @query("c02_html_to_text", r"""
 SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
   regexp_replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g'),

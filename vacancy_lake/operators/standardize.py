@@ -13,7 +13,7 @@ _STRINGS = "array<string>"
 
 # Payload fields of both dialects. Nested values and tags of any shape are taken as JSON text.
 _PAYLOAD = ("slug string, url string, title string, company_name string, company string, location string, "
-            "description string, tags string, remote string, created_at string, created string, category string, "
+            "description string, tags string, remote variant, created_at variant, created string, category string, "
             "contract_time string, contract_type string")
 _NESTED = {"company": "display_name string", "location": "display_name string, area array<string>",
            "category": "label string, tag string"}
@@ -23,9 +23,19 @@ def _pick(is_aggregator: Column, aggregator: Column, board: Column) -> Column:
     return F.when(is_aggregator, aggregator).otherwise(board)
 
 
+def _created(value: Column) -> Column:
+    """Creation time as text: numbers, digits and times; text that only looks like a number is none of these."""
+    shape, as_text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    odd = as_text.rlike(r"^\s*[+-]?[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?\s*$") & ~as_text.rlike(r"^\s*[0-9]+\s*$")
+    number = (shape == "BIGINT") | (shape == "DOUBLE") | shape.startswith("DECIMAL")
+    return F.when(number, as_text).when((shape == "STRING") & ~odd, as_text)
+
+
 def flatten_payload(df: DataFrame, aggregator_sources: tuple[str, ...] = ()) -> DataFrame:
     """Two payload dialects to one flat set of columns; every payload is parsed once.
 
+    Only JSON booleans say whether a posting is remote, and only JSON numbers, digits and ISO text when it was created.
+
     Sources named in `aggregator_sources` nest company, location and category; all others are flat boards.
     """
     agg = F.col("source").isin(*aggregator_sources) if aggregator_sources else F.lit(False)
@@ -46,11 +56,11 @@ def flatten_payload(df: DataFrame, aggregator_sources: tuple[str, ...] = ()) ->
         "tags": _pick(agg, F.array().cast(_STRINGS), S.tag_list("_p.tags")),
         "slug": F.btrim(F.coalesce(F.nullif(T.text("source_slug"), blank), T.text("_p.slug"))),
         "description": F.btrim(T.text("_p.description")),
-        "remote_flag": F.when(~agg, c("_p.remote").try_cast("boolean")),
+        "remote_flag": F.when(~agg & (F.schema_of_variant("_p.remote") == "BOOLEAN"), F.try_variant_get("_p.remote", "$", "boolean")),
         "category_tag": F.when(agg, tag), "category_label": F.when(agg, label),
         "category_context": F.when(agg, context).otherwise(blank),
         "contract": F.when(agg, F.concat_ws("\n", c("_p.contract_time"), c("_p.contract_type"))),
-        "created_raw": c("_p.created_at"), "created_iso": c("_p.created"),
+        "created_raw": _created(c("_p.created_at")), "created_iso": c("_p.created"),
     }).drop("_p", *[f"_{n}" for n in _NESTED])
 
 
