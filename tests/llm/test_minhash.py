@@ -91,6 +91,22 @@ def test_large_group_of_near_copies(frame):
     assert found(frame(rows), 2) == sorted(brute(rows, 2), key=repr)
 
 
+def test_close_pairs_in_hot_buckets(frame, monkeypatch):
+    """Texts of the same few words, about 0.66 similar, so all buckets are hot; only few pairs are above the threshold; few centres."""
+    monkeypatch.setattr(minhash, "CENTRES", 1)
+    rng = random.Random(6)
+    pool, rows = [f"w{i}" for i in range(126)], []
+    for i in range(500):
+        mine = rng.sample(pool, 100)
+        rows.append((i, " ".join(mine), "s"))
+        if i < 20:
+            others = [w for w in pool if w not in mine]
+            rows.append((1000 + i, " ".join(mine[:90] + rng.sample(others, 10)), "s"))
+    want = sorted(brute(rows, 1), key=repr)
+    assert 20 <= sum(d != c for d, _, c in want) < 100
+    assert found(frame(rows), 1) == want
+
+
 def test_keep_one(frame, edge_rows):
     df = frame(edge_rows)
     out = minhash.keep_one(df, 5)

@@ -1,16 +1,16 @@
-"""Near-duplicates: one-permutation MinHash, banded buckets, star-shaped candidates, links confirmed on full sets.
+"""Near-duplicates: one-permutation MinHash, banded buckets, stars and a prefix join for candidates, links confirmed on full sets.
 
 1. Each text becomes the set of hashes of its word shingles. One permutation splits the hashes into BINS by their
    leading bits; a bin's least hash is its sample. Empty bins borrow by optimal densification: bin i takes the sample
    of the first non-empty bin among h(i, 1), h(i, 2), ..., the same for every text.
 2. Texts with equal sets form a class, whose first row stands for it. Bands of ROWS bins are bucket keys; at a
    similarity of 0.8 two sets miss all 32 bands with a probability below 1e-7.
-3. In every bucket one member, the first in an order drawn anew each round, is the centre; the others are compared
-   with it alone, so a bucket of n gives n - 1 pairs at most. Each pair is confirmed on the full sets. Later rounds
-   look only at buckets whose members are not in one component yet, and leave out pairs within a component or compared
-   before. In the second one, members outside the bucket's largest component meet CENTRES of its best-linked members:
-   in a group of copies of one text these are nearest to it. From then on CENTRES of the few members still outside
-   become centres themselves, so each of them meets all others of its buckets, until a round brings no new link.
+3. In every bucket one member is the centre; the others are compared with it alone, so a bucket of n gives n - 1 pairs
+   at most. Each pair is confirmed on the full sets. A second round looks only at buckets whose members are not in one
+   component yet: members outside the bucket's largest component meet CENTRES of its best-linked members, which in a
+   group of copies of one text are nearest to it. What is left is joined exactly: of the members of buckets still open, all
+   pairs of different components that could reach the similarity, by prefixes of the sets (rare shingles first) and
+   the places of shared shingles in them. Whatever the stars left out is found there, hot bucket or not.
 4. Components of the confirmed links, spread over the classes. Each round joins components, not nodes, so its graph is
    only as large as what the round has found.
 
@@ -42,6 +42,8 @@ CENTRES = 8
 LARGE = 100
 AGREE = 72
 CACHED = 150_000
+#: Counters of shingles, by which the exact step orders them; shingles that share one are ordered by their hashes.
+COUNTERS = 1 << 20
 #: Candidate lists up to this length travel to every executor (16 bytes a row); longer ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -200,6 +202,65 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * shared >= percent * (n + m - shared)).select("a", "b")
 
 
+def counted(sets: DataFrame) -> np.ndarray:
+    """How many shingles of `sets` fall on each counter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            found = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(found & (COUNTERS - 1), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
+
+    rows = sets.select("shingles").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[rows["slot"].to_numpy()] = rows["n"].to_numpy()
+    return out
+
+
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all rows of `sets` (node, label, outer, shingles) that can be `percent` similar, have different labels and
+    one of which is outer.
+
+    With the shingles of all sets in one order, two sets that share s of them share one among the first n - s + 1 of
+    either, and the first one they share lies before no fewer than s places. The smaller set needs only the prefix for
+    partners of its size or larger, so texts that share a passage without being similar do not meet through it.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(counted(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                which, firsts, places, short = [], [], [], []
+                for i, found in enumerate(part.column(3)):
+                    found = found.values.to_numpy()
+                    n = len(found)
+                    found = found[np.lexsort((found, counts[found & (COUNTERS - 1)]))][:n - -(-percent * n // 100) + 1]
+                    which.append(np.full(len(found), i))
+                    firsts.append(found)
+                    places.append(np.arange(len(found)))
+                    short.append(places[-1] <= n - -(-2 * percent * n // (100 + percent)))
+                which = pa.array(np.concatenate(which))
+                size = pa.array([len(x) for x in part.column(3)], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(firsts)), part.column(0).take(which), part.column(1).take(which), part.column(2).take(which),
+                     size.take(which), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(short))],
+                    ["shingle", "node", "label", "outer", "n", "place", "short"])
+
+    firsts = staged(sets.select("node", "label", "outer", "shingles").mapInArrow(
+        run, "shingle long, node long, label long, outer boolean, n int, place int, short boolean"), "prefixes")
+    o = firsts.where("outer").select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "label", "n", "place", "short")])
+    smaller = F.struct("n", "node") < F.struct("o_n", "o_node")
+    fits = ((F.col("label") != F.col("o_label")) & F.when(smaller, F.col("short")).otherwise(F.col("o_short"))
+            & ((100 + percent) * F.least(F.col("n") - F.col("place"), F.col("o_n") - F.col("o_place"))
+               >= percent * (F.col("n") + F.col("o_n")))
+            & (100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n")))
+    return (firsts.join(o, "shingle").where(fits)
+            .select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct())
+
+
 def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
                 ) -> DataFrame:
     """One row per row of `df`: doc_id, digest, n_shingles, component_id, kept."""
@@ -222,43 +283,40 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     sets = staged(sets, "sets")
 
     labels = nodes.select("node", F.col("node").alias("label"))
-    tested, degrees, turn = None, None, 0
-    while True:
+    tested, degrees = None, None
+    for turn in range(3):
         sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
         current = buckets.join(labels.join(sizes, "label"), "node")
         open_ = (current.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                                F.max(F.struct("size", "label")).alias("main"))
                  .where("lo <> hi").select("bucket", F.col("main.label").alias("main")))
         current = staged(current.join(open_, "bucket").select("bucket", "node", "label", "main"), "open")
-        if turn == 1:  # members outside the largest component meet its best-linked members
-            hub = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
-            stars = (current.where("label = main").join(degrees, "node").withColumn("place", F.row_number().over(hub))
-                     .where(F.col("place") <= CENTRES).select("bucket", F.col("node").alias("c"), F.col("label").alias("cl")))
-            spokes = current.where("label <> main")
-        else:  # a centre outside the largest component meets all others
-            orders = range(CENTRES * turn, CENTRES * turn + (CENTRES if turn else 1))
-            centres = F.array_distinct(F.array(*[
-                F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("order"), F.col("node").alias("c"), F.col("label").alias("cl")))
-                for i in orders]))
-            stars = (current.where("label <> main").groupBy("bucket").agg(centres.alias("centres"))
-                     .select("bucket", F.explode("centres").alias("centre")).select("bucket", "centre.c", "centre.cl"))
-            spokes = current
-        pairs = (spokes.join(stars, "bucket").where("label <> cl")
-                 .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
+        if turn == 2:  # all pairs of what is left; of two components in a bucket, one is not its largest
+            left = current.groupBy("node", "label").agg(F.max(F.col("label") != F.col("main")).alias("outer"))
+            pairs = prefix_pairs(sets.join(left, "node"), percent)
+        else:
+            if turn:  # members outside the largest component meet its best-linked members
+                hub = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
+                stars = (current.where("label = main").join(degrees, "node").withColumn("place", F.row_number().over(hub))
+                         .where(F.col("place") <= CENTRES).select("bucket", F.col("node").alias("c"), F.col("label").alias("cl")))
+                spokes = current.where("label <> main")
+            else:
+                centre = F.min(F.struct(F.xxhash64("node", F.lit(0)).alias("order"), F.col("node").alias("c"), F.col("label").alias("cl")))
+                stars = (current.where("label <> main").groupBy("bucket").agg(centre.alias("centre"))
+                         .select("bucket", "centre.c", "centre.cl"))
+                spokes = current
+            pairs = (spokes.join(stars, "bucket").where("label <> cl")
+                     .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         links = staged(confirmed(staged(plausible(pairs, nodes, percent), "plausible"), sets, percent), "links")
-        turn += 1
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if links.isEmpty():
-            if turn > 2:
-                break
-            turn = 2
-            continue
-        if turn == 1:
+        if turn == 0:
             degrees = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(
                 F.count("*").alias("degree")).withColumnRenamed("a", "node")
+        if links.isEmpty():
+            continue
         for side in "ab":  # links between components
             links = links.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}")), side)
         merged = components(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
