@@ -64,6 +64,21 @@ def test_small_alphabet(frame, monkeypatch, common):
         assert check(frame(rows), window, gram) > 0
 
 
+def test_pieces_around_a_common_passage_do_not_meet_in_one_search():
+    """What is searched together stays small, however many documents hold the passage between words of their own."""
+    passage, searched = words(60, 9), {}
+    texts = [substring.word_hashes(f"{words(60, 100 + i)} {passage} {words(60, 300 + i)}") for i in range(80)]
+    common = np.unique(np.concatenate([g[np.unique(p)] for p, g in (substring.anchors(h, 50, 8) for h in texts)]))
+    for h in texts:
+        covered = np.zeros(len(h) - 49, int)
+        for route, first, n, *search in substring.pieces_of(h, common, common, 50, 8):
+            covered[first:first + n] += 1
+            if search != [False]:
+                searched.setdefault(route, set()).add(h[first:first + n + 49].tobytes())
+        assert (covered == 1).all()
+    assert max(map(len, searched.values()), default=0) < 10
+
+
 def test_empty_table(frame):
     assert substring.remove_repeats(frame([]).limit(0)).count() == 0
     assert check(frame([(1, "short", None), (2, "short", None)])) == 0

@@ -6,9 +6,9 @@ A window is `window` consecutive words. It goes when its word sequence also star
    places, so only windows whose anchor occurs in two documents can go, and those with one anchor meet in one shard.
    Anchors are about one word in twenty; only they are shuffled to find the shared ones.
 2. Pieces. The windows of one document that name one place form a piece, at most 2 * window - k words. Pieces with
-   equal words collapse before the shuffle to the one with the smallest id; in later documents all its windows go. Very
-   common anchors are dealt by the words around them as well, so a passage that a third of all documents holds does not
-   meet in one task with all its surroundings.
+   equal words collapse before the shuffle to the one with the smallest id; in later documents all its windows go. Windows
+   of very common anchors are pieces of their own, which collapse the same way and need no search: a window goes where a
+   smaller document has an equal piece. So no shard grows with the number of documents around a common passage.
 3. FM-index. A shard's distinct pieces form one text of word numbers, whose Burrows-Wheeler transform lies in a wavelet
    matrix (bits with sampled counts) beside the order of documents and a table of range minima. Pieces are streamed
    against it by backward search; a match counts while its range holds a smaller document. A failed search at word p
@@ -36,7 +36,7 @@ from .minhash import _HASHES, mixed
 WINDOW = 50
 GRAM = 8
 WORDS_PER_SHARD = 400_000
-#: Documents an anchor may occur in before its pieces are dealt by their surroundings as well.
+#: Places an anchor may have before its windows become pieces of their own.
 COMMON = 5_000
 BROADCAST_ROWS = 200_000
 
@@ -57,8 +57,8 @@ def anchors(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarr
 
 
 def pieces_of(h: np.ndarray, shared: np.ndarray, common: np.ndarray, window: int, gram: int
-              ) -> Iterator[tuple[int, int, int]]:
-    """(route, first window, number of windows) of a text; `shared` sorted hashes, `common` those that are very common."""
+              ) -> Iterator[tuple[int, int, int, bool]]:
+    """(route, first window, number of windows, to be searched) of a text; `shared` sorted hashes, `common` the very common."""
     place, grams = anchors(h, window, gram)
     first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
     count = np.diff(np.append(first, len(place)))
@@ -70,18 +70,10 @@ def pieces_of(h: np.ndarray, shared: np.ndarray, common: np.ndarray, window: int
     loaded = np.isin(key, common)
     for i in np.flatnonzero(hit):
         if not loaded[i]:
-            yield int(key[i]), int(first[i]), int(count[i])
+            yield int(key[i]), int(first[i]), int(count[i]), True
             continue
-        # Windows whose anchor lies `o` words in share the words around it; o is cut into four ranges.
-        p, spans = int(place[first[i]]), window - gram + 1
-        step = -(-spans // 4)
-        for j in range(4):
-            a = max(int(first[i]), p - min((j + 1) * step, spans) + 1)
-            b = min(int(first[i]) + int(count[i]), p - j * step + 1)
-            if a < b:
-                around = h[p - j * step:p + window - min((j + 1) * step, spans) + 1]
-                near = np.frombuffer(hashlib.blake2b(around.tobytes(), digest_size=8).digest(), np.uint64)
-                yield int(mixed(near ^ key[i] ^ np.uint64(j))[0]), a, b - a
+        for j in range(int(first[i]), int(first[i]) + int(count[i])):
+            yield int(key[i]), j, 1, False
 
 
 class WaveletMatrix:
@@ -225,20 +217,21 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                doc, found = [], []
+                doc, found, times = [], [], []
                 for d, text in zip(part.column(0).to_pylist(), part.column(1)):
                     h = word_hashes(text.as_py())
                     if len(h) >= window:
                         place, grams = anchors(h, window, gram)
-                        keys = np.unique(grams[np.unique(place)])
+                        keys, n = np.unique(grams[np.unique(place)], return_counts=True)
                         found.append(keys)
+                        times.append(n)
                         doc.append(np.full(len(keys), d))
                 if doc:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(doc)), pa.array(np.concatenate(found).view(np.int64))],
-                                                     ["doc", "anchor"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(doc)), pa.array(np.concatenate(found).view(np.int64)),
+                                                      pa.array(np.concatenate(times))], ["doc", "anchor", "times"])
 
-    marked = staged(docs.mapInArrow(marks, "doc long, anchor long"), "anchors")
-    shared = (marked.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("n"))
+    marked = staged(docs.mapInArrow(marks, "doc long, anchor long, times long"), "anchors")
+    shared = (marked.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.sum("times").alias("n"))
               .where("lo <> hi").select("anchor", (F.col("n") > COMMON).alias("common")))
     wanted = staged(marked.join(shared, "anchor").groupBy("doc").agg(
         F.sort_array(F.collect_set("anchor")).alias("shared"),
@@ -255,11 +248,13 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     if len(h) < window:
                         continue
                     shared = np.sort(np.array(r["shared"], np.int64).view(np.uint64))
-                    for route, first, n in pieces_of(h, shared, np.array(r["common"], np.int64).view(np.uint64), window, gram):
+                    for route, first, n, search in pieces_of(h, shared, np.array(r["common"], np.int64).view(np.uint64), window, gram):
                         raw = h[first:first + n + window - 1].tobytes()
                         content = hashlib.blake2b(raw, digest_size=12).digest()
                         # Of equal pieces here, only the first document's carries the words.
                         key = (route, content)
+                        if not search:
+                            raw = None
                         if sent.get(key, 1 << 62) > r["doc"]:
                             sent[key] = r["doc"]
                         rows.append([route - (1 << 64) if route >> 63 else route, content, r["doc"], r["text_hash"], first, n,
@@ -273,14 +268,14 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         cut, "route long, content binary, doc long, text_hash long, first int, windows int, words binary"), "pieces")
     distinct = pieces.groupBy("route", "content").agg(
         F.min("doc").alias("doc"), F.max("doc").alias("last"), F.first("words", ignorenulls=True).alias("words"))
-    distinct = staged(distinct, "distinct")
+    distinct = staged(distinct.where("words IS NOT NULL OR doc <> last"), "distinct")
     # A route with one document only cannot match anything.
-    alive = distinct.groupBy("route").agg(F.min("doc").alias("lo"), F.max("last").alias("hi"),
+    alive = distinct.where("words IS NOT NULL").groupBy("route").agg(F.min("doc").alias("lo"), F.max("last").alias("hi"),
                                           F.sum(F.length("words")).alias("bytes")).where("lo <> hi")
     alive = staged(alive.select("route", "bytes"), "routes")
     total = alive.agg(F.sum("bytes")).head()[0] or 0
     n_shards = max(1, -(-total // (8 * WORDS_PER_SHARD)))
-    searched = (distinct.join(alive, "route").withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(n_shards)))
+    searched = (distinct.where("words IS NOT NULL").join(alive, "route").withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(n_shards)))
                 .select("shard", "route", "content", "doc", "words")
                 .groupBy("shard").applyInPandas(lambda pdf: _search(pdf, window), "route long, content binary, flags binary"))
     first = distinct.select("route", "content", F.col("doc").alias("first_doc"))
