@@ -50,6 +50,23 @@ def test_weights_of_words_are_the_mean_of_their_buckets(model):
         assert model.known[w] == pytest.approx(model.weights[bucket[row == i]].mean(), rel=1e-4)
 
 
+def test_long_runs_count_to_their_end(model, monkeypatch):
+    """Words run together: what stands behind byte 200 decides as what stands before; parts and wholes agree."""
+    clean = words(80, 50).replace(" ", "")
+    bad = clean + "".join(BAD) * 20
+    assert len(clean) > 200
+    one, two = model.scores([clean, bad])
+    assert two > one
+    row, bucket = toxicity.buckets_of(["short", bad, "é" * 300], 1 << 16)
+    grams = toxicity._grams(["short " + bad, bad], 1 << 16)
+    monkeypatch.setattr(toxicity, "BLOCK", 64)
+    parts = list(toxicity.blocks_of(["short", bad, "é" * 300], 1 << 16))
+    assert max(len(b) for _, b in parts) <= 4 * 70 + 2
+    assert sorted(zip(row, bucket)) == sorted(x for r, b in parts for x in zip(r, b))
+    for whole, cut in zip(grams, toxicity._grams(["short " + bad, bad], 1 << 16)):
+        assert np.allclose(whole, cut)
+
+
 def test_query_on_given_table(spark):
     out = queries.QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1").toPandas()
     assert len(out) == 10_000 and out.score.between(0, 1).all() and ((out.score >= 0.5) == (out.predicted == 1)).all()

@@ -39,33 +39,59 @@ LEAST = 0.006
 CACHED = 200_000
 #: Words without weight added to every text, so that a single odd word does not decide a short one.
 QUIET = 4
-#: Bytes of a word that count; longer runs without a break are not words.
-LONGEST = 200
+#: Bytes of words whose n-grams are made at once; longer runs without a break are gone over in parts.
+BLOCK = 1 << 18
 
 TOKENS = re.compile(r"[^\W_]+")
 
 
-def buckets_of(words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word index, bucket) of the words themselves and of their n-grams of 3 to 6 bytes, ends marked."""
-    marked = [f"<{w}>".encode()[:LONGEST] for w in words]
-    size = np.array([len(m) for m in marked], np.int64)
-    text = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
-    owner, ends = np.repeat(np.arange(len(words)), size), np.cumsum(size)
-    left = np.repeat(ends, size) - np.arange(len(text))  # bytes from here to the end of the word
+def blocks_of(words: list[str], n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word index, bucket) of the words themselves and of their n-grams of 3 to 6 bytes, ends marked, in bounded blocks."""
+    parts, size = [], 0
+    for i, word in enumerate(words):
+        marked = f"<{word}>".encode()
+        for at in range(0, len(marked), BLOCK):
+            part = marked[at:at + BLOCK + 6]  # n-grams that start in the block end in it
+            if parts and size + len(part) > BLOCK:
+                yield _block(parts, n)
+                parts, size = [], 0
+            parts.append((i, part, len(marked) - at, zlib.crc32(marked) if at == 0 else None))
+            size += len(part)
+    if parts:
+        yield _block(parts, n)
+
+
+def _block(parts: list[tuple[int, bytes, int, int | None]], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same of parts of words: (word index, bytes, bytes from there to the end of the word, hash of the word at its start)."""
+    size = np.array([len(part) for _, part, _, _ in parts], np.int64)
+    text = np.frombuffer(b"".join(part for _, part, _, _ in parts), np.uint8).astype(np.uint64)
+    owner = np.repeat(np.array([i for i, _, _, _ in parts]), size)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
+    left = np.repeat(np.array([rest for _, _, rest, _ in parts]), size) - place  # bytes from here to the end of the word
+    left[place >= BLOCK] = 0
     rows, found, rolling = [], [], np.zeros(len(text), np.uint64)
     for k in range(1, 7):
         step = len(text) - k + 1
+        if step <= 0:
+            break
         rolling = (rolling[:step] * np.uint64(0x100000001B3)) ^ text[k - 1:]
         if k >= 3:
             inside = np.flatnonzero(left[:step] > k)
             rows.append(owner[inside])
             found.append(rolling[inside])
-    rows.append(np.arange(len(words)))
-    found.append(np.array([zlib.crc32(m) for m in marked], np.uint64) ^ np.uint64(1 << 40))
+    starts = [(i, whole) for i, _, _, whole in parts if whole is not None]
+    rows.append(np.array([i for i, _ in starts], np.int64))
+    found.append(np.array([whole for _, whole in starts], np.uint64) ^ np.uint64(1 << 40))
     mixed = np.concatenate(found) * np.uint64(0x9E3779B97F4A7C15)
     return np.concatenate(rows), ((mixed >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
 
 
+def buckets_of(words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """All blocks in one."""
+    blocks = list(blocks_of(words, n)) or [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    return np.concatenate([row for row, _ in blocks]), np.concatenate([bucket for _, bucket in blocks])
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -78,9 +104,11 @@ class Model:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         if new:
-            row, bucket = buckets_of(new, len(self.weights))
-            sums = np.bincount(row, self.weights[bucket], len(new))
-            self.known.update(zip(new, (sums / np.bincount(row, minlength=len(new))).tolist()))
+            sums, n = np.zeros(len(new)), np.zeros(len(new))
+            for row, bucket in blocks_of(new, len(self.weights)):
+                sums += np.bincount(row, self.weights[bucket], len(new))
+                n += np.bincount(row, minlength=len(new))
+            self.known.update(zip(new, (sums / n).tolist()))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out = np.empty(len(texts))
@@ -100,22 +128,35 @@ class Model:
 def _grams(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights of buckets in texts, as (text, bucket, weight): the mean over distinct words of the mean over their buckets."""
     number: dict[str, int] = {}
-    bags = [{number.setdefault(w, len(number)) for w in TOKENS.findall((t or "").lower())} for t in texts]
+    bags, runs = [], []
+    for t in texts:
+        found = set(TOKENS.findall((t or "").lower()))
+        runs.append(sorted(w for w in found if len(w) > BLOCK // 4))  # huge ones are summed by bucket
+        bags.append({number.setdefault(w, len(number)) for w in found.difference(runs[-1])})
     row, bucket = buckets_of(list(number), buckets)
     turn = np.argsort(row, kind="stable")
     bucket, n = bucket[turn], np.bincount(row, minlength=len(number))
     first = np.cumsum(n) - n
     rows, cols, values = [], [], []
-    for r, bag in enumerate(bags):
-        if not bag:
+    for r, (bag, huge) in enumerate(zip(bags, runs)):
+        if not bag and not huge:
             continue
         words = np.fromiter(sorted(bag), np.int64, len(bag))
-        share = 1.0 / (len(bag) + QUIET) / n[words]
+        share = 1.0 / (len(bag) + len(huge) + QUIET) / n[words]
         at = np.repeat(first[words] - np.cumsum(n[words]) + n[words], n[words]) + np.arange(n[words].sum())
         hit, inverse = np.unique(bucket[at], return_inverse=True)
+        value = np.bincount(inverse, np.repeat(share, n[words]), len(hit))
+        if huge:
+            total = np.zeros(buckets)
+            total[hit] = value
+            for w in huge:
+                counts = sum(np.bincount(found, minlength=buckets) for _, found in blocks_of([w], buckets))
+                total += counts / counts.sum() / (len(bag) + len(huge) + QUIET)
+            hit = np.flatnonzero(total)
+            value = total[hit]
         rows.append(np.full(len(hit), r, np.int32))
         cols.append(hit.astype(np.int32))
-        values.append(np.bincount(inverse, np.repeat(share, n[words]), len(hit)).astype(np.float32))
+        values.append(value.astype(np.float32))
     if not rows:
         return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32)
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(values)
