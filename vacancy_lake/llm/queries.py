@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, ngrams, substring, token_files, toxicity
+from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, ngrams, substring, token_files, toxicity, url_filter
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -110,3 +110,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ngram_scores")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.scores(documents(spark, sf_dir), held=fold() == 1)
+
+
+#: Rules of op12, longest host and path first to count.
+URL_RULES = [url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example.org/es/"),
+             url_filter.Rule("block", "example.org/en/1"), url_filter.Rule("allow", "com/fr/"), url_filter.Rule("block", "com/de/")]
+
+
+@query("op12_url_filter")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
