@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, ngrams, substring, token_files, toxicity, url_filter
+from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, ngrams, prefix_trie, substring, token_files, toxicity, url_filter
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -120,3 +120,14 @@ URL_RULES = [url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example
 @query("op12_url_filter")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
+def conversation_trie(rows: DataFrame, turns_per_shard: int = prefix_trie.TURNS_PER_SHARD) -> DataFrame:
+    """Trie of conversations whose first crc32(id) % 6 turns come from the conversation at the start of their hundred."""
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    return prefix_trie.trie(prefix_trie.with_shared_heads(prefix_trie.conversations(rows), head, 5), turns_per_shard)
+
+
+@query("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
