@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, licenses, minhash, mixing, neighbours, ngrams, prefix_trie, substring, token_files, toxicity, url_filter
+from . import (alignment, bpe, exact_dedup, licenses, minhash, mixing, neighbours, ngrams, prefix_trie, substring,
+               token_files, toxicity, url_filter)
 from .common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -131,3 +132,9 @@ def conversation_trie(rows: DataFrame, turns_per_shard: int = prefix_trie.TURNS_
 @query("op13_prefix_trie")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
