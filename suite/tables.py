@@ -11,7 +11,7 @@ from vacancy_lake.operators import facts as E, incremental as B, merge as D, sta
 from vacancy_lake.plans import build as P
 from vacancy_lake.plans.build import standard_batch
 from vacancy_lake.schema import FACT_DIMENSION, POSTING, RUN_SUMMARY
-from vacancy_lake.sources import lake as A, state as ST
+from vacancy_lake.sources import lake as A, snapshot as SN, state as ST
 from vacancy_lake.streaming import landing_stream as STREAM
 
 from . import fixtures as fx
@@ -111,7 +111,7 @@ def a04(spark, d):
     df = _yearly(fx.postings(spark, d))
     late = F.col("bronze_run_id") >= "1998"
     A.write_batch(df.where(late), lake)
-    A.write_snapshot(df.where("source = 'src_a'"), lake, "src_a", "20011231T0")
+    SN.replace(df.where("source = 'src_a'"), lake, "src_a", "20011231T0")
     earlier = C.text_contract(df.where(~late)).withColumns(
         {"ingest_date": F.col("bronze_ingest_date"), "run_id": F.col("bronze_run_id")})
     (earlier.withColumnsRenamed({"title_norm": "title_raw", "company_norm": "company_raw", "location_raw": "location"})
@@ -176,9 +176,11 @@ def a09(spark, d):
         A.write_fact(fact, name, lake)
     A.publish_latest(E.resolve_run(df).withColumn("run_id", F.lit("r1")), lake)
     for source, _ in DIALECTS:
-        A.write_snapshot(df.where(F.col("source") == source), lake, source, "r1")
+        SN.replace(df.where(F.col("source") == source), lake, source, "r1")
     database = "vacancy_" + lake.root.rsplit("-", 1)[-1]
-    A.register_tables(spark, lake, database, [s for s, _ in DIALECTS])
+    A.register_tables(spark, lake, database)
+    for source, _ in DIALECTS:
+        SN.register(spark, lake, source, database)
     return spark.sql(f"""SELECT source, total_postings, employers FROM (
         SELECT source, sum(job_count) AS total_postings FROM {database}.role_demand_monthly
         JOIN {database}.latest_run_metadata USING (source, run_id) GROUP BY source) JOIN (
@@ -655,19 +657,17 @@ def d02(spark, d):
 SELECT source, job_id, CASE WHEN k % 10 = 0 THEN 'newer' ELSE title_norm END AS title_norm,
   strftime(CASE WHEN k % 97 <> 0 THEN day END, '%Y-%m') AS month FROM p"""))
 def d02_snapshot(spark, d):
-    """The stored snapshot: a batch touches its buckets alone; newer lineage wins, older loses, new keys come in."""
-    lake, df, parts = fx.work_lake(spark, "d02"), fx.postings(spark, d, False), []
+    """The stored snapshot: batches become runs of their own; newer lineage wins, older loses, new keys come in."""
+    lake, df, parts = fx.work_lake(spark, "d02"), fx.postings(spark, d, False).select(*POSTING.fieldNames()), []
     k = F.col("source_job_id").cast("long")
     for source, _ in DIALECTS:
         mine = df.where(F.col("source") == source)
-        A.write_snapshot(mine.where(k % 10 != 3), lake, source, "v1")
+        SN.replace(mine.where(k % 10 != 3), lake, source, "v1")
         newer = mine.where(k % 10 == 0).withColumns({"title_norm": F.lit("newer"), "bronze_ingest_date": F.lit("2030-01-01")})
         older = mine.where(k % 10 == 5).withColumns({"title_norm": F.lit("older"), "bronze_ingest_date": F.lit("1990-01-01")})
-        batch = newer.unionByName(older).unionByName(mine.where(k % 10 == 3)).select(*POSTING.fieldNames())
-        touched = A.touched_buckets(batch)
-        old = A.read_snapshot(spark, lake, source, touched)
-        A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, source, "v2", touched)
-        parts.append(A.read_snapshot(spark, lake, source))
+        SN.upsert(newer.unionByName(older), lake, source, "v2")
+        SN.upsert(mine.where(k % 10 == 3), lake, source, "v3")
+        parts.append(SN.read(spark, lake, source))
     return parts[0].unionByName(parts[1]).select("source", "job_id", "title_norm", F.date_format("posted_at", "yyyy-MM").alias("month"))
 
 
@@ -698,7 +698,7 @@ def d04(spark, d):
     history = df.unionByName(df.withColumn("bronze_run_id", F.concat("bronze_run_id", F.lit("-again"))))
     lake = fx.work_lake(spark, "d04")
     snapshot, audit = D.rebuild_snapshot(history)
-    A.write_snapshot(snapshot.where("source = 'src_a'"), lake, "src_a", "v1")
+    SN.replace(snapshot.where("source = 'src_a'"), lake, "src_a", "v1")
     return audit
 
 

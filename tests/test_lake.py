@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vacancy_lake.operators import audit as AU, facts as E, incremental as B, merge as D
 from vacancy_lake.plans import build as P
 from vacancy_lake.schema import POSTING
-from vacancy_lake.sources import lake as A, state as ST
+from vacancy_lake.sources import lake as A, snapshot as S, state as ST
 from vacancy_lake.streaming import landing_stream as STREAM
 
 
@@ -37,19 +37,19 @@ def test_batch_flow_end_to_end(spark, lake):
                   board("c", created=1704300000), day="2024-01-03")
     assert (second["filter_mode"], second["landed"], second["filtered_out"]) == ("lookback", 2, 1)
     P.build_postings(spark, lake, "board")
-    snapshot = {r["source_job_id"]: r for r in A.read_snapshot(spark, lake, "board").collect()}
+    snapshot = {r["source_job_id"]: r for r in S.read(spark, lake, "board").collect()}
     assert {k: r["title_norm"] for k, r in snapshot.items()} == {"a": "python developer", "b": "changed", "c": "python developer"}
     assert snapshot["a"]["skills"] == ["kubernetes", "python", "sql"] and snapshot["a"]["remote_type"] == "remote"
     assert snapshot["b"]["bronze_run_id"] == "20240103T000000Z-b"
     # Facts, pointer and publication check.
-    counts = P.publish_facts(A.read_snapshot(spark, lake, "board"), lake)
+    counts = P.publish_facts(S.read(spark, lake, "board"), lake)
     assert counts == {"2024-01": 2}
     tables = {t: A.read_fact(spark, t, lake) for t in ("skill_demand_monthly", "role_demand_monthly", "pipeline_run_summary")}
     row = AU.verify_publication(tables, A.latest_run(spark, lake)).first()
     assert row["published"] and row["run_id"] == "20240103T000000Z-b" and row["role_demand_monthly_rows"] == 2
     # A rebuild from the batches gives the same snapshot.
     P.rebuild(spark, lake, "board", "20240104T0")
-    again = {r["source_job_id"]: r["title_norm"] for r in A.read_snapshot(spark, lake, "board").collect()}
+    again = {r["source_job_id"]: r["title_norm"] for r in S.read(spark, lake, "board").collect()}
     assert again == {k: r["title_norm"] for k, r in snapshot.items()}
     stages = spark.read.parquet(f"{lake.root}/audit").groupBy("stage").count().collect()
     assert {r["stage"]: r["count"] for r in stages} == {"landing": 2, "silver": 2, "gold": 1}
@@ -59,7 +59,7 @@ def test_gate_blocks_every_write(spark, lake):
     land(spark, lake, "20240102T000000Z-a", board("a", company=" "))
     with pytest.raises(D.QualityError):
         P.build_postings(spark, lake, "board")
-    assert A.read_history(spark, lake, "board") is None and A.read_snapshot(spark, lake, "board") is None
+    assert A.read_history(spark, lake, "board") is None and S.read(spark, lake, "board") is None
 
 
 def test_empty_fetch_keeps_the_watermark(spark, lake):
@@ -113,8 +113,8 @@ def test_empty_month_is_published_and_clears_old_rows(spark, lake):
 
 
 def test_month_rebuild_pushes_the_time_range_into_the_scan(spark, lake):
-    A.write_snapshot(_postings(spark, [("dev", "2024-01", "r1")]), lake, "s", "v1")
-    facts = E.build_facts(A.read_snapshot(spark, lake, "s"), "run", ["2023-12", "2024-01"])
+    S.replace(_postings(spark, [("dev", "2024-01", "r1")]), lake, "s", "v1")
+    facts = E.build_facts(S.read(spark, lake, "s"), "run", ["2023-12", "2024-01"])
     plan = facts["role_demand_monthly"]._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "PushedFilters" in line and "title_norm" in line)
     assert "GreaterThanOrEqual(posted_at,2023-12-01" in scan and "LessThan(posted_at," in scan
@@ -203,7 +203,7 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, lake, tmp_path):
     for i, payloads in enumerate(files):
         land(spark, other, f"2024010{i + 1}T0", *payloads, lookback_hours=1, day=f"2024-01-0{i + 1}")
         P.build_postings(spark, other, "board")
-    assert {r["source_job_id"]: r["title_norm"] for r in A.read_snapshot(spark, other, "board").collect()} == expected
+    assert {r["source_job_id"]: r["title_norm"] for r in S.read(spark, other, "board").collect()} == expected
 
 
 def test_stream_first_version_wins_on_request(spark, lake):
@@ -296,41 +296,27 @@ def test_publication_of_another_source_is_refused(spark, lake):
 
 
 def test_publication_reads_the_snapshot_five_times(spark, lake):
-    A.write_snapshot(_postings(spark, [("dev", "2024-01", "r1"), ("ops", "2024-02", "r1")]), lake, "s", "v1")
-    df, store = A.read_snapshot(spark, lake, "s"), spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+    """Every scan of the run's folder in the plans of the session from here on, told apart by the folder's own name."""
+    state = S.replace(_postings(spark, [("dev", "2024-01", "r1"), ("ops", "2024-02", "r1")]), lake, "s", "v1")
+    df, store = S.read(spark, lake, "s"), spark._jsparkSession.sharedState().statusStore()
+    known = {e.executionId() for e in _executions(store)}
     P.publish_facts(df, lake, "run", ["2024-01", "2024-02"])
-    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(before, store.executionsCount())]
-    scans = sum(p.split("(1)")[0].count("Scan parquet") + 0 for p in plans if "/merged/bucket=" in p)
+    plans = [e.physicalPlanDescription() for e in _executions(store) if e.executionId() not in known]
+    scans = sum(p.split("(1)")[0].count("Scan parquet") for p in plans if state.runs[0].name in p)
     assert 0 < scans <= 5
 
 
-def test_untouched_buckets_stay_and_months_prune(spark, lake):
-    df = _postings(spark, [("dev", "2024-01", "r1")] * 200).withColumn(
-        "posted_at", F.when(F.col("job_id").cast("int") % 3 != 0, F.timestamp_seconds(F.lit(1_704_100_000) + F.col("job_id").cast("int") * 86_400)))
-    A.write_snapshot(df, lake, "s", "v1")
-    batch = df.where("job_id = '7'").withColumns({"title_norm": F.lit("changed"), "bronze_ingest_date": F.lit("2025-01-01")})
-    touched = A.touched_buckets(batch)
-    old = A.read_snapshot(spark, lake, "s", touched)
-    assert 0 < old.count() < 200
-    A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, "s", "v2", touched)
-    back = A.read_snapshot(spark, lake, "s")
-    assert back.count() == 200 and back.where("title_norm = 'changed'").count() == 1
-    folders = {f.split("/version=")[1].split("/")[0] + f.split("bucket=")[1].split("/")[0] for f in back.inputFiles()}
-    assert {f for f in folders if f.startswith("v2")} == {f"v2{b}" for b in touched} and len(folders) > len(touched)
-    month = A.read_snapshot(spark, lake, "s", months=["2024-02"])
-    plan = month._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [month" in plan
-    assert {str(r["posted_at"])[:7] for r in month.collect()} == {"2024-02", "None"}
-    assert A.retire_snapshots(spark, lake, "s", 1) == ["v1"] and A.read_snapshot(spark, lake, "s").count() == 200
-    assert A.write_snapshot(df, lake, "s", "v2") == "v2~"
+def _executions(store):
+    """What the store keeps, newest included; older ones may have been dropped from it."""
+    found = store.executionsList()
+    return [found.apply(i) for i in range(found.size())]
 
 
 def test_heal_takes_the_broader_base(spark, lake):
     """A snapshot from elsewhere lost a posting; the union of batches brings it back."""
     land(spark, lake, "20240102T0-a", board("a"), board("b"))
     P.build_postings(spark, lake, "board")
-    A.write_snapshot(A.read_snapshot(spark, lake, "board").where("source_job_id = 'a'"), lake, "board", "20240102T1-cut")
+    S.replace(S.read(spark, lake, "board").where("source_job_id = 'a'"), lake, "board", "20240102T1-cut")
     land(spark, lake, "20240103T0-b", board("c"), day="2024-01-03")
     P.build_postings(spark, lake, "board", heal=True)
-    assert {r["source_job_id"] for r in A.read_snapshot(spark, lake, "board").collect()} == {"a", "b", "c"}
+    assert {r["source_job_id"] for r in S.read(spark, lake, "board").collect()} == {"a", "b", "c"}

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.rules import PlaceRules, Vocabulary
 from ..operators import facts as E, incremental as B, merge as D, standardize as C
 from ..schema import RUN_SUMMARY, use_shared_checkpoints
-from ..sources import lake as A, state as ST
+from ..sources import lake as A, snapshot as S, state as ST
 
 
 def land(fetched: DataFrame, lake: A.Lake, dialect: B.Dialect, source: str, run_id: str, ingest_date: str,
@@ -53,9 +53,9 @@ def build_postings(spark: SparkSession, lake: A.Lake, source: str, path: str | N
                    places: PlaceRules | None = PlaceRules(), legacy_source: bool = False, heal: bool = False) -> dict:
     """Newest landing batch to a standard batch and a new snapshot version; a failing batch writes nothing.
 
-    The snapshot before it is the base; without one, the union of all batches. `heal=True` takes the broader of
-    both (more months, then more rows), which reads the whole history: for snapshots written elsewhere, since a
-    failed write here leaves the version before it in force.
+    The batch becomes a version on top of the snapshot before it; without one, of the union of all batches. `heal=True`
+    takes the broader of both (more months, then more rows), which reads the whole history: for snapshots written
+    elsewhere, since a failed write here leaves the version before it in force.
 
     The batch feeds the gate, the batch table and the upsert, so it is put in the shared checkpoint folder:
     the text work runs once, and a lost executor does not repeat it.
@@ -65,21 +65,20 @@ def build_postings(spark: SparkSession, lake: A.Lake, source: str, path: str | N
     rows_in = landed.count()
     batch = standard_batch(landed, aggregator_sources, vocab, places).checkpoint()
     report = D.quality_gate(batch, rows_in)
-    touched = A.touched_buckets(batch)
-    # The upsert reads and writes the buckets of the batch alone; healing compares whole snapshots.
-    merged = A.read_snapshot(spark, lake, source, None if heal else touched)
-    history = A.read_history(spark, lake, source, legacy_source, places) if heal or merged is None else None
-    union = None if history is None else D.keep_last(history, [*D.LINEAGE_ORDER, "bronze_data_file"])
-    if heal and (merged is not None or union is not None):
-        old = D.pick_snapshot(merged, union)
-    else:
-        old = merged if merged is not None else union if union is not None else batch.limit(0)
     run = batch.agg(F.max("bronze_run_id")).first()[0]
-    A.write_batch(batch, lake)
-    version = A.write_snapshot(D.upsert_history(old, batch, snapshot=True), lake, source, run,
-                               touched if merged is not None and not heal else None)
-    out = {**report, "version": version, "landed": rows_in, "dedup_removed": rows_in - report["row_count"],
-           "merged_rows": A.read_snapshot(spark, lake, source).count()}
+    state = S.version(spark, lake, source)
+    if state is not None and not heal:
+        A.write_batch(batch, lake)
+        done = S.upsert(batch, lake, source, run)
+    else:
+        merged = None if state is None else S.read(spark, lake, source, number=state.number)
+        history = A.read_history(spark, lake, source, legacy_source, places)
+        union = None if history is None else D.keep_last(history, [*D.LINEAGE_ORDER, "bronze_data_file"])
+        old = D.pick_snapshot(merged, union) if merged is not None or union is not None else batch.limit(0)
+        A.write_batch(batch, lake)
+        done = S.replace(D.upsert_history(old, batch, snapshot=True), lake, source, run, state.number if state else 0)
+    out = {**report, "version": done.number, "landed": rows_in, "dedup_removed": rows_in - report["row_count"],
+           "merged_rows": done.keys}
     quality = spark.createDataFrame([(source, run, report["status"], *[int(out[c]) for c in _QUALITY])],
                                     "source string, run_id string, status string, " + ", ".join(f"{c} long" for c in _QUALITY))
     A.append_audit(A.audit_rows(quality, "silver", run), lake)
@@ -97,7 +96,7 @@ def rebuild(spark: SparkSession, lake: A.Lake, source: str, version: str, legacy
     if history is None:
         raise ValueError(f"no batches for source {source}")
     snapshot, audit = D.rebuild_snapshot(history)
-    A.write_snapshot(snapshot, lake, source, version)
+    S.replace(snapshot, lake, source, version)
     return audit
 
 
