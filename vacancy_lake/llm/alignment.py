@@ -4,11 +4,11 @@ A byte-level tokenizer (A) encodes a text behind a blank, a piece tokenizer with
 puts that blank itself. The ends of the tokens, counted in bytes, go into one dictionary per side (end to index). The
 ends both sides have, sorted, slice both id lists into groups, and each group links all its A ids with all its B ids.
 
-Both tokenizers break a text before a single blank that stands between two characters that are no white space: A's
-pattern does, and no piece of B holds a blank behind another character (which is checked when it is loaded), so no merge
-crosses. Such a place is an end on both sides, so it ends a group, and the text between two of them (a chunk) has the same
-groups wherever it stands. Each worker aligns a chunk once and keeps the result, up to a bound; a text is the sequence
-of its chunks.
+Both tokenizers break a text before a single blank or line break that stands between two characters that are no white
+space: A's pattern does, and no piece of B holds a blank behind another character, or a line break at all (which is checked
+when it is loaded), so no merge crosses. Such a place is an end on both sides, so it ends a group, and the text between two
+of them (a chunk) has the same groups wherever it stands. Each worker aligns a chunk once and keeps the result, up to a
+bound; a text is the sequence of its chunks.
 
 Counts by pair of ids are taken over all documents, by task before the shuffle. They come back to the documents in two
 ways, and both are exact: the at most HOT pairs that make up more than one HOT-th of all (document, pair) rows each are
@@ -23,11 +23,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +41,15 @@ from .common import staged
 #: Most pairs that are sent to tasks (17 bytes each); also the largest part of the rows, as 1 / HOT, one shuffled key has.
 HOT = 1 << 19
 #: Chunks and characters a worker remembers before it starts anew.
-CACHED, CACHED_CHARACTERS = 250_000, 1 << 25
+CACHED, CACHED_CHARACTERS = 350_000, 1 << 25
+#: Links from which on the equal ids of a group are counted together.
+LONG = 4096
 #: Ids take 20 bits of a pair's number.
 _BITS = 20
 _MARK = "▁"
 
 _CHUNK = re.compile(r"(?<=\S) (?=\S)")
-_IRREGULAR = re.compile(r" \s|\s ").search
+_IRREGULAR = re.compile(r"\s\s|^\s|\s\Z").search
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -54,6 +58,8 @@ class Aligner:
     """Chunk tables of two tokenizers. `numbers` names a chunk by its place in the lists."""
 
     def __init__(self, byte_path: str, piece_path: str):
+        # Spark deals the cores out: threads of the library's own only spend time waiting for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -74,7 +80,11 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else
                         b"" if self.b.is_control(i) or self.b.is_unknown(i) else p.replace(_MARK, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.widths_a, self.widths_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
         self.by_chunk = not any(_MARK in p.lstrip(_MARK) for p in pieces)
+        self.blank = self.b.piece_to_id(_MARK)
+        self.by_line = (not any("\n" in p for p in pieces) and self.b.id_to_piece(self.blank) == _MARK
+                        and self.b.encode("\nx")[:1] == [self.blank])
         if max(len(self.bytes_a), len(self.bytes_b)) >> _BITS:
             raise ValueError(f"ids must have at most {_BITS} bits")
         self.clear()
@@ -85,42 +95,55 @@ class Aligner:
         self.starts, self.pairs, self.times = array("q", [0]), array("q"), array("q")
 
     def chunks(self, text: str) -> list[str]:
-        """Parts of a text between the single blanks where both sides always break."""
+        """Parts of a text between the places where both sides always break; a part that begins with a word stands behind a
+        blank, others are written with what they begin with."""
         if not self.by_chunk:
-            return [text]
-        if text[0] == " " or text[-1] == " " or _IRREGULAR(text):
-            return _CHUNK.split(text)
-        return text.split(" ")
+            return [" " + text]
+        if _IRREGULAR(text):
+            return [" " + p if p[0] in " \n" else p for p in _CHUNK.split(text)]
+        return (text.replace("\n", " \n") if self.by_line else text).split(" ")
 
     def learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), 4096):
-            part = chunks[at:at + 4096]
-            for chunk, a, b in zip(part, self.a.encode_batch_fast([" " + c for c in part], add_special_tokens=False),
-                                   self.b.encode(part, num_threads=1)):
-                self.numbers[chunk] = len(self.groups)
-                self.characters += len(chunk)
-                self._put((" " + chunk).encode("utf-8", "surrogatepass"), a.ids, b)
-
-    def _put(self, raw: bytes, a: list[int], b: list[int]) -> None:
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            self.figures.extend((0, 0, 0, 0, 0))
-            self.groups.append("")
-        else:
-            n, links, text = align(self._ends(self.bytes_a, a), self._ends(self.bytes_b, b), a, b)
-            self.figures.extend((len(a), len(b), n, sum(links.values()), 1))
-            self.groups.append(text)
-            self.pairs.extend(links)
-            self.times.extend(links.values())
-        self.starts.append(len(self.pairs))
-
-    @staticmethod
-    def _ends(widths: list[bytes], ids: list[int]) -> dict[int, int]:
-        """End in bytes to the number of tokens up to it; of tokens without bytes the last counts."""
-        out, end = {}, 0
-        for i, t in enumerate(ids, 1):
-            end += len(widths[t])
-            out[end] = i
-        return out
+        lines = [c for c in chunks if c[0] == "\n"]
+        # Behind a line break B gives no blank of its own; the one it puts before the break is taken off.
+        self._learn(lines, lines, [b[1:] for b in self.b.encode(lines, num_threads=1)])
+        words = [c for c in chunks if c[0] != "\n"]
+        raw = [c if c[0] == " " else " " + c for c in words]
+        self._learn(words, raw, self.b.encode([r[1:] for r in raw], num_threads=1))
+
+    def _learn(self, chunks: list[str], raw: list[str], ids_b: list[list[int]]) -> None:
+        """Chunks that both sides give back are aligned in one go, one behind the other; the others have no tokens."""
+        ids_a = [found.ids for found in self.a.encode_batch_fast(raw, add_special_tokens=False)]
+        texts = [r.encode("utf-8", "surrogatepass") for r in raw]
+        good = [b"".join(map(self.bytes_a.__getitem__, a)) == t == b"".join(map(self.bytes_b.__getitem__, b))
+                for a, b, t in zip(ids_a, ids_b, texts)]
+        chosen = list(compress(range(len(chunks)), good))
+        flat_a = list(chain.from_iterable(ids_a[i] for i in chosen))
+        flat_b = list(chain.from_iterable(ids_b[i] for i in chosen))
+        to_a, to_b = common_ends(ends(self.widths_a, flat_a), ends(self.widths_b, flat_b))
+        pairs, times, sizes = links(flat_a, flat_b, to_a, to_b)
+        # The last token of a chunk ends its last group.
+        count_a = np.array([len(ids_a[i]) for i in chosen], np.int64)
+        stop = np.searchsorted(to_a, np.cumsum(count_a)) + 1
+        linked, listed = (np.concatenate([[0], np.cumsum(x)])[np.concatenate([[0], stop])] for x in sizes)
+        figures = np.zeros((len(chunks), 5), np.int64)
+        figures[chosen, 0], figures[chosen, 1] = count_a, [len(ids_b[i]) for i in chosen]
+        figures[chosen, 2], figures[chosen, 3] = np.diff(stop, prepend=0), np.diff(linked)
+        figures[chosen, 4] = 1
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[chosen] = np.diff(listed)
+        groups, place = texts_of(flat_a, flat_b, to_a, to_b), 0
+        joined = [""] * len(chunks)
+        for i, end in zip(chosen, stop.tolist()):
+            joined[i] = ";".join(groups[place:end])
+            place = end
+        self.numbers.update(zip(chunks, range(len(self.groups), len(self.groups) + len(chunks))))
+        self.characters += sum(map(len, chunks))
+        self.groups += joined
+        self.starts.frombytes((self.starts[-1] + np.cumsum(lengths)).tobytes())
+        self.figures.frombytes(figures.tobytes())
+        self.pairs.frombytes(pairs.tobytes())
+        self.times.frombytes(times.tobytes())
 
     def rows(self, texts: list[str | None]) -> dict[str, list | pa.Array]:
         """Figures, digest of the groups and distinct pairs with how often they are linked, for each text."""
@@ -129,8 +152,9 @@ class Aligner:
             self.clear()
         known = self.numbers
         fresh = dict.fromkeys(c for p in parts for c in p if c not in known)
-        if fresh:
-            self.learn(list(fresh))
+        fresh = list(fresh)
+        for at in range(0, len(fresh), 4096):
+            self.learn(fresh[at:at + 4096])
         numbers = [list(map(known.__getitem__, p)) for p in parts]
         flat = np.fromiter((i for n in numbers for i in n), np.int64)
         counts = np.array([len(n) for n in numbers], np.int64)
@@ -165,21 +189,54 @@ class Aligner:
                 "times": pa.ListArray.from_arrays(pa.array(offsets), pa.array(times))}
 
 
-def align(ends_a: dict[int, int], ends_b: dict[int, int], a: list[int], b: list[int]) -> tuple[int, Counter, str]:
-    """Number of groups, how often each pair of ids is linked, and the groups as text."""
-    links, texts = Counter(), []
-    from_a = from_b = 0
-    for end in sorted(ends_a.keys() & ends_b.keys()):
-        to_a, to_b = ends_a[end], ends_b[end]
-        left, right = a[from_a:to_a], b[from_b:to_b]
-        # All occurrences are linked; equal ids of a group are counted together.
-        count_right = Counter(right)
-        for x, n in Counter(left).items():
-            for y, m in count_right.items():
-                links[x << _BITS | y] += n * m
-        texts.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-        from_a, from_b = to_a, to_b
-    return len(texts), links, ";".join(texts)
+def ends(widths: list[int], ids: list[int]) -> dict[int, int]:
+    """End in bytes to the number of tokens up to it; of tokens without bytes the last counts."""
+    return dict(zip(accumulate(map(widths.__getitem__, ids)), range(1, len(ids) + 1)))
+
+
+def common_ends(ends_a: dict[int, int], ends_b: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """For each end that both sides have, in order: how many tokens of either side lie before it."""
+    both = sorted(ends_a.keys() & ends_b.keys())
+    return tuple(np.fromiter(map(side.__getitem__, both), np.int64, len(both)) for side in (ends_a, ends_b))
+
+
+def links(a: list[int], b: list[int], to_a: np.ndarray, to_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of ids and how often (a pair may be listed again); and for each group its links, and how many pairs it
+    lists. All occurrences of a group are linked; in a long group equal ids are counted together."""
+    from_a, from_b = np.concatenate([[0], to_a[:-1]]), np.concatenate([[0], to_b[:-1]])
+    n_a, n_b = to_a - from_a, to_b - from_b
+    linked = n_a * n_b
+    long = np.flatnonzero(linked > LONG).tolist()
+    listed, extra = linked.copy(), {}
+    for g in long:
+        left, right = (Counter(x[f:t]) for x, f, t in ((a, from_a[g], to_a[g]), (b, from_b[g], to_b[g])))
+        extra[g] = [(x << _BITS | y, n * m) for x, n in left.items() for y, m in right.items()]
+        listed[g] = len(extra[g])
+    group = np.repeat(np.arange(len(listed)), listed)
+    start = np.cumsum(listed) - listed
+    nth = np.arange(len(group)) - start[group]
+    width = np.maximum(n_b[group], 1)
+    ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+    inside = np.isin(group, long, invert=True) if long else slice(None)
+    pairs, times = np.zeros(len(group), np.int64), np.ones(len(group), np.int64)
+    group, nth, width = group[inside], nth[inside], width[inside]
+    pairs[inside] = ids_a[from_a[group] + nth // width] << _BITS | ids_b[from_b[group] + nth % width]
+    for g in long:
+        found = np.array(extra[g], np.int64).reshape(-1, 2)
+        pairs[start[g]:start[g] + listed[g]], times[start[g]:start[g] + listed[g]] = found[:, 0], found[:, 1]
+    return pairs, times, (linked, listed)
+
+
+def texts_of(a: list[int], b: list[int], to_a: np.ndarray, to_b: np.ndarray) -> list[str]:
+    """Each group as text: ids of A, a bar, ids of B."""
+    out, from_a, from_b = [], 0, 0
+    for i, j in zip(to_a.tolist(), to_b.tolist()):
+        if i - from_a == 1 and j - from_b == 1:
+            out.append(f"{a[from_a]}|{b[from_b]}")
+        else:
+            out.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
+        from_a, from_b = i, j
+    return out
 
 
 @lru_cache(2)
