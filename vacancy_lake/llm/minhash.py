@@ -5,12 +5,13 @@
    of the first non-empty bin among h(i, 1), h(i, 2), ..., the same for every text.
 2. Texts with equal sets form a class, whose first row stands for it. Bands of ROWS bins are bucket keys; at a
    similarity of 0.8 two sets miss all 32 bands with a probability below 1e-7.
-3. In every bucket one member is the centre; the others are compared with it alone, so a bucket of n gives n - 1 pairs
-   at most. Each pair is confirmed on the full sets. A second round looks only at buckets whose members are not in one
-   component yet: members outside the bucket's largest component meet CENTRES of its best-linked members, which in a
-   group of copies of one text are nearest to it. What is left is joined exactly: of the members of buckets still open, all
-   pairs of different components that could reach the similarity, by prefixes of the sets (rare shingles first) and
-   the places of shared shingles in them. Whatever the stars left out is found there, hot bucket or not.
+3. In every bucket the first member is the centre; the others are compared with it alone, so a bucket of n gives n - 1
+   pairs at most. Each pair is confirmed on the full sets. A second round looks only at buckets whose members are not in
+   one component yet: members outside the bucket's largest component meet CENTRES of its best-linked members, which in a
+   group of copies of one text are nearest to it. Pairs of large sets go by their samples first; one that these rule out
+   counts as not compared. What is left is joined exactly: of the members of buckets still open, all pairs of different
+   components that could reach the similarity, by prefixes of the sets (rare shingles first) and the places of shared
+   shingles in them, each confirmed on the full sets. Whatever the stars or the samples left out is found there.
 4. Components of the confirmed links, spread over the classes. Each round joins components, not nodes, so its graph is
    only as large as what the round has found.
 
@@ -37,8 +38,8 @@ from .components import components
 
 BINS = 128
 ROWS = 4
-CENTRES = 8
-#: Sets from this size on are compared by their samples first, of which so many must agree.
+CENTRES = 2
+#: Sets from this size on go by their samples in the star rounds, of which so many must agree.
 LARGE = 100
 AGREE = 72
 CACHED = 150_000
@@ -123,54 +124,54 @@ def _kind(df: DataFrame, column: str) -> str:
 
 
 def sketches(df: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, digest of the text, n, set_key, bands, samples) of every row."""
+    """(doc_id, digest of the text, n, set_key, bands) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                digests, sizes, keys, bands, samples = [], [], [], [], []
+                digests, sizes, keys, bands = [], [], [], []
                 for text in part.column(1):
                     text = text.as_py()
                     found = shingles(text, width)
                     digests.append(hashlib.sha256((text or "").encode()).digest())
                     sizes.append(len(found))
                     keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                    sig = signature(found) if len(found) else None
-                    bands.append(None if sig is None else band_keys(sig))
-                    samples.append(None if sig is None else sample_bytes(sig))
+                    bands.append(band_keys(signature(found)) if len(found) else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-                     pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(samples, pa.list_(pa.int64()))],
-                    ["doc_id", "digest", "n", "set_key", "bands", "samples"])
+                     pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    ["doc_id", "digest", "n", "set_key", "bands"])
 
     return df.select(id_col, text_col).mapInArrow(
-        run, f"doc_id {_kind(df, id_col)}, digest binary, n long, set_key binary, bands array<long>, samples array<long>")
+        run, f"doc_id {_kind(df, id_col)}, digest binary, n long, set_key binary, bands array<long>")
 
 
 def full_sets(df: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) for the rows of `wanted` (doc_id, set_key, node), from the texts again."""
+    """(node, n, samples, shingles) for the rows of `wanted` (doc_id, set_key, node), from the texts again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                nodes, sets = [], []
+                nodes, samples, sets = [], [], []
                 for node, key, text in zip(*(part.column(i).to_pylist() for i in range(3))):
                     found = shingles(text, width)
                     if xxhash.xxh3_128_digest(found.tobytes()) == key:
                         nodes.append(node)
+                        samples.append(sample_bytes(signature(found)))
                         sets.append(found.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
-                                                 ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int64()),
+                     pa.array(samples, pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))], ["node", "n", "samples", "shingles"])
 
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     texts = df.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
     rows = texts.join(wanted, F.col("_i").eqNullSafe(F.col("doc_id"))).select("node", "set_key", "_t")
-    return rows.mapInArrow(run, "node long, shingles array<long>")
+    return rows.mapInArrow(run, "node long, n long, samples array<long>, shingles array<long>")
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(a, b) without those whose sizes, or whose samples, rule out the similarity.
+    """(a, b, sampled) without those whose sizes rule out the similarity; sampled is false where the samples do.
 
     Of samples of large sets, independent but for a few, those of a true pair agree in at least AGREE of 128 places, five
     and more standard deviations below the mean at a similarity of 0.8; smaller sets go on to the full comparison.
@@ -188,13 +189,13 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         folded(x, 4, 2, 1).bitwiseAND(F.lit(0x0101010101010101))).cast("int"))
     small = F.least("na", "nb") < LARGE
     sized = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return sized.where(small | (F.lit(percent) < 80) | (BINS - ones >= AGREE)).select("a", "b")
+    return sized.select("a", "b", (small | (F.lit(percent) < 80) | (BINS - ones >= AGREE)).alias("sampled"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those (a, b) of `pairs` whose full sets share `percent` of their union."""
     used = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
-    sets = sets.join(F.broadcast(used) if used.count() <= BROADCAST_ROWS else used, "node", "left_semi")
+    sets = sets.select("node", "shingles").join(F.broadcast(used) if used.count() <= BROADCAST_ROWS else used, "node", "left_semi")
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
     n, m = F.size("sa"), F.size("sb")
@@ -265,15 +266,14 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
                 ) -> DataFrame:
     """One row per row of `df`: doc_id, digest, n_shingles, component_id, kept."""
     rows = staged(sketches(df, width, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sketches")
-    classes = staged(rows.where("n > 0").groupBy("set_key").agg(F.min("row").alias("node")), "classes")
-    first = rows.withColumnRenamed("row", "node").join(classes.select("node"), "node", "left_semi")
-    members = staged(first.select("node", F.explode("bands").alias("bucket")), "members")
-    shared = (members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .where("lo <> hi").select("bucket"))
-    buckets = staged(members.select("bucket", "node").join(shared, "bucket", "left_semi"), "buckets")
-    nodes = staged(first.select("node", "doc_id", "set_key", "n", "samples").join(
-        buckets.select("node").distinct(), "node", "left_semi"), "nodes")
-    wanted = nodes.select("node", "doc_id", "set_key")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    classes = staged(rows.where("n > 0").groupBy("set_key").agg(F.min("row").alias("node"), F.min(order).alias("least")), "classes")
+    members = rows.withColumnRenamed("row", "node").join(classes.select("node"), "node", "left_semi").select(
+        "node", F.explode("bands").alias("bucket"))
+    first = members.groupBy("bucket").agg(F.min("node").alias("c"), F.max("node").alias("hi")).where("c <> hi").select("bucket", "c")
+    buckets = staged(members.join(first, "bucket"), "buckets")
+    nodes = buckets.select("node").distinct()
+    wanted = staged(rows.withColumnRenamed("row", "node").select("node", "doc_id", "set_key").join(nodes, "node", "left_semi"), "nodes")
     sets = full_sets(df, wanted, width, id_col, text_col)
     same = rows.select("doc_id", "set_key").join(
         wanted.select(F.col("doc_id").alias("_i"), F.col("set_key").alias("_k")),
@@ -282,36 +282,33 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
         sets = sets.dropDuplicates(["node"])
     sets = staged(sets, "sets")
 
-    labels = nodes.select("node", F.col("node").alias("label"))
+    labels = wanted.select("node", F.col("node").alias("label"))
     tested, degrees = None, None
     for turn in range(3):
-        sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
-        current = buckets.join(labels.join(sizes, "label"), "node")
-        open_ = (current.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                               F.max(F.struct("size", "label")).alias("main"))
-                 .where("lo <> hi").select("bucket", F.col("main.label").alias("main")))
-        current = staged(current.join(open_, "bucket").select("bucket", "node", "label", "main"), "open")
+        if turn == 0:  # the first member of each bucket is its centre
+            pairs = buckets.where("node <> c").select(F.col("c").alias("a"), F.col("node").alias("b")).distinct()
+        else:  # buckets whose members are in one component stay so
+            sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+            current = buckets.select("bucket", "node").join(labels.join(sizes, "label"), "node")
+            open_ = (current.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                                   F.max(F.struct("size", "label")).alias("main"))
+                     .where("lo <> hi").select("bucket", F.col("main.label").alias("main")))
+            current = buckets = staged(current.join(open_, "bucket").select("bucket", "node", "label", "main"), "open")
+        if turn == 1:  # members outside the largest component meet its best-linked members
+            hub = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
+            stars = (current.where("label = main").join(degrees, "node").withColumn("place", F.row_number().over(hub))
+                     .where(F.col("place") <= CENTRES).select("bucket", F.col("node").alias("c"), F.col("label").alias("cl")))
+            pairs = (current.where("label <> main").join(stars, "bucket").where("label <> cl")
+                     .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
         if turn == 2:  # all pairs of what is left; of two components in a bucket, one is not its largest
             left = current.groupBy("node", "label").agg(F.max(F.col("label") != F.col("main")).alias("outer"))
-            pairs = prefix_pairs(sets.join(left, "node"), percent)
-        else:
-            if turn:  # members outside the largest component meet its best-linked members
-                hub = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
-                stars = (current.where("label = main").join(degrees, "node").withColumn("place", F.row_number().over(hub))
-                         .where(F.col("place") <= CENTRES).select("bucket", F.col("node").alias("c"), F.col("label").alias("cl")))
-                spokes = current.where("label <> main")
-            else:
-                centre = F.min(F.struct(F.xxhash64("node", F.lit(0)).alias("order"), F.col("node").alias("c"), F.col("label").alias("cl")))
-                stars = (current.where("label <> main").groupBy("bucket").agg(centre.alias("centre"))
-                         .select("bucket", "centre.c", "centre.cl"))
-                spokes = current
-            pairs = (spokes.join(stars, "bucket").where("label <> cl")
-                     .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
+            pairs = prefix_pairs(sets.select("node", "shingles").join(left, "node"), percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        links = staged(confirmed(staged(plausible(pairs, nodes, percent), "plausible"), sets, percent), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        pairs = staged(pairs if turn == 2 else plausible(pairs, sets, percent), "pairs")
+        compared = pairs if turn == 2 else pairs.where("sampled").select("a", "b")
+        links = staged(confirmed(compared, sets, percent), "links")
+        tested = compared if tested is None else tested.unionByName(compared)
         if turn == 0:
             degrees = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(
                 F.count("*").alias("degree")).withColumnRenamed("a", "node")
@@ -323,13 +320,14 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
         merged = merged.select(F.col("node").alias("label"), F.col("label").alias("joined"))
         labels = staged(labels.join(merged, "label", "left").select("node", F.coalesce("joined", "label").alias("label")), "labels")
 
-    of_class = rows.select("row", "doc_id", "digest", "n", "set_key").join(classes, "set_key", "left")
-    of_class = of_class.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node", "row"))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("least")
-    smallest = of_class.groupBy("component").agg(least)
-    return of_class.join(smallest, "component").select(
-        "doc_id", "digest", F.col("n").alias("n_shingles"), F.col("least.doc_id").alias("component_id"),
-        (F.col("row") == F.col("least.row")).alias("kept"))
+    # The first row of a component is found among its classes, so rows meet it by their class, not by component.
+    known = classes.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node"))
+    firsts = known.groupBy("component").agg(F.min("least").alias("first"))
+    known = known.join(firsts, "component").select("set_key", "first")
+    return rows.select("row", "doc_id", "digest", "n", "set_key").join(known, "set_key", "left").select(
+        "doc_id", "digest", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce(F.col("row") == F.col("first.row"), F.lit(True)).alias("kept"))
 
 
 def keep_one(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
