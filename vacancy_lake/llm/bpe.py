@@ -2,10 +2,10 @@
 
 The file of a public byte-level tokenizer gives vocabulary, merges and special tokens; nothing is trained. A text is
 split at special tokens, then by the tokenizer's pattern. For each piece the ranks of adjacent pairs lie in a segment
-tree whose nodes hold the least (rank, place) below them. The root is the leftmost pair of lowest rank; a merge changes
-three leaves, each updated along its path to the root, until no pair of finite rank is left: O(n log n) for any piece,
-also one as long as the text. Pieces seen before are looked up, first by blank-separated chunk, then by piece; both
-tables live in the Python worker and are bounded.
+tree whose nodes hold the least (rank, place) of 32 below them. The root is the leftmost pair of lowest rank; a merge
+changes three leaves, each updated along its path to the root, until no pair of finite rank is left: O(n log n) for any piece,
+also one as long as the text. What was seen before is looked up, first by blank-separated chunk, then by piece, in one
+table of the Python worker. It is bounded: when it is full, its older half, what was not asked for since, goes.
 
 Defined results: null is the empty text, with no ids; nothing is added to a text, padded or truncated.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-CACHED = 300_000
+#: Chunks and pieces of a generation; a worker remembers two.
+CACHED = 250_000
+#: Longest chunk or piece that is remembered, in characters.
+LONGEST = 64
 
 # The splitting pattern of byte-level BPE, and Unicode's white space as the pattern's \s means it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -41,28 +45,32 @@ def byte_letters() -> dict[str, int]:
 
 
 class PairTree:
-    """Least key over a row of places; `FREE` where there is none."""
+    """Segment tree over keys: each node holds the least of WIDTH nodes below it. `FREE` stands where there is no key."""
 
     FREE = 1 << 62
+    WIDTH = 32
 
     def __init__(self, keys: list[int]):
-        self.size = size = 1 << max(0, (len(keys) - 1).bit_length())
-        self.tree = tree = [self.FREE] * size + keys + [self.FREE] * (size - len(keys))
-        for i in range(size - 1, 0, -1):
-            left, right = tree[2 * i], tree[2 * i + 1]
-            tree[i] = left if left < right else right
-
-    def put(self, place: int, key: int) -> None:
-        tree, i = self.tree, place + self.size
-        tree[i] = key
-        while i > 1:
-            other = tree[i ^ 1]
-            if other < key:
-                key = other
-            i >>= 1
-            if tree[i] == key:
+        self.levels, width = [keys], self.WIDTH
+        while len(keys) > width:
+            keys = [min(keys[i:i + width]) for i in range(0, len(keys), width)]
+            self.levels.append(keys)
+        #: With one level there is nothing above a leaf.
+        self.put = self.levels[0].__setitem__ if len(self.levels) == 1 else self._put
+
+    def root(self) -> int:
+        return min(self.levels[-1])
+
+    def _put(self, place: int, key: int) -> None:
+        below, width = self.levels[0], self.WIDTH
+        below[place] = key
+        for level in self.levels[1:]:
+            place //= width
+            least = min(below[place * width:place * width + width])
+            if level[place] == least:
                 break
-            tree[i] = key
+            level[place] = least
+            below = level
 
 
 class ByteBpe:
@@ -87,7 +95,7 @@ class ByteBpe:
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") \
             if special else None
         self.pieces = regex.compile(PATTERN).findall
-        self.piece_ids, self.chunk_ids = {}, {}
+        self.known, self.old = {}, {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
@@ -97,57 +105,68 @@ class ByteBpe:
             return ids
         find, width = self.merges.get, n.bit_length()
         free = PairTree.FREE
-        keys = [(m[0] << width | i) if (m := find((ids[i], ids[i + 1]))) else free for i in range(n - 1)]
+        keys = [(m[0] << width | i) if (m := find(pair)) else free for i, pair in enumerate(zip(ids, ids[1:]))]
         tree = PairTree(keys)
+        root, put = tree.root, tree.put
         after, before, mask = list(range(1, n + 1)), list(range(-1, n - 1)), (1 << width) - 1
-        while (least := tree.tree[1]) < free:
+        while (least := root()) < free:
             i = least & mask
             j = after[i]
-            ids[i] = find((ids[i], ids[j]))[1]
+            merged = ids[i] = find((ids[i], ids[j]))[1]
             ids[j] = -1
             k = after[i] = after[j]
             if j < n - 1:
-                tree.put(j, free)
+                put(j, free)
             if k < n:
                 before[k] = i
-                m = find((ids[i], ids[k]))
-                tree.put(i, m[0] << width | i if m else free)
+                m = find((merged, ids[k]))
+                put(i, m[0] << width | i if m else free)
             else:
-                tree.put(i, free)
+                put(i, free)
             if (h := before[i]) >= 0:
-                m = find((ids[h], ids[i]))
-                tree.put(h, m[0] << width | h if m else free)
+                m = find((ids[h], merged))
+                put(h, m[0] << width | h if m else free)
         return [i for i in ids if i >= 0]
 
+    def remember(self, part: str, ids: bytes) -> bytes:
+        if len(part) <= LONGEST:
+            if len(self.known) >= CACHED:
+                self.old, self.known = self.known, {}
+            self.known[part] = ids
+        return ids
+
     def chunk(self, chunk: str) -> bytes:
-        out, known = [], self.piece_ids
-        for piece in self.pieces(chunk):
-            ids = known.get(piece)
-            if ids is None:
-                ids = np.array(self.merge(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
-                if len(piece) <= 64:
-                    if len(known) >= CACHED:
-                        known.clear()
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        """Ids of a chunk that is not in the newer table."""
+        ids = self.old.get(chunk)
+        if ids is not None:
+            return self.remember(chunk, ids)
+        pieces = self.pieces(chunk)
+        if len(pieces) == 1:
+            return self.remember(chunk, self.fresh(chunk))
+        return self.remember(chunk, b"".join(map(self.piece, pieces)))
+
+    def piece(self, piece: str) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.old.get(piece)
+            ids = self.remember(piece, self.fresh(piece) if ids is None else ids)
+        return ids
+
+    def fresh(self, piece: str) -> bytes:
+        return array("I", self.merge(piece.encode("utf-8", "surrogatepass"))).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        out, known = [], self.chunk_ids
+        out = []
         for part in self.split.split(text or "") if self.split else [text or ""]:
             if part in self.special:
                 out.append(self.special[part])
                 continue
-            for chunk in CHUNK.findall(part):
-                ids = known.get(chunk)
-                if ids is None:
-                    ids = self.chunk(chunk)
-                    if len(chunk) <= 64:
-                        if len(known) >= CACHED:
-                            known.clear()
-                        known[chunk] = ids
-                out.append(ids)
+            chunks = CHUNK.findall(part)
+            found = list(map(self.known.get, chunks))
+            if None in found:
+                found = [self.chunk(chunk) if ids is None else ids for chunk, ids in zip(chunks, found)]
+            out += found
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
