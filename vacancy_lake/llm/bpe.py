@@ -24,8 +24,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from .common import begin, table_of
+
 #: Chunks and pieces of a generation; a worker remembers two.
-CACHED = 250_000
+CACHED = 200_000
 #: Longest chunk or piece that is remembered, in characters.
 LONGEST = 64
 
@@ -179,9 +181,13 @@ def codec(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+table_of("bpe", codec.cache_clear)
+
+
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         bpe = codec(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -198,6 +204,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, text) of rows with ids; null ids are no ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         bpe = codec(path)
         for batch in batches:
             texts = [bpe.decode(np.array(ids or [], "<u4").tobytes()) for ids in batch.column(1).to_pylist()]
@@ -210,6 +217,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encoded and decoded in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256; ids never leave the task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         bpe = codec(path)
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:

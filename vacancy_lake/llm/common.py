@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schema import ensure_shared_folder
@@ -24,6 +26,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_TABLES: dict[str, Callable[[], None]] = {}
+
+
+def table_of(owner: str, clear: Callable[[], None]) -> None:
+    """Say how the table that `owner` keeps between the tasks of a worker is emptied."""
+    _TABLES[owner] = clear
+
+
+def begin(owner: str) -> None:
+    """A task of `owner` begins: workers are used again by the next stage, so tables of other operators go."""
+    for other, clear in _TABLES.items():
+        if other != owner:
+            clear()
+    pa.default_memory_pool().release_unused()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import staged
+from .common import begin, staged
 
 PER_CLASS = 1000
 BUCKETS = 1 << 18
@@ -246,6 +246,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "score
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        begin("toxicity")
         m = local.setdefault("model", Model(*shared.value))
         for texts in batches:
             yield pd.Series(m.scores(texts.tolist()), dtype="float64")
