@@ -4,7 +4,9 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from vacancy_lake.llm import minhash
 from vacancy_lake.llm.common import documents
@@ -144,3 +146,36 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 101), (7, 7), (200, 201)]
     out = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(out[i] == 0 for i in range(61)) and out[102] == 100 and out[201] == 200
+
+
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9)), max_size=40, unique=True), st.lists(st.integers(1, 7), min_size=1, max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_shared_buckets_over_batches(rows, cuts):
+    rows, batches, at = sorted(rows), [], 0
+    while at < len(rows):
+        size = cuts[len(batches) % len(cuts)]
+        part = rows[at:at + size]
+        batches.append(pa.RecordBatch.from_arrays([pa.array([b for b, _ in part]), pa.array([n for _, n in part])], ["bucket", "node"]))
+        at += size
+    got = sorted(tuple(r.values()) for batch in minhash._shared_buckets(iter(batches)) for r in batch.to_pylist())
+    first = {}
+    for b, n in rows:
+        first.setdefault(b, n)
+    several = {b for b, n in rows if n != first[b]}
+    assert got == [(b, n, first[b]) for b, n in rows if b in several]
+
+
+def test_a_hot_family_makes_few_pairs(spark, frame, monkeypatch):
+    """Texts that share a passage without being similar: compared pairs stay in proportion to the rows."""
+    def compared(rows):
+        seen = []
+        monkeypatch.setattr(minhash, "confirmed", lambda pairs, sets, percent: (seen.append(pairs.count()), real(pairs, sets, percent))[1])
+        minhash.near_groups(frame(rows), 2).count()
+        return sum(seen)
+
+    real = minhash.confirmed
+    family = words(120, 5)
+    hot = [(i, family + " " + words(60, 1000 + i), "a") for i in range(600)]
+    apart = [(i, words(180, 5000 + i), "a") for i in range(600)]
+    few = [(600 + i, words(200, 20 + i // 2), "a") for i in range(100)]
+    assert compared(hot + few) <= 3 * max(50, compared(apart + few)) + 3 * len(hot)
