@@ -12,7 +12,7 @@ from vacancy_lake.plans import build as P
 from vacancy_lake.plans.build import standard_batch
 from vacancy_lake.schema import FACT_DIMENSION, POSTING, RUN_SUMMARY
 from vacancy_lake.sources import lake as A, snapshot as SN, state as ST
-from vacancy_lake.streaming import landing_stream as STREAM
+from vacancy_lake.streaming import current_state as CS, landing_stream as STREAM
 
 from . import fixtures as fx
 from .base import SQL_FACTS, SQL_POSTINGS, query, sql, sql_list
@@ -334,6 +334,29 @@ def b06_restart(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+@query("b06_keyed_state", sql(SQL_POSTINGS, """
+SELECT source, job_id, CASE WHEN k % 10 < 2 THEN 'newer' ELSE title_norm END AS title_norm, CAST(k % 10 < 2 AS BIGINT) AS changed
+FROM p"""))
+def b06_keyed_state(spark, d):
+    """Newest versions as stream state, restarted after every file: first versions, then newer, older and repeated ones.
+    What the state gave out last is in the last run of the snapshot."""
+    lake, df, parts = fx.work_lake(spark, "b06s"), fx.postings(spark, d, False).select(*POSTING.fieldNames()), []
+    k = F.col("source_job_id").cast("long")
+    later = df.where(k % 10 < 2).withColumns({"title_norm": F.lit("newer"), "bronze_ingest_date": F.lit("2030-01-01")})
+    older = df.where((k % 10).isin(4, 5)).withColumns({"title_norm": F.lit("older"), "bronze_ingest_date": F.lit("1990-01-01")})
+    feeds = [df, later.unionByName(older).unionByName(df.where(k % 10 > 5))]
+    for source, _ in DIALECTS:
+        for feed in feeds:
+            feed.where(F.col("source") == source).repartition(4).write.mode("append").parquet(f"{lake.root}/feed/{source}")
+            rows = spark.readStream.schema(POSTING).parquet(f"{lake.root}/feed/{source}")
+            CS.start_current_stream(spark, rows, lake, f"{lake.root}/keyed/{source}", source, "ingested_at",
+                                    24 * 366 * 20).awaitTermination()
+        state = SN.version(spark, lake, source)
+        keys = spark.read.parquet(f"{lake.merged(source)}/data/{state.delta}").select("job_id", F.lit(1).cast("long").alias("changed"))
+        parts.append(SN.read(spark, lake, source).join(keys, "job_id", "left"))
+    return parts[0].unionByName(parts[1]).select("source", "job_id", "title_norm", F.coalesce("changed", F.lit(0).cast("long")).alias("changed"))
+
+
 # --- standardisation ---------------------------------------------------------------------------------------
 
 @query("c01_flatten_payload", sql(SQL_LANDING, """

@@ -14,7 +14,7 @@ from vacancy_lake.sources import files, snapshot as S
 
 def postings(spark, rows, source="s"):
     """(key, title, ingest day, run, month of posting or None)."""
-    made = spark.createDataFrame([(str(k), t, f"2024-02-{d:02d}", r, m) for k, t, d, r, m in rows],
+    made = spark.createDataFrame([(None if k is None else str(k), t, f"2024-02-{d:02d}", r, m) for k, t, d, r, m in rows],
                                  "job_id string, title_norm string, bronze_ingest_date string, bronze_run_id string, m string")
     other = {c.name: F.lit(None).cast(c.dataType) for c in POSTING.fields if c.name not in made.columns}
     return made.withColumns({**other, "source": F.lit(source), "skills": F.array("title_norm"),
