@@ -857,6 +857,43 @@ def e08_all(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+_AFTER = SQL_POSTINGS + """, q AS (
+  SELECT source, k, skills, company_norm, location_raw, CASE WHEN k % 10 < 2 THEN 'newer' ELSE title_norm END AS title_norm,
+    CASE WHEN k % 10 < 2 THEN '2030-01-01' ELSE bronze_ingest_date END AS bronze_ingest_date,
+    CASE WHEN k % 97 <> 0 THEN strftime(day, '%Y-%m') WHEN k % 10 < 2 THEN '2030-01' ELSE substr(bronze_ingest_date, 1, 7) END AS posted_month,
+    CASE WHEN k % 97 <> 0 THEN 'posted' ELSE 'ingest_fallback' END AS time_axis FROM p),
+profile AS (SELECT source, posted_month, max(bronze_ingest_date) AS bronze_ingest_date,
+  CASE WHEN count(DISTINCT time_axis) = 1 THEN max(time_axis) ELSE 'mixed' END AS time_axis FROM q GROUP BY ALL)"""
+
+
+@query("e08_change_feed", sql(_AFTER, """
+SELECT fact, source, posted_month, value, CAST(n AS BIGINT) AS job_count, bronze_ingest_date, time_axis FROM (
+  SELECT 'role' AS fact, source, posted_month, title_norm AS value, count(*) AS n FROM q GROUP BY ALL UNION ALL
+  SELECT 'company_name', source, posted_month, company_norm, count(*) FROM q GROUP BY ALL UNION ALL
+  SELECT 'location', source, posted_month, location_raw, count(*) FROM q GROUP BY ALL UNION ALL
+  SELECT 'skill', source, posted_month, skill, count(*) FROM (SELECT source, posted_month, unnest(skills) AS skill FROM q) GROUP BY ALL)
+JOIN profile USING (source, posted_month)"""))
+def e08_changes(spark, d):
+    """Facts of a first version, brought to a third one from the changes alone: newer titles, moved months, new postings,
+    and older versions that change nothing."""
+    lake, df, parts = fx.work_lake(spark, "e08c"), fx.postings(spark, d).select(*POSTING.fieldNames()), []
+    k = F.col("source_job_id").cast("long")
+    for source, _ in DIALECTS:
+        mine = df.where(F.col("source") == source)
+        first = SN.replace(mine.where(k % 10 != 3), lake, source, "v1")
+        P.publish_facts(SN.read(spark, lake, source), lake, "run-1", places=None, unique=True, source=source)
+        newer = mine.where((k % 10 < 2)).withColumns({"title_norm": F.lit("newer"), "bronze_ingest_date": F.lit("2030-01-01")})
+        older = mine.where(k % 10 == 5).withColumns({"title_norm": F.lit("older"), "bronze_ingest_date": F.lit("1990-01-01")})
+        SN.upsert(newer.unionByName(older), lake, source, "v2")
+        last = SN.upsert(mine.where(k % 10 == 3), lake, source, "v3")
+        P.publish_changes(spark, lake, source, first.number, last.number, "run-1", "run-2", None)
+    for table, dim in FACT_DIMENSION.items():
+        fact = A.read_fact(spark, table, lake).where("run_id = 'run-2'")
+        parts.append(fact.select(F.lit(dim).alias("fact"), "source", "posted_month", F.col(dim).alias("value"), "job_count",
+                                 "bronze_ingest_date", "time_axis"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("e09_resolve_run", sql(SQL_POSTINGS, """
 SELECT source, max_by(bronze_run_id, bronze_ingest_date || bronze_run_id) AS run_id FROM p GROUP BY source"""))
 def e09(spark, d):

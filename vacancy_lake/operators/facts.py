@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import text as T, times as X
 from ..functions.rules import PlaceRules
 from ..functions.skills import skills_from_json
-from ..schema import FACT_DIMENSION, LINEAGE_ORDER, RUN_SUMMARY, fact_schema, summary_schema
+from ..schema import FACT_DIMENSION, LINEAGE_COUNTS, LINEAGE_ORDER, RUN_SUMMARY, fact_schema, summary_schema
 from .metrics import per_group
 
 _GROUP = ("source", "posted_month", "run_id")
@@ -52,12 +52,13 @@ def month_profile(df: DataFrame, run: str | Column) -> DataFrame:
 
 
 def lineage(df: DataFrame) -> DataFrame:
-    """Distinct (source, posted_month, bronze_ingest_date, bronze_run_id, time_axis) of rows with a valid month.
+    """Rows with a valid month by (source, posted_month, bronze_ingest_date, bronze_run_id, time_axis), with their number.
 
     A few rows per month and run: enough to settle the run id, the profile of each month, and its fallback date.
     """
     rows = _dated(df, F.col("bronze_run_id"))
-    return rows.select("source", "posted_month", *[T.text(c).alias(c) for c in LINEAGE_ORDER[:2]], "time_axis").distinct()
+    return rows.groupBy("source", "posted_month", *[T.text(c).alias(c) for c in LINEAGE_ORDER[:2]], "time_axis").agg(
+        F.count(F.lit(1)).alias("job_count"))
 
 
 def profile_of(lines: DataFrame, run: str) -> DataFrame:
@@ -77,36 +78,37 @@ def _plain(column: str) -> Column:
     return T.squash(F.lower(T.text(column)))
 
 
-def skill_counts(df: DataFrame, run: str | Column, unique: bool = False) -> DataFrame:
+def skill_counts(df: DataFrame, run: str | Column, unique: bool = False, weight: Column = F.lit(1)) -> DataFrame:
     """Distinct postings per skill and month, without the month profile.
 
-    `unique=True` says there is one row per job_id, as in a snapshot: rows are then counted, which combines on
-    each task before the shuffle, instead of shuffling every (skill, job_id).
+    `unique=True` says there is one row per job_id, as in a snapshot: rows are then counted (by `weight`), which combines
+    on each task before the shuffle, instead of shuffling every (skill, job_id).
     """
     skills = F.col("skills") if dict(df.dtypes)["skills"] != "string" else skills_from_json("skills")
-    each = _dated(df, run).select(*_GROUP, "job_id", F.explode(F.array_distinct(
+    each = _dated(df, run).select(*_GROUP, "job_id", weight.alias("_w"), F.explode(F.array_distinct(
         F.transform(skills, lambda s: F.btrim(s)))).alias("skill")).where("skill <> ''")
-    jobs = F.count(F.lit(1)) if unique else F.count_distinct("job_id")
+    jobs = F.sum(F.col("_w").cast("long")) if unique else F.count_distinct("job_id")
     return each.groupBy(*_GROUP, "skill").agg(jobs.alias("job_count"))
 
 
-def value_counts(df: DataFrame, run: str | Column, value: Column, dim: str) -> DataFrame:
-    """Postings per value and month, blanks dropped."""
-    return (_dated(df, run).select(*_GROUP, value.alias(dim)).where(F.col(dim) != "")
-            .groupBy(*_GROUP, dim).agg(F.count(F.lit(1)).alias("job_count")))
+def value_counts(df: DataFrame, run: str | Column, value: Column, dim: str, weight: Column = F.lit(1)) -> DataFrame:
+    """Postings per value and month, blanks dropped. A row counts `weight` (one; less than that takes away)."""
+    return (_dated(df, run).select(*_GROUP, value.alias(dim), weight.cast("long").alias("_w")).where(F.col(dim) != "")
+            .groupBy(*_GROUP, dim).agg(F.sum("_w").alias("job_count")))
 
 
-def role_counts(df: DataFrame, run: str | Column) -> DataFrame:
-    return value_counts(df, run, _plain("title_norm"), "role")
+def role_counts(df: DataFrame, run: str | Column, weight: Column = F.lit(1)) -> DataFrame:
+    return value_counts(df, run, _plain("title_norm"), "role", weight)
 
 
-def company_counts(df: DataFrame, run: str | Column) -> DataFrame:
-    return value_counts(df, run, _plain("company_norm"), "company_name")
+def company_counts(df: DataFrame, run: str | Column, weight: Column = F.lit(1)) -> DataFrame:
+    return value_counts(df, run, _plain("company_norm"), "company_name", weight)
 
 
-def location_counts(df: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules()) -> DataFrame:
+def location_counts(df: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules(),
+                    weight: Column = F.lit(1)) -> DataFrame:
     """Postings per normalised location. Distinct raw spellings are counted first, then normalised."""
-    raw = (_dated(df, run).groupBy(*_GROUP, "location_raw").agg(F.count(F.lit(1)).alias("_n"))
+    raw = (_dated(df, run).groupBy(*_GROUP, "location_raw").agg(F.sum(weight.cast("long")).alias("_n"))
            .select(*_GROUP, "_n", T.normalize_location("location_raw", places).alias("location")))
     return raw.where("location <> ''").groupBy(*_GROUP, "location").agg(F.sum("_n").alias("job_count"))
 
@@ -215,3 +217,34 @@ def build_facts(df: DataFrame, run: str | Column, months: Sequence[str] | None =
                      .agg(F.max("bronze_ingest_date").alias("bronze_ingest_date"))
                      .select("source", "run_id", "bronze_ingest_date", wanted))
     return {**facts, RUN_SUMMARY: run_summary(facts, month_profile(dated, run), published)}
+
+
+# --- facts kept up to date by changes ----------------------------------------------------------------------
+
+def signed_counts(changes: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules()) -> dict[str, DataFrame]:
+    """What signed postings (`sign` +1 or -1, one row per job_id and sign) add to the counts of each fact.
+
+    All counts are sums over postings of a snapshot, where a key occurs once, so they follow from the changes alone.
+    """
+    sign = F.col("sign")
+    lines = (_dated(changes, run).groupBy(*_GROUP, T.text("bronze_ingest_date").alias("bronze_ingest_date"), "time_axis")
+             .agg(F.sum(sign.cast("long")).alias("job_count")))
+    return {"skill_demand_monthly": skill_counts(changes, run, True, sign), "role_demand_monthly": role_counts(changes, run, sign),
+            "location_demand_monthly": location_counts(changes, run, places, sign),
+            "company_hiring_monthly": company_counts(changes, run, sign), LINEAGE_COUNTS: lines}
+
+
+def add_counts(old: DataFrame, signed: DataFrame, keys: Sequence[str], run: str) -> DataFrame:
+    """Counts of an earlier run and signed counts, added up under `run`; what is left with nothing goes."""
+    columns = [c for c in (*_GROUP, *keys) if c != "run_id"]
+    both = old.select(*columns, "job_count").unionByName(signed.select(*columns, "job_count"))
+    return (both.groupBy(*columns).agg(F.sum("job_count").alias("job_count")).where(F.col("job_count") != 0)
+            .withColumn("run_id", F.lit(run)))
+
+
+def updated_facts(old: dict[str, DataFrame], signed: dict[str, DataFrame], run: str) -> dict[str, DataFrame]:
+    """The four facts and the lineage counts of `run`, from those of an earlier run and signed counts."""
+    lines = add_counts(old[LINEAGE_COUNTS], signed[LINEAGE_COUNTS], ("bronze_ingest_date", "time_axis"), run)
+    profile = profile_of(lines, run)
+    facts = {t: _stamp(add_counts(old[t], signed[t], (dim,), run), lines, run, t, profile) for t, dim in FACT_DIMENSION.items()}
+    return {**facts, LINEAGE_COUNTS: lines}

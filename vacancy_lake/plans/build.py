@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.rules import PlaceRules, Vocabulary
 from ..operators import facts as E, incremental as B, merge as D, standardize as C
-from ..schema import RUN_SUMMARY, use_shared_checkpoints
+from ..schema import FACT_DIMENSION, LINEAGE_COUNTS, RUN_SUMMARY, lineage_schema, use_shared_checkpoints
 from ..sources import lake as A, snapshot as S, state as ST
 
 
@@ -138,6 +138,8 @@ def publish_facts(postings: DataFrame, lake: A.Lake, run: str | None = None,
                             *[F.count_if(F.col("posted_month") == m).alias(m) for m in wanted])
         A.write_fact(fact, table, lake)
         A.clear_months(fact, table, lake, [(source, m, run) for m in [*blank, *(m for m in wanted if not seen.get[m])]])
+    counted = lines.groupBy("source", "posted_month", "bronze_ingest_date", "time_axis").agg(F.sum("job_count").alias("job_count"))
+    A.write_fact(counted.withColumn("run_id", F.lit(run)).select(*lineage_schema().fieldNames()), LINEAGE_COUNTS, lake)
     stored = {t: A.read_fact(spark, t, lake).where((F.col("source") == source) & (F.col("run_id") == run)
                                                    & F.col("posted_month").isin([*wanted, *blank])) for t in tables}
     asked = spark.createDataFrame([(source, m, run, found[0]["day"]) for m in [*wanted, *blank]],
@@ -148,3 +150,29 @@ def publish_facts(postings: DataFrame, lake: A.Lake, run: str | None = None,
         (F.col("source") == source) & (F.col("run_id") == run) & F.col("posted_month").isin([*wanted, *blank]))
     A.append_audit(A.audit_rows(summary, "gold", newest), lake)
     return {r["posted_month"]: r["role_row_count"] for r in summary.select("posted_month", "role_row_count").collect()}
+
+
+def publish_changes(spark: SparkSession, lake: A.Lake, source: str, before: int, after: int, old_run: str, run: str,
+                    places: PlaceRules | None = PlaceRules()) -> dict[str, int]:
+    """Facts of `run` for snapshot version `after`, from those of `old_run`, published for version `before`.
+
+    Reads the changed postings and the old facts, never the snapshot. All months of the old run are published again under
+    the new one, so either way of choosing runs finds it whole; facts come first, then the summary, then the pointer.
+    Returns changed postings that were added and taken away.
+    """
+    use_shared_checkpoints(spark)
+    changes = S.changes(spark, lake, source, before, after).checkpoint()
+    tables = (*FACT_DIMENSION, LINEAGE_COUNTS)
+    old = {t: A.read_fact(spark, t, lake).where((F.col("source") == source) & (F.col("run_id") == old_run)) for t in tables}
+    facts = E.updated_facts(old, E.signed_counts(changes, run, places), run)
+    months = {r["posted_month"] for r in old[LINEAGE_COUNTS].select("posted_month").distinct().collect()}  # one row per month
+    lines = facts[LINEAGE_COUNTS].checkpoint()
+    left = {r["posted_month"] for r in lines.select("posted_month").distinct().collect()}
+    for table in FACT_DIMENSION:
+        A.write_fact(facts[table], table, lake, [(source, m, run) for m in sorted(months - left)])
+    A.write_fact(lines.select(*lineage_schema().fieldNames()), LINEAGE_COUNTS, lake, [(source, m, run) for m in sorted(months - left)])
+    stored = {t: A.read_fact(spark, t, lake).where((F.col("source") == source) & (F.col("run_id") == run)) for t in FACT_DIMENSION}
+    A.write_fact(E.run_summary(stored, E.profile_of(lines, run)), RUN_SUMMARY, lake)
+    A.publish_latest(spark.createDataFrame([(source, run)], "source string, run_id string"), lake)
+    row = changes.agg(F.count_if(F.col("sign") > 0).alias("added"), F.count_if(F.col("sign") < 0).alias("taken")).first()
+    return row.asDict()

@@ -33,6 +33,8 @@ FACT_DIMENSION = {"skill_demand_monthly": "skill", "role_demand_monthly": "role"
                   "location_demand_monthly": "location", "company_hiring_monthly": "company_name"}
 FACT_PARTITIONS = ("source", "posted_month", "run_id")
 RUN_SUMMARY = "pipeline_run_summary"
+# Postings per ingest date and time axis, from which the profile of a month follows.
+LINEAGE_COUNTS = "month_lineage_counts"
 LATEST_RUN = "latest_run_metadata"
 
 # Order of versions of one posting, as text.
@@ -45,6 +47,11 @@ def fact_schema(table: str) -> StructType:
                        StructField("time_axis", _S)] + [StructField(p, _S) for p in FACT_PARTITIONS])
 
 
+def lineage_schema() -> StructType:
+    return StructType([StructField("bronze_ingest_date", _S), StructField("time_axis", _S), StructField("job_count", LongType())]
+                      + [StructField(p, _S) for p in FACT_PARTITIONS])
+
+
 def summary_schema() -> StructType:
     counts = [StructField(f"{n}_row_count", LongType()) for n in ("skill", "role", "location", "company")]
     return StructType([StructField("bronze_ingest_date", _S), StructField("bronze_run_id", _S), *counts,

@@ -12,8 +12,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.rules import PlaceRules
 from ..operators.standardize import align_legacy, project_contract
-from ..schema import (FACT_DIMENSION, FACT_PARTITIONS, LANDING, LATEST_RUN, POSTING, RUN_SUMMARY,
-                      fact_schema, path_is_missing, summary_schema)
+from ..schema import (FACT_DIMENSION, FACT_PARTITIONS, LANDING, LATEST_RUN, LINEAGE_COUNTS, POSTING, RUN_SUMMARY,
+                      fact_schema, lineage_schema, path_is_missing, summary_schema)
 
 
 @dataclass(frozen=True)
@@ -190,7 +190,8 @@ def clear_months(df: DataFrame, table: str, lake: Lake, empty_for: Sequence[tupl
 
 def read_fact(spark: SparkSession, table: str, lake: Lake) -> DataFrame:
     """Typed fact with partition columns as text, so month and run predicates prune folders."""
-    schema = summary_schema() if table == RUN_SUMMARY else fact_schema(table)
+    other = {RUN_SUMMARY: summary_schema, LINEAGE_COUNTS: lineage_schema}
+    schema = other[table]() if table in other else fact_schema(table)
     return spark.read.schema(schema).parquet(f"{lake.gold}/{table}")
 
 
