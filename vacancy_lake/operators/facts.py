@@ -78,37 +78,37 @@ def _plain(column: str) -> Column:
     return T.squash(F.lower(T.text(column)))
 
 
-def skill_counts(df: DataFrame, run: str | Column, unique: bool = False, weight: Column = F.lit(1)) -> DataFrame:
+def skill_counts(df: DataFrame, run: str | Column, unique: bool = False, weight: Column | int = 1) -> DataFrame:
     """Distinct postings per skill and month, without the month profile.
 
     `unique=True` says there is one row per job_id, as in a snapshot: rows are then counted (by `weight`), which combines
     on each task before the shuffle, instead of shuffling every (skill, job_id).
     """
     skills = F.col("skills") if dict(df.dtypes)["skills"] != "string" else skills_from_json("skills")
-    each = _dated(df, run).select(*_GROUP, "job_id", weight.alias("_w"), F.explode(F.array_distinct(
+    each = _dated(df, run).select(*_GROUP, "job_id", F.lit(weight).alias("_w"), F.explode(F.array_distinct(
         F.transform(skills, lambda s: F.btrim(s)))).alias("skill")).where("skill <> ''")
     jobs = F.sum(F.col("_w").cast("long")) if unique else F.count_distinct("job_id")
     return each.groupBy(*_GROUP, "skill").agg(jobs.alias("job_count"))
 
 
-def value_counts(df: DataFrame, run: str | Column, value: Column, dim: str, weight: Column = F.lit(1)) -> DataFrame:
+def value_counts(df: DataFrame, run: str | Column, value: Column, dim: str, weight: Column | int = 1) -> DataFrame:
     """Postings per value and month, blanks dropped. A row counts `weight` (one; less than that takes away)."""
-    return (_dated(df, run).select(*_GROUP, value.alias(dim), weight.cast("long").alias("_w")).where(F.col(dim) != "")
+    return (_dated(df, run).select(*_GROUP, value.alias(dim), F.lit(weight).cast("long").alias("_w")).where(F.col(dim) != "")
             .groupBy(*_GROUP, dim).agg(F.sum("_w").alias("job_count")))
 
 
-def role_counts(df: DataFrame, run: str | Column, weight: Column = F.lit(1)) -> DataFrame:
+def role_counts(df: DataFrame, run: str | Column, weight: Column | int = 1) -> DataFrame:
     return value_counts(df, run, _plain("title_norm"), "role", weight)
 
 
-def company_counts(df: DataFrame, run: str | Column, weight: Column = F.lit(1)) -> DataFrame:
+def company_counts(df: DataFrame, run: str | Column, weight: Column | int = 1) -> DataFrame:
     return value_counts(df, run, _plain("company_norm"), "company_name", weight)
 
 
 def location_counts(df: DataFrame, run: str | Column, places: PlaceRules | None = PlaceRules(),
-                    weight: Column = F.lit(1)) -> DataFrame:
+                    weight: Column | int = 1) -> DataFrame:
     """Postings per normalised location. Distinct raw spellings are counted first, then normalised."""
-    raw = (_dated(df, run).groupBy(*_GROUP, "location_raw").agg(F.sum(weight.cast("long")).alias("_n"))
+    raw = (_dated(df, run).groupBy(*_GROUP, "location_raw").agg(F.sum(F.lit(weight).cast("long")).alias("_n"))
            .select(*_GROUP, "_n", T.normalize_location("location_raw", places).alias("location")))
     return raw.where("location <> ''").groupBy(*_GROUP, "location").agg(F.sum("_n").alias("job_count"))
 
