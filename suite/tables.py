@@ -540,7 +540,7 @@ def c11(spark, d):
     pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.array_join(F.slice("w", i, 2), " "))
     vocab = words.select(F.explode(F.concat("w", F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<string>"))))
                          .alias("term")).where("term <> ''").distinct()
-    out = C.tag_terms(fx.table(spark, d, "documents"), vocab, "doc_id", "text")
+    out = C.tag_terms(fx.table(spark, d, "documents"), vocab, "doc_id", "text", unique_key=True)
     return out.select("doc_id", F.size("skills").cast("long").alias("n_terms"), F.md5(F.array_join("skills", "|")).alias("terms"))
 
 
@@ -555,7 +555,22 @@ def c11_long(spark, d):
     """Terms of three words, all triples of the benchmark."""
     words = fx.table(spark, d, "benchmark").select(F.split(S.token_text("text"), " ").alias("w")).where(F.size("w") > 2)
     triples = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.array_join(F.slice("w", i, 3), " "))
-    out = C.tag_terms(fx.table(spark, d, "documents"), words.select(F.explode(triples).alias("term")).distinct(), "doc_id", "text")
+    out = C.tag_terms(fx.table(spark, d, "documents"), words.select(F.explode(triples).alias("term")).distinct(), "doc_id", "text", unique_key=True)
+    return out.select("doc_id", F.size("skills").cast("long").alias("n_terms"), F.md5(F.array_join("skills", "|")).alias("terms"))
+
+
+@query("c11_tag_terms_joined", f"""
+WITH b AS (SELECT string_split({_blob_sql('text')}, ' ') AS w FROM benchmark),
+v AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM b),
+dw AS (SELECT doc_id, string_split({_blob_sql('text')}, ' ') AS w FROM documents),
+dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM dw),
+h AS (SELECT doc_id, count(*) AS n_terms, md5(string_agg(g, '|' ORDER BY g)) AS terms FROM dg JOIN v USING (g) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_terms, 0) AS n_terms, coalesce(terms, md5('')) AS terms FROM documents LEFT JOIN h USING (doc_id)""")
+def c11_joined(spark, d):
+    """The way of vocabularies too large for an automaton: word pairs of the benchmark, joined."""
+    words = fx.table(spark, d, "benchmark").select(F.split(S.token_text("text"), " ").alias("w")).where(F.size("w") > 1)
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.array_join(F.slice("w", i, 2), " "))
+    out = C.join_terms(fx.table(spark, d, "documents"), words.select(F.explode(pairs).alias("term")).distinct(), "doc_id", "text")
     return out.select("doc_id", F.size("skills").cast("long").alias("n_terms"), F.md5(F.array_join("skills", "|")).alias("terms"))
 
 

@@ -1,8 +1,12 @@
 import json
+import random
 
+import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from vacancy_lake.functions import skills as S
+from vacancy_lake.functions.automaton import TermAutomaton
 from vacancy_lake.functions.rules import SKILL_ALIASES, SKILL_STOP, SKILL_TERMS, Vocabulary
 from vacancy_lake.operators import standardize as C
 
@@ -99,3 +103,52 @@ def test_tag_terms_maps_to_canonical(spark):
     words = spark.createDataFrame([("k8s", "kubernetes"), ("js", "javascript"), ("and", "javascript")], "term string, name string")
     got = {r["doc_id"]: r["skills"] for r in C.tag_terms(docs, words, "doc_id", "text", canonical="name").collect()}
     assert got == {1: ["javascript", "kubernetes"], 2: []}
+
+
+def _plain_terms(words, terms, longest=False):
+    found = [(i, i + len(t.split(" ")), t) for t in terms for i in range(len(words)) if words[i:i + len(t.split(" "))] == t.split(" ")]
+    if longest:
+        found = [m for m in found if not any(o != m and o[0] <= m[0] and m[1] <= o[1] for o in found)]
+    return {t for _, _, t in found}
+
+
+_WORD = st.sampled_from("abcd")
+
+
+@given(st.lists(st.lists(_WORD, min_size=1, max_size=6), max_size=25), st.lists(st.sampled_from("abcdx"), max_size=40))
+@settings(max_examples=400, deadline=None)
+def test_automaton_finds_all_and_longest(terms, words):
+    terms = {" ".join(t) for t in terms}
+    automaton = TermAutomaton(terms)
+    assert {automaton.terms[i] for i in automaton.all(words)} == _plain_terms(words, terms)
+    assert {automaton.terms[i] for i in automaton.longest(words)} == _plain_terms(words, terms, True)
+
+
+def test_automaton_and_join_agree(spark, monkeypatch):
+    """Terms of up to six words; edge marks, repeated keys, null and empty texts, terms with two names."""
+    rng = random.Random(4)
+    word = ["a", "bb", "c.", "#dd", "e-e", "ff/", "ü", "gg"]
+    docs = [(i % 37, " ".join(rng.choice(word) for _ in range(rng.randint(0, 40)))) for i in range(60)] + [(99, None), (100, " ,; ")]
+    terms = [(" ".join(rng.choice(["a", "bb", "c.", "dd", "e-e", "ff", "ü"]) for _ in range(rng.randint(1, 6))), f"n{i % 50}") for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    vocab = spark.createDataFrame([*terms, (None, "x"), ("bb", None)], "term string, name string")
+    for canonical in (None, "name"):
+        found = C.tag_terms(df, vocab, "doc_id", "text", canonical=canonical)
+        assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+        joined = C.join_terms(df, vocab, "doc_id", "text", canonical=canonical)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, joined.collect()))
+    monkeypatch.setattr(C, "AUTOMATON_TERMS", 10)
+    assert "MapInArrow" not in C.tag_terms(df, vocab, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="more than 2 words"):
+        C.find_terms(df, vocab, "doc_id", "text", max_words=2)
+
+
+def test_a_hundred_thousand_terms():
+    rng = random.Random(7)
+    terms = {" ".join(f"w{rng.randint(0, 3000)}" for _ in range(rng.randint(1, 6))) for _ in range(100_000)}
+    automaton = TermAutomaton(terms)
+    words = [f"w{rng.randint(0, 3000)}" for _ in range(3000)]
+    planted = rng.sample(sorted(terms), 50)
+    text = [w for t in planted for w in [*t.split(" "), *words[:40]]]
+    grams = {" ".join(text[i:i + n]) for i in range(len(text)) for n in range(1, 7)}
+    assert {automaton.terms[i] for i in automaton.all(text)} == grams & terms >= set(planted)

@@ -13,7 +13,7 @@ from .text import let, literal_map, lits, squash, text
 
 # Letters, digits and the marks that occur inside skill names.
 _TOKEN_GAP = r"[^\p{L}\p{N}_/+.#-]+"
-_TOKEN_EDGE = ".#_/-"
+TOKEN_EDGE = ".#_/-"
 _STRINGS = "array<string>"
 
 
@@ -24,7 +24,7 @@ def token_text(*cols: Column | str) -> Column:
 
 def bare_tokens(tokens: Column) -> Column:
     """Distinct tokens without edge marks, at least two characters long."""
-    return F.filter(F.array_distinct(F.transform(F.array_distinct(tokens), lambda t: F.btrim(t, F.lit(_TOKEN_EDGE)))),
+    return F.filter(F.array_distinct(F.transform(F.array_distinct(tokens), lambda t: F.btrim(t, F.lit(TOKEN_EDGE)))),
                     lambda t: F.length(t) >= 2)
 
 
@@ -67,7 +67,7 @@ def match_terms(blob: Column, tags: Column, vocab: Vocabulary) -> Column:
     def of_tokens(tokens: Column) -> Column:
         whole = F.filter(tokens, lambda t: t.isin(*single))
         usable = [*(t for t in single if t not in vocab.stop), *(k for k in aliases if " " not in k)]
-        bare = F.filter(F.transform(tokens, lambda t: F.btrim(t, F.lit(_TOKEN_EDGE))),
+        bare = F.filter(F.transform(tokens, lambda t: F.btrim(t, F.lit(TOKEN_EDGE))),
                         lambda t: t.isin(*usable) & (F.length(t) >= 2))
         return F.concat(whole, let(bare, lambda b: F.concat(F.filter(b, lambda t: t.isin(*single)), expand(b))))
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import skills as S, text as T, times as X
+from ..functions.automaton import SharedTerms
 from ..functions.rules import GENERIC_CATEGORY_LABELS, GENERIC_CATEGORY_TAGS, PlaceRules, Vocabulary
 from ..schema import POSTING
 
@@ -113,10 +117,68 @@ def tag_skills(df: DataFrame, title: str, body: str, tags: str, context: str | N
     return df.withColumn(out, F.when(weak, more).otherwise(F.col(out)))
 
 
+#: Vocabularies up to this many terms and bytes of text are sent to the tasks as an automaton; larger ones are joined.
+AUTOMATON_TERMS, AUTOMATON_BYTES = 200_000, 8_000_000
+
+
 def tag_terms(df: DataFrame, vocab: DataFrame, key: str, body: str, term: str = "term", canonical: str | None = None,
-              max_words: int | None = None, out: str = "skills") -> DataFrame:
+              max_words: int | None = None, out: str = "skills", unique_key: bool = False) -> DataFrame:
     """Tagging with a vocabulary that is a table of any size: (key, sorted distinct terms), empty when none.
 
+    One aggregate tells the size of the vocabulary. Up to AUTOMATON_TERMS and AUTOMATON_BYTES it goes to the tasks, which
+    build an automaton from it once and read each text once (`find_terms`); a larger one is joined (`join_terms`). Rows
+    are the same. A term of more than `max_words` words fails the query. `unique_key=True` says keys do not repeat: texts
+    then pass through the automaton without a shuffle.
+    """
+    size = vocab.agg(F.count(term).alias("n"), F.sum(F.octet_length(F.concat_ws(" ", term, canonical or term))).alias("bytes")).first()
+    if size["n"] <= AUTOMATON_TERMS and (size["bytes"] or 0) <= AUTOMATON_BYTES:
+        return find_terms(df, vocab, key, body, term, canonical, max_words, out, unique_key)
+    return join_terms(df, vocab, key, body, term, canonical, max_words, out)
+
+
+def find_terms(df: DataFrame, vocab: DataFrame, key: str, body: str, term: str = "term", canonical: str | None = None,
+               max_words: int | None = None, out: str = "skills", unique_key: bool = False, longest: bool = False) -> DataFrame:
+    """`tag_terms` by an Aho-Corasick automaton over words, for vocabularies of bounded size.
+
+    Words with edge marks count without them as well, as terms of one word. `longest=True` leaves out what occurs only
+    inside longer terms.
+    """
+    names: dict[str, list[str]] = {}
+    for row in vocab.where(F.col(term).isNotNull()).select(F.col(term).alias("t"), F.col(canonical or term).alias("c")).distinct().collect():
+        if max_words is not None and row["t"].count(" ") >= max_words:
+            raise ValueError(f"vocabulary term of more than {max_words} words: {row['t']}")
+        if row["c"] is not None:
+            names.setdefault(row["t"], []).append(row["c"])
+    shared = df.sparkSession.sparkContext.broadcast(SharedTerms(names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = shared.value.automaton  # built once per worker
+        names, numbers, seek = shared.value.names, automaton.number, automaton.longest if longest else automaton.all
+        for batch in batches:
+            tags = []
+            for text in batch.column(1).to_pylist():
+                words = text.split(" ")
+                hits = {automaton.terms[i] for i in seek(words)}
+                for word in set(words):
+                    if word and (word[0] in S.TOKEN_EDGE or word[-1] in S.TOKEN_EDGE):
+                        bare = word.strip(S.TOKEN_EDGE)
+                        if len(bare) >= 2 and bare in numbers:
+                            hits.add(bare)
+                tags.append(sorted({name for hit in hits for name in names[hit]}, key=str.encode))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tags, pa.list_(pa.string()))], [key, out])
+
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(key, S.token_text(body).alias("_text")).mapInArrow(run, f"`{key}` {kind}, `{out}` array<string>")
+    if unique_key:
+        return rows
+    each = rows.select(key, F.explode_outer(out).alias("_t"))
+    return each.groupBy(key).agg(F.array_sort(F.collect_set("_t")).alias(out))
+
+
+def join_terms(df: DataFrame, vocab: DataFrame, key: str, body: str, term: str = "term", canonical: str | None = None,
+               max_words: int | None = None, out: str = "skills") -> DataFrame:
+    """`tag_terms` by a join, for vocabularies of any size.
+
     Distinct n-grams per text meet the vocabulary in one equi-join on the term. Nothing is broadcast by hand:
     AQE broadcasts a vocabulary it measured as small and splits hot terms of a large one. Only the key, not
     the text, passes through the closing grouping, which also brings back the texts without a hit.
