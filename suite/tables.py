@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from vacancy_lake.functions import rules as R, skills as S, text as T, times as X
-from vacancy_lake.operators import facts as E, incremental as B, merge as D, standardize as C
+from vacancy_lake.operators import distinct as DI, facts as E, incremental as B, merge as D, standardize as C
 from vacancy_lake.plans import build as P
 from vacancy_lake.plans.build import standard_batch
 from vacancy_lake.schema import FACT_DIMENSION, POSTING, RUN_SUMMARY
@@ -796,6 +796,42 @@ def e03_snapshot(spark, d):
     return E.skill_demand(fx.postings(spark, d), F.col(fx.RUN), unique=True)
 
 
+_AGAIN = SQL_POSTINGS + """, h AS (
+  SELECT source, job_id, posted_month, company_norm, skills FROM p UNION ALL
+  SELECT source, job_id, strftime(day + INTERVAL 1 MONTH, '%Y-%m'), company_norm, skills FROM p WHERE k % 3 = 0),
+w AS (SELECT * FROM h WHERE posted_month BETWEEN '1996-11' AND '1997-02')"""
+
+
+def _history_sets(spark, d) -> DataFrame:
+    """Every third posting occurs again in the next month; two batches are numbered and indexed one after the other."""
+    p = fx.postings(spark, d)
+    k, day = F.col("source_job_id").cast("long"), F.to_date(F.date_sub(F.to_date("bronze_ingest_date"), 1))
+    month = E.assign_month(p).select("source", "job_id", "company_norm", "skills", "posted_month")
+    again = p.where(k % 3 == 0).select("source", "job_id", "company_norm", "skills",
+                                       F.date_format(F.add_months(day, 1), "yyyy-MM").alias("posted_month"))
+    lake, sets, known = fx.work_lake(spark, "e03d"), [], None
+    for name, batch in (("first", month.where("source = 'src_a'")), ("second", month.where("source = 'src_b'").unionByName(again))):
+        known = DI.number_postings(batch, known)
+        known.write.parquet(f"{lake.root}/numbers-{name}")
+        known = spark.read.parquet(f"{lake.root}/numbers-{name}")
+        values = F.explode(F.concat(F.transform("skills", lambda s: F.struct(F.lit("skill").alias("kind"), s.alias("value"))), F.array(
+            F.struct(F.lit("employer").alias("kind"), F.col("company_norm").alias("value")))))
+        rows = batch.join(known, "job_id").select("number", "source", "posted_month", values.alias("v")).select(
+            "number", "source", "posted_month", "v.kind", "v.value")
+        DI.posting_sets(rows, ["source", "posted_month", "kind", "value"]).write.parquet(f"{lake.root}/sets/{name}")
+    return spark.read.parquet(f"{lake.root}/sets/*")
+
+
+@query("e03_distinct_over_months", sql(_AGAIN, """
+SELECT 'skill' AS kind, skill AS value, CAST(count(DISTINCT job_id) AS BIGINT) AS postings
+FROM (SELECT job_id, unnest(skills) AS skill FROM w) GROUP BY ALL UNION ALL
+SELECT 'employer', company_norm, CAST(count(DISTINCT job_id) AS BIGINT) FROM w GROUP BY ALL"""))
+def e03_distinct(spark, d):
+    """Distinct postings per skill and employer over four months, from bitmaps alone."""
+    months = _history_sets(spark, d).where(F.col("posted_month").between("1996-11", "1997-02"))
+    return DI.distinct_postings(months, ["kind", "value"])
+
+
 @query("e04_role_demand", _fact_sql("f_role", "role"))
 def e04(spark, d):
     return E.role_demand(fx.postings(spark, d, False), F.col(fx.RUN))
