@@ -2,8 +2,8 @@
 
 Documents are put in ascending order of id: quantiles of the ids cut them into shards, one task each, sorted within.
 A shard is a row of blocks of about BLOCK ids. In a block the frequent pairs of adjacent ids are replaced by new
-symbols, again and again (Re-Pair; each turn replaces many frequent pairs at once, the more frequent first where two
-overlap). Pairs never cross the end of a document, so each document is a slice of the block's symbols. A block stores
+symbols, again and again, until no pair is left whose replacement makes the block smaller (Re-Pair; each turn replaces
+many frequent pairs at once, the more frequent first where two overlap). Pairs never cross the end of a document, so each document is a slice of the block's symbols. A block stores
 the rules, the expanded length of each rule, the symbols in byte planes, and where documents start among the symbols
 and among the ids: one document is decoded from its own slice. Blocks are Parquet records, so a lost executor or a
 half-written file is Spark's to repair, and any store that Spark reaches will do.
@@ -41,10 +41,9 @@ STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*%&$#|]*)")
 CACHED = 1_400_000
 #: Blocks up to this number have their starts broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-TURNS = 10
-PAIRS_PER_TURN = 4096
-LEAST_COUNT = 6
-TABLE_BITS = 18
+#: Places from which on a pair is worth a rule: a rule is two numbers long, and each place saves one.
+LEAST_COUNT = 3
+TABLE_BITS = 20
 
 
 class LibraryIds:
@@ -166,54 +165,69 @@ def library(path: str) -> LibraryIds:
     return LibraryIds(path)
 
 
+def _replaceable(mine: np.ndarray, none: int) -> np.ndarray:
+    """Places whose pair is replaced: no neighbour ranks before it; in a row of equal pairs every other one."""
+    before, after = np.append(none, mine[:-1]), np.append(mine[1:], none)
+    good = (mine <= before) & (mine <= after) & (mine < none)
+    same = np.flatnonzero(good & (mine == before))
+    if len(same):
+        first = np.flatnonzero(mine != before)
+        odd = (same - first[np.searchsorted(first, same, "right") - 1]) & 1
+        good[same[odd == 1]] = False
+    return np.flatnonzero(good)
+
+
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, symbols, start of each document among the symbols) of ids; `ends` are the last places of documents.
 
-    Pairs are counted in a table of hashed pairs. Of pairs that share an entry the table names the one met last, and only
-    that one is replaced, so a collision costs a little compression and nothing else.
+    A turn replaces all pairs that are left with LEAST_COUNT places, the more frequent first where two overlap. The first
+    turns count pairs in a table of hashed pairs; of pairs that share an entry the one met last has its turn, the others
+    another time, as each turn hashes otherwise. When that brings little, pairs are counted by sorting, and turns go on until
+    no pair is left whose replacement makes the block smaller.
     """
     symbols, closed = ids.astype(np.uint32), np.zeros(len(ids), bool)
     closed[ends] = True
-    rules, none = [], np.int16(PAIRS_PER_TURN)
-    rank, named = np.full(1 << TABLE_BITS, none, np.int16), np.zeros(1 << TABLE_BITS, np.uint64)
-    for _ in range(TURNS):
-        if len(symbols) < 2:
-            break
-        left, right = symbols[:-1], symbols[1:]
-        entry = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - TABLE_BITS)
-        counts = np.bincount(entry, minlength=1 << TABLE_BITS)
-        counts -= np.bincount(entry[closed[:-1]], minlength=1 << TABLE_BITS)
+    rules, none, sort, seed = [], np.int32(1 << 30), False, 1
+    while len(symbols) > 1:
+        left, right, inside = symbols[:-1], symbols[1:], ~closed[:-1]
+        entry = (left * np.uint32(0x9E3779B1 * seed & 0xFFFFFFFF | 1) ^ right * np.uint32(0x85EBCA77 * seed & 0xFFFFFFFF | 1))
+        entry, size, seed = entry >> np.uint32(32 - TABLE_BITS), 1 << TABLE_BITS, seed + 2
+        counts = np.bincount(entry[inside], minlength=size)
+        # An entry counts one pair at least, so pairs of rarer entries are out of question.
+        at = np.flatnonzero(inside & (counts >= LEAST_COUNT)[entry])
+        pair = left[at].astype(np.uint64) << np.uint64(32) | right[at]
+        if sort:
+            pairs, entry, counts = np.unique(pair, return_inverse=True, return_counts=True)
+        else:
+            entry = entry[at]
         top = np.flatnonzero(counts >= LEAST_COUNT)
-        top = top[np.argsort(-counts[top], kind="stable")][:PAIRS_PER_TURN]
-        if counts[top].sum() < len(symbols) // 50:
-            break
+        top = top[np.argsort(-counts[top], kind="stable")]
+        rank = np.full(len(counts), none, np.int32)
         rank[top] = np.arange(len(top))
-        mine = rank[entry]
-        mine[closed[:-1]] = none
-        at = np.flatnonzero(mine < none)
-        pair, slot = left[at].astype(np.uint64) << np.uint64(32) | right[at], mine[at]
-        named[slot] = pair
-        mine[at[named[slot] != pair]] = none
-        rank[top] = none
-        # Chosen: no neighbour ranks before it; in a row of equal pairs every other one.
-        before, after = np.append(none, mine[:-1]), np.append(mine[1:], none)
-        good = (mine <= before) & (mine <= after) & (mine < none)
-        at = np.flatnonzero(good)
-        same = np.flatnonzero(good & (mine == before))
-        if len(same):
-            first = np.flatnonzero(mine != before)
-            odd = (same - first[np.searchsorted(first, same, "right") - 1]) & 1
-            good[same[odd == 1]] = False
-            at = np.flatnonzero(good)
-        hit = np.bincount(mine[at], minlength=len(top)) > 0
-        number = np.cumsum(hit) - 1
-        rules.append(np.stack([named[:len(top)][hit] >> np.uint64(32), named[:len(top)][hit] & np.uint64(0xFFFFFFFF)], 1).astype(np.int64))
-        symbols[at] = base + number[mine[at]]
-        closed[at] = closed[at + 1]
-        base += int(hit.sum())
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols, closed = symbols[keep], closed[keep]
+        own = rank[entry]
+        named = np.zeros(len(top) + 1, np.uint64)
+        known = own < none
+        named[own[known]] = pair[known]
+        own[known] = np.where(named[own[known]] == pair[known], own[known], none)
+        mine = np.full(len(left), none, np.int32)
+        mine[at] = own
+        at = _replaceable(mine, none)
+        # A pair that gave way to its neighbours nearly everywhere waits for another turn.
+        hit = np.bincount(mine[at], minlength=len(top)) >= LEAST_COUNT
+        at = at[hit[mine[at]]]
+        if len(at):
+            number = np.cumsum(hit) - 1
+            found = named[:-1][hit]
+            rules.append(np.stack([found >> np.uint64(32), found & np.uint64(0xFFFFFFFF)], 1).astype(np.int64))
+            symbols[at] = base + number[mine[at]]
+            closed[at] = closed[at + 1]
+            base += int(hit.sum())
+            keep = np.ones(len(symbols), bool)
+            keep[at + 1] = False
+            symbols, closed = symbols[keep], closed[keep]
+        elif sort:
+            break
+        sort = sort or len(at) < len(symbols) // 200
     starts = np.append(0, np.flatnonzero(closed) + 1)[:-1]
     return np.concatenate([*rules, np.zeros((0, 2), np.int64)]), symbols, starts
 
