@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from vacancy_lake.functions import rules as R
-from vacancy_lake.operators import audit as AU, metrics as M
+from vacancy_lake.operators import audit as AU, metrics as M, quantiles as Q
 from vacancy_lake.operators.facts import assign_month, month_profile, resolve_run, run_summary
 from vacancy_lake.plans import views as V
 
@@ -323,6 +325,28 @@ def f16_skill(spark, d):
     return V.fact_grain(V.restrict(_skill(spark, d), V.latest_runs(_role(spark, d))), "skill")
 
 
+def _box_sql(rows: str, keys: str, v: str) -> str:
+    return f"""SELECT {keys}, n, q25, q50, q75, min(v) FILTER (v BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25)) AS low,
+  max(v) FILTER (v BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25)) AS high FROM (
+  SELECT *, max(CASE WHEN rn = greatest(1, ceil(0.25 * n)) THEN v END) OVER w AS q25,
+    max(CASE WHEN rn = greatest(1, ceil(0.5 * n)) THEN v END) OVER w AS q50,
+    max(CASE WHEN rn = greatest(1, ceil(0.75 * n)) THEN v END) OVER w AS q75 FROM (
+    SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY v) AS rn, count(*) OVER (PARTITION BY {keys}) AS n FROM (
+      SELECT {keys}, CAST({v} AS DOUBLE) AS v FROM {rows})) WINDOW w AS (PARTITION BY {keys})) GROUP BY ALL"""
+
+
+@query("f16_box_plot", sql(SQL_FACTS, _box_sql("f_emp", "source, posted_month", "job_count")))
+def f16_box(spark, d):
+    """Postings per employer and half-month run: quartiles and whiskers of each month."""
+    return Q.box_plot(_emp(spark, d), ["source", "posted_month"], "job_count", small_groups=True)
+
+
+@query("f16_box_plot_prices", _box_sql("lineitem", "l_returnflag, l_linestatus", "l_extendedprice"))
+def f16_box_prices(spark, d):
+    """A few groups of many different values, as a measure with a unit has."""
+    return Q.box_plot(fx.table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", small_groups=True)
+
+
 @query("f17_location_month", sql(SQL_FACTS, """
 SELECT location AS location_label, posted_month, job_count, run_id, source FROM f_loc
 JOIN newest USING (source, posted_month, run_id)"""))
@@ -531,6 +555,28 @@ def f32(spark, d):
     return V.skills_per_job(V.skills_long(assign_month(fx.postings(spark, d))), "2001-07")
 
 
+@query("f32_box_plot", sql(SQL_POSTINGS, _box_sql("(SELECT source, posted_month, len(skills) AS n_skills FROM p WHERE len(skills) > 0)", "source, posted_month", "n_skills")))
+def f32_box(spark, d):
+    """Skills per posting, as box plots of all months."""
+    rows = assign_month(fx.postings(spark, d)).select("source", "posted_month", F.size("skills").alias("n_skills")).where("n_skills > 0")
+    return Q.box_plot(rows, ["source", "posted_month"], "n_skills", small_groups=True)
+
+
+@query("f32_summaries_merge", sql(SQL_POSTINGS, """
+SELECT source, CAST(count(*) AS BIGINT) AS n, true AS within_rank_error FROM p WHERE len(skills) > 0 GROUP BY source"""))
+def f32_summaries(spark, d):
+    """Monthly summaries merged to one per source: the ranks of its quartiles, counted on the rows, are as close as stated."""
+    rows = assign_month(fx.postings(spark, d)).select("source", "posted_month", F.size("skills").alias("v")).where("v > 0")
+    merged = Q.merge_summaries(Q.summaries(rows, ["source", "posted_month"], "v"), ["source"])
+    found = Q.quantiles_of(merged, ["source"])
+    names = [(p, f"q{round(p * 100):02d}") for p in Q.QUARTILES]
+    ranks = rows.join(F.broadcast(found), "source").groupBy("source", "n").agg(*[
+        agg for _, q in names for agg in (F.count_if(F.col("v") < F.col(q)).alias(f"{q}_below"), F.count_if(F.col("v") <= F.col(q)).alias(f"{q}_upto"))])
+    error = Q.rank_error(400)
+    close = [(F.col(f"{q}_below") <= (p + error) * F.col("n")) & (F.col(f"{q}_upto") >= (p - error) * F.col("n")) for p, q in names]
+    return ranks.select("source", "n", reduce(lambda x, y: x & y, close).alias("within_rank_error"))
+
+
 @query("f33_reconcile", sql(SQL_FACTS + """,
 g AS (SELECT source, posted_month, run_id FROM newest),
 r AS (SELECT source, posted_month, run_id, sum(job_count) AS s, max(job_count) AS m, count(*) AS n FROM f_role
