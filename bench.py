@@ -17,7 +17,9 @@ HEADLINE = (
     "d02_upsert_history", "d03_quality_report", "e03_skill_demand", "e06_company_hiring", "f05_kpi_slice",
     "f10_top_n_other_employers", "f11_employer_pareto", "f12_classify_roles", "f14_employers_top_run", "f19_geo_states",
     "f21_heatmap", "f23_flow_location_employer", "f25_skill_mix", "f27_radar_profile", "f30_skill_mix_aligned",
-    "f33_reconcile", "f36_profile_payloads")
+    "f33_reconcile", "f36_profile_payloads", "d02_upsert_snapshot", "e03_distinct_over_months", "f16_box_plot_prices")
+#: The first view of a folder publishes the facts that all views read; that is timed as a query of its own.
+PUBLISHES = "f06_hhi"
 
 
 def run(spark, sf_dir: str, names) -> dict[str, float]:
@@ -47,9 +49,9 @@ def main() -> None:
     folders = [sf_dir]
     if "--sweep" in sys.argv:
         folders = [str(Path(sf_dir).parent / s) for s in ("sf0.001", "sf0.01")] + folders
-    run(spark, folders[0], ["f06_hhi"])  # start the JVM and its compilers
+    run(spark, folders[0], ["b04_job_key"])  # start the JVM and its compilers
     for folder in folders:
-        seconds = run(spark, folder, HEADLINE)
+        seconds = {"publish_facts": run(spark, folder, [PUBLISHES])[PUBLISHES], **run(spark, folder, HEADLINE)}
         print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
                           "queries": seconds, "sf": Path(folder).name.removeprefix("sf")}), flush=True)
     spark.stop()

@@ -10,7 +10,7 @@ from vacancy_lake.functions import rules as R, skills as S, text as T, times as
 from vacancy_lake.operators import distinct as DI, facts as E, incremental as B, merge as D, standardize as C
 from vacancy_lake.plans import build as P
 from vacancy_lake.plans.build import standard_batch
-from vacancy_lake.schema import FACT_DIMENSION, POSTING, RUN_SUMMARY
+from vacancy_lake.schema import FACT_DIMENSION, LINEAGE_COUNTS, POSTING, RUN_SUMMARY
 from vacancy_lake.sources import lake as A, snapshot as SN, state as ST
 from vacancy_lake.streaming import current_state as CS, landing_stream as STREAM
 
@@ -931,17 +931,17 @@ def e08_changes(spark, d):
     k = F.col("source_job_id").cast("long")
     for source, _ in DIALECTS:
         mine = df.where(F.col("source") == source)
-        first = SN.replace(mine.where(k % 10 != 3), lake, source, "v1")
-        P.publish_facts(SN.read(spark, lake, source), lake, "run-1", places=None, unique=True, source=source)
+        before = SN.replace(mine.where(k % 10 != 3), lake, source, "v1").number
         newer = mine.where((k % 10 < 2)).withColumns({"title_norm": F.lit("newer"), "bronze_ingest_date": F.lit("2030-01-01")})
         older = mine.where(k % 10 == 5).withColumns({"title_norm": F.lit("older"), "bronze_ingest_date": F.lit("1990-01-01")})
         SN.upsert(newer.unionByName(older), lake, source, "v2")
-        last = SN.upsert(mine.where(k % 10 == 3), lake, source, "v3")
-        P.publish_changes(spark, lake, source, first.number, last.number, "run-1", "run-2", None)
-    for table, dim in FACT_DIMENSION.items():
-        fact = A.read_fact(spark, table, lake).where("run_id = 'run-2'")
-        parts.append(fact.select(F.lit(dim).alias("fact"), "source", "posted_month", F.col(dim).alias("value"), "job_count",
-                                 "bronze_ingest_date", "time_axis"))
+        SN.upsert(mine.where(k % 10 == 3), lake, source, "v3")
+        first = SN.read(spark, lake, source, number=before)
+        old = {**E.fact_tables(E.on_months(first, None), "run-1", None, True), LINEAGE_COUNTS: E.lineage(first)}
+        changes = SN.changes(spark, lake, source, before).checkpoint()
+        facts = E.updated_facts(old, E.signed_counts(changes, "run-2", None), "run-2")
+        parts += [facts[t].select(F.lit(dim).alias("fact"), "source", "posted_month", F.col(dim).alias("value"), "job_count",
+                                  "bronze_ingest_date", "time_axis") for t, dim in FACT_DIMENSION.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

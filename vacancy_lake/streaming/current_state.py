@@ -11,8 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -28,6 +27,7 @@ _IN = StructType([*POSTING.fields, StructField("at_ms", LongType()), StructField
                   *[StructField(c, StringType()) for c in _ORDER]])
 _STATE = StructType([*[StructField(c, StringType()) for c in _ORDER], StructField("row_hash", LongType()), StructField("until_ms", LongType())])
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PARTS = "spark.sql.shuffle.partitions"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -41,41 +41,35 @@ class NewestVersion(StatefulProcessor):
         self.handle = handle
         self.newest = handle.getValueState("newest", _STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best, until = None, 0
-        for part in rows:
-            part = part.sort_values([*_ORDER, "row_hash"])
-            until = max(until, int(part["at_ms"].max()) + self.keep_ms)
-            last = part.iloc[[-1]]
-            if best is None or self._rank(last) > self._rank(best):
-                best = last
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = rank = None
+        until = 0
+        for row in rows:
+            until = max(until, row["at_ms"] + self.keep_ms)
+            own = (*(row[c] for c in _ORDER), row["row_hash"])
+            if rank is None or own > rank:
+                best, rank = row, own
         if best is None:
             return
         known = self.newest.get()
-        *lineage, row_hash = rank = self._rank(best)
+        *lineage, row_hash = rank
         before = known[-1] if known is not None else 0
         until = max(until, before)
         changed = (known is None or tuple(lineage) > tuple(known[:-2])
                    or (tuple(lineage) == tuple(known[:-2]) and row_hash != known[-2]))
-        if changed:
-            self.newest.update((*rank, until))
-        elif until > before:
-            self.newest.update((*known[:-1], until))
+        if changed or until > before:
+            self.newest.update((*(rank if changed else known[:-1]), until))
         if until > before:
             self.handle.registerTimer(until)
         if changed:
-            yield best[POSTING.fieldNames()]
+            yield Row(**{c: best[c] for c in POSTING.fieldNames()})
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         known = self.newest.get()
         if known is not None and expiredTimerInfo.getExpiryTimeInMs() >= known[-1]:
             self.newest.clear()
         return iter(())
 
-    @staticmethod
-    def _rank(row: pd.DataFrame) -> tuple:
-        return (*(row[c].iloc[0] for c in _ORDER), int(row["row_hash"].iloc[0]))
-
     def close(self) -> None:
         pass
 
@@ -87,16 +81,18 @@ def changed_versions(rows: DataFrame, event_time: str, lookback_hours: int) -> D
              .withWatermark("event", f"{lookback_hours} hours")
              .withColumns({"at_ms": F.unix_millis("event"), "row_hash": prints,
                            **{o: text(c) for o, c in zip(_ORDER, LINEAGE_ORDER)}}))
-    return (keyed.select(*_IN.fieldNames(), "event").groupBy("job_id").transformWithStateInPandas(
+    return (keyed.select(*_IN.fieldNames(), "event").groupBy("job_id").transformWithState(
         NewestVersion(lookback_hours * 3_600_000), POSTING, "Update", "EventTime"))
 
 
 def start_current_stream(spark: SparkSession, rows: DataFrame, lake: A.Lake, checkpoint: str, source: str, event_time: str,
-                         lookback_hours: int = 48, every: str | None = None) -> StreamingQuery:
+                         lookback_hours: int = 48, every: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Keep the snapshot of `source` up to date with a stream of postings.
 
     Per micro-batch the changed versions become one version of the snapshot, named by query and batch. A replayed batch
     that is the newest version already is left alone; any other replay adds the same rows again, which changes nothing.
+    `state_partitions` is the number of parts the state is dealt into, for good, when a checkpoint is new; by default as
+    many as the session shuffles into.
     """
     query = query_name(checkpoint)
 
@@ -106,11 +102,14 @@ def start_current_stream(spark: SparkSession, rows: DataFrame, lake: A.Lake, che
         if (state is None or state.label != label) and not changed.isEmpty():
             S.upsert(changed, lake, source, label)
 
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:  # the query takes the setting along when it starts
+    settings = {_PROVIDER: _ROCKSDB, **({_PARTS: str(state_partitions)} if state_partitions else {})}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:  # the query takes the settings along when it starts
         return (changed_versions(rows, event_time, lookback_hours).writeStream.outputMode("update").foreachBatch(commit)
                 .option("checkpointLocation", checkpoint)
                 .trigger(**({"processingTime": every} if every else {"availableNow": True})).start())
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
