@@ -227,7 +227,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
             symbols, closed = symbols[keep], closed[keep]
         elif sort:
             break
-        sort = sort or len(at) < len(symbols) // 200
+        sort = sort or len(at) <= len(symbols) // 200
     starts = np.append(0, np.flatnonzero(closed) + 1)[:-1]
     return np.concatenate([*rules, np.zeros((0, 2), np.int64)]), symbols, starts
 
