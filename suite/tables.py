@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from vacancy_lake.functions import rules as R, skills as S, text as T, times as X
-from vacancy_lake.operators import distinct as DI, facts as E, incremental as B, merge as D, standardize as C
+from vacancy_lake.operators import distinct as DI, facts as E, gazetteer as G, incremental as B, merge as D, standardize as C
 from vacancy_lake.plans import build as P
 from vacancy_lake.plans.build import standard_batch
 from vacancy_lake.schema import FACT_DIMENSION, LINEAGE_COUNTS, POSTING, RUN_SUMMARY
@@ -466,6 +466,54 @@ def c07(spark, d):
     return df.select("job_id", "place", "canonical")
 
 
+@query("c07_places_table", sql(SQL_POSTINGS, """
+SELECT k, CASE k % 6 WHEN 0 THEN company_norm || ', ' || location_raw WHEN 1 THEN company_norm || ', ' || location_raw
+  WHEN 2 THEN company_norm || ', ' || location_raw WHEN 3 THEN location_raw || ', world'
+  WHEN 4 THEN company_norm || ', ' || location_raw ELSE 'elsewhere ' || k END AS place FROM p"""))
+def c07_table(spark, d):
+    """Every customer is a city of the state its nation names, under two spellings; the gazetteer grows with them."""
+    city, state = F.lower("c_name"), F.lower("n_name")
+    nations = fx.table(spark, d, "nation")
+    at = fx.table(spark, d, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    short = F.concat(F.lit("no. "), F.col("c_custkey"))
+    none = F.lit(None).cast("string")
+    gazetteer = reduce(DataFrame.unionByName, [
+        at.select(city.alias("name"), F.lit("city").alias("kind"), state.alias("target")),
+        at.select(short.alias("name"), F.lit("alias").alias("kind"), city.alias("target")),
+        nations.select(state.alias("name"), F.lit("state").alias("kind"), none.alias("target")),
+        nations.limit(1).select(F.lit("world").alias("name"), F.explode(F.array(F.lit("country"), F.lit("context"))).alias("kind"),
+                                none.alias("target"))])
+    o = fx.orders_wide(spark, d)
+    k = F.col("o_orderkey")
+    alias = F.concat(F.lit(" no. "), F.col("o_custkey"))
+    raw = (F.when(k % 6 == 0, city).when(k % 6 == 1, F.concat(city, F.lit(" ,world"))).when(k % 6 == 2, F.concat(alias, F.lit(", world")))
+           .when(k % 6 == 3, F.concat(state, F.lit(", "), state)).when(k % 6 == 4, F.concat(alias, F.lit(", "), state, F.lit(", world")))
+           .otherwise(F.concat(F.lit("elsewhere "), k)))
+    return G.canonicalize(o.select(k.alias("k"), raw.alias("place")), "place", gazetteer, "world")
+
+
+@query("c07_longest_suffix", sql(SQL_POSTINGS, """
+SELECT k, CASE WHEN k % 5 < 3 THEN 'of ' || location_raw WHEN k % 5 = 3 THEN 'in ' || region END AS place,
+  CASE k % 5 WHEN 0 THEN 'dock ' || k % 7 WHEN 1 THEN '' WHEN 2 THEN 'order' WHEN 3 THEN company_norm || ', order ' || k
+    ELSE 'order ' || k END AS rest
+FROM p"""))
+def c07_suffix(spark, d):
+    """Names of one and of two segments: a customer in its nation wins over the nation alone."""
+    city, state = F.lower("c_name"), F.lower("n_name")
+    nations = fx.table(spark, d, "nation").join(fx.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    at = fx.table(spark, d, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    names = nations.select(state.alias("name"), F.concat(F.lit("in "), F.lower("r_name")).alias("value")).unionByName(
+        at.select(F.concat(city, F.lit(","), state).alias("name"), F.concat(F.lit("of "), state).alias("value")))
+    o = fx.orders_wide(spark, d)
+    k = F.col("o_orderkey")
+    pair = F.concat(city, F.lit(" , "), state)
+    raw = (F.when(k % 5 == 0, F.concat(F.lit("dock "), k % 7, F.lit(", "), pair)).when(k % 5 == 1, pair)
+           .when(k % 5 == 2, F.concat(F.lit("order, "), city, F.lit(", ,"), state))
+           .when(k % 5 == 3, F.concat(city, F.lit(", order "), k, F.lit(","), state)).otherwise(F.concat(F.lit("order "), k)))
+    found = G.longest_suffix(o.select(k.alias("k"), raw.alias("raw")), "raw", names, "place", "rest")
+    return found.select("k", "place", "rest")
+
+
 @query("c08_resolve_area", sql(SQL_POSTINGS, """
 SELECT k, CASE k % 5 WHEN 0 THEN n_name || ', ' || r_name WHEN 1 THEN n_name WHEN 2 THEN n_name || ', ' || r_name
   WHEN 3 THEN r_name || ' shown' ELSE '' END AS location FROM p"""))
