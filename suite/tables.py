@@ -11,7 +11,7 @@ from vacancy_lake.operators import distinct as DI, facts as E, gazetteer as G, i
 from vacancy_lake.plans import build as P
 from vacancy_lake.plans.build import standard_batch
 from vacancy_lake.schema import FACT_DIMENSION, LINEAGE_COUNTS, POSTING, RUN_SUMMARY
-from vacancy_lake.sources import lake as A, snapshot as SN, state as ST
+from vacancy_lake.sources import file_index as I, lake as A, snapshot as SN, state as ST
 from vacancy_lake.streaming import current_state as CS, landing_stream as STREAM
 
 from . import fixtures as fx
@@ -68,6 +68,35 @@ def a01_newest(spark, d):
         "source", "run_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _runs(df: DataFrame) -> list[tuple[str, str, str]]:
+    """Source, ingest date and run id of what was written; a few rows."""
+    return [tuple(r) for r in df.select("source", "bronze_ingest_date", df.columns[-1]).distinct().collect()]
+
+
+@query("a01_indexed_landing", sql(SQL_LANDING, """
+SELECT 'range' AS read, source, run_id, n, count(*) OVER (PARTITION BY source) AS batches FROM (
+  SELECT source, run_id, count(*) AS n FROM ln WHERE bronze_ingest_date >= '1996-12-31' AND bronze_ingest_date < '1999-12-31'
+  GROUP BY ALL)
+UNION ALL SELECT 'newest', source, run_id, count(*), 1 FROM ln
+WHERE (source, run_id) IN (SELECT (source, max(run_id)) FROM ln GROUP BY source) GROUP BY ALL"""))
+def a01_indexed(spark, d):
+    """Files of three years by their times, and of the newest batch, read without listing folders."""
+    lake = fx.work_lake(spark, "a01i")
+    rows = _landing(spark, d)
+    A.write_landing(rows, lake)
+    runs = sorted(_runs(rows.select("source", "bronze_ingest_date", "run_id")), key=lambda r: r[1])
+    I.add(spark, lake, I.LANDED, [r for r in runs if r[1] != runs[-1][1]])
+    I.add(spark, lake, I.LANDED, [r for r in runs if r[1] == runs[-1][1]])
+    part = I.read_landing(spark, lake, since="1996-12-31", until="1999-12-31")
+    newest = reduce(DataFrame.unionByName, [I.read_landing(spark, lake, s) for s, _ in DIALECTS])
+    files = I.entries(spark, lake, I.LANDED)
+    met = files.where((F.col("greatest") >= "1996-12-31") & (F.col("least") < "1999-12-31")).groupBy("source").agg(
+        F.count_distinct("run_id").alias("batches"))
+    counted = part.groupBy("source", "run_id").agg(F.count(F.lit(1)).alias("n")).join(met, "source")
+    last = newest.groupBy("source", "run_id").agg(F.count(F.lit(1)).alias("n")).withColumn("batches", F.lit(1).cast("long"))
+    return counted.withColumn("read", F.lit("range")).unionByName(last.withColumn("read", F.lit("newest")))
+
+
 @query("a02_write_landing_slice", sql(SQL_LANDING, """
 SELECT 'main' AS lake, source, run_id, count(*) AS n FROM ln WHERE source = 'src_a' GROUP BY ALL
 UNION ALL SELECT 'backfill', source, run_id, count(*) FROM ln WHERE source = 'src_b' GROUP BY ALL"""))
@@ -122,6 +151,19 @@ def a04(spark, d):
                       F.date_format("posted_at", "yyyy-MM-dd").alias("posted_on"))
 
 
+@query("a04_indexed_history", sql(SQL_POSTINGS, """
+SELECT job_id, title_norm, company_norm, strftime(day + INTERVAL 1 DAY, '%Y-%m-%d') AS ingested_on FROM p
+WHERE source = 'src_a' AND day + INTERVAL 1 DAY >= DATE '1996-03-01' AND day + INTERVAL 1 DAY < DATE '1997-09-01'"""))
+def a04_indexed(spark, d):
+    """Postings of eighteen months out of the batches of all years; files of other years stay closed."""
+    lake = fx.work_lake(spark, "a04i")
+    df = _yearly(fx.postings(spark, d, False))
+    A.write_batch(df, lake)
+    I.add(spark, lake, I.BATCHES, _runs(df.select("source", "bronze_ingest_date", "bronze_run_id")))
+    out = I.read_history(spark, lake, "src_a", "1996-03-01", "1997-09-01")
+    return out.select("job_id", "title_norm", "company_norm", F.substring("ingested_at", 1, 10).alias("ingested_on"))
+
+
 @query("a05_write_fact", sql(SQL_POSTINGS, """
 SELECT source, posted_month, '20010901T0' AS run_id, company_norm AS company_name, count(*) AS job_count FROM p GROUP BY ALL"""))
 def a05(spark, d):

@@ -14,19 +14,24 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.rules import PlaceRules, Vocabulary
 from ..operators import facts as E, incremental as B, merge as D, standardize as C
 from ..schema import FACT_DIMENSION, LINEAGE_COUNTS, RUN_SUMMARY, lineage_schema, use_shared_checkpoints
-from ..sources import lake as A, snapshot as S, state as ST
+from ..sources import file_index as I, lake as A, snapshot as S, state as ST
 
 
 def land(fetched: DataFrame, lake: A.Lake, dialect: B.Dialect, source: str, run_id: str, ingest_date: str,
          batch_created_at: str, lookback_hours: int = 48, cap: int | None = None, mode: str = "lookback",
-         batch_id: int | None = None) -> dict:
-    """Land the new part of a fetch (source, raw_payload) and move the watermark over all of it."""
+         batch_id: int | None = None, index: bool = False) -> dict:
+    """Land the new part of a fetch (source, raw_payload) and move the watermark over all of it.
+
+    `index=True` also adds the run to the file index of the lake, before the watermark moves.
+    """
     spark = fetched.sparkSession
     state = ST.read_state(spark, lake.root, source, lake.slice, batch_id, lookback_hours)
     chosen, report = B.select_incremental(fetched, B.created_seconds(dialect), state["fetch_watermark"],
                                           lookback_hours, cap, mode)
     stats = B.refuse_empty(report)
     A.write_landing(B.to_landing(chosen, dialect, run_id, ingest_date, batch_created_at), lake)
+    if index:
+        I.add(spark, lake, I.LANDED, [(source, ingest_date, run_id)])
     ST.write_state(spark, lake.root, {
         **state, "last_run_id": run_id, "last_run_at": batch_created_at, "fetch_watermark": stats["max_created"],
         "lookback_hours": lookback_hours, "status": "ok", "strategy": mode,
@@ -50,18 +55,21 @@ def standard_batch(landed: DataFrame, aggregator_sources: tuple[str, ...] = (),
 
 def build_postings(spark: SparkSession, lake: A.Lake, source: str, path: str | None = None,
                    aggregator_sources: tuple[str, ...] = (), vocab: Vocabulary = Vocabulary(),
-                   places: PlaceRules | None = PlaceRules(), legacy_source: bool = False, heal: bool = False) -> dict:
+                   places: PlaceRules | None = PlaceRules(), legacy_source: bool = False, heal: bool = False,
+                   index: bool = False) -> dict:
     """Newest landing batch to a standard batch and a new snapshot version; a failing batch writes nothing.
 
     The batch becomes a version on top of the snapshot before it; without one, of the union of all batches. `heal=True`
     takes the broader of both (more months, then more rows), which reads the whole history: for snapshots written
-    elsewhere, since a failed write here leaves the version before it in force.
+    elsewhere, since a failed write here leaves the version before it in force. `index=True` finds the newest landing
+    batch in the file index of the lake instead of listing folders.
 
     The batch feeds the gate, the batch table and the upsert, so it is put in the shared checkpoint folder:
     the text work runs once, and a lost executor does not repeat it.
     """
     use_shared_checkpoints(spark)
-    landed = A.require_rows(A.read_landing(spark, lake, source, path))
+    by_index = index and path is None
+    landed = A.require_rows(I.read_landing(spark, lake, source) if by_index else A.read_landing(spark, lake, source, path))
     rows_in = landed.count()
     batch = standard_batch(landed, aggregator_sources, vocab, places).checkpoint()
     report = D.quality_gate(batch, rows_in)

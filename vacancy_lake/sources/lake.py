@@ -46,7 +46,7 @@ class Lake:
         return f"{self.jobs}/source={source}" + (f"/slice={self.slice}" if self.slice else "") + "/merged"
 
 
-def _partitions(lake: Lake) -> list[str]:
+def partitions(lake: Lake) -> list[str]:
     return ["source", *(["slice"] if lake.slice else []), "ingest_date", "run_id"]
 
 
@@ -64,7 +64,7 @@ def write_landing(df: DataFrame, lake: Lake, rows_per_file: int = 500_000) -> No
     out = df.withColumn("ingest_date", F.col("bronze_ingest_date"))
     if lake.slice:
         out = out.withColumn("slice", F.lit(lake.slice))
-    (_replace_partitions(out, _partitions(lake)).option("compression", "gzip")
+    (_replace_partitions(out, partitions(lake)).option("compression", "gzip")
      .option("maxRecordsPerFile", rows_per_file).option("ignoreNullFields", "false").json(lake.landing))
 
 
@@ -83,10 +83,10 @@ def newest_batch(spark: SparkSession, lake: Lake, source: str) -> str:
     return row["path"].rsplit("/", 1)[0]
 
 
-def read_landing(spark: SparkSession, lake: Lake, source: str | None = None, path: str | None = None) -> DataFrame:
+def read_landing(spark: SparkSession, lake: Lake, source: str | None = None, path: str | list[str] | None = None) -> DataFrame:
     """Landing rows, payload as JSON text, with file lineage and line order (`_file`, `_line`).
 
-    Without a path: the newest batch of `source`, or every batch of the lake when no source is given.
+    Without a path or paths: the newest batch of `source`, or every batch of the lake when no source is given.
     """
     if path is None:
         path = newest_batch(spark, lake, source) if source else lake.batch_glob(lake.landing, "*", bool(lake.slice))
@@ -130,7 +130,7 @@ def write_batch(df: DataFrame, lake: Lake) -> None:
     out = project_contract(df).withColumns({"ingest_date": F.col("bronze_ingest_date"), "run_id": F.col("bronze_run_id")})
     if lake.slice:
         out = out.withColumn("slice", F.lit(lake.slice))
-    _replace_partitions(out, _partitions(lake)).parquet(lake.jobs)
+    _replace_partitions(out, partitions(lake)).parquet(lake.jobs)
 
 
 def read_history(spark: SparkSession, lake: Lake, source: str, legacy_source: bool = False,
