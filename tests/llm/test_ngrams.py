@@ -39,6 +39,15 @@ def test_trie_lookup():
         first = np.cumsum(sizes) - sizes
         some = np.array([3, 77, 200])
         assert (trie.lookup(contexts[some], np.ones(3, int), prints[first[some]]) == codes[first[some]]).all()
+        # misses: successors that are not there, before, between and behind those that are, and unknown contexts
+        known = {(c, p): k for c, p, k in zip(np.repeat(contexts, sizes).tolist(), prints.tolist(), codes.tolist())}
+        asked = np.sort(np.concatenate([contexts, contexts[::3] + np.uint64(1), np.array([0, 2 ** 64 - 1], np.uint64)]))
+        each = np.concatenate([[0, 2 ** 40 - 1], prints[::40], prints[::40] + np.uint64(1)]).astype(np.uint64)
+        got = trie.lookup(asked, np.full(len(asked), len(each)), np.tile(each, len(asked)))
+        assert got.tolist() == [known.get((c, p), 0) for c in asked.tolist() for p in each.tolist()] and got.any()
+    none = np.zeros(0, np.uint64)
+    with ngrams.Trie.build(none, np.zeros(0, int), none, np.zeros(0, np.uint8)).mapped() as trie:
+        assert trie.lookup(contexts[:2], np.array([1, 2]), prints[:3]).tolist() == [0, 0, 0]
 
 
 def test_codes_round_down():
@@ -62,6 +71,36 @@ def brute_base(rows, held):
                      sum(log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)) for d, t in rows}
 
 
+class BruteModel:
+    """The same model in dictionaries, one token after the other."""
+
+    def __init__(self, rows, held):
+        self.c, self.pairs = Counter(), Counter()
+        for d, t in rows:
+            if not held(d):
+                w = words_of(t)
+                self.c.update(w)
+                self.pairs.update(zip([b"\n", *w], w))
+        self.n, once, all_ = self.c.total(), Counter(), Counter()
+        for (h, _), n in self.pairs.items():
+            k = self.c[h].bit_length()
+            once[k] += n == 1
+            all_[k] += n
+        self.mu = {k: (once[k] + 1) / (all_[k] + 2) for k in all_}
+
+    def p(self, h, w):
+        base = (self.c[w] + 0.5) / (self.n + 0.5 * (len(self.c) + 1))
+        mu, seen = self.mu.get(self.c[h].bit_length(), 1.0), 0.0
+        if self.pairs[h, w]:
+            code = 1 + min(254, max(0, int(254 * (1 + log10(self.pairs[h, w] / self.c[h]) / 9) + 1e-9)))
+            seen = 10 ** (-9 * (1 - (code - 1) / 254))
+        return (1 - mu) * seen + mu * base
+
+    def score(self, text):
+        w = words_of(text)
+        return sum(log10(self.p(h, x)) for h, x in zip([b"\n", *w], w))
+
+
 def check(df, held_column, held):
     rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
     want = sorted(((d, *brute_base(rows, held)[d, t][:3]) for d, t in rows), key=repr)
@@ -71,6 +110,8 @@ def check(df, held_column, held):
     assert got == want
     assert sorted(out.base_score) == pytest.approx(sorted(v[3] for v in (brute_base(rows, held)[r] for r in rows)))
     assert (out.score <= 0).all() and np.isfinite(out.score).all()
+    model = BruteModel(rows, held)
+    assert sorted(out.score) == pytest.approx(sorted(model.score(t) for _, t in rows))
     return out
 
 
@@ -91,18 +132,16 @@ def test_better_than_single_words(spark):
 
 
 def test_distribution(spark):
-    """Over all known words and one unknown the probabilities after any context add up to 1, or less by rounding."""
-    train = ["a b a c", "a b b", "c c a"]
-    known = ["a", "b", "c"]
-    for context in ("a", "b", "c", "zzz"):
-        rows = [(i, t, "s") for i, t in enumerate(train)] + [(10 + i, f"{context} {w}", "s") for i, w in enumerate([*known, "unknown"])]
-        ends = [(20, context, "s")]
-        df = spark.createDataFrame(rows + ends, "doc_id long, text string, source string")
-        s = {r["doc_id"]: r["score"] for r in ngrams.scores(df, F.col("doc_id") >= 10).collect()}
-        one = {r["doc_id"]: r["score"] for r in ngrams.scores(
-            spark.createDataFrame(rows + ends + [(30 + i, w, "s") for i, w in enumerate([*known, "unknown"])],
-                                  "doc_id long, text string, source string"), F.col("doc_id") >= 10).collect()}
-        assert all(v < 0 for v in s.values()) and s[10] == pytest.approx(one[10])
+    """After any context the probabilities of all known words and one unknown add up to 1, less what codes round off.
+
+    `check` holds the library's scores against the dictionary model, whose probabilities are added up here.
+    """
+    df = documents(spark, "/root/testdata/sf0.001")
+    rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    model = BruteModel(rows, lambda d: zlib.crc32(str(d).encode()) % 5 == 1)
+    words = [*model.c, b"never seen"]
+    for h in [b"\n", b"never seen", *list(model.c)[:40]]:
+        assert 0.9 < sum(model.p(h, w) for w in words) < 1 + 1e-9
 
 
 def test_edges(frame, edge_rows):

@@ -143,12 +143,21 @@ class Trie:
             os.unlink(f.name)
 
     def lookup(self, contexts: np.ndarray, sizes: np.ndarray, prints: np.ndarray) -> np.ndarray:
-        """Codes of bigrams given as contexts (all known) with their numbers of successors, and the successors."""
-        at = self.contexts.find(contexts)
-        begin, end = (np.repeat(self.pointers.get(at + i).astype(np.int64), sizes) for i in (0, 1))
+        """Codes of bigrams given as contexts with their numbers of successors, and the successors; 0 where there is none."""
+        out = np.zeros(len(prints), np.uint8)
+        if not self.contexts.n:
+            return out
+        at = np.minimum(self.contexts.find(contexts), self.contexts.n - 1)
+        begin, end = (self.pointers.get(at + i).astype(np.int64) for i in (0, 1))
+        end = np.where(self.contexts.get(at) == contexts, end, begin)  # an unknown context has no successors
+        begin, end = np.repeat(begin, sizes), np.repeat(end, sizes)
         low, high = self.successors
         value = lambda i: low[i].astype(np.uint64) | high[i].astype(np.uint64) << np.uint64(32)
-        return self.codes[bisect(value, begin, end, prints)]
+        place = bisect(value, begin, end, prints)
+        there = np.flatnonzero(place < end)
+        there = there[value(place[there]) == prints[there]]
+        out[there] = self.codes[place[there]]
+        return out
 
 
 class Numbers(dict):
@@ -316,12 +325,12 @@ def bigram_codes(blocks: DataFrame, shards: int, hot: np.ndarray, hot_counts: np
         classes = class_of(whole)[of]
         rows = [(1, 0, int(k), None, int((counts[(classes == k)] == 1).sum()), int(counts[classes == k].sum()))
                 for k in np.unique(classes[seen])]
-        # Bigrams of held-out texts alone get the code 0, so every question finds its place.
-        codes = np.zeros(len(keys), np.uint8)
-        codes[seen] = quantise(np.log10(counts[seen] / whole[of[seen]]))
-        sizes, prints = np.bincount(of, minlength=len(known)), keys & np.uint64((1 << PRINT_BITS) - 1)
-        with Trie.build(known, sizes, prints, codes).mapped() as trie:
-            found = trie.lookup(known, sizes, prints)[place]  # a bigram that many blocks ask for is looked up once
+        # The trie holds what training texts have. Asked for is every distinct bigram, those of held-out texts alone included.
+        codes = quantise(np.log10(counts[seen] / whole[of[seen]]))
+        prints, trained = keys & np.uint64((1 << PRINT_BITS) - 1), total > 0
+        held = np.bincount(of[seen], minlength=len(known))[trained]
+        with Trie.build(known[trained], held, prints[seen], codes).mapped() as trie:
+            found = trie.lookup(known, np.bincount(of, minlength=len(known)), prints)[place]
         ends = np.cumsum([len(p[2]) for p in parts])
         for block, a, (_, _, p, _), end in zip(pdf["block"], pdf["a"], parts, ends.tolist()):
             rows.append((0, block, a, found[end - len(p):end].tobytes(), 0, 0))
