@@ -659,3 +659,46 @@ FROM (SELECT unnest(['slug', 'url', 'company_name', 'tags', 'remote', 'created_a
 def f36_payloads(spark, d):
     out = AU.profile_json(fx.payloads(spark, d), "raw_payload")
     return out.withColumn("kinds", F.array_join("kinds", ","))
+
+
+def _title_sql(s: str) -> str:
+    return f"array_to_string([upper(substr(r, 1, 1)) || substr(r, 2) for r in regexp_extract_all({s}, '[a-z]+|[^a-z]+')], '')"
+
+
+def _hard_sql(s: str, n: int) -> str:
+    return f"CASE WHEN length({s}) <= {n} THEN {s} ELSE substr({s}, 1, {n - 1}) || '…' END"
+
+
+def _word_sql(s: str, n: int) -> str:
+    word = f"regexp_replace(substr({s}, 1, {n - 1}), ' [^ ]*$', '')"
+    return (f"CASE WHEN length({s}) <= {n} THEN {s} WHEN length({word}) < {n // 2} THEN substr({s}, 1, {n - 1}) || '…' "
+            f"ELSE {word} || '…' END")
+
+
+def _display_sql(fact: str, dim: str, shown: str, chart: str, raw: str | None = None) -> str:
+    """Ranks, labels, and chart labels with numbers behind those that occur again in a month."""
+    return sql(SQL_FACTS + f""",
+r AS (SELECT source, posted_month, run_id, {dim} AS value, job_count, {_title_sql(raw or dim)} AS title,
+    CAST(row_number() OVER (PARTITION BY source, posted_month, run_id ORDER BY job_count DESC, {dim}) AS INTEGER) AS rank FROM {fact}),
+c AS (SELECT *, {shown} AS d FROM r WHERE rank <= {R.TABLE_TOP}),
+e AS (SELECT *, CASE WHEN rank <= {R.CHART_TOP} THEN {chart} END AS ch FROM c),
+n AS (SELECT *, row_number() OVER (PARTITION BY source, posted_month, run_id, ch ORDER BY rank) AS again FROM e)""", f"""
+SELECT source, posted_month, run_id, rank, value, {_hard_sql('d', R.TABLE_LABEL_MAX)} AS label,
+  CASE WHEN '{dim}' <> 'skill' AND lower(d) <> lower(value) THEN value END AS original,
+  CASE WHEN ch <> '' AND again > 1 THEN ch || ' (' || again || ')' ELSE ch END AS chart_label, job_count FROM n""")
+
+
+@query("f35_ranked_roles", _display_sql("f_role", "role", _word_sql("title", R.ROLE_LABEL_MAX), _word_sql("d", R.CHART_LABEL_MAX),
+                                         "regexp_replace(role, ' *- *', ' - ', 'g')"))
+def f35_roles(spark, d):
+    return V.ranked_display(_role(spark, d), "role", "role")
+
+
+@query("f35_ranked_locations", _display_sql("f_loc", "location", "title", _hard_sql("d", R.CHART_LABEL_MAX)))
+def f35_locations(spark, d):
+    return V.ranked_display(_loc(spark, d), "location", "location")
+
+
+@query("f35_ranked_skills", _display_sql("f_skill", "skill", "title", _hard_sql("d", R.CHART_LABEL_MAX)))
+def f35_skills(spark, d):
+    return V.ranked_display(_skill(spark, d), "skill", "skill")
