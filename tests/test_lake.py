@@ -320,3 +320,12 @@ def test_heal_takes_the_broader_base(spark, lake):
     land(spark, lake, "20240103T0-b", board("c"), day="2024-01-03")
     P.build_postings(spark, lake, "board", heal=True)
     assert {r["source_job_id"] for r in S.read(spark, lake, "board").collect()} == {"a", "b", "c"}
+
+
+def test_steps_by_the_file_index(spark, lake):
+    """The newest batch is the one added last; a batch landed without the index is not seen by it."""
+    land(spark, lake, "20240102T000000Z-a", board("a"), index=True)
+    land(spark, lake, "20240103T000000Z-b", board("b", created=1704200000), day="2024-01-03", index=True)
+    land(spark, lake, "20240104T000000Z-c", board("c", created=1704300000), day="2024-01-04")
+    P.build_postings(spark, lake, "board", index=True)
+    assert {r["bronze_run_id"] for r in S.read(spark, lake, "board").collect()} == {"20240103T000000Z-b"}
