@@ -179,3 +179,74 @@ def test_a_hot_family_makes_few_pairs(spark, frame, monkeypatch):
     apart = [(i, words(180, 5000 + i), "a") for i in range(600)]
     few = [(600 + i, words(200, 20 + i // 2), "a") for i in range(100)]
     assert compared(hot + few) <= 3 * max(50, compared(apart + few)) + 3 * len(hot)
+
+
+def test_full_sets_of_unlike_texts_do_not_travel(frame, monkeypatch):
+    """Families of texts about 0.72 similar: nearly all of their pairs go by parities, and the similar ones are all found."""
+    asked, sent = [], []
+
+    def counting(pairs, sets, percent):
+        asked.append(pairs.count())
+        return real(pairs, sets, percent)
+
+    def watching(df, name):
+        if name == "used":
+            sent.append(df.count())
+        return write(df, name)
+
+    real, write = minhash.confirmed, minhash.staged
+    monkeypatch.setattr(minhash, "confirmed", counting)
+    monkeypatch.setattr(minhash, "staged", watching)
+    rng, rows = random.Random(8), []
+    for family in range(40):
+        base = words(200, 100 + family).split()
+        for i in range(6):
+            text = list(base)
+            for at in rng.sample(range(200), 8):
+                text[at] = f"x{family}{i}{at}"
+            rows.append((10 * family + i, " ".join(text), "s"))
+        if family < 5:
+            text[0] = "changed"
+            rows.append((10 * family + 9, " ".join(text), "s"))
+    want = sorted(brute(rows, 2), key=repr)
+    assert sum(d != c for d, _, c in want) >= 5
+    assert found(frame(rows), 2) == want
+    assert sum(asked) > 100 and sum(sent) < 60, (asked, sent)
+
+
+@given(st.integers(1, 400), st.integers(0, 400), st.integers(0, 400), st.integers(0, 99))
+@settings(max_examples=300, deadline=None)
+def test_parities_differ_in_no_more_bits_than_sets(shared, left, right, seed):
+    h = np.unique(np.random.default_rng(seed).integers(0, 2 ** 64, shared + left + right, dtype=np.uint64))
+    np.random.default_rng(seed).shuffle(h)
+    a, b = minhash.parities(h[:shared + left]), minhash.parities(np.concatenate([h[:shared], h[shared + left:]]))
+    k = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(x.reshape(-1, k), 0) for x in (a, b))
+    assert np.bitwise_count((a ^ b).view(np.uint64)).sum() <= len(h) - shared
+
+
+def test_possible_keeps_every_similar_pair(spark):
+    """Sets of any sizes, so parities of different lengths are folded; at percentages down to 10."""
+    rng, sets, rows = np.random.default_rng(9), [], []
+    for i in range(60):
+        h = rng.integers(0, 2 ** 64, int(rng.integers(1, 300)), dtype=np.uint64)
+        mine = np.concatenate([h, sets[i // 2][:int(rng.integers(0, 300))]]) if i else h
+        sets.append(np.unique(mine))
+        rows.append((i, len(sets[i]), minhash.parities(sets[i]).tolist()))
+    frame = spark.createDataFrame(rows, "node long, n long, parity array<long>")
+    pairs = [(i, j) for i in range(60) for j in range(i)]
+    for percent in (10, 50, 80):
+        similar = {(i, j) for i, j in pairs
+                   if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
+        got = {tuple(r) for r in minhash.possible(spark.createDataFrame(pairs, "a long, b long"), frame, percent).collect()}
+        assert similar and similar <= got
+
+
+def test_prefixes_are_a_part_of_the_sets(spark):
+    """What is joined and dealt out for the exact step is the prefix of each set, not the set."""
+    sets = [sorted(random.Random(i).sample(range(10 ** 6), 10 * i)) for i in range(1, 30)]
+    df = spark.createDataFrame(list(enumerate(sets)), "node long, shingles array<long>")
+    for r in minhash.prefixes(df, 80).collect():
+        n = len(sets[r["node"]])
+        assert r["n"] == n and len(r["firsts"]) == n - -(-80 * n // 100) + 1 and set(r["firsts"]) <= set(sets[r["node"]])
+        assert r["most"] == n - -(-160 * n // 180)

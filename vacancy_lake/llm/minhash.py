@@ -9,7 +9,8 @@
    pairs at most. Each pair is confirmed on the full sets. A second round looks only at buckets whose members are not in
    one component yet: members outside the bucket's largest component meet CENTRES of its best-linked members, which in a
    group of copies of one text are nearest to it. Pairs of large sets go by their samples first; one that these rule out
-   counts as not compared. What is left is joined exactly: of the members of buckets still open, all pairs of different
+   counts as not compared. Before full sets travel, parities of the sets give a least size of their difference, which
+   rules out most other pairs for certain. What is left is joined exactly: of the members of buckets still open, all pairs of different
    components that could reach the similarity, by prefixes of the sets (rare shingles first) and the places of shared
    shingles in them, each confirmed on the full sets. Whatever the stars or the samples left out is found there.
 4. Components of the confirmed links, spread over the classes. Each round joins components, not nodes, so its graph is
@@ -120,6 +121,13 @@ def sample_bytes(sig: np.ndarray) -> np.ndarray:
     return mixed(sig).astype(np.uint8).view(np.int64)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether an odd number of `hashes` ends in each value of their lowest bits: two to four bits a hash, as 64-bit numbers."""
+    bits = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
@@ -149,27 +157,28 @@ def sketches(df: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
 
 
 def full_sets(df: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, n, samples, shingles) for the rows of `wanted` (doc_id, set_key, node), from the texts again."""
+    """(node, n, samples, parity, shingles) for the rows of `wanted` (doc_id, set_key, node), from the texts again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                nodes, samples, sets = [], [], []
+                nodes, samples, odd, sets = [], [], [], []
                 for node, key, text in zip(*(part.column(i).to_pylist() for i in range(3))):
                     found = shingles(text, width)
                     if xxhash.xxh3_128_digest(found.tobytes()) == key:
                         nodes.append(node)
                         samples.append(sample_bytes(signature(found)))
+                        odd.append(parities(found))
                         sets.append(found.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int64()),
-                     pa.array(samples, pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))], ["node", "n", "samples", "shingles"])
+                     *(pa.array(x, pa.list_(pa.int64())) for x in (samples, odd, sets))], ["node", "n", "samples", "parity", "shingles"])
 
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     texts = df.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
     rows = texts.join(wanted, F.col("_i").eqNullSafe(F.col("doc_id"))).select("node", "set_key", "_t")
-    return rows.mapInArrow(run, "node long, n long, samples array<long>, shingles array<long>")
+    return rows.mapInArrow(run, "node long, n long, samples array<long>, parity array<long>, shingles array<long>")
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -194,12 +203,34 @@ def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", (small | (F.lit(percent) < 80) | (BINS - ones >= AGREE)).alias("sampled"))
 
 
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of `pairs` without those whose parities rule out the similarity.
+
+    A shingle that both sets have changes both parities, so these differ in no more bits than the sets differ in shingles;
+    with n and m shingles and d of them in one set only, (n + m - d) / 2 are shared. No pair that is similar is lost.
+    """
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"p{side}")), side)
+    words = F.least(F.size("pa"), F.size("pb"))
+
+    def folded(parity: str) -> Column:
+        """Parities by fewer bits of the hashes."""
+        return F.transform(F.sequence(F.lit(0), words - 1), lambda i: F.aggregate(
+            F.sequence(i, F.size(parity) - 1, words), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.get(parity, j))))
+
+    differ = F.aggregate(F.arrays_zip(folded("pa").alias("x"), folded("pb").alias("y")), F.lit(0),
+                         lambda n, z: n + F.bit_count(z["x"].bitwiseXOR(z["y"])).cast("int"))
+    both = F.col("na") + F.col("nb")
+    return pairs.where(100 * (both - differ) >= percent * (both + differ)).select("a", "b")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those (a, b) of `pairs` whose full sets share `percent` of their union."""
-    used = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
-    sets = sets.select("node", "shingles").join(F.broadcast(used) if used.count() <= BROADCAST_ROWS else used, "node", "left_semi")
+    pairs = staged(possible(pairs, sets, percent), "possible")
     for side in "ab":
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
+        used = staged(pairs.select(F.col(side).alias("node")).distinct(), "used")
+        mine = sets.select("node", "shingles").join(F.broadcast(used) if used.count() <= BROADCAST_ROWS else used, "node", "left_semi")
+        pairs = pairs.join(mine.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
     n, m = F.size("sa"), F.size("sb")
     shared = F.size(F.array_intersect("sa", "sb"))
     return pairs.where(100 * shared >= percent * (n + m - shared)).select("a", "b")
@@ -221,14 +252,9 @@ def counted(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of all rows of `sets` (node, label, outer, shingles) that can be `percent` similar, have different labels and
-    one of which is outer.
-
-    With the shingles of all sets in one order, two sets that share s of them share one among the first n - s + 1 of
-    either, and the first one they share lies before no fewer than s places. The smaller set needs only the prefix for
-    partners of its size or larger, so texts that share a passage without being similar do not meet through it.
-    """
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, most, firsts) of all `sets`: their size, their prefix for partners of any size, and the last place of it
+    that counts for partners of their size or larger; rare shingles come first."""
     shared = sets.sparkSession.sparkContext.broadcast(counted(sets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,24 +262,32 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                which, firsts, places, short = [], [], [], []
-                for i, found in enumerate(part.column(3)):
+                sizes, most, firsts = [], [], []
+                for found in part.column(1):
                     found = found.values.to_numpy()
                     n = len(found)
-                    found = found[np.lexsort((found, counts[found & (COUNTERS - 1)]))][:n - -(-percent * n // 100) + 1]
-                    which.append(np.full(len(found), i))
-                    firsts.append(found)
-                    places.append(np.arange(len(found)))
-                    short.append(places[-1] <= n - -(-2 * percent * n // (100 + percent)))
-                which = pa.array(np.concatenate(which))
-                size = pa.array([len(x) for x in part.column(3)], pa.int32())
+                    firsts.append(found[np.lexsort((found, counts[found & (COUNTERS - 1)]))][:n - -(-percent * n // 100) + 1])
+                    most.append(n - -(-2 * percent * n // (100 + percent)))
+                    sizes.append(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(firsts)), part.column(0).take(which), part.column(1).take(which), part.column(2).take(which),
-                     size.take(which), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(short))],
-                    ["shingle", "node", "label", "outer", "n", "place", "short"])
+                    [part.column(0), pa.array(sizes, pa.int32()), pa.array(most, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))],
+                    ["node", "n", "most", "firsts"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, n int, most int, firsts array<long>")
+
 
-    firsts = staged(sets.select("node", "label", "outer", "shingles").mapInArrow(
-        run, "shingle long, node long, label long, outer boolean, n int, place int, short boolean"), "prefixes")
+def prefix_pairs(sets: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all sets of `left` (node, label, outer) that can be `percent` similar, have different labels and one of which is
+    outer.
+
+    With the shingles of all sets in one order, two sets that share s of them share one among the first n - s + 1 of
+    either, and the first one they share lies before no fewer than s places. The smaller set needs only the prefix for
+    partners of its size or larger, so texts that share a passage without being similar do not meet through it. Prefixes
+    are cut where the sets lie, so a fifth of them travels.
+    """
+    firsts = staged(prefixes(sets, percent).join(left, "node")
+                    .select("node", "label", "outer", "n", "most", F.posexplode("firsts").alias("place", "shingle"))
+                    .withColumn("short", F.col("place") <= F.col("most")).drop("most"), "prefixes")
     o = firsts.where("outer").select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "label", "n", "place", "short")])
     smaller = F.struct("n", "node") < F.struct("o_n", "o_node")
     fits = ((F.col("label") != F.col("o_label")) & F.when(smaller, F.col("short")).otherwise(F.col("o_short"))
@@ -330,7 +364,7 @@ def near_groups(df: DataFrame, width: int = 5, percent: int = 80, id_col: str =
                      .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
         if turn == 2:  # all pairs of what is left; of two components in a bucket, one is not its largest
             left = current.groupBy("node", "label").agg(F.max(F.col("label") != F.col("main")).alias("outer"))
-            pairs = prefix_pairs(sets.select("node", "shingles").join(left, "node"), percent)
+            pairs = prefix_pairs(sets, left, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs if turn == 2 else plausible(pairs, sets, percent), "pairs")
