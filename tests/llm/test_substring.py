@@ -120,3 +120,29 @@ def test_anchors_agree_in_equal_windows():
     for i in range(40, 100):
         j = i - 40 + 2
         assert pa[i] - i == pb[j] - j and ga[pa[i]] == gb[pb[j]]
+
+
+def test_word_hashes_are_equal_for_equal_words_alone(monkeypatch):
+    """Every length around the two numbers that are read, zero bytes, blanks of Unicode; only long words are looked up one by one."""
+    rng, pool = random.Random(6), []
+    for n in range(1, 24):
+        pool += ["".join(rng.choice("ab\0é \u0085") for _ in range(n)) for _ in range(8)] + ["a" * n, "\0" * n]
+    text = "\n" + "".join(rng.choice(pool) + rng.choice([" ", "\t", "\n", "\v", "\f", "\r", "  "]) for _ in range(5000)) + "end"
+    asked, table = [], substring._HASHES
+    monkeypatch.setattr(substring, "_HASHES", type("Watched", (), {"__getitem__": lambda _, w: (asked.append(w), table[w])[1]})())
+    found, want = substring.word_hashes(text).tolist(), text.encode().split()
+    assert len(found) == len(want) and len(set(found)) == len(set(zip(found, want))) == len(set(want))
+    assert asked == [w for w in want if len(w) > 16]
+    assert substring.word_hashes("").tolist() == substring.word_hashes(None).tolist() == []
+    assert substring.word_hashes("\ud800 x").tolist()[1] == substring.word_hashes("x").tolist()[0]
+
+
+def test_anchor_is_the_leftmost_least_gram():
+    rng = np.random.default_rng(7)
+    for window, gram in ((50, 8), (6, 2), (5, 1), (3, 3), (13, 5)):
+        h = rng.integers(0, 3, 200).astype(np.uint64)
+        place, grams = substring.anchors(h, window, gram)
+        assert len(grams) == 201 - gram and len(place) == 201 - window
+        assert len({(g, tuple(h[i:i + gram])) for i, g in enumerate(grams.tolist())}) == len(set(grams.tolist()))
+        for i, at in enumerate(place.tolist()):
+            assert at == i + int(grams[i:i + window - gram + 1].argmin())

@@ -41,19 +41,41 @@ COMMON = 5_000
 BROADCAST_ROWS = 200_000
 
 
+#: Whether a byte is white space in the sense of WORD, and the first 0 ... 8 bytes of a number.
+BLANK = bytes(i in b" \t\n\v\f\r" for i in range(256))
+LOWEST = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
 def word_hashes(text: str | None) -> np.ndarray:
-    found = words(text)
-    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+    """Hashes of the words; up to 16 bytes are read as two numbers, all words at once, longer words go by the table."""
+    raw = b"".join((b" ", (text or "").encode("utf-8", "surrogatepass"), b" " * 17))
+    blank = np.frombuffer(raw.translate(BLANK), bool)
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    start, length = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    out = mixed((eight[start] & LOWEST[np.minimum(length, 8)]) + length.astype(np.uint64) * ODD)
+    more = np.flatnonzero(length > 8)
+    rest = length[more] - 8
+    out[more] = mixed(out[more] * ODD + (eight[start[more] + 8] & LOWEST[np.minimum(rest, 8)]))
+    for i in more[rest > 8].tolist():
+        out[i] = _HASHES[raw[start[i]:start[i] + length[i]]]
+    return out
 
 
 def anchors(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place of the anchor of each window, hash of the k-gram at each place)."""
-    n = len(h) - gram + 1
-    grams = np.zeros(n, np.uint64)
-    for i in range(gram):
-        grams = mixed(grams * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n])
-    spans = np.lib.stride_tricks.sliding_window_view(grams, window - gram + 1)
-    return spans.argmin(1) + np.arange(len(spans)), grams
+    """(place of the anchor of each window, hash of the k-gram at each place); both from halves that may overlap."""
+    grams, width = h, 1
+    while width < gram:
+        step = min(width, gram - width)
+        grams, width = mixed(grams[:-step] * ODD + grams[step:]), width + step
+    least, place, width = grams, np.arange(len(grams)), 1
+    while width < window - gram + 1:
+        step = min(width, window - gram + 1 - width)
+        left = least[:-step] <= least[step:]
+        place = np.where(left, place[:-step], place[step:])
+        least, width = np.minimum(least[:-step], least[step:]), width + step
+    return place, grams
 
 
 def pieces_of(h: np.ndarray, shared: np.ndarray, common: np.ndarray, window: int, gram: int
