@@ -1,6 +1,7 @@
 """Toxicity: held-out accuracy, misspellings never seen, inputs, edges."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -67,6 +68,33 @@ def test_long_runs_count_to_their_end(model, monkeypatch):
         assert np.allclose(whole, cut)
 
 
+def test_training_holds_each_text_once(monkeypatch):
+    """2.4 million weights of eight bytes: 55 MB at most, 118 MB with copies of all of them."""
+    monkeypatch.setattr(toxicity, "UPDATES", 1)
+    known = words(5000, 60).split()
+    texts = [" ".join(random.Random(i).choices(known, k=1500)) for i in range(300)]
+    n = sum(len(hit) for hit, _ in toxicity._grams(texts, toxicity.BUCKETS))
+    tracemalloc.start()
+    try:
+        toxicity.train(texts, np.arange(300) % 2, 0.5, epochs=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20 * n + 30e6
+
+
+def test_fit_empties_the_tables_of_other_operators(spark, frame, monkeypatch):
+    """The worker that trains may still hold the tables of the stage before."""
+    def begin(owner):
+        raise RuntimeError(f"{owner} begins")
+
+    df = frame([(i, words(20, i), "a") for i in range(8)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "begin", begin)
+    with pytest.raises(Exception, match="toxicity begins"):
+        toxicity.fit(df, labels, F.lit(True))
+
+
 def test_query_on_given_table(spark):
     out = queries.QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1").toPandas()
     assert len(out) == 10_000 and out.score.between(0, 1).all() and ((out.score >= 0.5) == (out.predicted == 1)).all()

@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import begin, table_of
+from .common import begin, released, table_of
 
 #: Chunks and pieces of a generation; a worker remembers two.
 CACHED = 200_000
@@ -189,7 +189,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("bpe")
         bpe = codec(path)
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 found = [np.frombuffer(bpe.encode(t), "<u4").astype(np.int32) for t in part.column(1).to_pylist()]

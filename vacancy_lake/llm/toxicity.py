@@ -87,9 +87,13 @@ def _block(parts: list[tuple[int, bytes, int, int | None]], n: int) -> tuple[np.
 
 
 def buckets_of(words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """All blocks in one."""
-    blocks = list(blocks_of(words, n)) or [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    return np.concatenate([row for row, _ in blocks]), np.concatenate([bucket for _, bucket in blocks])
+    """All blocks in one, in the order of the words, which is that of the blocks too."""
+    rows, buckets = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for row, bucket in blocks_of(words, n):
+        turn = np.argsort(row, kind="stable")
+        rows.append(row[turn].astype(np.int32))
+        buckets.append(bucket[turn].astype(np.int32))
+    return np.concatenate(rows), np.concatenate(buckets)
 
 
 @dataclass
@@ -125,24 +129,23 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(out, -40.0, 40.0)))
 
 
-def _grams(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights of buckets in texts, as (text, bucket, weight): the mean over distinct words of the mean over their buckets."""
+def _grams(texts: list[str], buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, weights) of each text: the mean over distinct words of the mean over their buckets."""
     number: dict[str, int] = {}
-    bags, runs = [], []
+    bags, runs, out = [], [], []
     for t in texts:
         found = set(TOKENS.findall((t or "").lower()))
         runs.append(sorted(w for w in found if len(w) > BLOCK // 4))  # huge ones are summed by bucket
-        bags.append({number.setdefault(w, len(number)) for w in found.difference(runs[-1])})
+        bags.append(np.array(sorted(number.setdefault(w, len(number)) for w in found.difference(runs[-1])), np.int64))
     row, bucket = buckets_of(list(number), buckets)
-    turn = np.argsort(row, kind="stable")
-    bucket, n = bucket[turn], np.bincount(row, minlength=len(number))
+    n = np.bincount(row, minlength=len(number))
+    del row, number
     first = np.cumsum(n) - n
-    rows, cols, values = [], [], []
-    for r, (bag, huge) in enumerate(zip(bags, runs)):
-        if not bag and not huge:
+    for words, huge in zip(bags, runs):
+        if not len(words) and not huge:
+            out.append((np.zeros(0, np.int32), np.zeros(0, np.float32)))
             continue
-        words = np.fromiter(sorted(bag), np.int64, len(bag))
-        share = 1.0 / (len(bag) + len(huge) + QUIET) / n[words]
+        share = 1.0 / (len(words) + len(huge) + QUIET) / n[words]
         at = np.repeat(first[words] - np.cumsum(n[words]) + n[words], n[words]) + np.arange(n[words].sum())
         hit, inverse = np.unique(bucket[at], return_inverse=True)
         value = np.bincount(inverse, np.repeat(share, n[words]), len(hit))
@@ -151,15 +154,11 @@ def _grams(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.n
             total[hit] = value
             for w in huge:
                 counts = sum(np.bincount(found, minlength=buckets) for _, found in blocks_of([w], buckets))
-                total += counts / counts.sum() / (len(bag) + len(huge) + QUIET)
+                total += counts / counts.sum() / (len(words) + len(huge) + QUIET)
             hit = np.flatnonzero(total)
             value = total[hit]
-        rows.append(np.full(len(hit), r, np.int32))
-        cols.append(hit.astype(np.int32))
-        values.append(value.astype(np.float32))
-    if not rows:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32)
-    return np.concatenate(rows), np.concatenate(cols), np.concatenate(values)
+        out.append((hit.astype(np.int32), value.astype(np.float32)))
+    return out
 
 
 def train(texts: list[str], labels: np.ndarray, prior: float, buckets: int = BUCKETS, dim: int = DIM,
@@ -173,25 +172,31 @@ def train(texts: list[str], labels: np.ndarray, prior: float, buckets: int = BUC
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(buckets, np.float32), -40.0)
     rng = np.random.default_rng(seed)
-    row, col, value = _grams(texts, buckets)
-    common = np.bincount(col, minlength=buckets) >= max(2, least * len(texts))
-    keep = common[col]
-    row, col, value = row[keep], col[keep], value[keep]
+    bags = _grams(texts, buckets)
+    held = np.zeros(buckets, np.int64)
+    for hit, _ in bags:
+        held[hit] += 1
+    common = held >= max(2, least * len(texts))
     vectors = rng.uniform(-0.5 / dim, 0.5 / dim, (buckets, dim)).astype(np.float32) * common[:, None]
     softmax, bias = rng.normal(0, 0.1, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen_v, seen_s, seen_b = np.full(buckets, 1e-8, np.float32), np.full((dim, 2), 1e-8), np.full(2, 1e-8)
-    place = rng.permutation(len(texts))  # batches are drawn once, their order each time
-    turn = np.argsort(place[row], kind="stable")
-    row, col, value = place[row][turn], col[turn], value[turn]
-    y = labels[np.argsort(place)]
-    cuts = np.searchsorted(row, np.arange(0, len(texts) + batch, batch))
-    parts = [(*np.unique(col[a:b], return_inverse=True), row[a:b] - at * batch, value[a:b])
-             for at, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    turn = np.argsort(rng.permutation(len(texts)))  # batches are drawn once, their order each time
+    y = labels[turn]
+    parts = []
+    for at in range(0, len(texts), batch):
+        own = []
+        for i in turn[at:at + batch]:
+            hit, weight = bags[i]
+            own.append((hit[common[hit]], weight[common[hit]]))
+            bags[i] = None  # a text is held once, among the bags or in its batch
+        hit, inverse = np.unique(np.concatenate([h for h, _ in own]), return_inverse=True)
+        parts.append((hit, inverse.astype(np.int32), np.array([len(h) for h, _ in own]), np.concatenate([w for _, w in own])))
     for _ in range(max(epochs, -(-UPDATES // len(parts)))):
         for at in rng.permutation(len(parts)):
-            hit, inverse, doc, weight = parts[at]
+            hit, inverse, sizes, weight = parts[at]
             truth = y[at * batch:(at + 1) * batch]
             n = len(truth)
+            doc = np.repeat(np.arange(n), sizes)
             own = vectors[hit]
             means = np.stack([np.bincount(doc, weight * own[inverse, k], n) for k in range(dim)], 1)
             z = means @ softmax + bias
@@ -229,6 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, id_col: str = "doc
     prior = shares[1] / (shares[0] + shares[1])
 
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("toxicity")
         part = pd.concat(list(batches)).sort_values(["h", "doc_id"])
         if len(part):
             m = train(part["text"].tolist(), part["label"].to_numpy(), prior)
