@@ -38,6 +38,26 @@ def test_grammar_gains_on_repeats():
     assert len(symbols) < len(ids) / 20
 
 
+def test_turns_count_open_places_alone(monkeypatch):
+    """Pairs met with too few places are not counted again, and at the end no pair is worth a rule."""
+    rng = np.random.default_rng(5)
+    ids = np.minimum(rng.zipf(1.3, 100_000), 3000).astype(np.uint32) + 2
+    ends = np.append(np.sort(rng.choice(len(ids) - 1, 200, replace=False)), len(ids) - 1)
+    ids[ends] = 2
+    counted, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **b: counted.append(len(x)) or bincount(x, *a, **b))
+    rules, symbols, starts = token_files.compress(ids, ends, 5000)
+    monkeypatch.undo()
+    assert sum(counted) < 4 * len(ids)  # 2.7 times; 5.2 when every turn counts all places
+    table = token_files.expansions(rules, 5000)
+    assert b"".join(table[s] for s in symbols.tolist()) == ids.tobytes()
+    closed = np.zeros(len(symbols), bool)
+    closed[np.append(starts[1:], len(symbols)) - 1] = True
+    pairs = np.stack([symbols[:-1], symbols[1:]], 1)[~closed[:-1]]
+    found, n = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0, return_counts=True)
+    assert n.max() < token_files.LEAST_COUNT
+
+
 def check(df):
     texts = df.select("doc_id", "text").collect()
     want = {}

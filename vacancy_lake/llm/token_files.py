@@ -165,13 +165,16 @@ def library(path: str) -> LibraryIds:
     return LibraryIds(path)
 
 
-def _replaceable(mine: np.ndarray, none: int) -> np.ndarray:
-    """Places whose pair is replaced: no neighbour ranks before it; in a row of equal pairs every other one."""
-    before, after = np.append(none, mine[:-1]), np.append(mine[1:], none)
-    good = (mine <= before) & (mine <= after) & (mine < none)
-    same = np.flatnonzero(good & (mine == before))
+def _replaceable(at: np.ndarray, own: np.ndarray, none: int) -> np.ndarray:
+    """Which of the places `at`, in order, with their ranks, are replaced: no neighbour ranks before it; in a row of equal
+    pairs every other one."""
+    beside = np.diff(at) == 1
+    before = np.append(none, np.where(beside, own[:-1], none))[:len(at)]
+    after = np.append(np.where(beside, own[1:], none), none)[:len(at)]
+    good = (own <= before) & (own <= after)
+    same = np.flatnonzero(good & (own == before))
     if len(same):
-        first = np.flatnonzero(mine != before)
+        first = np.flatnonzero(own != before)
         odd = (same - first[np.searchsorted(first, same, "right") - 1]) & 1
         good[same[odd == 1]] = False
     return np.flatnonzero(good)
@@ -184,52 +187,63 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     turns count pairs in a table of hashed pairs; of pairs that share an entry the one met last has its turn, the others
     another time, as each turn hashes otherwise. When that brings little, pairs are counted by sorting, and turns go on until
     no pair is left whose replacement makes the block smaller.
+
+    A new rule makes pairs with its own symbol only, so a pair of older symbols never gains a place. One met with fewer
+    than LEAST_COUNT is not counted again: a turn looks at the open places alone, those of other pairs.
     """
-    symbols, closed = ids.astype(np.uint32), np.zeros(len(ids), bool)
-    closed[ends] = True
+    symbols, shut, is_open = ids.astype(np.uint32), np.uint32(1 << 31), np.uint32(1 << 30)
+    symbols |= is_open
+    symbols[ends] ^= is_open | shut  # the last symbol of a document begins no pair
+    plain = is_open - np.uint32(1)
     rules, none, sort, seed = [], np.int32(1 << 30), False, 1
     while len(symbols) > 1:
-        left, right, inside = symbols[:-1], symbols[1:], ~closed[:-1]
-        entry = (left * np.uint32(0x9E3779B1 * seed & 0xFFFFFFFF | 1) ^ right * np.uint32(0x85EBCA77 * seed & 0xFFFFFFFF | 1))
-        entry, size, seed = entry >> np.uint32(32 - TABLE_BITS), 1 << TABLE_BITS, seed + 2
-        counts = np.bincount(entry[inside], minlength=size)
-        # An entry counts one pair at least, so pairs of rarer entries are out of question.
-        at = np.flatnonzero(inside & (counts >= LEAST_COUNT)[entry])
-        pair = left[at].astype(np.uint64) << np.uint64(32) | right[at]
+        at = np.flatnonzero(symbols & is_open)
+        left, right = symbols[at] & plain, symbols[at + 1] & plain
+        pair = left.astype(np.uint64) << np.uint64(32) | right
         if sort:
             pairs, entry, counts = np.unique(pair, return_inverse=True, return_counts=True)
         else:
-            entry = entry[at]
+            bits = min(TABLE_BITS, max(10, len(at).bit_length() + 1))
+            entry = (left * np.uint32(0x9E3779B1 * seed & 0xFFFFFFFF | 1) ^ right * np.uint32(0x85EBCA77 * seed & 0xFFFFFFFF | 1))
+            entry, seed = (entry >> np.uint32(32 - bits)).astype(np.int32), seed + 2
+            counts = np.bincount(entry, minlength=1 << bits)
         top = np.flatnonzero(counts >= LEAST_COUNT)
-        top = top[np.argsort(-counts[top], kind="stable")]
+        most = counts[top].max(initial=0)
+        top = top[np.argsort((most - counts[top]).astype(np.uint16 if most < 1 << 16 else np.int64), kind="stable")]
         rank = np.full(len(counts), none, np.int32)
         rank[top] = np.arange(len(top))
         own = rank[entry]
-        named = np.zeros(len(top) + 1, np.uint64)
+        # An entry counts one pair at least, so pairs of rarer entries are out of question.
         known = own < none
-        named[own[known]] = pair[known]
-        own[known] = np.where(named[own[known]] == pair[known], own[known], none)
-        mine = np.full(len(left), none, np.int32)
-        mine[at] = own
-        at = _replaceable(mine, none)
+        symbols[at[~known]] &= ~is_open
+        at, own, pair = at[known], own[known], pair[known]
+        named = np.zeros(len(top), np.uint64)
+        named[own] = pair
+        known = named[own] == pair
+        at, own = at[known], own[known]
+        found = _replaceable(at, own, none)
+        at, own = at[found], own[found]
         # A pair that gave way to its neighbours nearly everywhere waits for another turn.
-        hit = np.bincount(mine[at], minlength=len(top)) >= LEAST_COUNT
-        at = at[hit[mine[at]]]
+        hit = np.bincount(own, minlength=len(top)) >= LEAST_COUNT
+        known = hit[own]
+        at, own = at[known], own[known]
         if len(at):
             number = np.cumsum(hit) - 1
-            found = named[:-1][hit]
+            found = named[hit]
             rules.append(np.stack([found >> np.uint64(32), found & np.uint64(0xFFFFFFFF)], 1).astype(np.int64))
-            symbols[at] = base + number[mine[at]]
-            closed[at] = closed[at + 1]
+            last = symbols[at + 1] & shut
+            symbols[at] = (base + number[own]).astype(np.uint32) | np.where(last, last, is_open)
+            before = at[at > 0] - 1
+            symbols[before] |= np.where(symbols[before] & shut, np.uint32(0), is_open)
             base += int(hit.sum())
             keep = np.ones(len(symbols), bool)
             keep[at + 1] = False
-            symbols, closed = symbols[keep], closed[keep]
+            symbols = symbols[keep]
         elif sort:
             break
         sort = sort or len(at) <= len(symbols) // 200
-    starts = np.append(0, np.flatnonzero(closed) + 1)[:-1]
-    return np.concatenate([*rules, np.zeros((0, 2), np.int64)]), symbols, starts
+    starts = np.append(0, np.flatnonzero(symbols & shut) + 1)[:-1]
+    return np.concatenate([*rules, np.zeros((0, 2), np.int64)]), symbols & plain, starts
 
 
 def planes(values: np.ndarray) -> bytes:
