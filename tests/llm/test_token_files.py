@@ -4,10 +4,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from vacancy_lake.llm import token_files
+from vacancy_lake.llm import bpe, token_files
 from vacancy_lake.llm.common import documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,6 +59,43 @@ def test_turns_count_open_places_alone(monkeypatch):
     assert n.max() < token_files.LEAST_COUNT
 
 
+def test_parts_are_looked_up_once():
+    """All texts of a call share their parts: what occurs again costs no lookup, and what is known no call of the library."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return dict.get(self, *a)
+
+    lib = token_files.LibraryIds(PATH)
+    lib.table = Counted(lib.table)
+    texts = ["the quick, brown fox.\nthe brown; quick fox, ñandú!\n", None, "", "\n the, fox", "fox  fox", "a<|endoftext|>b"] * 50
+    want = [np.array(LIBRARY.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert lib.encode(texts) == want
+    assert Counted.asked < 20  # parts without marks; 800 words
+    asked = []
+    lib.runs = lambda parts: asked.extend(parts) or []
+    assert lib.encode(texts[:4] * 9) == want[:4] * 9 and not asked
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(
+    [" ", " ", "\n", "\t", "a", "The", "ñu", ".", ",;", "'s", "it's", "7", "\u00a0", "\u3000", "中", "<|endoftext|>", "\x1c", "×"]),
+    max_size=10).map("".join), st.text(max_size=20)), max_size=6))
+def test_texts_of_a_call(texts):
+    assert token_files.library(PATH).encode(texts) == [
+        np.array(LIBRARY.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_slices_cover_all_rows(monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 10)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["x" * 25, None, "ab", "", "y" * 9, "zz", None])], ["i", "t"])
+    got = [s.to_pylist() for s in bpe.slices(rows)]
+    assert sum(got, []) == rows.to_pylist() and len(got) > 2
+    assert not list(bpe.slices(rows.slice(0, 0)))
+
+
 def check(df):
     texts = df.select("doc_id", "text").collect()
     want = {}

@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,6 +31,8 @@ from .common import begin, released, table_of
 CACHED = 200_000
 #: Longest chunk or piece that is remembered, in characters.
 LONGEST = 64
+#: Bytes of texts whose parts are looked up together.
+SLICE = 8 << 20
 
 # The splitting pattern of byte-level BPE, and Unicode's white space as the pattern's \s means it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -46,6 +49,25 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def parts_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(parts of all texts, distinct ones numbered; where each text starts among them): cut before every blank, which
+    goes, and before every line break, which stays at the head of its part. A break is added before each text."""
+    lines = pc.binary_join_element_wise(pa.scalar("\n", pa.large_string()), pc.replace_substring(texts, "\n", " \n"),
+                                        pa.scalar("", pa.large_string()))
+    parts = pc.split_pattern(lines, " ")
+    return parts.values.dictionary_encode(), parts.offsets.to_numpy()
+
+
+def slices(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in order, about SLICE bytes of text at a time."""
+    held = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(held, (held[at - 1] if at else 0) + SLICE)) + 1
+        yield batch.slice(at, end - at)
+        at = end
+
+
 class PairTree:
     """Segment tree over keys: each node holds the least of WIDTH nodes below it. `FREE` stands where there is no key."""
 
