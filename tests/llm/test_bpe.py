@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -90,3 +91,29 @@ def test_table_of_two_generations(monkeypatch):
     small = bpe.ByteBpe(path)
     assert [small.encode(t) for t in texts] == want
     assert len(small.known) <= 5 and len(small.old) <= 5
+
+
+PARTS = [" ", " ", "\n", "\t", "a", "The", "ñu", "don't", ".", ",;", "'s", "7", "\u00a0", "\u3000", "中", "×", "<|endoftext|>", "\x1c", "\x85"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=20), st.lists(st.sampled_from(PARTS), max_size=10).map("".join)), max_size=6))
+def test_texts_of_a_call(texts):
+    assert OWN.encode_all(pa.array(texts, pa.string())) == [np.array(ids_of(t), "<u4").tobytes() for t in texts]
+
+
+def test_white_space_between_texts_of_a_call():
+    found = [chr(c) for c in [*range(0x3100), 0xFEFF, 0x1D7D8] if not 0xD800 <= c < 0xE000]
+    texts = [t for c in found for t in (f"a{c}b {c}c. d{c}", f"{c}a b{c}\n c")]
+    assert OWN.encode_all(pa.array(texts)) == [np.array(ids_of(t), "<u4").tobytes() for t in texts]
+
+
+def test_a_part_is_encoded_once_a_call(monkeypatch):
+    """With room for a few pieces only, texts that share their words still cost one encoding a word, not one a place."""
+    monkeypatch.setattr(bpe, "CACHED", 5)
+    small, merged = bpe.ByteBpe(PATH), []
+    merge = small.merge
+    small.merge = lambda piece: merged.append(piece) or merge(piece)
+    texts = [" ".join(f"wordy{'abcdefghij'[(i + j) % 10] * 3}{',.;'[j % 3]}" for j in range(10)) + "\n" for i in range(100)]
+    assert small.encode_all(pa.array(texts)) == [OWN.encode(t) for t in texts]
+    assert len(merged) < 40  # 20 words, with and without a blank, and three marks; 1000 places

@@ -88,12 +88,11 @@ def test_texts_of_a_call(texts):
         np.array(LIBRARY.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
-def test_slices_cover_all_rows(monkeypatch):
-    monkeypatch.setattr(bpe, "SLICE", 10)
+def test_slices_cover_all_rows():
     rows = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["x" * 25, None, "ab", "", "y" * 9, "zz", None])], ["i", "t"])
-    got = [s.to_pylist() for s in bpe.slices(rows)]
+    got = [s.to_pylist() for s in bpe.slices(rows, 10)]
     assert sum(got, []) == rows.to_pylist() and len(got) > 2
-    assert not list(bpe.slices(rows.slice(0, 0)))
+    assert not list(bpe.slices(rows.slice(0, 0), 10))
 
 
 def check(df):
