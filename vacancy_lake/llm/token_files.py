@@ -218,7 +218,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
             base += int(hit.sum())
             keep = np.ones(len(symbols), bool)
             keep[at + 1] = False
-            symbols = symbols.take(np.flatnonzero(keep))
+            symbols = symbols[keep] if len(at) < len(symbols) // 16 else symbols.take(np.flatnonzero(keep))
         elif sort:
             break
         sort = sort or len(at) <= len(symbols) // 200
@@ -239,20 +239,30 @@ def from_planes(raw: bytes) -> np.ndarray:
     return out.view("<u4")[:, 0]
 
 
-@lru_cache(2)
-def _single(base: int) -> list[bytes]:
-    raw = np.arange(base, dtype="<u4").tobytes()
-    return [raw[i:i + 4] for i in range(0, len(raw), 4)]
+def levels(rules: np.ndarray, base: int) -> Iterator[np.ndarray]:
+    """Rules in order, as many at a time as are made of earlier ones alone."""
+    newest, at = np.maximum.accumulate(rules.max(1).astype(np.int64)) - base, 0
+    while at < len(rules):
+        end = int(np.searchsorted(newest, at))
+        yield rules[at:end]
+        at = end
 
 
-def expansions(rules: np.ndarray, base: int) -> list[bytes]:
+def expanded(rules: np.ndarray, base: int) -> pa.Array:
     """Ids of every symbol as bytes: of the ids themselves, then of the rules, each from two earlier symbols."""
-    table = list(_single(base))
-    for a, b in rules.tolist():
-        table.append(table[a] + table[b])
+    at, ids = np.arange(base + 1, dtype=np.int64) * 4, np.arange(base, dtype="<u4")
+    table = pa.LargeBinaryArray.from_buffers(pa.large_binary(), base, [None, pa.py_buffer(at), pa.py_buffer(ids)])
+    for some in levels(rules, base) if len(rules) else ():
+        left, right = (table.take(pa.array(np.ascontiguousarray(some[:, k]))) for k in (0, 1))
+        table = pa.concat_arrays([table, pc.binary_join_element_wise(left, right, pa.scalar(b"", pa.large_binary()))])
     return table
 
 
+def expansions(rules: np.ndarray, base: int) -> list[bytes]:
+    """The same as a list."""
+    return expanded(rules, base).to_pylist()
+
+
 BLOCKS = ("shard int, block int, base int, doc_ids array<{kind}>, rules binary, rule_lengths array<int>, symbols binary, "
           "symbol_starts array<int>, id_starts array<int>, n_ids long")
 
@@ -286,9 +296,9 @@ def write(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
             id_starts = np.cumsum(n_ids) - n_ids
             ids = np.frombuffer(b"".join(coded), "<u4")
             rules, symbols, starts = compress(ids, np.cumsum(n_ids) - 1, base)
-            lengths = [1] * base
-            for a, b in rules.tolist():
-                lengths.append(lengths[a] + lengths[b])
+            lengths = np.ones(base, np.int64)
+            for some in levels(rules, base) if len(rules) else ():
+                lengths = np.append(lengths, lengths[some].sum(1))
             one = lambda x, t: pa.array([x], t)
             i32 = pa.list_(pa.int32())
             return pa.RecordBatch.from_arrays(
@@ -338,7 +348,7 @@ def read(blocks: DataFrame) -> DataFrame:
 
 def documents_of(block: dict, places: list[int] | None = None) -> Iterator[tuple[int, object, bytes, int]]:
     """(place, doc_id, ids as bytes, first id in the block); of the wanted places only, from their slices alone."""
-    table = pa.array(expansions(from_planes(block["rules"]).reshape(-1, 2), block["base"]), pa.large_binary())
+    table = expanded(from_planes(block["rules"]).reshape(-1, 2), block["base"])
     symbols, places = from_planes(block["symbols"]), range(len(block["doc_ids"])) if places is None else places
     cuts = [*block["symbol_starts"], len(symbols)]
     found = [symbols[cuts[i]:cuts[i + 1]] for i in places]
