@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame, functions as F
 from .common import begin, released, table_of
 
 #: Chunks and pieces of a generation; a worker remembers two.
-CACHED = 200_000
+CACHED = 100_000
 #: Longest chunk or piece that is remembered, in characters.
 LONGEST = 64
 #: Bytes of texts whose parts are looked up together.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 # The splitting pattern of byte-level BPE, and Unicode's white space as the pattern's \s means it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -132,9 +132,9 @@ class ByteBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters, vocab = byte_letters(), spec["model"]["vocab"]
-        self.merges = {}
+        self.merges = {}  # of two ids, the rank in the upper bits and the id of both in the lower 32
         for rank, (a, b) in enumerate(spec["model"]["merges"]):
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.merges.setdefault((vocab[a], vocab[b]), rank << 32 | vocab[a + b])
         self.of_byte = [0] * 256
         for letter, byte in letters.items():
             self.of_byte[byte] = vocab[letter]
@@ -160,14 +160,16 @@ class ByteBpe:
             return ids
         find, width = self.merges.get, n.bit_length()
         free = PairTree.FREE
-        keys = [(m[0] << width | i) if (m := find(pair)) else free for i, pair in enumerate(zip(ids, ids[1:]))]
+        if n <= PairTree.WIDTH:
+            return self.merge_short(ids)
+        keys = [(m >> 32 << width | i) if (m := find(pair)) is not None else free for i, pair in enumerate(zip(ids, ids[1:]))]
         tree = PairTree(keys)
         root, put = tree.root, tree.put
         after, before, mask = list(range(1, n + 1)), list(range(-1, n - 1)), (1 << width) - 1
         while (least := root()) < free:
             i = least & mask
             j = after[i]
-            merged = ids[i] = find((ids[i], ids[j]))[1]
+            merged = ids[i] = find((ids[i], ids[j])) & 0xFFFFFFFF
             ids[j] = -1
             k = after[i] = after[j]
             if j < n - 1:
@@ -175,14 +177,28 @@ class ByteBpe:
             if k < n:
                 before[k] = i
                 m = find((merged, ids[k]))
-                put(i, m[0] << width | i if m else free)
+                put(i, free if m is None else m >> 32 << width | i)
             else:
                 put(i, free)
             if (h := before[i]) >= 0:
                 m = find((ids[h], merged))
-                put(h, m[0] << width | h if m else free)
+                put(h, free if m is None else m >> 32 << width | h)
         return [i for i in ids if i >= 0]
 
+    def merge_short(self, ids: list[int]) -> list[int]:
+        """The same for a piece whose tree is its leaves alone: these close up after a merge."""
+        find, none = self.merges.get, PairTree.FREE
+        found = [find(pair, none) for pair in zip(ids, ids[1:])]
+        while found and (least := min(found)) < none:
+            i = found.index(least)
+            merged = ids[i] = least & 0xFFFFFFFF
+            del ids[i + 1], found[i]
+            if i:
+                found[i - 1] = find((ids[i - 1], merged), none)
+            if i < len(found):
+                found[i] = find((merged, ids[i + 1]), none)
+        return ids
+
     def remember(self, part: str, ids: bytes) -> bytes:
         if len(part) <= LONGEST:
             if len(self.known) >= CACHED:
@@ -265,7 +281,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         begin("bpe")
         bpe = codec(path)
         for batch in released(batches):
-            for part in slices(batch, SLICE):
+            for part in released(slices(batch, SLICE)):
                 found = [np.frombuffer(ids, "<u4").astype(np.int32) for ids in bpe.encode_all(part.column(1))]
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
@@ -295,7 +311,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         bpe = codec(path)
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:
-            for part in slices(batch, SLICE):
+            for part in released(slices(batch, SLICE)):
                 n, of_ids, of_text = [], [], []
                 for ids in bpe.encode_all(part.column(1)):
                     n.append(len(ids) // 4)
