@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame, functions as F
 from .common import begin, released, table_of
 
 #: Chunks and pieces of a generation; a worker remembers two.
-CACHED = 100_000
+CACHED = 50_000
 #: Longest chunk or piece that is remembered, in characters.
 LONGEST = 64
 #: Bytes of texts whose parts are looked up together.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 # The splitting pattern of byte-level BPE, and Unicode's white space as the pattern's \s means it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
