@@ -107,6 +107,23 @@ def test_filters_leave_out_files_without_the_keys(spark, lake):
     assert 1 <= len(hit[state.runs[1].name]) <= 2 and not hit[state.runs[0].name] and not hit[state.runs[2].name]
 
 
+def test_filters_are_asked_for_few_keys_of_a_file(spark, lake, monkeypatch):
+    """More keys than PROBED in the range of a file: it is taken unasked, and nothing is paired key by file."""
+    for seed in range(2):
+        S.upsert(postings(spark, [(seed * 1000 + k, "t", 1, "r", "2024-01") for k in range(400)]), lake, "s", "v", compact_after=False)
+    state = S.version(spark, lake, "s")
+    asked = postings(spark, [(1000 + k, "", 1, "r", None) for k in range(40)]).select("job_id")
+    keys = asked.select(F.xxhash64("job_id").alias("key_hash"))
+    hit = S.files_with(spark, lake, "s", state.runs, keys)
+    assert not hit[state.runs[0].name] and hit[state.runs[1].name]
+    want = shown(S.lookup(spark, lake, "s", asked))
+    monkeypatch.setattr(S, "PROBED", 10)
+    monkeypatch.setattr(S, "_positions", lambda *_: pytest.fail("filters are asked"))
+    more = S.files_with(spark, lake, "s", state.runs, keys)
+    assert all(more[r.name] >= hit[r.name] for r in state.runs) and more[state.runs[0].name]
+    assert shown(S.lookup(spark, lake, "s", asked)) == want and len(want) == 40
+
+
 def test_interleaved_writers_keep_both_batches(spark, lake, monkeypatch):
     S.upsert(postings(spark, [(0, "base", 1, "r0", None)]), lake, "s", "v0")
     create, entered = files.create, []
@@ -210,6 +227,28 @@ def test_changes_between_versions(spark, lake):
     assert S.changes(spark, lake, "s", 0).count() == 1
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_changes_without_broadcasts(spark, lake, coalesce):
+    """Batches too large to broadcast: rows of several runs, dealt by key, are put together and joined again by key."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": coalesce}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        S.replace(postings(spark, [(k, "t", 1, "r", "2024-01") for k in range(300)]), lake, "s", "v1")
+        S.upsert(postings(spark, [(k, "u", 2, "r", "2024-02") for k in range(100, 200)]), lake, "s", "v2", compact_after=False)
+        done = S.upsert(postings(spark, [(k, "w", 3, "r", "2024-02") for k in range(150, 350)]), lake, "s", "v3", compact_after=False)
+        got = sorted((r["sign"], int(r["job_id"]), r["title_norm"]) for r in S.changes(spark, lake, "s", 1).collect())
+        now = S.read(spark, lake, "s")
+        again = now.join(postings(spark, [(k, "", 1, "r", None) for k in range(120, 400)]).select("job_id"), "job_id", "left_semi").count()
+        found = shown(S.lookup(spark, lake, "s", postings(spark, [(k, "", 1, "r", None) for k in (0, 120, 160, 320, 999)])))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert got == sorted([(-1, k, "t") for k in range(100, 300)] + [(1, k, "u" if k < 150 else "w") for k in range(100, 350)])
+    assert done.keys == 350 and again == 230
+    assert {k: v[0] for k, v in found.items()} == {0: "t", 120: "u", 160: "w", 320: "w"}
+
+
 def test_retired_versions_leave_nothing_behind(spark, lake):
     for i in range(5):
         S.upsert(postings(spark, [(i, "t", 1, "r", None)]), lake, "s", f"v{i}")

@@ -10,7 +10,7 @@ from ..functions import text as T, times as X
 from ..functions.rules import PlaceRules
 from ..functions.skills import skills_from_json
 from ..schema import FACT_DIMENSION, LINEAGE_COUNTS, LINEAGE_ORDER, RUN_SUMMARY, fact_schema, summary_schema
-from .metrics import per_group
+from .metrics import per_group, stacked
 
 _GROUP = ("source", "posted_month", "run_id")
 
@@ -237,7 +237,7 @@ def signed_counts(changes: DataFrame, run: str | Column, places: PlaceRules | No
 def add_counts(old: DataFrame, signed: DataFrame, keys: Sequence[str], run: str) -> DataFrame:
     """Counts of an earlier run and signed counts, added up under `run`; what is left with nothing goes."""
     columns = [c for c in (*_GROUP, *keys) if c != "run_id"]
-    both = old.select(*columns, "job_count").unionByName(signed.select(*columns, "job_count"))
+    both = stacked(old.select(*columns, "job_count"), signed.select(*columns, "job_count"), "posted_month")
     return (both.groupBy(*columns).agg(F.sum("job_count").alias("job_count")).where(F.col("job_count") != 0)
             .withColumn("run_id", F.lit(run)))
 

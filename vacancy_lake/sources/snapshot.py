@@ -25,9 +25,11 @@ from dataclasses import asdict, dataclass, replace as changed
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from ..functions.text import text
 from ..operators import merge as D
+from ..operators.metrics import first_k
 from ..operators.standardize import project_contract
 from ..schema import LINEAGE_ORDER, POSTING
 from . import files
@@ -36,6 +38,9 @@ from .lake import Lake
 #: Adjacent runs there must be before they are merged into one.
 FAN_IN = 4
 BITS_PER_KEY, HASHES = 12, 4
+#: Keys up to which the filter of a file is asked. One of that size lets 0.65 % of other keys through, so more keys than
+#: that would leave out one file in six hundred.
+PROBED = 1_000
 _NO_MONTH = "none"
 #: Leading bits of a key hash by which ranges of files and keys are joined.
 _CELL = 52
@@ -172,12 +177,28 @@ def read(spark: SparkSession, lake: Lake, source: str, months: Sequence[str] | N
 
 
 def files_with(spark: SparkSession, lake: Lake, source: str, runs: Sequence[Run], keys: DataFrame) -> dict[str, set[str]]:
-    """Files of each run that may hold one of the `keys` (key_hash): by range of hashes, then by Bloom filter."""
-    cell = F.shiftright(F.col("key_hash"), _CELL)
+    """Files of each run that may hold one of the `keys` (key_hash, each once): by range of hashes, then by Bloom filter.
+
+    Keys are counted by cell first. A file with more than PROBED keys in its cells is taken as it is, since its filter lets
+    one of them through in any case; so filters are asked for PROBED keys a file at most, however many keys there are.
+    """
+    cell = F.shiftright(F.col("key_hash"), _CELL).alias("cell")
     ranges = _beside(spark, lake, source, "ranges", _RANGES, runs).withColumn(
         "cell", F.explode(F.sequence(F.shiftright("low", _CELL), F.shiftright("high", _CELL))))
-    near = (keys.withColumn("cell", cell).join(ranges, "cell").where(F.col("key_hash").between(F.col("low"), F.col("high")))
-            .select("run", "file", "key_hash").distinct())
+    load = (ranges.select("run", "file", "cell").distinct().join(keys.groupBy(cell).agg(F.count("*").alias("n")), "cell")
+            .groupBy("run", "file").agg(F.sum("n").alias("n")))
+    out: dict[str, set[str]] = {r.name: set() for r in runs}
+    open_: list[tuple[str, str]] = []
+    for row in load.collect():  # names of files, at most all of them
+        if row["n"] > PROBED:
+            out[row["run"]].add(row["file"])
+        else:
+            open_.append((row["run"], row["file"]))
+    if not open_:
+        return out
+    left = spark.createDataFrame(open_, "run string, file string")
+    near = (keys.select("key_hash", cell).join(ranges.join(left, ["run", "file"], "left_semi"), "cell")
+            .where(F.col("key_hash").between(F.col("low"), F.col("high"))).select("run", "file", "key_hash").distinct())
     blooms = _beside(spark, lake, source, "blooms", _BLOOM, runs)
     size = blooms.select("run", "file", "bits").distinct()
     asked = near.join(size, ["run", "file"]).select("run", "file", "key_hash", F.explode(
@@ -187,12 +208,25 @@ def files_with(spark: SparkSession, lake: Lake, source: str, runs: Sequence[Run]
     held = F.getbit(byte, F.col("bit") % 8) == 1
     found = (asked.join(blooms.drop("bits"), ["run", "file", "bucket"]).where(held).groupBy("run", "file", "key_hash")
              .agg(F.count("*").alias("n")).where(F.col("n") == HASHES).select("run", "file").distinct())
-    out: dict[str, set[str]] = {r.name: set() for r in runs}
     for row in found.collect():  # names of files to scan, at most all of them
         out[row["run"]].add(row["file"])
     return out
 
 
+def _of_keys(rows: Sequence[DataFrame], keys: DataFrame | None) -> DataFrame:
+    """Rows of several scans, those of the `keys` (job_id, each once) if any are given.
+
+    Scans are put together before they are dealt by key (see `metrics.stacked`), with an inner join, as Spark would push a
+    semi join below the union.
+    """
+    rows = reduce(DataFrame.unionByName, rows)
+    return rows if keys is None else rows.join(keys, "job_id")
+
+
+def _newest_first() -> list[Column]:
+    return [*(F.desc_nulls_last(text(c)) for c in LINEAGE_ORDER), F.desc("seq")]
+
+
 def lookup(spark: SparkSession, lake: Lake, source: str, keys: DataFrame, number: int | None = None) -> DataFrame:
     """Current rows of the `keys` (job_id), from the files that may hold them."""
     state = version(spark, lake, source, number)
@@ -201,8 +235,10 @@ def lookup(spark: SparkSession, lake: Lake, source: str, keys: DataFrame, number
     if not runs:
         return spark.createDataFrame([], POSTING)
     hit = files_with(spark, lake, source, runs, keys.select(F.xxhash64("job_id").alias("key_hash")))
-    parts = [_scan(spark, lake, source, r, hit[r.name]).join(keys, "job_id", "left_semi") for r in runs if hit[r.name]]
-    return (_merged(parts) if parts else spark.createDataFrame([], POSTING)).select(*POSTING.fieldNames())
+    parts = [_scan(spark, lake, source, r, hit[r.name]) for r in runs if hit[r.name]]
+    if not parts:
+        return spark.createDataFrame([], POSTING)
+    return first_k(_of_keys(parts, keys), ["job_id"], _newest_first(), 1).select(*POSTING.fieldNames())
 
 
 def _filled(runs: tuple[Run, ...]) -> tuple[Run, ...]:
@@ -218,7 +254,10 @@ def upsert(batch: DataFrame, lake: Lake, source: str, label: str, compact_after:
     keys = _scan(spark, lake, source, run).select("job_id")
 
     def add(now: Version) -> Version:
-        fresh = run.rows - (keys.join(lookup(spark, lake, source, keys, now.number), "job_id", "left_semi").count() if now.runs else 0)
+        # Keys are counted; which version of a key is the newest does not matter, so nothing is merged.
+        hit = files_with(spark, lake, source, now.runs, keys.select(F.xxhash64("job_id").alias("key_hash"))) if now.runs else {}
+        known = [_scan(spark, lake, source, r, hit[r.name]).select("job_id") for r in now.runs if hit[r.name]]
+        fresh = run.rows - (keys.join(reduce(DataFrame.unionByName, known), "job_id", "left_semi").count() if known else 0)
         return Version(0, label, _filled((*now.runs, changed(run, seq=now.number + 1))), now.keys + fresh, run.name)
 
     done = commit(spark, lake, source, add)
@@ -311,15 +350,23 @@ def changes(spark: SparkSession, lake: Lake, source: str, before: int, after: in
     if after is None:
         after = versions(spark, lake, source)[-1]
     between = [version(spark, lake, source, n) for n in range(before + 1, after + 1)]
-    if any(v.whole for v in between) or before == 0:
-        old = read(spark, lake, source, number=before) if before else spark.createDataFrame([], POSTING)
-        new = read(spark, lake, source, number=after)
-    else:
+    sides = {}  # run -> signs of the versions it belongs to; a run that both name is read once
+    for sign, state in ((-1, version(spark, lake, source, before) if before else None), (1, version(spark, lake, source, after))):
+        for r in state.runs if state else ():
+            sides.setdefault(r, []).append(sign)
+    runs, hit, keys = list(sides), {}, None
+    if before and not any(v.whole for v in between):
         deltas = [_scan(spark, lake, source, Run(v.delta, v.number, 0)).select("job_id") for v in between if v.delta]
-        keys = reduce(DataFrame.unionByName, deltas) if deltas else spark.createDataFrame([], "job_id string")
-        old, new = (lookup(spark, lake, source, keys, n) for n in (before, after))
+        keys = reduce(DataFrame.unionByName, deltas).distinct() if deltas else spark.createDataFrame([], "job_id string")
+        hit = files_with(spark, lake, source, runs, keys.select(F.xxhash64("job_id").alias("key_hash"))) if runs else {}
+    rows = [_scan(spark, lake, source, r, hit.get(r.name)).withColumn("signs", F.array(*map(F.lit, sides[r])))
+            for r in runs if keys is None or hit[r.name]]
+    if not rows:
+        return spark.createDataFrame([], StructType([StructField("sign", IntegerType()), *POSTING.fields]))
+    asked = _of_keys(rows, keys)
+    current = first_k(asked.withColumn("sign", F.explode("signs")), ["job_id", "sign"], _newest_first(), 1)
     row = F.struct(*POSTING.fieldNames())
-    both = old.select("job_id", row.alias("old")).join(new.select("job_id", row.alias("new")), "job_id", "full")
+    both = current.groupBy("job_id").agg(*[F.max(F.when(F.col("sign") == sign, row)).alias(side) for side, sign in (("old", -1), ("new", 1))])
     signed = F.array(F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")), F.struct(F.lit(1).alias("sign"), F.col("new").alias("row")))
     return (both.where(~F.col("old").eqNullSafe(F.col("new"))).select(F.explode(signed).alias("s"))
             .where(F.col("s.row.job_id").isNotNull()).select("s.sign", "s.row.*"))
