@@ -786,7 +786,8 @@ SELECT source, job_id, CASE WHEN k % 10 = 0 THEN 'newer' ELSE title_norm END AS
   strftime(CASE WHEN k % 97 <> 0 THEN day END, '%Y-%m') AS month FROM p"""))
 def d02_snapshot(spark, d):
     """The stored snapshot: batches become runs of their own; newer lineage wins, older loses, new keys come in."""
-    lake, df, parts = fx.work_lake(spark, "d02"), fx.postings(spark, d, False).select(*POSTING.fieldNames()), []
+    lake, parts = fx.work_lake(spark, "d02"), []
+    df = fx.stored_postings(spark, d, lake, False)
     k = F.col("source_job_id").cast("long")
     for source, _ in DIALECTS:
         mine = df.where(F.col("source") == source)

@@ -124,6 +124,13 @@ def test_filters_are_asked_for_few_keys_of_a_file(spark, lake, monkeypatch):
     assert shown(S.lookup(spark, lake, "s", asked)) == want and len(want) == 40
 
 
+def test_upsert_counts_keys_without_merging(spark, lake, monkeypatch):
+    monkeypatch.setattr(S, "lookup", lambda *_: pytest.fail("rows are merged"))
+    for i, batch in enumerate(([0, 1, 2], [2, 3], [], [3, 4, 0])):
+        done = S.upsert(postings(spark, [(k, "t", 1, f"r{i}", None) for k in batch]), lake, "s", f"v{i}", compact_after=False)
+    assert done.keys == 5
+
+
 def test_interleaved_writers_keep_both_batches(spark, lake, monkeypatch):
     S.upsert(postings(spark, [(0, "base", 1, "r0", None)]), lake, "s", "v0")
     create, entered = files.create, []
