@@ -382,7 +382,8 @@ FROM p"""))
 def b06_keyed_state(spark, d):
     """Newest versions as stream state, restarted after every file: first versions, then newer, older and repeated ones.
     What the state gave out last is in the last run of the snapshot."""
-    lake, df, parts = fx.work_lake(spark, "b06s"), fx.postings(spark, d, False).select(*POSTING.fieldNames()), []
+    lake, parts = fx.work_lake(spark, "b06s"), []
+    df = fx.stored_postings(spark, d, lake, False)
     k = F.col("source_job_id").cast("long")
     later = df.where(k % 10 < 2).withColumns({"title_norm": F.lit("newer"), "bronze_ingest_date": F.lit("2030-01-01")})
     older = df.where((k % 10).isin(4, 5)).withColumns({"title_norm": F.lit("older"), "bronze_ingest_date": F.lit("1990-01-01")})

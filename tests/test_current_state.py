@@ -1,5 +1,7 @@
 """Newest version per key as stream state: restarts, repeated and late rows, time to live."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
@@ -73,3 +75,31 @@ def test_state_is_forgotten_after_the_lookback(spark, lake):
     run(spark, lake, 1)
     got = shown(S.read(spark, lake, "s"))
     assert (got[5][0], got[6][0], got[7][0]) == ("a", "a", "newer lineage")
+
+
+def test_groups_of_many_keys(spark, lake, monkeypatch):
+    """Three groups hold all keys: newest, older and repeated versions, restarts, and a group forgets only what is due."""
+    monkeypatch.setattr(CS, "BUCKETS", 3)
+    batches = [[(k, "a", 5, "r5", None) for k in range(40)], [(k, "b", 5 + (k % 3) - 1, "r6", None) for k in range(10, 40)]]
+    for i, batch in enumerate(batches):
+        drop(spark, lake, f"b{i}", batch, i)
+        run(spark, lake, 1)
+    assert shown(S.read(spark, lake, "s")) == {k: v[:2] for k, v in model(batches).items()}
+    assert [S.version(spark, lake, "s", n).runs[-1].rows for n in S.versions(spark, lake, "s")] == [40, sum(k % 3 > 0 for k in range(10, 40))]
+    for i in range(2, 5):  # half of the keys come again and stay; the others are due
+        drop(spark, lake, f"b{i}", [(k, "c", 6 + i, "r7", None) for k in range(20)], 600 * i)
+    query = run(spark, lake, 1)
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(kept) < 20  # one value and its timer a group, not a key
+    held = {k[0] for r in spark.read.format("statestore").option("stateVarName", "newest").load(f"{lake.root}/c").select("value.keys").collect()
+            for k in CS.json.loads(r["keys"])}
+    assert held == {str(k) for k in range(20)}
+
+
+def test_state_runs_once_a_batch(spark, lake, monkeypatch):
+    plans, upsert = [], S.upsert
+    monkeypatch.setattr(S, "upsert", lambda rows, *a: (plans.append(rows._jdf.queryExecution().toString()), upsert(rows, *a))[1])
+    drop(spark, lake, "b0", [(k, "a", 1, "r1", None) for k in range(20)], 0)
+    run(spark, lake)
+    assert plans and not any("TransformWithState" in plan for plan in plans)
+    assert not list(Path(lake.merged("s")).glob("staged/*"))
